@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from eodlake.llm import exact, mixing
+from eodlake.llm import exact, mixing, substrings
 
 QUERIES = {
+    "op1_suffix_dedup": substrings.op1_suffix_dedup,
+    "op7_seed_extend": substrings.op7_seed_extend,
     "op5_exact_dedup": exact.op5_exact_dedup,
     "op10_source_mix": mixing.op10_source_mix,
 }
