@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from eodlake.llm import exact, mixing, substrings
+from eodlake.llm import exact, mixing, packing, substrings
 
 QUERIES = {
+    "op8_lexical_packing": packing.op8_lexical_packing,
     "op1_suffix_dedup": substrings.op1_suffix_dedup,
     "op7_seed_extend": substrings.op7_seed_extend,
     "op5_exact_dedup": exact.op5_exact_dedup,
