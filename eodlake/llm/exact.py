@@ -52,15 +52,17 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
-    Sampled splitters range-partition the rows by (normalised text, doc_id), so even one large group of copies spreads
+    Sampled splitters range-partition the rows by (first characters and digest of the normalised text, doc_id), so even one large group of copies spreads
     over partitions; each is sorted externally, which puts equals side by side, and neighbours are compared in full.
     Runs that touch the edge of a partition (two a partition) are then merged by the digest of their text.
     A null text counts as empty; of rows with equal text and id one is kept; a null id sorts last.
     Extra columns of ``docs`` are ignored. An empty table gives an empty result.
     """
     d = docs.select("doc_id", F.regexp_replace(F.coalesce("text", F.lit("")), SPACES, " ").alias("norm"))
-    order = [F.col("norm"), F.col("doc_id").asc_nulls_last()]
-    ordered = d.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", F.sha2("norm", 256).alias("text_sha256"), "norm")
+    # the sampled keys reach the driver, so they are a prefix and a digest; the texts themselves follow in the sort
+    d = d.select("doc_id", F.substring("norm", 1, 16).alias("head"), F.sha2("norm", 256).alias("text_sha256"), "norm")
+    last = F.col("doc_id").asc_nulls_last()
+    ordered = d.repartitionByRange("head", "text_sha256", last).sortWithinPartitions("head", "text_sha256", "norm", last).select("doc_id", "text_sha256", "norm")
     rows = saved(ordered.mapInArrow(_runs, "doc_id long, text_sha256 string, part int, first boolean, run_keep long, run_size long, edge boolean"), "exact")
     merged = (
         rows.where("edge and first")
