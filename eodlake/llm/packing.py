@@ -267,7 +267,10 @@ def packer(idf: np.ndarray, mean: float, window: int, width: type, with_ids: boo
                     offset += k
                 number += 1
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in list(zip(*rows))[:7]), *[pa.array([r[-1] for r in rows], pa.list_(pa.int32()))] * with_ids], names=names + ["ids"] * with_ids)
+            columns = [pa.array(c, pa.int64()) for c in list(zip(*rows))[:7]]
+            if with_ids:
+                names, columns = [*names, "ids"], [*columns, pa.array([r[-1] for r in rows], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
             for d, x in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):

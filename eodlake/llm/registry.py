@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from eodlake.llm import exact, mixing, packing, substrings
+from eodlake.llm import exact, minhash, mixing, packing, substrings
 
 QUERIES = {
+    "op2_near_dedup": minhash.op2_near_dedup,
     "op8_lexical_packing": packing.op8_lexical_packing,
     "op1_suffix_dedup": substrings.op1_suffix_dedup,
     "op7_seed_extend": substrings.op7_seed_extend,
     "op5_exact_dedup": exact.op5_exact_dedup,
     "op10_source_mix": mixing.op10_source_mix,
 }
-ORACLES = {"op5_exact_dedup": exact.SQL, "op10_source_mix": mixing.SQL}
+ORACLES = {"op2_near_dedup": minhash.SQL, "op5_exact_dedup": exact.SQL, "op10_source_mix": mixing.SQL}
