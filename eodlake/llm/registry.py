@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from eodlake.llm import exact, minhash, mixing, packing, substrings
+from eodlake.llm import exact, minhash, mixing, packing, quality, substrings
 
 QUERIES = {
+    "op4_quality": quality.op4_quality,
     "op2_near_dedup": minhash.op2_near_dedup,
     "op8_lexical_packing": packing.op8_lexical_packing,
     "op1_suffix_dedup": substrings.op1_suffix_dedup,
