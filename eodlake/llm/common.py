@@ -152,14 +152,15 @@ def chunks(batches: Iterable, columns: list[str], text: str, most: int) -> Itera
     """Lists of the columns of Arrow batches, cut into pieces of about ``most`` bytes of text (encoded)."""
     out, size = [[] for _ in columns], 0
     k = columns.index(text)
-    for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() if c != text else _utf8(batch.column(c)) for c in columns)):
-            for o, v in zip(out, row):
-                o.append(v)
-            size += len(row[k])
-            if size >= most:
-                yield tuple(out)
-                out, size = [[] for _ in columns], 0
+    for whole in batches:
+        for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
+            for row in zip(*(batch.column(c).to_pylist() if c != text else _utf8(batch.column(c)) for c in columns)):
+                for o, v in zip(out, row):
+                    o.append(v)
+                size += len(row[k])
+                if size >= most:
+                    yield tuple(out)
+                    out, size = [[] for _ in columns], 0
     if out[0]:
         yield tuple(out)
 
@@ -173,3 +174,9 @@ def _utf8(column) -> list[bytes]:
 def crc_mod(doc_id: str, k: int) -> Column:
     """crc32 of the id written as text, modulo ``k``."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % k
+
+
+def keep_rows(docs: DataFrame, th: Column, stay: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose (id, ``th``) is in ``stay`` (_did, _th); one of equal rows."""
+    keyed = docs.withColumns({"_did": F.coalesce("doc_id", F.lit(NO_ID)), "_th": th})
+    return keyed.join(stay.distinct(), ["_did", "_th"], "left_semi").dropDuplicates(["_did", "_th"]).select(docs.columns)

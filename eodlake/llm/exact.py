@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import saved, table
+from eodlake.llm.common import NO_ID, keep_rows, saved, table
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -79,6 +79,12 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
+def exact_filter(docs: DataFrame) -> DataFrame:
+    """The documents, all columns, less all but the first of equal ones."""
+    stay = exact_dedup(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_did"), F.col("text_sha256").alias("_th"))
+    return keep_rows(docs, F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), SPACES, " "), 256), stay)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 

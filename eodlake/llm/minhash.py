@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import NO_ID, U64, chunks, grams, identified, mix, saved, table, words_of
+from eodlake.llm.common import NO_ID, U64, chunks, grams, identified, keep_rows, mix, saved, table, words_of
 from eodlake.llm.components import components
 
 #: Bands and hashes a band: a pair at similarity 0.8 shares no band with probability (1 - 0.8^4)^28 = 4e-7.
@@ -143,7 +143,7 @@ def verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, per
 
 
 def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept, and th (a hash of its text).
+    """One row per document: doc_id, n_shingles, component_id, kept, th (a hash of its text), stays (first of its group).
 
     1. A document's signature comes from its distinct ``k``-word shingles. Documents with equal sets are one class from here
        on, so any number of exact copies costs one row.
@@ -181,21 +181,34 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     if more.limit(1).count():
         found = components(links.unionByName(more))
 
-    groups = found.join(classes.select("node", "did"), "node")
-    least = groups.groupBy("component").agg(F.min("did").alias("least"))
+    groups = found.join(classes.select("node", F.struct("did", "th").alias("rep")), "node")
+    least = groups.groupBy("component").agg(F.min("rep").alias("least"))
     groups = groups.select("node", "component").join(least, "component").select("node", "least")
-    alone = classes.select("node", F.col("did").alias("own")).join(groups, "node", "left").select("node", F.coalesce("least", "own").alias("component_id"))
+    alone = classes.select("node", F.struct("did", "th").alias("own")).join(groups, "node", "left").select("node", F.coalesce("least", "own").alias("first"))
     back = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return (
         signs.select("did", "th", "n", "node")
         .join(alone, "node", "left")
-        .withColumn("component_id", F.coalesce("component_id", "did"))
-        .select(back("did").alias("doc_id"), F.col("n").alias("n_shingles"), back("component_id").alias("component_id"), (F.col("did") == F.col("component_id")).alias("kept"), "th")
+        .withColumn("component_id", F.coalesce("first.did", "did"))
+        .select(
+            back("did").alias("doc_id"),
+            F.col("n").alias("n_shingles"),
+            back("component_id").alias("component_id"),
+            (F.col("did") == F.col("component_id")).alias("kept"),
+            "th",
+            F.coalesce((F.col("did") == F.col("first.did")) & F.col("th").eqNullSafe(F.col("first.th")), F.lit(True)).alias("stays"),
+        )
     )
 
 
+def near_filter(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, all columns, less all but the first of each near-duplicate group (and of equal rows)."""
+    stay = near_dedup(docs, k, percent).where("stays").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_did"), F.coalesce("th", F.lit(0)).alias("_th"))
+    return keep_rows(docs, F.coalesce(F.xxhash64("text"), F.lit(0)), stay)
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents"), k=2).drop("th")
+    return near_dedup(table(spark, sf_dir, "documents"), k=2).drop("th", "stays")
 
 
 SQL = r"""

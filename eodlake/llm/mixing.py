@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -31,6 +31,12 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), budge
     return s.select("source", "source_size", "n_docs", F.least("cap", level * F.col("w")).alias("target"))
 
 
+def chance(seed: str) -> Column:
+    """A number in [0, 1) from a digest of the seed and the document's id."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
+
+
 def mix(docs: DataFrame, seed: str = "mix", rows_per_range: int = 4096, cut: bool = True, **shares) -> DataFrame:
     """Each document with its size, its source's size and target, and the words that the mix takes of it.
 
@@ -51,8 +57,7 @@ def mix(docs: DataFrame, seed: str = "mix", rows_per_range: int = 4096, cut: boo
     few = targets.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES
     t = targets.withColumnRenamed("source", "t_source")
     t = F.broadcast(t) if few else t
-    u = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
-    d = sizes.join(t, F.col("source").eqNullSafe(F.col("t_source"))).select("doc_id", "source", "size", "source_size", "n_docs", "target", u.alias("u"))
+    d = sizes.join(t, F.col("source").eqNullSafe(F.col("t_source"))).select("doc_id", "source", "size", "source_size", "n_docs", "target", chance(seed).alias("u"))
     copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     d = d.withColumn("copies", copies).withColumn("quota", F.round("target").cast("long") - F.col("copies") * F.col("source_size"))
     inclusion = F.col("quota") / F.col("source_size")
@@ -64,11 +69,25 @@ def mix(docs: DataFrame, seed: str = "mix", rows_per_range: int = 4096, cut: boo
     inside = F.sum("size").over(W.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("size")
     left = F.col("quota") - F.col("before") - inside
     extra = F.greatest(F.least(left, F.col("size")), F.lit(0)) if cut else F.when(left * 2 >= F.col("size"), F.when(left > 0, F.col("size"))).otherwise(0)
-    return d.select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size") + F.coalesce(extra, F.lit(0))).cast("long").alias("taken"))
+    extra = F.coalesce(extra, F.lit(0))
+    return d.select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size") + extra).cast("long").alias("taken"), "copies", F.when(extra > 0, F.col("u")).alias("in"))
+
+
+def mixed(docs: DataFrame, seed: str = "mix", **shares) -> DataFrame:
+    """The documents, all columns, each as often as the mix takes it (whole documents only).
+
+    A document is in its source's sample if its random number is at most the largest one taken there, so the decision
+    joins the few sources, and no text is shuffled.
+    """
+    cuts = saved(mix(docs, seed, cut=False, **shares).groupBy(F.col("source").alias("_source")).agg(F.max("copies").alias("_copies"), F.max("in").alias("_in")), "cuts")
+    few = cuts.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES
+    d = docs.join(F.broadcast(cuts) if few else cuts, F.col("source").eqNullSafe(F.col("_source")))
+    times = F.col("_copies") + F.when(chance(seed) <= F.col("_in"), 1).otherwise(0)
+    return d.withColumn("_times", times).where("_times > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy")).select(docs.columns)
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).drop("source")
+    return mix(table(spark, sf_dir, "documents")).drop("source", "copies", "in")
 
 
 SQL = r"""

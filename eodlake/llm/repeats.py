@@ -29,7 +29,7 @@ from eodlake.llm.common import U64, chunks, grams, identified, mix, parts_for, s
 
 GRAM = 16
 #: Runs that a task sorts at once, documents among them, and bytes of text hashed at once.
-FLUSH_RUNS, FLUSH_DOCS, BLOCK = 750_000, 60_000, 1 << 20
+FLUSH_RUNS, FLUSH_DOCS, BLOCK = 400_000, 60_000, 1 << 19
 FOUND = "did long, tag int, kind int, runs binary"
 Symbols = Callable[[list], tuple[np.ndarray, np.ndarray]]
 
@@ -134,20 +134,23 @@ def used_docs(doc: np.ndarray, did: np.ndarray, tag: np.ndarray) -> tuple[np.nda
     return doc, DOCS.pack(did=did[use], tag=tag[use]), len(use)
 
 
-def by_doc(did: np.ndarray, tag: np.ndarray, **rest: np.ndarray) -> Iterator[tuple[int, int, dict]]:
-    o = np.lexsort((tag, did))
-    did, tag = did[o], tag[o]
-    if not len(o):
+def by_doc(did: np.ndarray, tag: np.ndarray, lo: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """(did, tag, its pairs of first start and number of starts as int32) of each document."""
+    if not len(did):
         return
+    o = np.lexsort((lo, tag, did))
+    did, tag = did[o], tag[o]
+    raw = np.column_stack([lo[o], n[o]]).astype(np.int32).tobytes()
     cut = np.flatnonzero((did[1:] != did[:-1]) | (tag[1:] != tag[:-1])) + 1
     edges = [0, *cut.tolist(), len(o)]
-    rest = {k: v[o] for k, v in rest.items()}
-    for a, b in zip(edges[:-1], edges[1:]):
-        yield int(did[a]), int(tag[a]), {k: v[a:b] for k, v in rest.items()}
+    firsts = edges[:-1]
+    for a, b, d, t in zip(firsts, edges[1:], did[firsts].tolist(), tag[firsts].tolist()):
+        yield d, t, raw[a * 8 : b * 8]
 
 
-def starts(lo: np.ndarray, n: np.ndarray) -> bytes:
-    return np.column_stack([lo, n]).astype(np.int32).tobytes()
+def own_repeats(did: np.ndarray, tag: np.ndarray, lo: np.ndarray, n: np.ndarray, parts: int) -> list[tuple]:
+    """Repeats found within a task, as rows to be passed through by a part chosen by the document."""
+    return [(hash(d) % parts, d, t, 0, 0, None, raw) for d, t, raw in by_doc(did, tag, lo, n)]
 
 
 def mapper(symbols: Symbols, win: int, parts: int) -> Callable:
@@ -156,14 +159,12 @@ def mapper(symbols: Symbols, win: int, parts: int) -> Callable:
     def flush(did: list, tag: list, found: list) -> Iterator[pa.RecordBatch]:
         did, tag = np.array(did, np.int64), np.array(tag, np.int32)
         doc, lo, n, anchor, cls = (np.concatenate(x) for x in zip(*found))
-        rows: list[tuple] = []
         o = np.lexsort((did[doc], cls))
         first = np.flatnonzero(np.diff(cls[o], prepend=~cls[o[:1]]))
         least = np.repeat(did[doc[o[first]]], np.diff(first, append=len(o)))
         again = did[doc[o]] > least
         dup, o = o[again], o[~again]
-        for d, t, x in by_doc(did[doc[dup]], tag[doc[dup]], lo=lo[dup], n=n[dup]):
-            rows.append((-1, d, t, len(x["lo"]), 0, None, starts(x["lo"], x["n"])))
+        rows = own_repeats(did[doc[dup]], tag[doc[dup]], lo[dup], n[dup], parts)
         o = o[np.argsort(anchor[o], kind="stable")]
         for a, b in slices(part_of(anchor[o], parts)):
             i = o[a:b]
@@ -222,11 +223,7 @@ def unpack(pdf: pd.DataFrame, packed: Packed) -> dict[str, np.ndarray]:
     return {k: np.concatenate([x[k] for x in found]) for k in found[0]}
 
 
-def answer(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["did", "tag", "kind", "runs"])
-
-
-def reduce_runs(pdf: pd.DataFrame) -> pd.DataFrame:
+def reduce_runs(pdf: pd.DataFrame) -> list[tuple]:
     """Of one anchor range: starts that are repeats (kind 0) and runs that stay open (kind 1)."""
     x = unpack(pdf, RUNS)
     o = np.lexsort((x["did"], x["cls"], x["anchor"]))
@@ -240,9 +237,7 @@ def reduce_runs(pdf: pd.DataFrame) -> pd.DataFrame:
     again = x["did"] > x["did"][c][in_c]
     least = np.minimum.reduceat(x["did"], a)
     is_open = (np.maximum.reduceat(np.where(again, least[in_a], x["did"]), a) > least)[in_a] & ~again
-    rows = [(d, t, 0, starts(y["lo"], y["n"])) for d, t, y in by_doc(x["did"][again], x["tag"][again], lo=x["lo"][again], n=x["n"][again])]
-    rows += [(d, t, 1, starts(y["lo"], y["n"])) for d, t, y in by_doc(x["did"][is_open], x["tag"][is_open], lo=x["lo"][is_open], n=x["n"][is_open])]
-    return answer(rows)
+    return [(d, t, kind, raw) for kind, i in ((0, again), (1, is_open)) for d, t, raw in by_doc(x["did"][i], x["tag"][i], x["lo"][i], x["n"][i])]
 
 
 def opener(symbols: Symbols, win: int, parts: int) -> Callable:
@@ -256,7 +251,7 @@ def opener(symbols: Symbols, win: int, parts: int) -> Callable:
         first = np.flatnonzero(np.diff(window[o], prepend=~window[o[:1]]))
         again = did[doc[o]] > np.repeat(did[doc[o[first]]], np.diff(first, append=len(o)))
         dup, o = o[again], o[~again]
-        rows = [(-1, d, t, len(x["lo"]), 0, None, starts(x["lo"], np.ones(len(x["lo"])))) for d, t, x in by_doc(did[doc[dup]], tag[doc[dup]], lo=lo[dup])]
+        rows = own_repeats(did[doc[dup]], tag[doc[dup]], lo[dup], np.ones(len(dup), np.int64), parts)
         for a, b in slices(part_of(window[o], parts)):
             i = o[a:b]
             nr, table, n_docs = used_docs(doc[i], did, tag)
@@ -280,7 +275,7 @@ def opener(symbols: Symbols, win: int, parts: int) -> Callable:
                     size += len(start)
             did += d
             tag += t
-            if size >= 2 * FLUSH_RUNS or len(did) >= FLUSH_DOCS:
+            if size >= FLUSH_RUNS or len(did) >= FLUSH_DOCS:
                 yield from flush(did, tag, found)
                 did, tag, found, size = [], [], [], 0
         if size:
@@ -289,12 +284,12 @@ def opener(symbols: Symbols, win: int, parts: int) -> Callable:
     return run
 
 
-def reduce_windows(pdf: pd.DataFrame) -> pd.DataFrame:
+def reduce_windows(pdf: pd.DataFrame) -> list[tuple]:
     x = unpack(pdf, OPEN)
     o = np.lexsort((x["did"], x["window"]))
     first = np.flatnonzero(np.diff(x["window"][o], prepend=~x["window"][o[:1]]))
     again = o[x["did"][o] > np.repeat(x["did"][o[first]], np.diff(first, append=len(o)))]
-    return answer([(d, t, 0, starts(y["lo"], np.ones(len(y["lo"])))) for d, t, y in by_doc(x["did"][again], x["tag"][again], lo=x["lo"][again])])
+    return [(d, t, 0, raw) for d, t, raw in by_doc(x["did"][again], x["tag"][again], x["lo"][again].astype(np.int64), np.ones(len(again), np.int64))]
 
 
 def with_tag(docs: DataFrame) -> DataFrame:
@@ -304,17 +299,18 @@ def with_tag(docs: DataFrame) -> DataFrame:
 def repeated_starts(docs: DataFrame, symbols: Symbols, win: int, n_symbols: float) -> DataFrame:
     """(did, tag, runs): for each document with repeats, its lists of (first start, number of starts), int32 pairs."""
     spark, d = docs.sparkSession, with_tag(docs)
-    parts = parts_for(spark, n_symbols * 1.2, 12 << 20)
+    parts = parts_for(spark, n_symbols, 5 << 20)
     sent = d.mapInArrow(mapper(symbols, win, parts), SENT_SQL)
-    own = F.when(F.col("part") < 0, F.struct("did", "tag"))  # repeats within a task have no part: dealt by document
 
     def resolve(df: DataFrame, reducer: Callable) -> DataFrame:
-        def either(pdf: pd.DataFrame) -> pd.DataFrame:
-            if pdf["part"].iloc[0] < 0:
-                return pd.DataFrame({"did": pdf["did"], "tag": pdf["tag"], "kind": 0, "runs": pdf["runs"]})
-            return reducer(pdf)
-
-        return df.groupBy("part", own.alias("own")).applyInPandas(lambda pdf: either(pdf), FOUND)
+        def part(pdf: pd.DataFrame) -> pd.DataFrame:
+            own = pdf["n"] == 0
+            rows = list(zip(pdf["did"][own], pdf["tag"][own], [0] * int(own.sum()), pdf["runs"][own]))
+            if not own.all():
+                rows += reducer(pdf[~own])
+            return pd.DataFrame(rows, columns=["did", "tag", "kind", "runs"])
+
+        return df.groupBy("part").applyInPandas(part, FOUND)
 
     found = saved(resolve(sent, reduce_runs), "runs")
     opened = found.where("kind = 1").groupBy("did", "tag").agg(F.collect_list("runs").alias("runs"))
