@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from eodlake.llm import exact, imatch, minhash, mixing, packing, quality, substrings
+from eodlake.llm import exact, imatch, minhash, mixing, packing, quality, substrings, suffixtree
 
 QUERIES = {
+    "op6_suffix_tree": suffixtree.op6_suffix_tree,
     "op3_imatch": imatch.op3_imatch,
     "op4_quality": quality.op4_quality,
     "op2_near_dedup": minhash.op2_near_dedup,
