@@ -18,6 +18,8 @@ BANDS, ROWS = 28, 4
 BATCH, MISS = 16, 1e-7
 #: Leaders of a bucket differ by so many orders, so that a group whose members are alike only through some of them holds together.
 ORDERS = 3
+#: Nodes of a block when strays meet a whole component.
+CELL = 512
 #: Members checked against one copy of a leader's text.
 PER_LEADER = 400
 
@@ -142,6 +144,83 @@ def verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, per
     return streams.select("a", "b", "text").mapInArrow(checker(k, percent), "a long, b long")
 
 
+def cell_checker(k: int, percent: int) -> Callable:
+    """Cells of strays (role 1) and the nodes that each is compared with (role 0), to a forest of the links that hold.
+
+    Comparison goes as for single pairs: signature bytes in batches for all nodes at once, then full sets. Links that
+    only join what is joined already are left out, so a cell gives fewer links than it has nodes.
+    """
+    steps = [(n, least_matches(percent / 100, n)) for n in range(BATCH, BANDS * ROWS + 1, BATCH)]
+
+    def links(cell: list[tuple]) -> Iterator[tuple[int, int]]:
+        h, at = words_of([r[4] for r in cell], lower=True)
+        sets = [shingles(h[a:b], k) for a, b in zip(at[:-1], at[1:])]
+        strays = [i for i, r in enumerate(cell) if r[1] == 1]
+        nodes = np.array([i for i, r in enumerate(cell) if r[1] == 0], np.int64)
+        if not len(nodes):
+            return
+        signs = np.frombuffer(b"".join(r[3] for r in cell), np.uint8).reshape(-1, BANDS * ROWS)
+        size = np.array([len(x) for x in sets])
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                root[x] = x = root.get(root[x], root[x])
+            return x
+
+        for i in strays:
+            left = nodes[100 * np.minimum(size[nodes], size[i]) >= percent * np.maximum(size[nodes], size[i])]
+            equal = np.zeros(len(cell), np.int64)
+            for n, fewest in steps:
+                equal[left] += (signs[left, n - BATCH : n] == signs[i, n - BATCH : n]).sum(axis=1)
+                left = left[equal[left] >= fewest]
+            for j in left.tolist():
+                a, b = find(cell[i][2]), find(cell[j][0])
+                if a == b:
+                    continue
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= percent * (size[i] + size[j] - both):
+                    root[a] = b
+                    yield cell[i][2], cell[j][2]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, name = [], None
+        columns = ["g", "i", "j", "role", "node", "component", "sig", "text"]
+        for rows in chunks(batches, columns, "text", 1 << 20):
+            out = []
+            for g, i, j, role, node, component, sig, text in zip(*rows):
+                if (g, i, j) != name:
+                    out += links(cell) if cell else []
+                    cell, name = [], (g, i, j)
+                cell.append((component, role, node, sig, text) if role == 0 else (None, role, node, sig, text))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+        out = list(links(cell)) if cell else []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+
+    return run
+
+
+def stray_links(texts: DataFrame, classes: DataFrame, strays: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between each stray and all that its group holds; strays (g, node), members (g, node).
+
+    A group is cut into blocks, each block of strays meets each block of nodes in one cell, and pairs are only formed
+    inside a cell, so a group of any size is neither one task nor a table of its pairs.
+    """
+    every = members.unionByName(strays).distinct()
+    n = every.groupBy("g").agg(F.ceil(F.count("*") / CELL).alias("rows")).join(strays.groupBy("g").agg(F.ceil(F.count("*") / CELL).alias("columns")), "g")
+    block = lambda size: F.pmod(F.xxhash64("node"), F.col(size))
+    spread = lambda size: F.explode(F.sequence(F.lit(0).cast("long"), F.col(size) - 1))
+    a = every.join(n, "g").select("g", "node", block("rows").alias("i"), spread("columns").alias("j"), F.lit(0).alias("role"))
+    b = strays.join(n, "g").select("g", "node", spread("rows").alias("i"), block("columns").alias("j"), F.lit(1).alias("role"))
+    cells = a.unionByName(b).join(classes.select("node", "did", "th", "sig"), "node")
+    known = members.select("g", "node", F.col("g").alias("component"))
+    cells = cells.join(known, ["g", "node"], "left").withColumn("component", F.coalesce("component", "node"))
+    rows = texts.join(cells, ["did", "th"]).select("g", "i", "j", "role", "node", "component", "sig", "text")
+    return rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "role", "node").mapInArrow(cell_checker(k, percent), "a long, b long")
+
+
 def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, th (a hash of its text), stays (first of its group).
 
@@ -151,8 +230,8 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
        by band, so a large group gives a few pairs a member, not all pairs.
     3. Candidates are pruned in batches of signature bytes by the posterior chance of a similarity over the threshold, and
        the survivors are checked on their full sets. Links become components.
-    4. In buckets whose members still lie in several components, all pairs across components are candidates too, so no
-       link of the bucket is lost; in a group that holds together there is none.
+    4. In buckets whose members still lie in several components, those outside the bucket's main component are strays. Each is
+       compared with all of that component and with the bucket's other strays, block by block, so no link is lost.
 
     Documents without words link with nothing. Rows with equal ids are nodes of their own. A null id is larger than
     any other and shows as null. An empty table gives no rows.
@@ -172,13 +251,12 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     found = components(links)
 
     named = saved(members.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component")), "named")
-    split = named.groupBy("key", "component").agg(F.count("*").alias("size")).groupBy("key").agg(F.max_by("component", "size").alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
-    minor = named.join(split, "key").where("component != main").select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("other"))
-    across = named.join(minor, "key").where("component != other").where(close)
-    across = across.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-    before = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = saved(verified(texts, classes, across.join(before, ["a", "b"], "left_anti"), k, percent), "similar")
-    if more.limit(1).count():
+    split = named.groupBy("key", "component").agg(F.count("*").alias("size")).groupBy("key").agg(F.max_by("component", "size").alias("main"), F.count("*").alias("parts"), F.sum("size").alias("all")).where("parts > 1 and all > 2").select("key", "main")
+    strays = saved(named.join(split, "key").where("component != main").select(F.col("main").alias("g"), "node").distinct(), "strays")
+    if strays.limit(1).count():
+        whole = classes.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("g"))
+        members = whole.join(strays.select("g").distinct(), "g", "left_semi").select("g", "node")
+        more = saved(stray_links(texts, classes, strays, members, k, percent), "similar")
         found = components(links.unionByName(more))
 
     groups = found.join(classes.select("node", F.struct("did", "th").alias("rep")), "node")
