@@ -42,7 +42,7 @@ def over(name: str, view_name: str, query: Callable[[DataFrame], DataFrame], bod
 # ---- scalar functions -------------------------------------------------------------------------------------------------
 
 raw = "raw"
-over("scl1_first_nonblank", raw, lambda r: r.select("id", C.named(r.withColumnsRenamed({"primary_text": "PRIMARY"}), "missing", "primary", "OTHER_text").alias("text")), "SELECT id, coalesce(nullif(trim(primary_text), ''), nullif(trim(other_text), '')) AS text FROM raw")
+over("scl1_first_nonblank", raw, lambda r: (lambda x: x.select("id", C.named(x, "missing", "primary", "OTHER_text").alias("text")))(r.withColumnsRenamed({"primary_text": "PRIMARY"})), "SELECT id, coalesce(nullif(trim(primary_text), ''), nullif(trim(other_text), '')) AS text FROM raw")
 over("scl2_parse_date", raw, lambda r: r.select("id", C.parse_date(F.col("date_text")).alias("day")), "SELECT id, CAST(try_strptime(date_text, ['%d-%b-%Y', '%Y-%m-%d', '%d/%m/%Y', '%d-%m-%Y']) AS DATE) AS day FROM raw")
 over("scl3_parse_decimal", raw, lambda r: r.select("id", C.parse_decimal(F.col("number_text")).alias("value")), "SELECT id, TRY_CAST(trim(number_text) AS DECIMAL(20, 2)) AS value FROM raw")
 over("scl4_parse_int", raw, lambda r: r.select("id", C.parse_int(F.col("int_text")).alias("value")), "SELECT id, CAST(trunc(TRY_CAST(int_text AS DOUBLE)) AS BIGINT) AS value FROM raw")
@@ -259,8 +259,8 @@ add("jon1_eligible", lambda s, d: R.eligible(view(s, d, "prices"), view(s, d, "s
 add("win1_one_a_day", lambda s, d: _one(s, d).select("isin", "exchange", "trade_date", "series", "symbol", "close"), f"WITH {_one_sql} SELECT isin, exchange, trade_date, series, symbol, close FROM one")
 add("jon8_session_numbers", lambda s, d: R.numbered(_one(s, d), _calendar(s, d)).select("isin", "exchange", "trade_date", "session_no"), f"WITH {_one_sql}, {_sessions_sql} SELECT isin, exchange, trade_date, session_no FROM one LEFT JOIN cal USING (trade_date)")
 add("win4_chunks", lambda s, d: R.chunks(R.numbered(_one(s, d), _calendar(s, d)), PANEL_GAP).select("isin", "exchange", "trade_date", "chunk"), f"WITH {_one_sql}, {_sessions_sql}, {_chunks_sql.format('one', PANEL_GAP)} SELECT isin, exchange, trade_date, chunk FROM js")
-add("win5_wilder_average", lambda s, d: R.full(_one(s, d), _calendar(s, d), PANEL_GAP).select("isin", "exchange", "trade_date", F.round("avg_gain", 4).alias("avg_gain"), F.round("avg_loss", 4).alias("avg_loss")), f"WITH RECURSIVE {_one_sql}, {_rsi_sql('one')} SELECT isin, exchange, trade_date, round(avg_gain, 4) AS avg_gain, round(avg_loss, 4) AS avg_loss FROM rsi")
-add("agg6_seeds", lambda s, d: R.seed_points(R.full(_one(s, d), _calendar(s, d), PANEL_GAP)).select("isin", "exchange", "trade_date", F.round("avg_gain", 4).alias("seed_gain")), f"WITH {_one_sql}, {_sessions_sql}, {_chunks_sql.format('one', PANEL_GAP)} SELECT isin, exchange, max(trade_date) AS trade_date, round(avg(gain), 4) AS seed_gain FROM js WHERE j < 14 GROUP BY isin, exchange, chunk HAVING count(*) = 14")
+add("win5_wilder_average", lambda s, d: R.full(_one(s, d), _calendar(s, d), PANEL_GAP).select("isin", "exchange", "trade_date", F.round("avg_gain", 3).alias("avg_gain"), F.round("avg_loss", 3).alias("avg_loss")), f"WITH RECURSIVE {_one_sql}, {_rsi_sql('one')} SELECT isin, exchange, trade_date, round(avg_gain, 3) AS avg_gain, round(avg_loss, 3) AS avg_loss FROM rsi")
+add("agg6_seeds", lambda s, d: R.seed_points(R.full(_one(s, d), _calendar(s, d), PANEL_GAP)).select("isin", "exchange", "trade_date", F.round("avg_gain", 3).alias("seed_gain")), f"WITH {_one_sql}, {_sessions_sql}, {_chunks_sql.format('one', PANEL_GAP)} SELECT isin, exchange, max(trade_date) AS trade_date, round(avg(gain), 3) AS seed_gain FROM js WHERE j < 14 GROUP BY isin, exchange, chunk HAVING count(*) = 14")
 add("win10_seed_points", lambda s, d: R.seed_points(R.full(_one(s, d), _calendar(s, d), PANEL_GAP)).select("isin", "exchange", "trade_date"), f"WITH {_one_sql}, {_sessions_sql}, {_chunks_sql.format('one', PANEL_GAP)} SELECT isin, exchange, trade_date FROM js WHERE j = 13")
 add("cal7_missed_sessions", lambda s, d: R.missed_sessions(_one(s, d), _calendar(s, d)).select("isin", "exchange", "trade_date", "missed"), f"WITH {_one_sql}, {_sessions_sql} SELECT isin, exchange, trade_date, session_no - lag(session_no) OVER (PARTITION BY isin, exchange ORDER BY trade_date) - 1 AS missed FROM one JOIN cal USING (trade_date)")
 add("job2_rsi_full", lambda s, d: rsi_full(s, d).select("isin", "exchange", "trade_date", F.round("avg_gain", 3).alias("avg_gain"), F.round("avg_loss", 3).alias("avg_loss"), "rsi14"), f"WITH RECURSIVE {_adjusted_sql}, {_rsi_sql('adj')} SELECT isin, exchange, trade_date, round(avg_gain, 3) AS avg_gain, round(avg_loss, 3) AS avg_loss, round(rsi14, 2) AS rsi14 FROM rsi")
