@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from eodlake.llm import exact, imatch, minhash, mixing, packing, quality, substrings, suffixtree
+from eodlake.llm import exact, imatch, licenses, minhash, mixing, packing, quality, substrings, suffixtree
 
 QUERIES = {
+    "op9_license_scan": licenses.op9_license_scan,
     "op6_suffix_tree": suffixtree.op6_suffix_tree,
     "op3_imatch": imatch.op3_imatch,
     "op4_quality": quality.op4_quality,
