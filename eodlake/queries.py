@@ -14,10 +14,12 @@ from eodlake.operators import calendars as K
 from eodlake.operators import enrichment as E
 from eodlake.operators import rsi as R
 from eodlake.operators import tables as T
+from eodlake.plans import indicators
 from eodlake.plans.panel import sql, view
 from eodlake.plans.shared import fresh
 from eodlake.sources import documents as D
 from eodlake.sources import prices as P
+from eodlake.streaming import jobs as J
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -426,3 +428,27 @@ def _backfill(s: SparkSession, d: str) -> DataFrame:
 
 
 add("job1_backfill_report", _backfill, "WITH f AS (SELECT *, row_number() OVER (PARTITION BY exchange, trade_date, isin, symbol, series ORDER BY row_a, row_b, close, row_c) AS k FROM prices) SELECT exchange, count(*) AS rows, count(DISTINCT trade_date) AS days FROM f WHERE k = 1 AND NOT EXISTS (SELECT 1 FROM metadata m WHERE m.trade_date = f.trade_date AND m.exchange = f.exchange AND upload_status = 'SUCCESS') AND (exchange, trade_date) NOT IN (SELECT (exchange, trade_date) FROM prices WHERE row_a % 97 = 0) GROUP BY exchange")
+
+# ---- streaming and registry -----------------------------------------------------------------------------------------------
+
+
+def _rsi_stream(s: SparkSession, d: str) -> DataFrame:
+    """The daily panel as a stream of files: per-instrument state gives what the full recompute gives."""
+    landed, out = fresh(s, "landed"), fresh(s, "rsi")
+    R.numbered(_daily(s, d), R.sessions(view(s, d, "daily").select("trade_date"))).write.parquet(landed)
+    stream = J.rsi_stream(s.readStream.schema(s.read.parquet(landed).schema).parquet(landed))
+    q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", fresh(s, "state")).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return s.read.parquet(out).where("not late").select("isin", "exchange", "trade_date", F.round("avg_gain", 6).alias("avg_gain"), F.round("rsi14", 2).alias("rsi14"))
+
+
+def _released(s: SparkSession, d: str) -> DataFrame:
+    landed, out = fresh(s, "landed"), fresh(s, "released")
+    view(s, d, "metadata").select("trade_date", "exchange", "upload_status").write.parquet(landed)
+    J.release_days(s.readStream.schema("trade_date date, exchange string, upload_status string").parquet(landed), out, fresh(s, "state")).awaitTermination()
+    return s.read.parquet(out)
+
+
+add("str3_rsi_state", _rsi_stream, f"{_step_sql} SELECT isin, exchange, trade_date, round(avg_gain, 6) AS avg_gain, round(rsi14, 2) AS rsi14 FROM rsi")
+add("str2_released_days", _released, f"WITH {_common} SELECT trade_date FROM days")
+add("udf1_moving_average", lambda s, d: indicators.compute("MA9", _one(s, d), _calendar(s, d)).select("isin", "exchange", "trade_date", F.round("value", 3).alias("value")), f"WITH {_one_sql} SELECT isin, exchange, trade_date, round(CASE WHEN count(close) OVER w = 9 THEN avg(close) OVER w END, 3) AS value FROM one WINDOW w AS (PARTITION BY isin, exchange ORDER BY trade_date ROWS BETWEEN 8 PRECEDING AND CURRENT ROW)")
