@@ -19,17 +19,31 @@ SHARD_TOKENS, SHARD_DOCS = 4 << 20, 8192
 #: Terms of a seed document that are looked up, and neighbours ranked at a time.
 QUERY_TERMS, RANKED = 24, 48
 K1, B = 1.2, 0.75
+#: Documents encoded at a time.
+STEP = 768
+
+
+class Numbers(dict):
+    """Numbers pieces as they are first asked for, and lists the new ones."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
 
 
 class Encoder:
-    """Ids of whole texts under a byte-level BPE of ``tokenizers``, by a table of the pieces between spaces seen before.
+    """Ids of whole texts under a byte-level BPE of ``tokenizers``, by a table of the pieces seen before.
 
     The pre-tokeniser never joins characters across a single space or a single newline, so pieces between them can be
-    encoded apart, and new ones side by side. Texts with other white space, with characters beyond the Latin blocks or
-    with the name of a special token are encoded as a whole.
+    encoded apart. Texts with other white space, with characters beyond the Latin blocks or with the name of a special
+    token are encoded as a whole.
     """
 
-    def __init__(self, path: str, ranks: str | None = None, most: int = 400_000):
+    def __init__(self, path: str, ranks: str | None = None, most: int = 600_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -46,60 +60,70 @@ class Encoder:
             with open(ranks, "rb") as f:
                 merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.ranked = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
-            self.spaced = np.zeros(self.vocab, bool)
-            self.spaced[[i for t, i in merges.items() if t[:1] == b" "]] = True
-            self.newline = merges[b"\n"]
+            self.begins = {"\n": np.arange(self.vocab) == merges[b"\n"], " ": np.zeros(self.vocab, bool)}
+            self.begins[" "][[i for t, i in merges.items() if t[:1] == b" "]] = True
         self.most = most
-        self.known: dict[str, bytes] = {}
+        self._forget()
 
     def ids(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.width).tobytes()
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Add pieces to the table: with a space before them, or a newline where they begin with one."""
-        lines = [p for p in pieces if p[0] == "\n"]
-        spaced = [p for p in pieces if p[0] != "\n"]
-        if len(self.known) + len(pieces) > self.most:
-            self.known.clear()
-        for some, text in ((lines, "".join(lines)), (spaced, "".join([f" {p}" for p in spaced]))):
-            if not some:
+    def plain(self, text: str) -> bool:
+        """Single spaces and newlines only (as many as there are gaps, none at either end, no two together)."""
+        ws = text.split()
+        if not ws or not text.count(" ") + text.count("\n") == len(ws) - 1 == len(text) - sum(map(len, ws)):
+            return False
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                if max(text) >= "ɐ":
+                    return False
+        return not any(s in text for s in self.specials)
+
+    def _forget(self) -> None:
+        self.pieces = Numbers()
+        self.flat, self.start, self.length = np.empty(0, self.width), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _learn(self) -> None:
+        """Encode the pieces that are new, side by side; each begins with its white space, and nothing else does."""
+        new, self.pieces.new = self.pieces.new, []
+        start, length = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        is_line = np.array([p[0] == "\n" for p in new], bool)
+        for lead, which in (("\n", np.flatnonzero(is_line)), (" ", np.flatnonzero(~is_line))):
+            if not len(which):
                 continue
-            ids = self.ranked.encode_to_numpy(text)
-            at = np.flatnonzero(ids == self.newline if some is lines else self.spaced[ids])
+            some = [new[i] for i in which.tolist()]
+            x = self.ranked.encode_to_numpy("".join(some) if lead == "\n" else " " + " ".join(some))
+            at = np.flatnonzero(self.begins[lead][x])
             if len(at) != len(some):
-                raise AssertionError("pieces must begin with their white space")
-            step = np.dtype(self.width).itemsize
-            raw, cut = ids.astype(self.width).tobytes(), (at * step).tolist()
-            cut.append(len(raw))
-            self.known.update(zip(some, [raw[a:b] for a, b in zip(cut[:-1], cut[1:])]))
+                raise AssertionError("pieces and encoded pieces differ in number")
+            start[which], length[which] = at + len(self.flat), np.diff(at, append=len(x))
+            self.flat = np.concatenate([self.flat, x.astype(self.width)])
+        self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, length])
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         if self.ranked is None:
             return [np.array(x.ids, self.width).tobytes() for x in self.whole.encode_batch(texts, add_special_tokens=False)]
-        out: list[bytes | None] = [None] * len(texts)
-        split: list[tuple[int, list[str]]] = []
-        for i, t in enumerate(texts):
-            ws = t.split()
-            # single spaces and newlines only, none at either end: as many as there are gaps, and no two together
-            even = ws and t.count(" ") + t.count("\n") == len(ws) - 1 == len(t) - sum(map(len, ws)) and "\n " not in t and " \n" not in t
-            if even and (t.isascii() or max(t) < "ɐ") and not any(s in t for s in self.specials):
-                pieces = t.replace("\n", " \n").split(" ")
-                split.append((i, pieces))
-            else:
-                out[i] = self.ids(t) if t else b""
-        pieces = set(chain.from_iterable([pieces[1:] for _, pieces in split]))
-        new = pieces.difference(self.known)
-        if new:
-            if len(self.known) + len(new) > self.most:
-                new = pieces
-            self._learn(new)
-        step, known = np.dtype(self.width).itemsize, self.known
-        firsts = self.ranked.encode_to_numpy("".join([f"\n{p[0]}" for _, p in split])).astype(self.width) if split else np.empty(0, self.width)
-        at = np.flatnonzero(firsts == self.newline).tolist()
-        raw, at = firsts.tobytes(), [*at, len(firsts)]
-        for k, (i, pieces) in enumerate(split):
-            out[i] = b"".join([raw[(at[k] + 1) * step : at[k + 1] * step], *[known[p] for p in pieces[1:]]])
-        return out
+        plain = [self.plain(t) for t in texts]
+        out = [b"" if p or not t else self.ids(t) for p, t in zip(plain, texts)]
+        # every piece with the white space before it; a first one gets a newline, whose id is dropped again
+        pieces = [f"\n{t}".replace("\n", " \n").split(" ")[1:] for p, t in zip(plain, texts) if p]
+        total = sum(map(len, pieces))
+        if not total:
+            return out
+        if len(self.pieces) > self.most:
+            self._forget()
+        w = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(pieces)), np.int64, total)
+        if self.pieces.new:
+            self._learn()
+        n = self.length[w]
+        end = np.cumsum(n)
+        raw = self.flat[np.arange(end[-1]) + np.repeat(self.start[w] - (end - n), n)].tobytes()
+        step = np.dtype(self.width).itemsize
+        ends = (end[np.cumsum([len(p) for p in pieces]) - 1] * step).tolist()
+        spans = iter(zip([0, *ends[:-1]], ends))
+        return [raw[(s := next(spans))[0] + step : s[1]] if p else o for p, o in zip(plain, out)]
 
 
 def _spread(x: np.ndarray, seed: int) -> np.ndarray:
@@ -118,20 +142,22 @@ def tokenised(path: str, ranks: str | None, end_id: int) -> Callable:
         width, vocab = enc.width, max(enc.vocab, end_id + 1)
         end = np.array([end_id], width).tobytes()
         df = np.zeros(vocab, np.int32)
-        every = np.arange(vocab)
+        every, mark = np.arange(vocab), np.zeros(vocab, bool)
         a, b = (_spread(every, s) for s in (1, 77_777))
         empty = True
         for batch in batches:
             docs, texts = batch.column("doc_id"), batch.column("text")
-            for at in range(0, len(docs), 256):
-                ids = [x + end for x in enc.encode_batch([t or "" for t in texts.slice(at, 256).to_pylist()])]
+            for at in range(0, len(docs), STEP):
+                ids = [x + end for x in enc.encode_batch([t or "" for t in texts.slice(at, STEP).to_pylist()])]
                 near = []
                 for x in ids:
-                    seen = np.unique(np.frombuffer(x, width))
+                    mark[:] = False
+                    mark[np.frombuffer(x, width)] = True
+                    seen = np.flatnonzero(mark)
                     df[seen] += 1
                     near.append(int(a[seen].min()) << 31 | int(b[seen].min()) >> 1)
                 n = [len(x) // enc.width().itemsize for x in ids]
-                yield pa.RecordBatch.from_arrays([docs.slice(at, 256).cast(pa.int64()), pa.array(near, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(n), pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([docs.slice(at, STEP).cast(pa.int64()), pa.array(near, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(n), pa.binary())], schema=schema)
                 empty = False
         if not empty:
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([df.tobytes()])], schema=schema)
