@@ -28,7 +28,7 @@ def action_csv(spark: SparkSession, path: str, exchange: str) -> tuple[DataFrame
     if not good:
         names = ", ".join(f"`{c}` string" for c in ACTION_COLUMNS[exchange])
         return action_rows(spark.createDataFrame([], names), exchange), rejects
-    rows = spark.read.csv(good, header=True)
+    rows = spark.read.csv(good, header=True)  # fixed layout: an exchange's files have the same header
     rows = rows.toDF(*[c.replace("﻿", "").strip() for c in rows.columns])
     return action_rows(rows, exchange), rejects
 

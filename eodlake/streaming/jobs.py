@@ -25,7 +25,7 @@ def load_files(spark: SparkSession, landing: str, prices: str, rejects: str, che
 
     The checkpoint remembers files, and a day that comes again replaces itself, so reruns change nothing.
     """
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing).select("path")
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.csv").load(landing).select("path")
 
     def batch(df: DataFrame, _: int) -> None:
         paths = [r.path for r in df.collect()]  # the names of new files
