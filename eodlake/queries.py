@@ -452,3 +452,64 @@ def _released(s: SparkSession, d: str) -> DataFrame:
 add("str3_rsi_state", _rsi_stream, f"{_step_sql} SELECT isin, exchange, trade_date, round(avg_gain, 6) AS avg_gain, round(rsi14, 2) AS rsi14 FROM rsi")
 add("str2_released_days", _released, f"WITH {_common} SELECT trade_date FROM days")
 add("udf1_moving_average", lambda s, d: indicators.compute("MA9", _one(s, d), _calendar(s, d)).select("isin", "exchange", "trade_date", F.round("value", 3).alias("value")), f"WITH {_one_sql} SELECT isin, exchange, trade_date, round(CASE WHEN count(close) OVER w = 9 THEN avg(close) OVER w END, 3) AS value FROM one WINDOW w AS (PARTITION BY isin, exchange ORDER BY trade_date ROWS BETWEEN 8 PRECEDING AND CURRENT ROW)")
+
+# ---- files that Spark writes from the given tables and reads again ----------------------------------------------------------
+
+
+def _landed_prices(s: SparkSession, d: str) -> str:
+    """Price files of the panel in all three layouts, as an exchange would land them."""
+    p, root = view(s, d, "prices"), fresh(s, "files")
+    layouts = (
+        (_three(p, "NSE").drop("x").toDF("CLOSE", "PREVCLOSE", "SYMBOL", "SERIES", "ISIN", "TOTTRDQTY", "TIMESTAMP")),
+        (_three(p, "BSE").where("se = 'N'").toDF("ClsPric", "PrvsClsgPric", "TckrSymb", "SctySrs", "ISIN", "TtlTradgVol", "TradDt", "Src")),
+        (_three(p, "BSE").where("se <> 'N'").drop("x").toDF("clspric", "PrvsClsgPric", "TckrSymb", "SctySrs", "isin", "TtlTradgVol", "TradDt")),
+    )
+    for k, rows in enumerate(layouts):
+        rows.coalesce(2).write.csv(f"{root}/{k}", header=True)
+    return f"{root}/*"
+
+
+_file_columns = ["exchange", "isin", "symbol", "series", "trade_date", "close", "tot_trd_qty"]
+_file_sql = "SELECT exchange, isin, symbol, series, trade_date, CAST(close AS DECIMAL(20, 2)) AS close, tot_trd_qty FROM prices"
+add("src1_scan_layouts", lambda s, d: P.scan(s, _landed_prices(s, d))[0].select(*_file_columns), _file_sql)
+add("src2_layout_of_files", lambda s, d: P.headers(s, _landed_prices(s, d)).where("layout is not null").select("layout").distinct(), "SELECT CASE WHEN exchange = 'NSE' THEN 'v1' WHEN series = 'N' THEN 'v2' ELSE 'v3' END AS layout FROM prices GROUP BY ALL")
+
+
+def _action_csv(s: SparkSession, d: str) -> DataFrame:
+    path = fresh(s, "actions")
+    view(s, d, "actions").where("exchange = 'NSE'").select(F.lower("symbol").alias("symbol"), F.col("subject").alias("Purpose"), F.date_format("ex_date", "dd-MMM-yyyy").alias("EX-DATE")).coalesce(2).write.csv(path, header=True)
+    return D.action_csv(s, path, "NSE")[0]
+
+def _action_json(s: SparkSession, d: str) -> DataFrame:
+    """A file a month and exchange: the first exchange's a bare list, the second's under Table."""
+    root, a = fresh(s, "actions"), view(s, d, "actions").withColumn("month", F.date_format("ex_date", "yyyyMM"))
+    one = F.struct("isin", "symbol", "subject", F.date_format("ex_date", "dd-MMM-yyyy").alias("exDate"))
+    for x, text in (("NSE", F.to_json("Table")), ("BSE", F.to_json(F.struct("Table")))):
+        a.where(f"exchange = '{x}'").groupBy("month").agg(F.collect_list(one).alias("Table")).select("month", text.alias("value")).write.partitionBy("month").text(f"{root}/{x}")
+    return D.action_json(s, f"{root}/*/*").select("isin", "symbol", "subject", "ex_date")
+
+
+add("src5_action_json", _action_json, "SELECT isin, symbol, subject, ex_date FROM actions")
+add("src4_action_csv", _action_csv, "SELECT exchange, symbol AS code, subject, ex_date FROM actions WHERE exchange = 'NSE'")
+
+def _stream_actions(s: SparkSession, d: str) -> DataFrame:
+    landed, store = fresh(s, "landed"), fresh(s, "raw")
+    a = view(s, d, "actions")
+    a.write.parquet(landed)
+    J.action_window(s.readStream.schema(a.schema).parquet(landed), "1996-06-15", store, back=180, ahead=180, checkpoint=fresh(s, "state")).awaitTermination()
+    return s.read.parquet(store).select(*RAW_KEY, "subject")
+
+
+add("str6_action_window", _stream_actions, f"WITH {_raw_sql} SELECT isin, exchange, action_type, ex_date, subject FROM raws WHERE ex_date BETWEEN DATE '1996-06-15' - 180 AND DATE '1996-06-15' + 180")
+
+
+def _stream_gate(s: SparkSession, d: str) -> DataFrame:
+    landed, out = fresh(s, "landed"), fresh(s, "master")
+    u = view(s, d, "uploads").where("status = 'success'").select("id", "data_source", "status")
+    u.write.parquet(landed)
+    J.gated(s.readStream.schema(u.schema).parquet(landed), SOURCES, fresh(s, "log"), lambda: _enriched(s, d).write.mode("overwrite").parquet(out), fresh(s, "state")).awaitTermination()
+    return s.read.parquet(out)
+
+
+add("str7_gated_enrichment", _stream_gate)
+ORACLES["str7_gated_enrichment"] = ORACLES["job5_enriched_master"]
