@@ -1,19 +1,23 @@
-"""Queries of the training-data operators and, where SQL can express them, their SQL."""
+"""Queries of the training-data operators and, where SQL can express them on whole tables, their SQL."""
 
 from __future__ import annotations
 
 from eodlake.llm import exact, imatch, licenses, minhash, mixing, packing, quality, substrings, suffixtree
 
 QUERIES = {
-    "op9_license_scan": licenses.op9_license_scan,
-    "op6_suffix_tree": suffixtree.op6_suffix_tree,
+    "op1_suffix_dedup": substrings.op1_suffix_dedup,
+    "op2_near_dedup": minhash.op2_near_dedup,
     "op3_imatch": imatch.op3_imatch,
     "op4_quality": quality.op4_quality,
-    "op2_near_dedup": minhash.op2_near_dedup,
-    "op8_lexical_packing": packing.op8_lexical_packing,
-    "op1_suffix_dedup": substrings.op1_suffix_dedup,
-    "op7_seed_extend": substrings.op7_seed_extend,
     "op5_exact_dedup": exact.op5_exact_dedup,
+    "op6_suffix_tree": suffixtree.op6_suffix_tree,
+    "op7_seed_extend": substrings.op7_seed_extend,
+    "op8_lexical_packing": packing.op8_lexical_packing,
+    "op9_license_scan": licenses.op9_license_scan,
     "op10_source_mix": mixing.op10_source_mix,
 }
-ORACLES = {"op2_near_dedup": minhash.SQL, "op5_exact_dedup": exact.SQL, "op10_source_mix": mixing.SQL}
+ORACLES = {
+    "op2_near_dedup": minhash.SQL,
+    "op5_exact_dedup": exact.SQL,
+    "op10_source_mix": mixing.SQL,
+}
