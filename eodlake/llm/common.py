@@ -18,9 +18,21 @@ U64 = np.uint64
 _C1, _C2, _C3 = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0xD6E8FEB86659FD93)
 
 
+#: Rows of one Arrow batch at most: texts are long, and a batch is held twice on either side of the pipe to a worker.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Keep Arrow batches of texts to a few megabytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; the path goes to Spark's reader only, so any store that Spark knows will do."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,20 +47,18 @@ def shared_dir(spark: SparkSession) -> str:
 def saved(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back, which cuts its lineage.
 
-    A lost executor then costs a re-read instead of a recomputation. The table goes when the driver's JVM ends;
-    shuffle files of what was computed for it go at once, as nothing refers to them any longer.
+    A lost executor then costs a re-read instead of a recomputation. The table goes when the driver's JVM ends. Before
+    the write, shuffle files of earlier tables, to which nothing refers any longer, are let go.
     """
-    spark = df.sparkSession
+    spark = small_batches(df.sparkSession)
     path = f"{shared_dir(spark)}/eodlake-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    schema = df.schema
-    del df
     gc.collect()
     jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    df.write.parquet(path)
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def parts_for(spark: SparkSession, n_bytes: float, each: int) -> int:

@@ -7,7 +7,8 @@ one *run* of starts. A run's *class* hashes all symbols that its windows cover.
 1. Map: each task finds the runs of its documents. Runs of a class that a smaller document of the same task has are
    repeats already; of the others one packed row for each range of anchors goes out.
 2. Reduce, by anchor range: sort (anchor, class, id). A run whose class a smaller document has is a repeat as a whole;
-   the smallest document of an anchor has none; runs of anchors with several classes stay open.
+   the smallest document of an anchor has none; others stay open if another document also has one half of what the
+   anchor has around it.
 3. Open runs go back to their texts, take along the hash of each single window, are sorted by (window, id), and each
    window's smallest document decides.
 4. The starts found join their documents for whatever the operator wants to make of them.
@@ -29,13 +30,17 @@ from eodlake.llm.common import U64, chunks, grams, identified, mix, parts_for, s
 
 GRAM = 16
 #: Runs that a task sorts at once, documents among them, and bytes of text hashed at once.
-FLUSH_RUNS, FLUSH_DOCS, BLOCK = 400_000, 60_000, 1 << 19
+FLUSH_RUNS, FLUSH_DOCS, BLOCK = 250_000, 60_000, 1 << 18
+#: Places in a block, at least 2 * BLOCK: they fill the low bits of an anchor.
+SPOT = 1 << 20
+#: Kinds of open runs: another document has the half before the anchor, or the one after it (or both).
+BEFORE, AFTER = 1, 2
 FOUND = "did long, tag int, kind int, runs binary"
 Symbols = Callable[[list], tuple[np.ndarray, np.ndarray]]
 
 
-def hashes(sym: np.ndarray, win: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all grams and of all windows."""
+def hashes(sym: np.ndarray, win: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all grams, of grams with half of what a window has besides on one side, and of windows."""
     if sym.dtype == np.uint8:
         h = sym.astype(np.uint64)
         for s in (1, 2, 4):
@@ -44,9 +49,15 @@ def hashes(sym: np.ndarray, win: int) -> tuple[np.ndarray, np.ndarray]:
     else:
         h = grams(sym, GRAM)
     gram, size = h, GRAM
-    while size * 2 <= win:
+    half = longer(gram, GRAM, GRAM + (win - GRAM) // 2)
+    return gram, half, longer(gram, GRAM, win)
+
+
+def longer(h: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Hashes of runs of ``n`` symbols from those of ``size``."""
+    while size * 2 <= n:
         h, size = mix(h[:-size], h[size:]), size * 2
-    return gram, h if size == win else mix(h[: size - win], h[win - size :])
+    return h if size == n else mix(h[: size - n], h[n - size :])
 
 
 def lows(x: np.ndarray, w: int) -> np.ndarray:
@@ -57,14 +68,19 @@ def lows(x: np.ndarray, w: int) -> np.ndarray:
     return x if size == w else np.minimum(x[: size - w], x[w - size :])
 
 
-def find_runs(sym: np.ndarray, at: np.ndarray, end: np.ndarray, win: int) -> tuple[np.ndarray, ...]:
-    """(document, first start in it, starts, anchor, class) of all runs; documents are sym[at:end]."""
+def find_runs(sym: np.ndarray, at: np.ndarray, end: np.ndarray, win: int) -> dict[str, np.ndarray]:
+    """All runs of the documents sym[at:end]: doc, lo (first start in it), n (starts), anchor, cls, left, right.
+
+    left and right hash the anchor with half of a window's other symbols before or after it (0: not there). A window
+    has one of these halves, so runs that share an anchor but neither half share no window.
+    """
     long = np.flatnonzero(end - at >= win)
     if not len(long):
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 2
+        return {k: np.empty(0, t) for k, t in (("doc", int), ("lo", int), ("n", int), ("anchor", np.uint64), ("cls", np.uint64), ("left", np.uint32), ("right", np.uint32))}
     first, stop = at[long], end[long] - win + 1
-    gram, window = hashes(sym, win)
-    low = lows(gram, win - GRAM + 1)
+    gram, half, window = hashes(sym, win)
+    spot = U64(SPOT - 1)
+    low = lows(gram & ~spot | np.arange(len(gram), dtype=np.uint64), win - GRAM + 1)  # value and place; the leftmost of equals
     change = np.empty(len(low), bool)
     change[0] = True
     np.not_equal(low[1:], low[:-1], out=change[1:])
@@ -75,12 +91,13 @@ def find_runs(sym: np.ndarray, at: np.ndarray, end: np.ndarray, win: int) -> tup
     doc = np.searchsorted(first, lo, "right") - 1
     ok = (doc >= 0) & (lo < stop[doc])
     lo, n, doc = lo[ok], n[ok], doc[ok]
-    if (n > win).any():  # a class must cover its run: cut runs of periodic text
-        k = -(-n // win)
-        piece = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-        lo, n, doc = np.repeat(lo, k) + piece * win, np.repeat(n, k) - piece * win, np.repeat(doc, k)
-        n = np.minimum(n, win)
-    return long[doc], lo - first[doc], n, low[lo], mix(window[lo], window[lo + n - 1] + n.astype(np.uint64))
+    place = (low[lo] & spot).astype(np.int64)
+    span = (win - GRAM) // 2
+    one, two = place - span, np.minimum(place, len(half) - 1)
+    left = np.where((one >= first[doc]) & (lo <= one), half[np.maximum(one, 0)] >> U64(40) | U64(1), U64(0))
+    right = np.where((place + GRAM + span <= end[long][doc]) & (lo + n - 1 >= one), half[two] >> U64(40) | U64(1), U64(0))
+    cls = mix(window[lo], window[lo + n - 1] + n.astype(np.uint64))
+    return {"doc": long[doc], "lo": lo - first[doc], "n": n, "anchor": low[lo] & ~spot, "cls": cls, "left": left.astype(np.uint32), "right": right.astype(np.uint32)}
 
 
 def planes(x: np.ndarray, skip: int, most: int) -> bytes:
@@ -111,7 +128,7 @@ class Packed:
         return out
 
 
-RUNS = Packed(("anchor", np.uint64, 2, 8), ("cls", np.uint64, 0, 6), ("doc", np.uint16, 0, 2), ("lo", np.uint32, 0, 4), ("n", np.uint8, 0, 1))
+RUNS = Packed(("anchor", np.uint64, 2, 8), ("cls", np.uint64, 0, 6), ("doc", np.uint16, 0, 2), ("lo", np.uint32, 0, 4), ("n", np.uint8, 0, 1), ("left", np.uint32, 0, 3), ("right", np.uint32, 0, 3))
 DOCS = Packed(("did", np.int64, 0, 8), ("tag", np.int32, 0, 4))
 OPEN = Packed(("doc", np.uint16, 0, 2), ("lo", np.uint32, 0, 4), ("window", np.uint64, 0, 8))
 SENT = pa.schema([("part", pa.int32()), ("did", pa.int64()), ("tag", pa.int32()), ("n", pa.int32()), ("n_docs", pa.int32()), ("docs", pa.binary()), ("runs", pa.binary())])
@@ -158,7 +175,7 @@ def mapper(symbols: Symbols, win: int, parts: int) -> Callable:
 
     def flush(did: list, tag: list, found: list) -> Iterator[pa.RecordBatch]:
         did, tag = np.array(did, np.int64), np.array(tag, np.int32)
-        doc, lo, n, anchor, cls = (np.concatenate(x) for x in zip(*found))
+        doc, lo, n, anchor, cls, left, right = (np.concatenate([x[k] for x in found]) for k in ("doc", "lo", "n", "anchor", "cls", "left", "right"))
         o = np.lexsort((did[doc], cls))
         first = np.flatnonzero(np.diff(cls[o], prepend=~cls[o[:1]]))
         least = np.repeat(did[doc[o[first]]], np.diff(first, append=len(o)))
@@ -169,16 +186,16 @@ def mapper(symbols: Symbols, win: int, parts: int) -> Callable:
         for a, b in slices(part_of(anchor[o], parts)):
             i = o[a:b]
             nr, table, n_docs = used_docs(doc[i], did, tag)
-            rows.append((int(part_of(anchor[i[:1]], parts)[0]), 0, 0, b - a, n_docs, table, RUNS.pack(anchor=anchor[i], cls=cls[i], doc=nr, lo=lo[i], n=n[i])))
+            rows.append((int(part_of(anchor[i[:1]], parts)[0]), 0, 0, b - a, n_docs, table, RUNS.pack(anchor=anchor[i], cls=cls[i], doc=nr, lo=lo[i], n=n[i], left=left[i], right=right[i])))
         yield from batches_of(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         did, tag, found, runs = [], [], [], 0
         for d, t, texts in chunks(batches, ["did", "tag", "text"], "text", BLOCK):
             for i, sym, at, end, base in pieces(symbols, texts):
-                doc, lo, n, anchor, cls = find_runs(sym, at, end, win)
-                found.append((i[doc] + len(did), lo + base, n, anchor, cls))
-                runs += len(doc)
+                x = find_runs(sym, at, end, win)
+                found.append(x | {"doc": i[x["doc"]] + len(did), "lo": x["lo"] + base})
+                runs += len(x["doc"])
             did += d
             tag += t
             if runs >= FLUSH_RUNS or len(did) >= FLUSH_DOCS:
@@ -224,7 +241,7 @@ def unpack(pdf: pd.DataFrame, packed: Packed) -> dict[str, np.ndarray]:
 
 
 def reduce_runs(pdf: pd.DataFrame) -> list[tuple]:
-    """Of one anchor range: starts that are repeats (kind 0) and runs that stay open (kind 1)."""
+    """Of one anchor range: starts that are repeats (kind 0) and runs that stay open on some side of their anchor."""
     x = unpack(pdf, RUNS)
     o = np.lexsort((x["did"], x["cls"], x["anchor"]))
     x = {k: v[o] for k, v in x.items()}
@@ -237,7 +254,23 @@ def reduce_runs(pdf: pd.DataFrame) -> list[tuple]:
     again = x["did"] > x["did"][c][in_c]
     least = np.minimum.reduceat(x["did"], a)
     is_open = (np.maximum.reduceat(np.where(again, least[in_a], x["did"]), a) > least)[in_a] & ~again
-    return [(d, t, kind, raw) for kind, i in ((0, again), (1, is_open)) for d, t, raw in by_doc(x["did"][i], x["tag"][i], x["lo"][i], x["n"][i])]
+    i = np.flatnonzero(is_open)
+    before, after = (shared(x["anchor"][i], x[k][i], x["did"][i]) for k in ("left", "right"))
+    return [(d, t, kind, raw) for kind, i in ((0, again), (BEFORE, i[before & ~after]), (AFTER, i[after & ~before]), (BEFORE + AFTER, i[before & after])) for d, t, raw in by_doc(x["did"][i], x["tag"][i], x["lo"][i], x["n"][i])]
+
+
+def shared(anchor: np.ndarray, half: np.ndarray, did: np.ndarray) -> np.ndarray:
+    """Whether another document has the same anchor and half."""
+    out = np.zeros(len(did), bool)
+    i = np.flatnonzero(half)
+    i = i[np.lexsort((did[i], half[i], anchor[i]))]
+    if len(i):
+        new = np.ones(len(i), bool)
+        new[1:] = (anchor[i][1:] != anchor[i][:-1]) | (half[i][1:] != half[i][:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(i)) - 1
+        out[i] = (did[i[last]] > did[i[first]])[np.cumsum(new) - 1]
+    return out
 
 
 def opener(symbols: Symbols, win: int, parts: int) -> Callable:
@@ -263,16 +296,21 @@ def opener(symbols: Symbols, win: int, parts: int) -> Callable:
         for d, t, texts, runs in chunks(batches, ["did", "tag", "text", "runs"], "text", BLOCK):
             for i, (text, rs) in enumerate(zip(texts, runs)):
                 sym, _ = symbols([text])
-                r = np.frombuffer(b"".join(rs), np.int32).reshape(-1, 2).astype(np.int64)
-                for at in range(0, len(r), 20_000):  # contexts side by side; hashes across their borders are dropped
-                    lo, n = r[at : at + 20_000].T
+                r = np.concatenate([np.column_stack([x := np.frombuffer(y["runs"], np.int32).reshape(-1, 2), np.full(len(x), y["kind"])]) for y in rs]).astype(np.int64)
+                for at in range(0, len(r), 5000):  # contexts side by side; hashes across their borders are dropped
+                    lo, n, kind = r[at : at + 5000].T
                     span = n + win - 1
                     edge = np.cumsum(span) - span
                     spot = np.arange(span.sum()) - np.repeat(edge - lo, span)
-                    _, window = hashes(sym[spot], win)
+                    gram, _, window = hashes(sym[spot], win)
+                    # the anchor again: the leftmost smallest gram of a run's first window
+                    place = gram[edge[:, None] + np.arange(win - GRAM + 1)] & ~U64(SPOT - 1)
+                    middle = place.argmin(axis=1) - (win - GRAM) // 2
                     start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    found.append((np.full(len(start), len(did) + i), np.repeat(lo, n) + start, window[np.repeat(edge, n) + start]))
-                    size += len(start)
+                    sided = np.repeat(middle, n)
+                    want = ((np.repeat(kind, n) & BEFORE) > 0) & (start <= sided) | ((np.repeat(kind, n) & AFTER) > 0) & (start >= sided)
+                    found.append((np.full(int(want.sum()), len(did) + i), (np.repeat(lo, n) + start)[want], window[np.repeat(edge, n) + start][want]))
+                    size += int(want.sum())
             did += d
             tag += t
             if size >= FLUSH_RUNS or len(did) >= FLUSH_DOCS:
@@ -293,13 +331,16 @@ def reduce_windows(pdf: pd.DataFrame) -> list[tuple]:
 
 
 def with_tag(docs: DataFrame) -> DataFrame:
-    return identified(docs).select("did", F.col("th").bitwiseAND(2**31 - 1).cast("int").alias("tag"), "text")
+    """(did, tag, text); where no id repeats, no tag is needed."""
+    d = identified(docs)
+    some = d.groupBy("did").count().where("count > 1").limit(1).count()
+    return d.select("did", (F.col("th").bitwiseAND(2**31 - 1).cast("int") if some else F.lit(0)).alias("tag"), "text")
 
 
-def repeated_starts(docs: DataFrame, symbols: Symbols, win: int, n_symbols: float) -> DataFrame:
-    """(did, tag, runs): for each document with repeats, its lists of (first start, number of starts), int32 pairs."""
-    spark, d = docs.sparkSession, with_tag(docs)
-    parts = parts_for(spark, n_symbols, 5 << 20)
+def repeated_starts(d: DataFrame, symbols: Symbols, win: int, n_symbols: float) -> DataFrame:
+    """(did, tag, runs) of rows (did, tag, text): for each document with repeats, its lists of (first start, number of starts), int32 pairs."""
+    spark = d.sparkSession
+    parts = parts_for(spark, n_symbols, 6 << 20)
     sent = d.mapInArrow(mapper(symbols, win, parts), SENT_SQL)
 
     def resolve(df: DataFrame, reducer: Callable) -> DataFrame:
@@ -313,7 +354,7 @@ def repeated_starts(docs: DataFrame, symbols: Symbols, win: int, n_symbols: floa
         return df.groupBy("part").applyInPandas(part, FOUND)
 
     found = saved(resolve(sent, reduce_runs), "runs")
-    opened = found.where("kind = 1").groupBy("did", "tag").agg(F.collect_list("runs").alias("runs"))
+    opened = found.where("kind > 0").groupBy("did", "tag").agg(F.collect_list(F.struct("kind", "runs")).alias("runs"))
     texts = d.join(opened, ["did", "tag"]).select("did", "tag", "text", "runs")
     more = saved(resolve(texts.mapInArrow(opener(symbols, win, parts), SENT_SQL), reduce_windows), "windows")
     return found.where("kind = 0").select("did", "tag", "runs").unionByName(more.select("did", "tag", "runs")).groupBy("did", "tag").agg(F.collect_list("runs").alias("runs"))

@@ -17,10 +17,9 @@ def bytes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return joined(texts)
 
 
-def _removed(docs: DataFrame, starts: DataFrame, finish, schema: str) -> DataFrame:
+def _removed(d: DataFrame, starts: DataFrame, finish, schema: str) -> DataFrame:
     """Each document with its repeats, cut by ``finish``. Rows with equal id and text have equal results."""
-    d = with_tag(docs).join(starts, ["did", "tag"], "left").select("did", "text", "runs")
-    return d.mapInArrow(finish, schema)
+    return d.join(starts, ["did", "tag"], "left").select("did", "text", "runs").mapInArrow(finish, schema)
 
 
 def _id(did: list[int]) -> pa.Array:
@@ -53,8 +52,9 @@ def suffix_dedup(docs: DataFrame, win: int = 50, with_text: bool = False) -> Dat
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept_text"] * with_text]
             yield pa.RecordBatch.from_arrays([_id(did), *(pa.array(c, k) for c, k in zip(zip(*rows), types))], names=names)
 
-    starts = repeated_starts(docs, bytes_of, win, text_bytes(docs))
-    return _removed(docs, starts, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text binary" * with_text)
+    d = with_tag(docs)
+    starts = repeated_starts(d, bytes_of, win, text_bytes(docs))
+    return _removed(d, starts, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text binary" * with_text)
 
 
 def word_symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -85,8 +85,9 @@ def seed_extend_dedup(docs: DataFrame, win: int = 50, with_text: bool = False) -
             names = ["doc_id", "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text]
             yield pa.RecordBatch.from_arrays([_id(did), *(pa.array(c, k) for c, k in zip(zip(*rows), types))], names=names)
 
-    starts = repeated_starts(docs, word_symbols, win, text_bytes(docs) / 5)
-    return _removed(docs, starts, finish, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text binary" * with_text)
+    d = with_tag(docs)
+    starts = repeated_starts(d, word_symbols, win, text_bytes(docs) / 5)
+    return _removed(d, starts, finish, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text binary" * with_text)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
