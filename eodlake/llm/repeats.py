@@ -4,6 +4,8 @@ Symbols are bytes or words. Every window is dealt by its *anchor*, the smallest
 inside it (winnowing), so equal windows always meet, and neighbouring windows that share an anchor travel together as
 one *run* of starts. A run's *class* hashes all symbols that its windows cover.
 
+0. Anchors that very many different runs share (those at the edges of a common passage) are counted first. Their windows are
+   dealt singly, by their own hash, as in step 3, so no range gets a share of all documents.
 1. Map: each task finds the runs of its documents. Runs of a class that a smaller document of the same task has are
    repeats already; of the others one packed row for each range of anchors goes out.
 2. Reduce, by anchor range: sort (anchor, class, id). A run whose class a smaller document has is a repeat as a whole;
@@ -31,6 +33,8 @@ from eodlake.llm.common import U64, chunks, grams, identified, mix, parts_for, s
 GRAM = 16
 #: Runs that a task sorts at once, documents among them, and bytes of text hashed at once.
 FLUSH_RUNS, FLUSH_DOCS, BLOCK = 250_000, 60_000, 1 << 18
+#: An anchor is heavy from this many runs on, or from this share of all runs; and is reported by a task from this many on.
+HEAVY, MOST_HEAVY, LOCALLY = 20_000, 100_000, 32
 #: Places in a block, at least 2 * BLOCK: they fill the low bits of an anchor.
 SPOT = 1 << 20
 #: Kinds of open runs: another document has the half before the anchor, or the one after it (or both).
@@ -68,15 +72,20 @@ def lows(x: np.ndarray, w: int) -> np.ndarray:
     return x if size == w else np.minimum(x[: size - w], x[w - size :])
 
 
-def find_runs(sym: np.ndarray, at: np.ndarray, end: np.ndarray, win: int) -> dict[str, np.ndarray]:
+NO_RUNS = {"doc": int, "lo": int, "n": int, "anchor": np.uint64, "cls": np.uint64, "left": np.uint32, "right": np.uint32, "w_doc": int, "w_lo": int, "w_hash": np.uint64}
+
+
+def find_runs(sym: np.ndarray, at: np.ndarray, end: np.ndarray, win: int, heavy: np.ndarray) -> dict[str, np.ndarray]:
     """All runs of the documents sym[at:end]: doc, lo (first start in it), n (starts), anchor, cls, left, right.
 
+    Of the anchors in ``heavy`` all windows instead: w_doc, w_lo, w_hash.
+
     left and right hash the anchor with half of a window's other symbols before or after it (0: not there). A window
     has one of these halves, so runs that share an anchor but neither half share no window.
     """
     long = np.flatnonzero(end - at >= win)
     if not len(long):
-        return {k: np.empty(0, t) for k, t in (("doc", int), ("lo", int), ("n", int), ("anchor", np.uint64), ("cls", np.uint64), ("left", np.uint32), ("right", np.uint32))}
+        return {k: np.empty(0, t) for k, t in NO_RUNS.items()}
     first, stop = at[long], end[long] - win + 1
     gram, half, window = hashes(sym, win)
     spot = U64(SPOT - 1)
@@ -91,13 +100,17 @@ def find_runs(sym: np.ndarray, at: np.ndarray, end: np.ndarray, win: int) -> dic
     doc = np.searchsorted(first, lo, "right") - 1
     ok = (doc >= 0) & (lo < stop[doc])
     lo, n, doc = lo[ok], n[ok], doc[ok]
+    some = np.isin(low[lo] & ~spot, heavy) if len(heavy) else np.zeros(len(lo), bool)
+    w_lo = np.repeat(lo[some], n[some]) + np.arange(n[some].sum()) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
+    w_doc = np.repeat(doc[some], n[some])
+    lo, n, doc = lo[~some], n[~some], doc[~some]
     place = (low[lo] & spot).astype(np.int64)
     span = (win - GRAM) // 2
     one, two = place - span, np.minimum(place, len(half) - 1)
     left = np.where((one >= first[doc]) & (lo <= one), half[np.maximum(one, 0)] >> U64(40) | U64(1), U64(0))
     right = np.where((place + GRAM + span <= end[long][doc]) & (lo + n - 1 >= one), half[two] >> U64(40) | U64(1), U64(0))
     cls = mix(window[lo], window[lo + n - 1] + n.astype(np.uint64))
-    return {"doc": long[doc], "lo": lo - first[doc], "n": n, "anchor": low[lo] & ~spot, "cls": cls, "left": left.astype(np.uint32), "right": right.astype(np.uint32)}
+    return {"doc": long[doc], "lo": lo - first[doc], "n": n, "anchor": low[lo] & ~spot, "cls": cls, "left": left.astype(np.uint32), "right": right.astype(np.uint32), "w_doc": long[w_doc], "w_lo": w_lo - first[w_doc], "w_hash": window[w_lo]}
 
 
 def planes(x: np.ndarray, skip: int, most: int) -> bytes:
@@ -170,12 +183,83 @@ def own_repeats(did: np.ndarray, tag: np.ndarray, lo: np.ndarray, n: np.ndarray,
     return [(hash(d) % parts, d, t, 0, 0, None, raw) for d, t, raw in by_doc(did, tag, lo, n)]
 
 
-def mapper(symbols: Symbols, win: int, parts: int) -> Callable:
+def window_rows(did: np.ndarray, tag: np.ndarray, doc: np.ndarray, lo: np.ndarray, window: np.ndarray, parts: int) -> list[tuple]:
+    """Packed windows by range of their hash (with a negative count), and repeats within the task.
+
+    Of equal windows in one task only the smallest document's goes out; the others are repeats.
+    """
+    if not len(doc):
+        return []
+    o = np.lexsort((did[doc], window))
+    first = np.flatnonzero(np.diff(window[o], prepend=~window[o[:1]]))
+    again = did[doc[o]] > np.repeat(did[doc[o[first]]], np.diff(first, append=len(o)))
+    dup, o = o[again], o[~again]
+    rows = own_repeats(did[doc[dup]], tag[doc[dup]], lo[dup], np.ones(len(dup), np.int64), parts)
+    for a, b in slices(part_of(window[o], parts)):
+        i = o[a:b]
+        nr, table, n_docs = used_docs(doc[i], did, tag)
+        rows.append((int(part_of(window[i[:1]], parts)[0]), 0, 0, a - b, n_docs, table, OPEN.pack(doc=nr, lo=lo[i], window=window[i])))
+    return rows
+
+
+def pieces(symbols: Symbols, win: int, texts: list[bytes]) -> Iterator[tuple]:
+    """Documents of a block; very long ones in overlapping pieces, as each window belongs to one piece."""
+    sym, at = symbols(texts)
+    first, end = at[:-1], at[1:]
+    if sym.dtype == np.uint8:
+        end = end - 1  # the space after each text
+    if len(sym) <= 2 * BLOCK:
+        yield np.arange(len(texts)), sym, first, end, 0
+        return
+    for i in range(len(texts)):
+        for a in range(int(first[i]), max(int(first[i]) + 1, int(end[i]) - win + 1), BLOCK):
+            b = min(int(end[i]), a + BLOCK + win - 1)
+            yield np.array([i]), sym[a:b], np.zeros(1, np.int64), np.array([b - a]), a - int(first[i])
+
+
+def heavy_anchors(d: DataFrame, symbols: Symbols, win: int) -> np.ndarray:
+    """Anchors with so many different runs that one range should not get them all, sorted.
+
+    Each has at least 1 / MOST_HEAVY of all runs of the tasks that report it, so there are at most MOST_HEAVY of them.
+    An anchor that is below LOCALLY in each task's share isn't heavy.
+    """
+    none = np.empty(0, np.uint64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            cls, first = np.unique(np.concatenate([c for c, _ in held]), return_index=True)
+            anchor, n = np.unique(np.concatenate([a for _, a in held])[first], return_counts=True)
+            some = n >= LOCALLY
+            return pa.RecordBatch.from_arrays([pa.array([0, *anchor[some].view(np.int64).tolist()], pa.int64()), pa.array([len(cls), *n[some].tolist()], pa.int64())], names=["anchor", "n"])
+
+        for (texts,) in chunks(batches, ["text"], "text", BLOCK):
+            for _, sym, at, end, _ in pieces(symbols, win, texts):
+                x = find_runs(sym, at, end, win, none)
+                held.append((x["cls"], x["anchor"]))
+                size += len(x["cls"])
+            if size >= FLUSH_RUNS:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
+
+    counts = saved(d.select("text").mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")), "anchors")
+    total = counts.where("anchor = 0").agg(F.sum("n")).first()[0] or 0  # no anchor is 0: the row of totals
+    found = counts.where(F.col("n") >= max(HEAVY, total / MOST_HEAVY)).where("anchor <> 0").collect()
+    return np.sort(np.array([r.anchor for r in found], np.int64).view(np.uint64))
+
+
+def mapper(symbols: Symbols, win: int, parts: int, heavy: np.ndarray) -> Callable:
     """Arrow batches of (did, tag, text) to packed runs by anchor range, and repeats within the task (part -1)."""
 
     def flush(did: list, tag: list, found: list) -> Iterator[pa.RecordBatch]:
         did, tag = np.array(did, np.int64), np.array(tag, np.int32)
-        doc, lo, n, anchor, cls, left, right = (np.concatenate([x[k] for x in found]) for k in ("doc", "lo", "n", "anchor", "cls", "left", "right"))
+        doc, lo, n, anchor, cls, left, right, w_doc, w_lo, w_hash = (np.concatenate([x[k] for x in found]) for k in NO_RUNS)
+        yield from batches_of(window_rows(did, tag, w_doc, w_lo, w_hash, parts))
+        if not len(doc):
+            return
         o = np.lexsort((did[doc], cls))
         first = np.flatnonzero(np.diff(cls[o], prepend=~cls[o[:1]]))
         least = np.repeat(did[doc[o[first]]], np.diff(first, append=len(o)))
@@ -192,10 +276,10 @@ def mapper(symbols: Symbols, win: int, parts: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         did, tag, found, runs = [], [], [], 0
         for d, t, texts in chunks(batches, ["did", "tag", "text"], "text", BLOCK):
-            for i, sym, at, end, base in pieces(symbols, texts):
-                x = find_runs(sym, at, end, win)
-                found.append(x | {"doc": i[x["doc"]] + len(did), "lo": x["lo"] + base})
-                runs += len(x["doc"])
+            for i, sym, at, end, base in pieces(symbols, win, texts):
+                x = find_runs(sym, at, end, win, heavy)
+                found.append(x | {"doc": i[x["doc"]] + len(did), "lo": x["lo"] + base, "w_doc": i[x["w_doc"]] + len(did), "w_lo": x["w_lo"] + base})
+                runs += len(x["doc"]) + len(x["w_doc"])
             did += d
             tag += t
             if runs >= FLUSH_RUNS or len(did) >= FLUSH_DOCS:
@@ -204,20 +288,6 @@ def mapper(symbols: Symbols, win: int, parts: int) -> Callable:
         if runs:
             yield from flush(did, tag, found)
 
-    def pieces(symbols: Symbols, texts: list[bytes]) -> Iterator[tuple]:
-        """Documents of a block; very long ones in overlapping pieces, as each window belongs to one piece."""
-        sym, at = symbols(texts)
-        first, end = at[:-1], at[1:]
-        if sym.dtype == np.uint8:
-            end = end - 1  # the space after each text
-        if len(sym) <= 2 * BLOCK:
-            yield np.arange(len(texts)), sym, first, end, 0
-            return
-        for i in range(len(texts)):
-            for a in range(int(first[i]), max(int(first[i]) + 1, int(end[i]) - win + 1), BLOCK):
-                b = min(int(end[i]), a + BLOCK + win - 1)
-                yield np.array([i]), sym[a:b], np.zeros(1, np.int64), np.array([b - a]), a - int(first[i])
-
     return run
 
 
@@ -234,7 +304,7 @@ def batches_of(rows: list[tuple], most: int = 4 << 20) -> Iterator[pa.RecordBatc
 def unpack(pdf: pd.DataFrame, packed: Packed) -> dict[str, np.ndarray]:
     """All runs of a part, with the id and tag of each."""
     found = []
-    for n, n_docs, docs, runs in zip(pdf["n"], pdf["n_docs"], pdf["docs"], pdf["runs"]):
+    for n, n_docs, docs, runs in zip(pdf["n"].abs(), pdf["n_docs"], pdf["docs"], pdf["runs"]):
         x, d = packed.unpack(runs, n), DOCS.unpack(docs, n_docs)
         found.append(x | {"did": d["did"][x["doc"]], "tag": d["tag"][x["doc"]]})
     return {k: np.concatenate([x[k] for x in found]) for k in found[0]}
@@ -278,18 +348,7 @@ def opener(symbols: Symbols, win: int, parts: int) -> Callable:
 
     def flush(did: list, tag: list, found: list) -> Iterator[pa.RecordBatch]:
         did, tag = np.array(did, np.int64), np.array(tag, np.int32)
-        doc, lo, window = (np.concatenate(x) for x in zip(*found))
-        # of equal windows in one task only the smallest document's goes out; the others are repeats
-        o = np.lexsort((did[doc], window))
-        first = np.flatnonzero(np.diff(window[o], prepend=~window[o[:1]]))
-        again = did[doc[o]] > np.repeat(did[doc[o[first]]], np.diff(first, append=len(o)))
-        dup, o = o[again], o[~again]
-        rows = own_repeats(did[doc[dup]], tag[doc[dup]], lo[dup], np.ones(len(dup), np.int64), parts)
-        for a, b in slices(part_of(window[o], parts)):
-            i = o[a:b]
-            nr, table, n_docs = used_docs(doc[i], did, tag)
-            rows.append((int(part_of(window[i[:1]], parts)[0]), 0, 0, b - a, n_docs, table, OPEN.pack(doc=nr, lo=lo[i], window=window[i])))
-        yield from batches_of(rows)
+        yield from batches_of(window_rows(did, tag, *(np.concatenate(x) for x in zip(*found)), parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         did, tag, found, size = [], [], [], 0
@@ -341,22 +400,21 @@ def repeated_starts(d: DataFrame, symbols: Symbols, win: int, n_symbols: float)
     """(did, tag, runs) of rows (did, tag, text): for each document with repeats, its lists of (first start, number of starts), int32 pairs."""
     spark = d.sparkSession
     parts = parts_for(spark, n_symbols, 6 << 20)
-    sent = d.mapInArrow(mapper(symbols, win, parts), SENT_SQL)
-
-    def resolve(df: DataFrame, reducer: Callable) -> DataFrame:
-        def part(pdf: pd.DataFrame) -> pd.DataFrame:
-            own = pdf["n"] == 0
-            rows = list(zip(pdf["did"][own], pdf["tag"][own], [0] * int(own.sum()), pdf["runs"][own]))
-            if not own.all():
-                rows += reducer(pdf[~own])
-            return pd.DataFrame(rows, columns=["did", "tag", "kind", "runs"])
-
-        return df.groupBy("part").applyInPandas(part, FOUND)
-
-    found = saved(resolve(sent, reduce_runs), "runs")
+    sent = d.mapInArrow(mapper(symbols, win, parts, heavy_anchors(d, symbols, win)), SENT_SQL)
+
+    def part(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = pdf["n"] == 0
+        rows = list(zip(pdf["did"][own], pdf["tag"][own], [0] * int(own.sum()), pdf["runs"][own]))
+        for which, reducer in ((pdf["n"] > 0, reduce_runs), (pdf["n"] < 0, reduce_windows)):
+            if which.any():
+                rows += reducer(pdf[which])
+        return pd.DataFrame(rows, columns=["did", "tag", "kind", "runs"])
+
+    resolve = lambda df: df.groupBy("part").applyInPandas(part, FOUND)
+    found = saved(resolve(sent), "runs")
     opened = found.where("kind > 0").groupBy("did", "tag").agg(F.collect_list(F.struct("kind", "runs")).alias("runs"))
     texts = d.join(opened, ["did", "tag"]).select("did", "tag", "text", "runs")
-    more = saved(resolve(texts.mapInArrow(opener(symbols, win, parts), SENT_SQL), reduce_windows), "windows")
+    more = saved(resolve(texts.mapInArrow(opener(symbols, win, parts), SENT_SQL)), "windows")
     return found.where("kind = 0").select("did", "tag", "runs").unionByName(more.select("did", "tag", "runs")).groupBy("did", "tag").agg(F.collect_list("runs").alias("runs"))
 
 

@@ -36,6 +36,9 @@ def test_suffix(spark, monkeypatch, small):
     if small:  # many flushes and pieces
         monkeypatch.setattr(repeats, "FLUSH_RUNS", 100)
         monkeypatch.setattr(repeats, "BLOCK", 200)
+        monkeypatch.setattr(repeats, "HEAVY", 3)
+        monkeypatch.setattr(repeats, "MOST_HEAVY", 500)
+        monkeypatch.setattr(repeats, "LOCALLY", 2)
     got = [tuple(r) for r in substrings.suffix_dedup(frame(spark)).collect()]
     assert order(got) == order(brute(rows(), lambda b: [b[i : i + 1] for i in range(len(b))], b"".join, 50))
 
