@@ -200,7 +200,9 @@ def measured(docs: DataFrame) -> DataFrame:
 def fitted(feature_rows: DataFrame, labels: DataFrame, folds: int = 5, most: int = MOST_LABELLED) -> Additive:
     """The model of at most ``most`` labelled rows whose crc32(doc_id) mod ``folds`` isn't 0."""
     y = labels.select("doc_id", F.col("quality").cast("double").alias("y")).where("doc_id is not null and y is not null").where(crc_mod("doc_id", folds) != 0)
-    rows = feature_rows.join(y, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(most).select("x", "y").toPandas()
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    fraction = most / max(y.count(), 1)  # each task then sends its share of the bound only
+    rows = feature_rows.join(y.where(share < fraction), "doc_id").orderBy(share, "doc_id", "y").limit(most).select("x", "y").toPandas()
     x = np.array(rows["x"].tolist()).reshape(-1, len(NAMES))
     return Additive().fit(x, rows["y"].to_numpy())
 
