@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import U64, chunks, grams, identified, mix, parts_for, saved
+from eodlake.llm.common import U64, chunks, give_back, grams, identified, mix, parts_for, saved
 
 GRAM = 16
 #: Runs that a task sorts at once, documents among them, and bytes of text hashed at once.
@@ -244,6 +244,8 @@ def heavy_anchors(d: DataFrame, symbols: Symbols, win: int) -> np.ndarray:
                 held, size = [], 0
         if held:
             yield flush()
+        held.clear()
+        give_back()
 
     counts = saved(d.select("text").mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")), "anchors")
     total = counts.where("anchor = 0").agg(F.sum("n")).first()[0] or 0  # no anchor is 0: the row of totals
@@ -287,6 +289,8 @@ def mapper(symbols: Symbols, win: int, parts: int, heavy: np.ndarray) -> Callabl
                 did, tag, found, runs = [], [], [], 0
         if runs:
             yield from flush(did, tag, found)
+        del found
+        give_back()
 
     return run
 
@@ -377,6 +381,8 @@ def opener(symbols: Symbols, win: int, parts: int) -> Callable:
                 did, tag, found, size = [], [], [], 0
         if size:
             yield from flush(did, tag, found)
+        del found
+        give_back()
 
     return run
 
@@ -399,7 +405,7 @@ def with_tag(docs: DataFrame) -> DataFrame:
 def repeated_starts(d: DataFrame, symbols: Symbols, win: int, n_symbols: float) -> DataFrame:
     """(did, tag, runs) of rows (did, tag, text): for each document with repeats, its lists of (first start, number of starts), int32 pairs."""
     spark = d.sparkSession
-    parts = parts_for(spark, n_symbols, 6 << 20)
+    parts = parts_for(spark, n_symbols, 4 << 20)
     sent = d.mapInArrow(mapper(symbols, win, parts, heavy_anchors(d, symbols, win)), SENT_SQL)
 
     def part(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -408,6 +414,7 @@ def repeated_starts(d: DataFrame, symbols: Symbols, win: int, n_symbols: float)
         for which, reducer in ((pdf["n"] > 0, reduce_runs), (pdf["n"] < 0, reduce_windows)):
             if which.any():
                 rows += reducer(pdf[which])
+        give_back()
         return pd.DataFrame(rows, columns=["did", "tag", "kind", "runs"])
 
     resolve = lambda df: df.groupBy("part").applyInPandas(part, FOUND)
