@@ -45,6 +45,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have Spark remove shuffle files to which nothing refers any longer."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def saved(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back, which cuts its lineage.
 
@@ -54,8 +60,7 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     spark = small_batches(df.sparkSession)
     path = f"{shared_dir(spark)}/eodlake-{tag}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
-    gc.collect()
-    jvm.System.gc()
+    let_go(spark)
     df.write.parquet(path)
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)

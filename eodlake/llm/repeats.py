@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import U64, chunks, give_back, grams, identified, mix, parts_for, saved
+from eodlake.llm.common import U64, chunks, give_back, grams, identified, let_go, mix, parts_for, saved
 
 GRAM = 16
 #: Runs that a task sorts at once, documents among them, and bytes of text hashed at once.
@@ -422,6 +422,7 @@ def repeated_starts(d: DataFrame, symbols: Symbols, win: int, n_symbols: float)
     opened = found.where("kind > 0").groupBy("did", "tag").agg(F.collect_list(F.struct("kind", "runs")).alias("runs"))
     texts = d.join(opened, ["did", "tag"]).select("did", "tag", "text", "runs")
     more = saved(resolve(texts.mapInArrow(opener(symbols, win, parts), SENT_SQL)), "windows")
+    let_go(spark)
     return found.where("kind = 0").select("did", "tag", "runs").unionByName(more.select("did", "tag", "runs")).groupBy("did", "tag").agg(F.collect_list("runs").alias("runs"))
 
 
