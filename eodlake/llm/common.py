@@ -67,6 +67,14 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Remove a table that ``saved`` wrote and that nothing will read again."""
+    spark, files = df.sparkSession, df.inputFiles()
+    if files:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def parts_for(spark: SparkSession, n_bytes: float, each: int) -> int:
     """How many hash ranges hold ``n_bytes`` with about ``each`` bytes in one."""
     return max(spark.sparkContext.defaultParallelism, math.ceil(n_bytes / each))

@@ -1,4 +1,4 @@
-"""LM scoring with a probabilistic suffix tree over the letters of words, beside a word-frequency base."""
+"""LM scoring with a probabilistic suffix tree over words (contexts of previous words), beside a word-frequency base."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import _LOWER, NO_ID, U64, chunks, crc_mod, joined, parts_for, saved, table, text_bytes, words
+from eodlake.llm.common import _LOWER, NO_ID, U64, chunks, crc_mod, dropped, joined, mix, parts_for, saved, table, text_bytes, words
 from eodlake.llm.repeats import Packed, part_of, slices
 
 #: Longest context in bytes (with the next symbol it fills 64 bits); symbols that no word holds: start/end of a word, end of a text, none.
@@ -25,6 +25,16 @@ GRAMS = Packed(("gram", np.uint64, 0, 8), ("count", np.uint64, 0, 5))
 BLOCKS = "block long, n long, doc_id binary, held binary, n_words binary, word binary, place binary, letters binary, lengths binary, count binary, part int, sent binary"
 
 
+#: Training occurrences that a context of words needs at least, whatever the corpus.
+FEWEST = 2
+START, STOP = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
+NUMBERS = Packed(("x", np.uint32, 0, 4))
+ASKED = Packed(("context", np.uint64, 0, 8), ("next", np.uint64, 2, 8), ("count", np.uint32, 0, 4), ("chance", np.float32, 0, 4))
+STATE = "block long, doc_id binary, held binary, n_words binary, known binary, base binary, spelled binary, score binary, live binary, hash binary, word binary, open binary, chance binary, n_open long"
+STATES = [x.split()[0] for x in STATE.split(", ")]
+TYPES = [pa.int64(), *[pa.binary()] * 12, pa.int64()]
+
+
 def _ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     """start[0].. start[0]+n[0], start[1].. and so on."""
     end = np.cumsum(n)
@@ -211,21 +221,179 @@ class Tree:
         return float(self.log10(np.array([int.from_bytes(bytes([NONE] * (DEPTH - 1) + [SPACE, END]), "big")], np.uint64))[0])
 
 
+def lengths_of_contexts() -> Iterator[int]:
+    """1, 2, 3, 4, 5, 6, 8, 12, 16, 24, 32 and so on, without an end."""
+    yield from range(1, 6)
+    n = 6
+    while True:
+        yield n
+        yield n // 3 * 4
+        n *= 2
+
+
+class Texts:
+    """The documents of a state that still have open occurrences, as one sequence of word hashes with a STOP after each."""
+
+    def __init__(self, row: dict):
+        self.held, self.n_words, self.live = np.frombuffer(row["held"], bool), np.frombuffer(row["n_words"], np.int64), np.frombuffer(row["live"], bool)
+        size = np.where(self.live, self.n_words + 1, 0)
+        first = np.cumsum(size) - size
+        n = int(size.sum())
+        self.word = NUMBERS.unpack(row["word"], n - int(self.live.sum()))["x"]
+        self.hash = np.frombuffer(row["hash"], np.uint64)
+        self.symbol = np.full(n, STOP)
+        self.symbol[_ragged(first[self.live], self.n_words[self.live])] = self.hash[self.word]
+        self.doc = np.repeat(np.arange(len(size)), size)
+        self.place = np.arange(n) - first[self.doc]
+        self.open = np.flatnonzero(np.unpackbits(np.frombuffer(row["open"], np.uint8), count=n))
+        self.chance = np.frombuffer(row["chance"], np.float32)
+
+    def ask(self, length: int) -> tuple[np.ndarray, ...]:
+        """Which open occurrences have a context of this length; the entry of each; and the entries, by context: context, next word, count in training, chance so far."""
+        which = np.flatnonzero(self.place[self.open] >= length - 1)
+        at = self.open[which]
+        place, context = self.place[at], np.full(len(at), U64(length))
+        for back in range(1, length + 1):
+            context = mix(context, np.where(place >= back, self.symbol[np.maximum(at - back, 0)], START))
+        follow = self.symbol[at] & ~U64(0xFFFF)
+        o = np.argsort(context & ~U64(0xFFFFFF) | follow >> U64(40))
+        context, follow, train = context[o], follow[o], ~self.held[self.doc[at[o]]]
+        new = np.ones(len(o), bool)
+        new[1:] = (context[1:] != context[:-1]) | (follow[1:] != follow[:-1])
+        entry = np.empty(len(o), np.int64)
+        entry[o] = np.cumsum(new) - 1
+        first = np.flatnonzero(new)
+        count = np.add.reduceat(train.astype(np.int64), first) if len(first) else np.empty(0, np.int64)
+        return which, entry, context[first], follow[first], count, self.chance[which[o[first]]]
+
+
+def asker(parts: int, length: int):
+    """What the open occurrences of each block ask, by hash range of their contexts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+                _, _, context, follow, count, chance = Texts(row).ask(length)
+                rows = [(row["block"], int(part_of(context[a : a + 1], parts)[0]), z - a, ASKED.pack(context=context[a:z], next=follow[a:z], count=count[a:z], chance=chance[a:z])) for a, z in (slices(part_of(context, parts)) if len(context) else ())]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["block", "part", "n", "sent"])
+
+    return run
+
+
+def judge(context: np.ndarray, follow: np.ndarray, count: np.ndarray, chance: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of entries of contexts of one length: whether the context is retained, whether longer ones may be, and the chance.
+
+    A context is retained if it occurs ``FEWEST`` times and its counts are likelier by GAIN nats a next word than under
+    the longest retained suffix, whose chances come along. No longer context can gain more than all that is left to gain,
+    so those with less than GAIN left are closed without loss.
+    """
+    keep, more, chance = np.zeros(len(context), bool), np.zeros(len(context), bool), chance.astype(np.float64)
+    o = np.argsort(context, kind="stable")
+    first = np.flatnonzero(np.diff(context[o], prepend=~context[o[:1]]))
+    often = np.repeat(np.add.reduceat(count[o], first) >= FEWEST, np.diff(first, append=len(o)))
+    o = o[often]
+    if not len(o):
+        return keep, more, chance
+    o = o[np.lexsort((follow[o], context[o]))]
+    k, f, p = context[o], follow[o], chance[o]
+    new = np.ones(len(o), bool)
+    new[1:] = k[1:] != k[:-1]
+    start = np.flatnonzero(new)  # of contexts
+    new[1:] |= f[1:] != f[:-1]
+    gram = np.flatnonzero(new)
+    c, p = np.add.reduceat(count[o], gram).astype(np.float64), p[gram]
+    inside = np.searchsorted(start, gram, "right") - 1
+    size = len(start)
+    n, t = np.bincount(inside, c, size), np.bincount(inside, c > 0, size)
+    gain = np.bincount(inside, c * (np.log(np.maximum(c, 1) / n[inside]) - np.log(p)), size)
+    kept = gain >= GAIN * t
+    p = np.where(kept[inside], (c + t[inside] * p) / (n + t)[inside], p)
+    left = np.bincount(inside, -c * np.log(p), size) >= GAIN
+    back = np.cumsum(new) - 1
+    keep[o], more[o], chance[o] = kept[inside][back], left[inside][back], p[back]
+    return keep, more, chance
+
+
+def answerer(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The verdicts of one hash range, sent back to each block in its order."""
+    found = [ASKED.unpack(x, n) for x, n in zip(pdf["sent"], pdf["n"])]
+    keep, more, chance = judge(*(np.concatenate([x[c] for x in found]) for c in ("context", "next", "count", "chance")))
+    cut = np.cumsum(pdf["n"].to_numpy())[:-1]
+    chance = chance.astype(np.float32)
+    rows = [(np.packbits(k).tobytes(), np.packbits(m).tobytes(), p[k].tobytes()) for k, m, p in zip(*(np.split(x, cut) for x in (keep, more, chance)))]
+    return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "n": pdf["n"]} | dict(zip(("keep", "more", "chance"), zip(*rows))))
+
+
+def stepper(length: int):
+    """States with their answers to the states that remain: chances of retained contexts taken over, closed occurrences scored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+                t = Texts(row)
+                which, entry, context, *_ = t.ask(length)
+                keep, more, chance = np.zeros(len(context), bool), np.zeros(len(context), bool), np.zeros(len(context), np.float32)
+                at = 0
+                for x in sorted(row["answers"] or [], key=lambda x: x["part"]):
+                    z = slice(at, at := at + x["n"])
+                    keep[z], more[z] = (np.unpackbits(np.frombuffer(x[c], np.uint8), count=x["n"]) for c in ("keep", "more"))
+                    chance[z][keep[z]] = np.frombuffer(x["chance"], np.float32)
+                p = t.chance.copy()
+                p[which] = np.where(keep[entry], chance[entry], p[which])
+                on = np.zeros(len(p), bool)
+                on[which] = more[entry]
+                score = np.frombuffer(row["score"], np.float64) + np.bincount(t.doc[t.open[~on]], np.log10(p[~on].astype(np.float64)), len(t.held))
+                live = np.zeros(len(t.held), bool)
+                live[t.doc[t.open[on]]] = True
+                flag = np.zeros(len(t.symbol), bool)
+                flag[t.open[on]] = True
+                word = t.word[np.repeat(live[t.live], t.n_words[t.live])]
+                some, word = np.unique(word, return_inverse=True)
+                row |= {"score": score.tobytes(), "live": live.tobytes(), "hash": t.hash[some].tobytes(), "word": NUMBERS.pack(x=word), "open": np.packbits(flag[live[t.doc]]).tobytes(), "chance": p[on].tobytes(), "n_open": int(on.sum())}
+                yield pa.RecordBatch.from_arrays([pa.array([row[c]], k) for c, k in zip(STATES, TYPES)], names=STATES)
+
+    return run
+
+
+def grown(state: DataFrame, parts: int) -> DataFrame:
+    """States after all contexts: a round for each length, until no longer context could be retained anywhere."""
+    for length in lengths_of_contexts():
+        if not state.agg(F.sum("n_open")).first()[0]:
+            return state
+        busy = state.where("n_open > 0")
+        answers = saved(busy.mapInArrow(asker(parts, length), "block long, part int, n long, sent binary").groupBy("part").applyInPandas(answerer, "block long, part int, n long, keep binary, more binary, chance binary"), "answers")
+        by_block = answers.groupBy("block").agg(F.collect_list(F.struct("part", "n", "keep", "more", "chance")).alias("answers"))
+        stepped = busy.join(by_block, "block", "left").mapInArrow(stepper(length), STATE)
+        before, state = state, saved(stepped.unionByName(state.where("n_open = 0")), "states")
+        dropped(before)
+        dropped(answers)
+
+
+def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+            did, held, n_words, known, tokens, base, score, spelled = (np.frombuffer(row[c], t) for c, t in (("doc_id", np.int64), ("held", bool), ("n_words", np.int64), ("known", np.int64), ("tokens", np.int64), ("base", np.float64), ("score", np.float64), ("spelled", np.float64)))
+            columns = [pa.array(did, mask=did == NO_ID), pa.array(held), pa.array(n_words + 1), pa.array(known), pa.array(np.repeat(tokens, len(held))), pa.array(base), pa.array(score), pa.array(spelled)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "spelled_score"])
+
+
 def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, spelled_score.
 
     Tokens are lower-cased words and one end a text; documents of the held-out fold are scored only. The model is a
-    probabilistic suffix tree of letters: contexts of up to seven (from a word's start on) stay in it if a divergence
-    test against their suffix holds, and a word seen in training is a state of its own, the longest there is, whose
-    count c is smoothed by the tree: (1 - e) * (c + u * tree) / (N + u), with u the words seen once. As in the base, all
-    unseen words are one token; its chance e is Good and Turing's, (u + 1) / (N + 2). Score is the log10
-    probability of the tokens; spelled_score is that of all their letters under the tree alone. The counts cover all
-    training texts; the number of contexts is bounded by the share that each must have (``LEAST``), so the tree fits in
-    any task, while words' counts, which grow with the corpus, only travel between blocks and hash ranges.
+    probabilistic suffix tree of words. The empty context gives a seen word (1 - e) * (c + u * tree) / (N + u), with its
+    count c, u the words seen once and ``tree`` its spelling under the tree of letters; as in the base, all unseen words
+    are one token, with Good and Turing's e = (u + 1) / (N + 2). A context of previous words (or the text's start) is a
+    state if it occurs ``FEWEST`` times and its next words diverge from those under its longest retained suffix
+    (``judge``); a word is scored by the longest state that ends before it. With T different words after a state in C
+    cases, the chance is (count + T * chance under the suffix) / (C + T). Lengths go on without bound, past 6 in steps of
+    a third or a half (``lengths_of_contexts``), as long as any longer context could pass the test. Score is the log10
+    probability of the tokens; spelled_score is that of all their letters under the tree of letters alone.
 
     Texts are read once, into blocks: distinct words and, for each document, word numbers. Words' counts go by hash range
     to their totals and back to the blocks; letter counts go by the last two letters of a context. A common word is one
-    entry a block. Null texts are empty (one token, the end); repeated rows count and are scored each; without
+    entry a block. Contexts go by hash range too, one length a round, and their verdicts back to the blocks. Null texts are empty (one token, the end); repeated rows count and are scored each; without
     training documents the base is 1 for each token; an empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -239,8 +407,8 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
     ends = docs.where(crc_mod("doc_id", folds) != held_fold).count()
     kinds, ones, tokens = replies.agg(F.sum("kinds"), F.sum("ones"), F.sum("tokens")).first()
     v, n, ones = (kinds or 0) + (ends > 0), (tokens or 0) + ends, (ones or 0) + (ends == 1)
-    grown = blocks.select("letters", "lengths", "count", "held").mapInArrow(gram_sender(parts), "part int, n long, sent binary").groupBy("part").applyInPandas(grower(symbols), "depth int, grams binary, counts binary")
-    tree = Tree([(r.depth, np.frombuffer(r.grams, np.uint64), np.frombuffer(r.counts, np.int64)) for r in grown.collect()])
+    counted = blocks.select("letters", "lengths", "count", "held").mapInArrow(gram_sender(parts), "part int, n long, sent binary").groupBy("part").applyInPandas(grower(symbols), "depth int, grams binary, counts binary")
+    tree = Tree([(r.depth, np.frombuffer(r.grams, np.uint64), np.frombuffer(r.counts, np.int64)) for r in counted.collect()])
     shared = spark.sparkContext.broadcast((tree, v, n, ones, ends))  # bounded by LEAST
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,14 +428,21 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
                 base = add(np.log10(c + 1)) + np.log10(ends + 1) - (n_words + 1) * np.log10(n + v + 1)
                 known = add((c > 0).astype(float)).astype(np.int64) + (ends > 0)
                 chance = lambda c, spelled: np.log10(np.where(c > 0, (1 - new) * (c + ones * 10.0**spelled) / max(n + ones, 1), new))
-                score = add(chance(c, spelled)) + chance(np.float64(ends), tree.end())
-                did = np.frombuffer(row["doc_id"], np.int64)
-                columns = [pa.array(did, mask=did == NO_ID), pa.array(held), pa.array(n_words + 1), pa.array(known), pa.array(np.full(len(held), n)), pa.array(base), pa.array(score), pa.array(add(spelled) + tree.end())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "spelled_score"])
+                some = len(lengths) > 0
+                p = np.full(int(n_words.sum()) + len(held), 10.0 ** chance(np.float64(ends), tree.end()), np.float32)
+                first = np.cumsum(n_words + 1) - (n_words + 1)
+                p[_ragged(first, n_words)] = (10.0 ** chance(c, spelled))[word] if some else 0
+                text = np.frombuffer(row["letters"], np.uint8)
+                spaced = np.full(len(text) + len(lengths), SPACE, np.uint8)
+                spaced[_ragged(np.cumsum(lengths + 1) - (lengths + 1), lengths)] = text
+                values = (row["block"], row["doc_id"], row["held"], row["n_words"], known.tobytes(), base.tobytes(), (add(spelled) + tree.end()).tobytes(), np.zeros(len(held)).tobytes(), np.ones(len(held), bool).tobytes(), words(spaced)[0].tobytes(), row["word"], np.packbits(np.ones(len(p), bool)).tobytes(), p.tobytes(), len(p))
+                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, TYPES)], names=STATES)
 
     totals = replies.groupBy("block").agg(F.collect_list(F.struct("part", "total")).alias("totals"))
     rows = blocks.select("block", "doc_id", "held", "n_words", "word", "place", "letters", "lengths").join(totals, "block", "left")
-    return rows.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, spelled_score double")
+    state = grown(saved(rows.mapInArrow(score, STATE), "states"), parts_for(spark, 2 * size, 8 << 20))
+    tokens_seen = state.withColumn("tokens", F.lit(int(n).to_bytes(8, "little")))
+    return tokens_seen.mapInArrow(_results, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, spelled_score double")
 
 
 def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

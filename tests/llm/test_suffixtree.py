@@ -50,3 +50,24 @@ def test_held_out_texts_are_likelier_than_by_frequency(spark):
     held = got[got.held_out]
     assert held.score.sum() > held.base_score.sum()
     assert (got.score < 0).all()
+
+
+def test_order_of_words_counts(spark):
+    fold = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    train = [d for d in range(400) if not fold(d)][:40]
+    a, b = [d for d in range(400) if fold(d)][:2]
+    phrase = [f"word{k}" for k in range(30)]
+    shuffled = phrase[::3] + phrase[2::3] + phrase[1::3]
+    data = [(d, " ".join(phrase), "en", "s", 1) for d in train] + [(a, " ".join(phrase), "en", "s", 1), (b, " ".join(shuffled), "en", "s", 1)]
+    got = {r.doc_id: r for r in suffixtree.lm_scores(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert isclose(got[a].base_score, got[b].base_score)
+    assert got[a].score > got[b].score + 10
+
+
+def test_a_word_is_scored_by_its_longest_context(spark):
+    """After "x c" comes y, after "z c" comes w: the word before last decides, however few of all words these are."""
+    fold = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    train, (a, b) = [d for d in range(400) if not fold(d)][:20], [d for d in range(400) if fold(d)][:2]
+    data = [(d, "x c y" if k % 2 else "z c w", "en", "s", 1) for k, d in enumerate(train)]
+    got = {r.doc_id: r for r in suffixtree.lm_scores(spark.createDataFrame([*data, (a, "x c y", "en", "s", 1), (b, "x c w", "en", "s", 1)], SCHEMA)).collect()}
+    assert got[a].score > got[b].score + 0.5
