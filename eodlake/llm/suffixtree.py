@@ -10,29 +10,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import _LOWER, NO_ID, U64, chunks, crc_mod, dropped, joined, mix, parts_for, saved, table, text_bytes, words
+from eodlake.llm.common import _LOWER, NO_ID, U64, _power, chunks, crc_mod, dropped, joined, mix, parts_for, saved, table, text_bytes, words
 from eodlake.llm.repeats import Packed, part_of, slices
 
 #: Longest context in bytes (with the next symbol it fills 64 bits); symbols that no word holds: start/end of a word, end of a text, none.
 DEPTH, SPACE, END, NONE = 7, 0x20, 0x0A, 0x09
-#: A context is a candidate if at least this share of all training symbols follows it. So no length has more than 1 / LEAST of them.
-LEAST = 1e-5
 #: Nats, for each next symbol of a context, by which its counts must be likelier than under the context's suffix.
 GAIN = 3.0
 BLOCK = 4 << 20
 WORDS = Packed(("hash", np.uint64, 0, 8), ("count", np.uint32, 0, 4))
-GRAMS = Packed(("gram", np.uint64, 0, 8), ("count", np.uint64, 0, 5))
 BLOCKS = "block long, n long, doc_id binary, held binary, n_words binary, word binary, place binary, letters binary, lengths binary, count binary, part int, sent binary"
 
 
-#: Training occurrences that a context of words needs at least, whatever the corpus.
+#: Training occurrences that a context of words or of letters needs at least, whatever the corpus.
 FEWEST = 2
 START, STOP = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
 NUMBERS = Packed(("x", np.uint32, 0, 4))
 ASKED = Packed(("context", np.uint64, 0, 8), ("next", np.uint64, 2, 8), ("count", np.uint32, 0, 4), ("chance", np.float32, 0, 4))
-STATE = "block long, doc_id binary, held binary, n_words binary, known binary, base binary, spelled binary, score binary, live binary, hash binary, word binary, open binary, chance binary, n_open long"
+STATE = "block long, doc_id binary, held binary, n_words binary, weight binary, known binary, base binary, spelled binary, score binary, live binary, hash binary, word binary, open binary, chance binary, n_open long"
 STATES = [x.split()[0] for x in STATE.split(", ")]
-TYPES = [pa.int64(), *[pa.binary()] * 12, pa.int64()]
+TYPES = [pa.int64(), *[pa.binary()] * 13, pa.int64()]
 
 
 def _ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -113,73 +110,10 @@ def _mask(n: int) -> np.uint64:
     return U64((1 << 8 * n) - 1)
 
 
-def gram_sender(parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            gram, count = _unite(*(np.concatenate(x) for x in zip(*held)))
-            two = gram >> U64(8) & _mask(2)  # contexts that end alike meet
-            part = (two * U64(0x9E3779B97F4A7C15) >> U64(40)).astype(np.int64) % parts
-            o = np.argsort(part, kind="stable")
-            rows = [(int(part[o[a]]), z - a, GRAMS.pack(gram=gram[o[a:z]], count=count[o[a:z]].astype(np.uint64))) for a, z in slices(part[o])]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))], names=["part", "n", "sent"])
-
-        for batch in batches:
-            for letters, lengths, count, flags in zip(*(batch.column(c).to_pylist() for c in ("letters", "lengths", "count", "held"))):
-                lengths, count = np.frombuffer(lengths, np.uint32).astype(np.int64), np.frombuffer(count, np.uint32).astype(np.int64)
-                gram, word = grams_of(np.frombuffer(letters, np.uint8), lengths)
-                some = count[word] > 0
-                ends = int((~np.frombuffer(flags, bool)).sum())
-                end = U64(int.from_bytes(bytes([NONE] * (DEPTH - 1) + [SPACE, END]), "big"))
-                held.append(_unite(np.append(gram[some], end), np.append(count[word[some]], ends)))
-                if sum(len(g) for g, _ in held) > 2_500_000:
-                    held = [_unite(*(np.concatenate(x) for x in zip(*held)))]
-                    if len(held[0][0]) > 1_500_000:
-                        yield from flush()
-                        held = []
-        if held:
-            yield from flush()
-
-    return run
-
-
-def grower(symbols: float):
-    """Of the contexts that end in the same two symbols: counts at the lengths 1 and 2, and those longer ones that the test retains."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = [GRAMS.unpack(x, n) for x, n in zip(pdf["sent"], pdf["n"])]
-        gram, count = _unite(np.concatenate([x["gram"] for x in found]), np.concatenate([x["count"] for x in found]).astype(np.int64))
-        rows, below = [], None
-        start = (gram >> U64(16) & _mask(1)) == NONE  # the context is a word's start alone
-        if start.any():
-            rows.append((1, *_unite(gram[start] & _mask(2), count[start])))
-        for d in range(2, DEPTH + 1):
-            real = (gram >> U64(8 * d) & _mask(1)) != NONE
-            key, c = _unite(gram[real] & _mask(d + 1), count[real])
-            if not len(key):
-                break
-            context = key >> U64(8)
-            first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-            inside = np.cumsum(np.concatenate([[True], context[1:] != context[:-1]])) - 1
-            total = np.add.reduceat(c, first)
-            if below is None:
-                keep = np.ones(len(first), bool)
-            else:
-                # the suffix has all that the context has, so the look-up always finds it
-                at = np.searchsorted(below[0], key & _mask(d))
-                gain = c * (np.log(c / total[inside]) - np.log(below[1][at] / below[2][at]))
-                keep = (total >= LEAST * symbols) & (np.add.reduceat(gain, first) >= GAIN * np.diff(first, append=len(key)))
-            below = (key, c, total[inside])
-            if keep.any():
-                rows.append((d, key[keep[inside]], c[keep[inside]]))
-        return pd.DataFrame([(d, k.tobytes(), c.astype(np.int64).tobytes()) for d, k, c in rows], columns=["depth", "grams", "counts"])
-
-    return run
-
-
 class Tree:
-    """The retained contexts. A symbol's chance is smoothed from the empty context up to the longest retained suffix.
+    """Retained contexts of letters in one table, to look up chances where these are few; ``lm_scores`` does not need it.
+
+    A symbol's chance is smoothed from the empty context up to the longest retained suffix.
 
     With T different symbols seen after a context in C cases, (count + T * chance one state shorter) / (C + T).
     """
@@ -232,10 +166,13 @@ def lengths_of_contexts() -> Iterator[int]:
 
 
 class Texts:
-    """The documents of a state that still have open occurrences, as one sequence of word hashes with a STOP after each."""
+    """The texts of a state that still have open occurrences, as one sequence of symbol hashes with a STOP after each.
+
+    Texts are documents of words, or words of letters; in training each counts as often as its weight says.
+    """
 
     def __init__(self, row: dict):
-        self.held, self.n_words, self.live = np.frombuffer(row["held"], bool), np.frombuffer(row["n_words"], np.int64), np.frombuffer(row["live"], bool)
+        self.weight, self.n_words, self.live = np.frombuffer(row["weight"], np.int64), np.frombuffer(row["n_words"], np.int64), np.frombuffer(row["live"], bool)
         size = np.where(self.live, self.n_words + 1, 0)
         first = np.cumsum(size) - size
         n = int(size.sum())
@@ -249,21 +186,24 @@ class Texts:
         self.chance = np.frombuffer(row["chance"], np.float32)
 
     def ask(self, length: int) -> tuple[np.ndarray, ...]:
-        """Which open occurrences have a context of this length; the entry of each; and the entries, by context: context, next word, count in training, chance so far."""
-        which = np.flatnonzero(self.place[self.open] >= length - 1)
+        """Which open occurrences have a context of this length, or from the text's start on if that is nearer; the entry of each; and the entries, by context: context, next symbol, count in training, chance so far."""
+        before = length - 1 if length <= 6 else length // 3 * 2 if length & (length - 1) else length // 4 * 3
+        which = np.flatnonzero(self.place[self.open] >= before)  # others had all their text in the round before
         at = self.open[which]
-        place, context = self.place[at], np.full(len(at), U64(length))
-        for back in range(1, length + 1):
-            context = mix(context, np.where(place >= back, self.symbol[np.maximum(at - back, 0)], START))
+        size = np.minimum(self.place[at], length)
+        up, down = _power(len(self.symbol) + 1)
+        total = np.zeros(len(self.symbol) + 1, np.uint64)
+        np.cumsum(self.symbol * up[: len(self.symbol)], out=total[1:])
+        context = mix((total[at] - total[at - size]) * down[at - size], np.where(size < length, START, U64(0)) + U64(length))
         follow = self.symbol[at] & ~U64(0xFFFF)
         o = np.argsort(context & ~U64(0xFFFFFF) | follow >> U64(40))
-        context, follow, train = context[o], follow[o], ~self.held[self.doc[at[o]]]
+        context, follow, count = context[o], follow[o], self.weight[self.doc[at[o]]]
         new = np.ones(len(o), bool)
         new[1:] = (context[1:] != context[:-1]) | (follow[1:] != follow[:-1])
         entry = np.empty(len(o), np.int64)
         entry[o] = np.cumsum(new) - 1
         first = np.flatnonzero(new)
-        count = np.add.reduceat(train.astype(np.int64), first) if len(first) else np.empty(0, np.int64)
+        count = np.add.reduceat(count, first) if len(first) else np.empty(0, np.int64)
         return which, entry, context[first], follow[first], count, self.chance[which[o[first]]]
 
 
@@ -343,8 +283,8 @@ def stepper(length: int):
                 p[which] = np.where(keep[entry], chance[entry], p[which])
                 on = np.zeros(len(p), bool)
                 on[which] = more[entry]
-                score = np.frombuffer(row["score"], np.float64) + np.bincount(t.doc[t.open[~on]], np.log10(p[~on].astype(np.float64)), len(t.held))
-                live = np.zeros(len(t.held), bool)
+                score = np.frombuffer(row["score"], np.float64) + np.bincount(t.doc[t.open[~on]], np.log10(p[~on].astype(np.float64)), len(t.live))
+                live = np.zeros(len(t.live), bool)
                 live[t.doc[t.open[on]]] = True
                 flag = np.zeros(len(t.symbol), bool)
                 flag[t.open[on]] = True
@@ -370,6 +310,40 @@ def grown(state: DataFrame, parts: int) -> DataFrame:
         dropped(answers)
 
 
+def letter_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often training words hold each letter, and end (256)."""
+    for batch in batches:
+        count = np.zeros(257)
+        for letters, lengths, words_, flags in zip(*(batch.column(c).to_pylist() for c in ("letters", "lengths", "count", "held"))):
+            lengths, weight = _with_end(np.frombuffer(lengths, np.uint32), np.frombuffer(words_, np.uint32), flags)
+            count[:256] += np.bincount(np.append(np.frombuffer(letters, np.uint8), END), np.repeat(weight, lengths), 256)
+            count[256] += weight.sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(257, dtype=np.int32)), pa.array(count)], names=["letter", "count"])
+
+
+def _with_end(lengths: np.ndarray, count: np.ndarray, held: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and counts of a block's words, and of a last one that stands for the end of a text."""
+    return np.append(lengths, 1).astype(np.int64), np.append(count, (~np.frombuffer(held, bool)).sum()).astype(np.int64)
+
+
+def speller(chance: np.ndarray):
+    """Blocks to states whose texts are the distinct words, by letters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = mix(np.arange(1, 257, dtype=np.uint64), np.full(256, STOP))
+        for batch in batches:
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+                lengths, weight = _with_end(np.frombuffer(row["lengths"], np.uint32), np.frombuffer(row["count"], np.uint32), row["held"])
+                some, letter = np.unique(np.append(np.frombuffer(row["letters"], np.uint8), END), return_inverse=True)
+                p = np.full(int(lengths.sum()) + len(lengths), chance[256], np.float32)
+                p[_ragged(np.cumsum(lengths + 1) - (lengths + 1), lengths)] = chance[some][letter]
+                k = len(lengths)
+                values = (row["block"], b"", b"", lengths.tobytes(), weight.tobytes(), b"", b"", b"", np.zeros(k).tobytes(), np.ones(k, bool).tobytes(), code[some].tobytes(), NUMBERS.pack(x=letter), np.packbits(np.ones(len(p), bool)).tobytes(), p.tobytes(), len(p))
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, TYPES)], names=STATES)
+
+    return run
+
+
 def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
@@ -383,8 +357,8 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
 
     Tokens are lower-cased words and one end a text; documents of the held-out fold are scored only. The model is a
     probabilistic suffix tree of words. The empty context gives a seen word (1 - e) * (c + u * tree) / (N + u), with its
-    count c, u the words seen once and ``tree`` its spelling under the tree of letters; as in the base, all unseen words
-    are one token, with Good and Turing's e = (u + 1) / (N + 2). A context of previous words (or the text's start) is a
+    count c, u the words seen once and ``tree`` its spelling under a tree of letters, grown in the same way from the
+    words' starts; as in the base, all unseen words are one token, with Good and Turing's e = (u + 1) / (N + 2). A context of previous words (or the text's start) is a
     state if it occurs ``FEWEST`` times and its next words diverge from those under its longest retained suffix
     (``judge``); a word is scored by the longest state that ends before it. With T different words after a state in C
     cases, the chance is (count + T * chance under the suffix) / (C + T). Lengths go on without bound, past 6 in steps of
@@ -392,8 +366,9 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
     probability of the tokens; spelled_score is that of all their letters under the tree of letters alone.
 
     Texts are read once, into blocks: distinct words and, for each document, word numbers. Words' counts go by hash range
-    to their totals and back to the blocks; letter counts go by the last two letters of a context. A common word is one
-    entry a block. Contexts go by hash range too, one length a round, and their verdicts back to the blocks. Null texts are empty (one token, the end); repeated rows count and are scored each; without
+    to their totals and back to the blocks; a common word is one entry a block. Contexts, of letters first and then of
+    words, go by hash range too, one length a round, and their verdicts back to the blocks; no task or driver holds a
+    tree. Null texts are empty (one token, the end); repeated rows count and are scored each; without
     training documents the base is 1 for each token; an empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -403,16 +378,16 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
     sent = saved(d.mapInArrow(blocker(parts), BLOCKS), "blocks")
     blocks = sent.where("part is null")
     replies = saved(sent.where("part is not null").select("block", "part", "n", "sent").groupBy("part").applyInPandas(count_words, "block long, part int, total binary, kinds long, ones long, tokens long"), "counts")
-    symbols = blocks.select("lengths", "count").mapInArrow(_symbols, "symbols double").agg(F.sum("symbols")).first()[0] or 0.0
     ends = docs.where(crc_mod("doc_id", folds) != held_fold).count()
     kinds, ones, tokens = replies.agg(F.sum("kinds"), F.sum("ones"), F.sum("tokens")).first()
     v, n, ones = (kinds or 0) + (ends > 0), (tokens or 0) + ends, (ones or 0) + (ends == 1)
-    counted = blocks.select("letters", "lengths", "count", "held").mapInArrow(gram_sender(parts), "part int, n long, sent binary").groupBy("part").applyInPandas(grower(symbols), "depth int, grams binary, counts binary")
-    tree = Tree([(r.depth, np.frombuffer(r.grams, np.uint64), np.frombuffer(r.counts, np.int64)) for r in counted.collect()])
-    shared = spark.sparkContext.broadcast((tree, v, n, ones, ends))  # bounded by LEAST
+    letters = dict(blocks.select("letters", "lengths", "count", "held").mapInArrow(letter_counts, "letter int, count double").groupBy("letter").agg(F.sum("count")).collect())
+    seen = np.array([letters.get(k) or 0.0 for k in range(257)])
+    chances = (seen + (seen > 0).sum() / 257) / max(seen.sum() + (seen > 0).sum(), 1) if seen.any() else np.full(257, 1 / 257)
+    narrow = parts_for(spark, size, 8 << 20)
+    spelled = grown(saved(blocks.select("block", "letters", "lengths", "count", "held").mapInArrow(speller(chances), STATE), "states"), narrow)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, v, n, ones, ends = shared.value
         new = (ones + 1) / (n + 2)
         for batch in batches:
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
@@ -421,7 +396,8 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
                 total = np.frombuffer(b"".join(x["total"] for x in sorted(row["totals"] or [], key=lambda x: x["part"])), np.uint64)
                 c = np.empty(len(lengths))
                 c[np.frombuffer(row["place"], np.uint32)] = total
-                spelled = tree.words(np.frombuffer(row["letters"], np.uint8), lengths)
+                spelled = np.frombuffer(row["spelled"], np.float64)
+                end, spelled = spelled[-1], spelled[:-1]
                 word = Packed(("x", np.uint32, 0, 4)).unpack(row["word"], int(n_words.sum()))["x"]
                 doc = np.repeat(np.arange(len(held)), n_words)
                 add = lambda x: np.bincount(doc, x[word], len(held))  # noqa: E731, B023
@@ -429,27 +405,24 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
                 known = add((c > 0).astype(float)).astype(np.int64) + (ends > 0)
                 chance = lambda c, spelled: np.log10(np.where(c > 0, (1 - new) * (c + ones * 10.0**spelled) / max(n + ones, 1), new))
                 some = len(lengths) > 0
-                p = np.full(int(n_words.sum()) + len(held), 10.0 ** chance(np.float64(ends), tree.end()), np.float32)
+                p = np.full(int(n_words.sum()) + len(held), 10.0 ** chance(np.float64(ends), end), np.float32)
                 first = np.cumsum(n_words + 1) - (n_words + 1)
                 p[_ragged(first, n_words)] = (10.0 ** chance(c, spelled))[word] if some else 0
                 text = np.frombuffer(row["letters"], np.uint8)
                 spaced = np.full(len(text) + len(lengths), SPACE, np.uint8)
                 spaced[_ragged(np.cumsum(lengths + 1) - (lengths + 1), lengths)] = text
-                values = (row["block"], row["doc_id"], row["held"], row["n_words"], known.tobytes(), base.tobytes(), (add(spelled) + tree.end()).tobytes(), np.zeros(len(held)).tobytes(), np.ones(len(held), bool).tobytes(), words(spaced)[0].tobytes(), row["word"], np.packbits(np.ones(len(p), bool)).tobytes(), p.tobytes(), len(p))
+                values = (row["block"], row["doc_id"], row["held"], row["n_words"], (~held).astype(np.int64).tobytes(), known.tobytes(), base.tobytes(), (add(spelled) + end).tobytes(), np.zeros(len(held)).tobytes(), np.ones(len(held), bool).tobytes(), words(spaced)[0].tobytes(), row["word"], np.packbits(np.ones(len(p), bool)).tobytes(), p.tobytes(), len(p))
                 yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, TYPES)], names=STATES)
 
     totals = replies.groupBy("block").agg(F.collect_list(F.struct("part", "total")).alias("totals"))
-    rows = blocks.select("block", "doc_id", "held", "n_words", "word", "place", "letters", "lengths").join(totals, "block", "left")
-    state = grown(saved(rows.mapInArrow(score, STATE), "states"), parts_for(spark, 2 * size, 8 << 20))
+    rows = blocks.select("block", "doc_id", "held", "n_words", "word", "place", "letters", "lengths").join(totals, "block", "left").join(spelled.select("block", F.col("score").alias("spelled")), "block")
+    state = saved(rows.mapInArrow(score, STATE), "states")
+    for done in (sent, replies, spelled):
+        dropped(done)
+    state = grown(state, parts_for(spark, 2 * size, 8 << 20))
     tokens_seen = state.withColumn("tokens", F.lit(int(n).to_bytes(8, "little")))
     return tokens_seen.mapInArrow(_results, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, spelled_score double")
 
 
-def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x = [float(((np.frombuffer(a, np.uint32) + 1.0) * np.frombuffer(b, np.uint32)).sum()) for a, b in zip(batch.column("lengths").to_pylist(), batch.column("count").to_pylist())]
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64())], names=["symbols"])
-
-
 def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 from math import isclose, log10
@@ -8,6 +9,9 @@ from eodlake.llm import suffixtree
 from tests.llm.fixtures import SCHEMA, WORD, frame, key, rows
 
 
+VOCABULARY = [f"common{k}" for k in range(40)]
+
+
 def base(data):
     docs = [(d, [*WORD.findall((t or "").encode().lower()), None]) for d, t, *_ in data]
     held = [zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2 for d, _ in docs]
@@ -71,3 +75,14 @@ def test_a_word_is_scored_by_its_longest_context(spark):
     data = [(d, "x c y" if k % 2 else "z c w", "en", "s", 1) for k, d in enumerate(train)]
     got = {r.doc_id: r for r in suffixtree.lm_scores(spark.createDataFrame([*data, (a, "x c y", "en", "s", 1), (b, "x c w", "en", "s", 1)], SCHEMA)).collect()}
     assert got[a].score > got[b].score + 0.5
+
+
+def test_rare_contexts_of_letters_stay_in_a_large_corpus(spark):
+    """Two words with a stem of 12 letters end apart after their first one, a context of 13, seen 10 times in over a million symbols."""
+    fold = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    train, a = [d for d in range(400) if not fold(d)][:2], next(d for d in range(400) if fold(d))
+    b = next(d for d in range(400) if fold(d) and d != a)
+    words = " ".join(["xabcdefabcdefq", "yabcdefabcdefw"] * 10)
+    data = [(train[0], words, "en", "s", 1), (train[1], " ".join(random.Random(1).choices(VOCABULARY, k=200_000)), "en", "s", 1), (a, "xabcdefabcdefq", "en", "s", 1), (b, "xabcdefabcdefw", "en", "s", 1)]
+    got = {r.doc_id: r for r in suffixtree.lm_scores(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert got[a].spelled_score > got[b].spelled_score + 0.5
