@@ -504,11 +504,18 @@ add("str6_action_window", _stream_actions, f"WITH {_raw_sql} SELECT isin, exchan
 
 
 def _stream_gate(s: SparkSession, d: str) -> DataFrame:
-    landed, out = fresh(s, "landed"), fresh(s, "master")
-    u = view(s, d, "uploads").where("status = 'success'").select("id", "data_source", "status")
+    """The enriched master if the gate over all upload attempts, failed ones too, lets it be made; else no rows."""
+    landed, out, made = fresh(s, "landed"), fresh(s, "master"), _enriched(s, d)
+    u = view(s, d, "uploads").select("id", "data_source", "status")
     u.write.parquet(landed)
-    J.gated(s.readStream.schema(u.schema).parquet(landed), SOURCES, fresh(s, "log"), lambda: _enriched(s, d).write.mode("overwrite").parquet(out), fresh(s, "state")).awaitTermination()
-    return s.read.parquet(out)
+    runs: list[int] = []
+
+    def work() -> None:
+        made.write.mode("overwrite").parquet(out)
+        runs.append(1)
+
+    J.gated(s.readStream.schema(u.schema).parquet(landed), SOURCES, fresh(s, "log"), work, fresh(s, "state")).awaitTermination()
+    return s.read.parquet(out) if runs else s.createDataFrame([], made.schema)
 
 
 add("str7_gated_enrichment", _stream_gate)

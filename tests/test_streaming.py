@@ -71,3 +71,16 @@ def test_gate(spark, tmp_path):
         spark.createDataFrame(part, schema).write.mode("append").parquet(str(tmp_path / "in"))
         finish(J.gated(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), ["a", "b"], str(tmp_path / "log"), lambda: runs.append(1), str(tmp_path / "state")))
     assert runs == [1]
+
+
+def test_gated_query_reads_failed_attempts(spark, tmp_path):
+    from eodlake import queries
+
+    for t in ("supplier", "nation"):
+        (tmp_path / f"{t}.parquet").symlink_to(f"/root/testdata/sf0.001/{t}.parquet")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    for last, is_open in ((989, True), (990, False)):  # attempt 990 failed
+        events.where(f"event_id <= {last}").write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
+        got = queries.QUERIES["str7_gated_enrichment"](spark, str(tmp_path))
+        assert (got.count() > 0) == is_open
+        assert got.columns == queries.QUERIES["job5_enriched_master"](spark, str(tmp_path)).columns
