@@ -21,6 +21,8 @@ _C1, _C2, _C3 = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0xD6E8FEB8
 
 #: Rows of one Arrow batch at most: texts are long, and a batch is held twice on either side of the pipe to a worker.
 BATCH_ROWS = 1000
+#: What a row takes besides its text.
+ROW_BYTES = 64
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
@@ -28,6 +30,7 @@ def small_batches(spark: SparkSession) -> SparkSession:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     return spark
 
 
@@ -61,12 +64,24 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     path = f"{shared_dir(spark)}/eodlake-{tag}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     let_go(spark)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, n: int, tag: str) -> DataFrame:
+    """``saved``, dealt by ``key`` into ``n`` buckets, so that joins on the key need not shuffle it again."""
+    spark = small_batches(df.sparkSession)
+    name = f"eodlake_{tag}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    let_go(spark)
+    df.repartition(n, key).write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, key).saveAsTable(name)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.table(name)
+
+
 def dropped(df: DataFrame) -> None:
     """Remove a table that ``saved`` wrote and that nothing will read again."""
     spark, files = df.sparkSession, df.inputFiles()
@@ -184,7 +199,7 @@ def words_of(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.nd
 
 
 def chunks(batches: Iterable, columns: list[str], text: str, most: int) -> Iterator[tuple[list, ...]]:
-    """Lists of the columns of Arrow batches, cut into pieces of about ``most`` bytes of text (encoded)."""
+    """Lists of the columns of Arrow batches, cut into pieces of about ``most`` bytes of text (encoded); a row counts as ROW_BYTES more."""
     out, size = [[] for _ in columns], 0
     k = columns.index(text)
     for whole in batches:
@@ -192,7 +207,7 @@ def chunks(batches: Iterable, columns: list[str], text: str, most: int) -> Itera
             for row in zip(*(batch.column(c).to_pylist() if c != text else _utf8(batch.column(c)) for c in columns)):
                 for o, v in zip(out, row):
                     o.append(v)
-                size += len(row[k])
+                size += len(row[k]) + ROW_BYTES
                 if size >= most:
                     yield tuple(out)
                     out, size = [[] for _ in columns], 0

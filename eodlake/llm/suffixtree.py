@@ -1,8 +1,8 @@
-"""LM scoring with a probabilistic suffix tree over words (contexts of previous words), beside a word-frequency base."""
+"""LM scoring: a probabilistic suffix tree over words, with one over letters that spells the words no training text has."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Generator, Iterator
 
 import numpy as np
 import pandas as pd
@@ -10,26 +10,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import _LOWER, NO_ID, U64, _power, chunks, crc_mod, dropped, joined, mix, parts_for, saved, table, text_bytes, words
+from eodlake.llm.common import _LOWER, NO_ID, U64, bucketed, chunks, crc_mod, give_back, joined, mix, parts_for, saved, table, text_bytes, words
 from eodlake.llm.repeats import Packed, part_of, slices
 
-#: Longest context in bytes (with the next symbol it fills 64 bits); symbols that no word holds: start/end of a word, end of a text, none.
-DEPTH, SPACE, END, NONE = 7, 0x20, 0x0A, 0x09
-#: Nats, for each next symbol of a context, by which its counts must be likelier than under the context's suffix.
-GAIN = 3.0
-BLOCK = 4 << 20
-WORDS = Packed(("hash", np.uint64, 0, 8), ("count", np.uint32, 0, 4))
-BLOCKS = "block long, n long, doc_id binary, held binary, n_words binary, word binary, place binary, letters binary, lengths binary, count binary, part int, sent binary"
-
-
-#: Training occurrences that a context of words or of letters needs at least, whatever the corpus.
-FEWEST = 2
-START, STOP = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
-NUMBERS = Packed(("x", np.uint32, 0, 4))
-ASKED = Packed(("context", np.uint64, 0, 8), ("next", np.uint64, 2, 8), ("count", np.uint32, 0, 4), ("chance", np.float32, 0, 4))
-STATE = "block long, doc_id binary, held binary, n_words binary, weight binary, known binary, base binary, spelled binary, score binary, live binary, hash binary, word binary, open binary, chance binary, n_open long"
-STATES = [x.split()[0] for x in STATE.split(", ")]
-TYPES = [pa.int64(), *[pa.binary()] * 13, pa.int64()]
+#: Parameters of the model: the longest context in words and, for the spelling of unseen words, in letters.
+ORDER, LETTERS = 3, 5
+#: Training occurrences that a context needs at least; nats by which it must predict better than its suffix: a context of words over all its
+#: occurrences, each left out of its own prediction, and a context of letters for each different next letter.
+FEWEST, GAIN = 2, 3.0
+#: Symbols that no word holds: start and end of a word, none.
+SPACE, NONE = 0x20, 0x09
+#: Bytes of text in a block; entries of the tree of letters that are sent out at once.
+BLOCK, MOST_STATES = 4 << 20, 2_000_000
+END = U64(0xE7037ED1A0B428DB)
+NUMBERS, TOTALS, KEPT = Packed(("x", np.uint32, 0, 4)), Packed(("x", np.uint64, 0, 6)), Packed(("x", np.float32, 0, 4))
+COUNTED = Packed(("key", np.uint64, 0, 8), ("count", np.uint32, 0, 4))
+JUDGED = Packed(("key", np.uint64, 0, 8), ("n", np.uint64, 0, 5), ("gain", np.float32, 0, 4), ("kinds", np.float32, 0, 4), ("ones", np.uint32, 0, 4))
+BLOCKS = "block long, doc_id binary, held binary, n_words binary, word binary, letters binary, lengths binary"
+TYPES = [pa.int64(), *[pa.binary()] * 6]
+Ask = tuple[Packed, dict[str, np.ndarray]]
 
 
 def _ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -38,52 +37,165 @@ def _ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(end[-1] if len(end) else 0) + np.repeat(start - (end - n), n)
 
 
-def blocker(parts: int):
-    """Documents to blocks: rows with a block's distinct words and its documents' word numbers, and rows that send its counts."""
+def blocker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents to blocks: a block's distinct words with their letters, and its documents as word numbers."""
+    from pyspark import TaskContext
+
+    number = TaskContext.get().partitionId() << 32
+    for did, held, texts in chunks(batches, ["did", "held", "text"], "text", BLOCK):
+        b, at = joined([t.translate(_LOWER) for t in texts])
+        h, start, end = words(b)
+        u, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        order = np.argsort(-np.bincount(inverse, minlength=len(u)), kind="stable")  # frequent words get small numbers, which pack well
+        place = np.empty(len(u), np.uint32)
+        place[order] = np.arange(len(u), dtype=np.uint32)
+        n = (end - start)[first[order]]
+        n_words = np.diff(np.searchsorted(start, at))
+        row = (number, np.array(did, np.int64).tobytes(), np.array(held, bool).tobytes(), n_words.astype(np.int64).tobytes(), NUMBERS.pack(x=place[inverse]), b[_ragged(start[first[order]], n)].tobytes(), n.astype(np.uint32).tobytes())
+        number += 1
+        yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, TYPES)], names=[x.split()[0] for x in BLOCKS.split(", ")])
+    give_back()
+
+
+class Block:
+    """The documents of a block as one sequence of words, an end after each document."""
+
+    def __init__(self, row: dict):
+        self.row = row
+        self.did, self.held = np.frombuffer(row["doc_id"], np.int64), np.frombuffer(row["held"], bool)
+        self.n_words = np.frombuffer(row["n_words"], np.int64)
+        self.lengths, self.letters = np.frombuffer(row["lengths"], np.uint32).astype(np.int64), np.frombuffer(row["letters"], np.uint8)
+        spaced = np.full(len(self.letters) + len(self.lengths), SPACE, np.uint8)
+        spaced[_ragged(np.cumsum(self.lengths + 1) - (self.lengths + 1), self.lengths)] = self.letters
+        self.hash = np.append(words(spaced)[0], END)
+        size = self.n_words + 1
+        first = np.cumsum(size) - size
+        self.word = np.full(int(size.sum()), len(self.lengths))
+        self.word[_ragged(first, self.n_words)] = NUMBERS.unpack(row["word"], int(self.n_words.sum()))["x"]
+        self.doc = np.repeat(np.arange(len(size)), size)
+        self.place = np.arange(len(self.word)) - first[self.doc]
+        self.train = ~self.held[self.doc]
+
+
+def walk(b: Block, tokens: int, kinds: int) -> Generator[Ask, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Asks what a block needs to know of all training texts, one question after the other, and returns its words' totals and all chances.
+
+    A question is a list of keys with this block's share of what is summed by key; the answer holds one number for each.
+    """
+    order = np.argsort(b.hash)
+    count = np.bincount(b.word[b.train], minlength=len(b.hash))
+    total = np.empty(len(b.hash), np.int64)
+    total[order] = (yield COUNTED, {"key": b.hash[order], "count": count[order]}) >> 1
+    # the root: a seen word by its count, an unseen one by the weight of new words (its spelling comes on top)
+    chance = (np.where(total > 0, total, max(kinds, 1)) / max(tokens + kinds, 1))[b.word]
+    gram, seen, entry, keys = b.hash[b.word], total[b.word], b.word, b.hash
+    for length in range(1, ORDER + 1):
+        at = np.flatnonzero((b.place[1:] >= length) & (seen[:-1] >= FEWEST)) + 1  # words that follow a context of this length
+        context, n = entry[at - 1], seen[at - 1].astype(np.float64)
+        longer = mix(gram[at - 1], b.hash[b.word[at]])
+        above, keys, inverse = keys, *np.unique(longer, return_inverse=True)
+        train = b.train[at]
+        c = (yield COUNTED, {"key": keys, "count": np.bincount(inverse[train], minlength=len(keys))})[inverse] >> 1
+        p = chance[at]
+        sums = [np.bincount(context[train], x, len(above)) for x in (np.where(c > 1, np.log(np.maximum(c - 1, 1)) - np.log(p), 0.0)[train], 1 / c[train], (c == 1)[train])]
+        some, of_some = np.unique(context, return_inverse=True)
+        many = np.empty(len(some))
+        many[of_some] = n
+        by_key = np.argsort(above[some])
+        kept = np.empty(len(some))
+        kept[by_key] = yield JUDGED, {"key": above[some][by_key], "n": many[by_key]} | {k: x[some][by_key] for k, x in zip(("gain", "kinds", "ones"), sums)}
+        kept = kept[of_some]
+        chance[at] = np.where(kept > 0, (c + kept * p) / (n + kept), p)
+        gram, seen, entry = np.zeros(len(gram), np.uint64), np.zeros(len(gram), np.int64), np.zeros(len(gram), np.int64)
+        gram[at], seen[at], entry[at] = longer, c, inverse
+    return total, chance
+
+
+#: Questions of ``walk``: of words, then for each length of what follows its contexts, and of the contexts.
+STEPS = 1 + 2 * ORDER
+
+
+def answer(b: Block, step: int, n: int) -> np.ndarray:
+    """What all hash ranges answered to a block's question of ``n`` keys."""
+    form = KEPT if step and step % 2 == 0 else TOTALS
+    found = sorted((x["part"], x["n"], x["reply"]) for x in b.row["answers"] or [] if x["step"] == step)
+    out = np.concatenate([np.empty(0, np.float32 if form is KEPT else np.int64), *(form.unpack(reply, k)["x"] for _, k, reply in found)])
+    assert len(out) == n, (step, len(out), n)
+    return out.astype(np.float64 if form is KEPT else np.int64)
+
+
+def walked(b: Block, upto: int, tokens: int, kinds: int):
+    """The question number ``upto`` of a block, or what its walk returns after the last."""
+    run, step = walk(b, tokens, kinds), 0
+    try:
+        ask = next(run)
+        while step < upto:
+            ask = run.send(answer(b, step, len(ask[1]["key"])))
+            step += 1
+    except StopIteration as end:
+        return end.value
+    return ask
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield Block(batch.slice(i, 1).to_pylist()[0])
+    give_back()
+
+
+def asker(step: int, parts: int, tokens: int, kinds: int) -> Callable:
+    """Blocks to one row for each hash range of the keys that they ask about."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 32
-        names = [x.split()[0] for x in BLOCKS.split(", ")]
-        types = [pa.int64(), pa.int64(), *[pa.binary()] * 8, pa.int32(), pa.binary()]
-        for did, held, texts in chunks(batches, ["did", "held", "text"], "text", BLOCK):
-            b, at = joined([t.translate(_LOWER) for t in texts])
-            h, start, end = words(b)
-            n_words = np.diff(np.searchsorted(start, at))
-            train = np.repeat(~np.array(held), n_words)
-            u, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-            count = np.bincount(inverse[train], minlength=len(u))
-            order = np.argsort(-np.bincount(inverse, minlength=len(u)), kind="stable")  # frequent words get small numbers, which pack well
-            place = np.empty(len(u), np.uint32)
-            place[order] = np.arange(len(u), dtype=np.uint32)
-            n = (end - start)[first[order]]
-            letters = b[_ragged(start[first[order]], n)]
-            word = Packed(("x", np.uint32, 0, 4)).pack(x=place[inverse])
-            block = (number, len(u), np.array(did, np.int64).tobytes(), np.array(held, bool).tobytes(), n_words.astype(np.int64).tobytes(), word, place.tobytes(), letters.tobytes(), n.astype(np.uint32).tobytes(), count[order].astype(np.uint32).tobytes(), None, None)
-            rows = [block]
-            for a, z in slices(part_of(u, parts)) if len(u) else ():
-                rows.append((number, z - a, *[None] * 8, int(part_of(u[a : a + 1], parts)[0]), WORDS.pack(hash=u[a:z], count=count[a:z])))
-            number += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        for b in blocks_of(batches):
+            form, x = walked(b, step, tokens, kinds)
+            at = part_of(x["key"], parts)
+            rows = [(b.row["block"], int(at[a]), z - a, form.pack(**{k: v[a:z] for k, v in x.items()})) for a, z in slices(at)] if len(at) else []
+            for i in range(0, len(rows), 64):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 64]), (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["block", "part", "n", "sent"])
 
     return run
 
 
-def count_words(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one hash range: the total count of each word, sent back to each block in its order; and how many words and tokens."""
-    found = [WORDS.unpack(x, n) for x, n in zip(pdf["sent"], pdf["n"])]
-    u, inverse = np.unique(np.concatenate([x["hash"] for x in found]), return_inverse=True)
-    total = np.bincount(inverse, np.concatenate([x["count"] for x in found]).astype(float)).astype(np.uint64)
-    back = np.split(total[inverse], np.cumsum([len(x["hash"]) for x in found])[:-1])
-    k = len(pdf)
-    return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "total": [x.tobytes() for x in back], "kinds": [int((total > 0).sum())] + [0] * (k - 1), "ones": [int((total == 1).sum())] + [0] * (k - 1), "tokens": [int(total.sum())] + [0] * (k - 1)})
+def replier(step: int) -> Callable:
+    """Sums of one hash range by key, sent back to each block in its order.
+
+    Of words also how many there are, how many tokens, and, in the lowest bit, which block spells the word for the tree
+    of letters. Of contexts the number of different next words if the context is retained, else 0. A context is
+    retained if its next words, each left out of its own prediction, are likelier by GAIN nats in sum than under the
+    longest retained suffix: a repeated one then has a chance of at least (c - 1) / (n - 1 + kinds), one that came once kinds / (n - 1 + kinds) of
+    its chance under the suffix.
+    """
+    judged = step and step % 2 == 0
+
+    def reply(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [(JUDGED if judged else COUNTED).unpack(x, n) for x, n in zip(pdf["sent"], pdf["n"])]
+        u, first, inverse = np.unique(np.concatenate([x["key"] for x in found]), return_index=True, return_inverse=True)
+        add = lambda k: np.bincount(inverse, np.concatenate([x[k] for x in found]).astype(np.float64), len(u))
+        kinds = tokens = 0
+        if judged:
+            n, t = np.concatenate([x["n"] for x in found])[first].astype(np.float64), np.round(add("kinds"))
+            gain = add("gain") + add("ones") * np.log(np.maximum(t, 1)) - n * np.log(np.maximum(n - 1 + t, 1))
+            out = np.where(gain >= GAIN, t, 0)[inverse]
+        else:
+            total = add("count").astype(np.int64)
+            kinds, tokens = int((total > 0).sum()), int(total.sum())
+            out = total[inverse] << 1
+            out[first] |= (total > 0).astype(np.int64)
+        ends = np.cumsum(pdf["n"].to_numpy())[:-1]
+        rest = [0] * (len(pdf) - 1)
+        sent = [(KEPT if judged else TOTALS).pack(x=x) for x in np.split(out, ends)]
+        give_back()
+        return pd.DataFrame({"step": step, "block": pdf["block"], "part": pdf["part"], "n": pdf["n"], "reply": sent, "kinds": [kinds, *rest], "tokens": [tokens, *rest]})
+
+    return reply
 
 
 def grams_of(letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each symbol of each word (its bytes and the space after) behind up to DEPTH symbols before it, as 8 bytes; and its word.
+    """Each symbol of each word (its bytes and the space after) behind up to LETTERS symbols before it, in one number; and its word.
 
-    The oldest symbol is the top byte; a word's context begins with a space, and nothing precedes that.
+    The next symbol is the lowest byte; a word's context begins with a space, and nothing precedes that.
     """
     size = lengths + 2
     first = np.cumsum(size) - size
@@ -93,52 +205,72 @@ def grams_of(letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.n
     keep = np.flatnonzero(place)
     place = place[keep]
     gram = np.zeros(len(keep), np.uint64)
-    for back in range(DEPTH, -1, -1):
+    for back in range(LETTERS, -1, -1):
         gram <<= U64(8)
         gram |= np.where(place >= back, s[keep - np.minimum(place, back)], U64(NONE))
     return gram, np.repeat(np.arange(len(lengths)), lengths + 1)
 
 
-def _unite(gram: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    o = np.argsort(gram, kind="stable")
-    gram, count = gram[o], count[o]
-    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.empty(0, int)
-    return gram[first], np.add.reduceat(count, first) if len(first) else count[:0]
+def letter_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each gram of letters comes in the words that the blocks of a task spell; each training word counts once in all."""
+    gram, count = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for b in blocks_of(batches):
+        own = np.empty(len(b.hash), bool)
+        own[np.argsort(b.hash)] = answer(b, 0, len(b.hash)) & 1
+        own = np.flatnonzero(own[:-1])
+        start = np.cumsum(b.lengths) - b.lengths
+        u, n = np.unique(grams_of(b.letters[_ragged(start[own], b.lengths[own])], b.lengths[own])[0], return_counts=True)
+        gram, back = np.unique(np.concatenate([gram, u]), return_inverse=True)
+        count = np.bincount(back, np.concatenate([count, n]), len(gram)).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(count)], names=["gram", "count"])
 
 
-def _mask(n: int) -> np.uint64:
-    return U64((1 << 8 * n) - 1)
+def letter_states(grams: DataFrame) -> DataFrame:
+    """(level, key, count, slice) of the retained contexts of letters, key being context and next letter.
 
+    A context is retained if it comes FEWEST times and its counts are likelier than under its suffix by GAIN nats for
+    each different next letter; the empty one always. slice spreads contexts of three letters and more by their last three.
+    """
+    level = F.explode(F.sequence(F.lit(0), F.lit(LETTERS)))
+    of = grams.select("gram", "count", level.alias("level")).where(F.expr(f"shiftright(gram, 8 * level) & 255 <> {NONE}"))
+    entries = saved(of.groupBy("level", F.expr("gram & (shiftleft(1L, 8 * (level + 1)) - 1)").alias("key")).agg(F.sum("count").alias("count")), "letters")
+    entries = entries.withColumn("context", F.shiftright("key", 8))
+    contexts = entries.groupBy("level", "context").agg(F.sum("count").alias("n"), F.count("*").alias("kinds"))
+    e = entries.join(contexts, ["level", "context"])
+    suffix = e.select((F.col("level") + 1).alias("level"), F.col("key").alias("below"), (F.col("count") / F.col("n")).alias("p"))
+    with_suffix = e.withColumn("below", F.expr("key & (shiftleft(1L, 8 * level) - 1)")).join(suffix, ["level", "below"])
+    gain = F.sum(F.col("count") * F.log(F.col("count") / F.col("n") / F.col("p"))) >= GAIN * F.first("kinds")
+    kept = with_suffix.groupBy("level", "context").agg((gain & (F.first("n") >= FEWEST)).alias("kept")).where("kept").select("level", "context")
+    return entries.where("level = 0").unionByName(entries.join(kept, ["level", "context"], "left_semi")).select("level", "key", "count", F.expr(slice_sql("context")).alias("hash"))
 
-class Tree:
-    """Retained contexts of letters in one table, to look up chances where these are few; ``lm_scores`` does not need it.
 
-    A symbol's chance is smoothed from the empty context up to the longest retained suffix.
+def slice_sql(context: str) -> str:
+    return f"shiftright(({context} & 16777215) * 2654435761, 16)"
+
 
-    With T different symbols seen after a context in C cases, (count + T * chance one state shorter) / (C + T).
+class Tree:
+    """Retained contexts of letters. A letter's chance is smoothed from the empty context up to the longest retained suffix.
+
+    With T different letters seen after a context in C cases, (count + T * chance one state shorter) / (C + T).
     """
 
-    def __init__(self, rows: list[tuple[int, np.ndarray, np.ndarray]]):
-        level = {d: _unite(*(np.concatenate(x) for x in zip(*[(k, c) for e, k, c in rows if e == d]))) for d in {r[0] for r in rows}}
-        empty = (np.empty(0, np.uint64), np.empty(0, np.int64))
-        two, one = level.get(2, empty), level.get(1, empty)
-        level[1] = _unite(np.concatenate([two[0] & _mask(2), one[0]]), np.concatenate([two[1], one[1]]))
-        level[0] = _unite(level[1][0] & _mask(1), level[1][1])
+    def __init__(self, level: np.ndarray, key: np.ndarray, count: np.ndarray):
         self.levels = []
-        for d in range(DEPTH + 1):
-            key, c = level.get(d, empty)
-            context = key >> U64(8)
-            u, first = np.unique(context, return_index=True)
-            self.levels.append((key, c, u, np.add.reduceat(c, first) if len(c) else c, np.diff(first, append=len(key))))
+        for d in range(LETTERS + 1):
+            i = np.flatnonzero(level == d)
+            i = i[np.argsort(key[i])]
+            k, c = key[i].astype(np.uint64), count[i]
+            context, first = np.unique(k >> U64(8), return_index=True)
+            self.levels.append((k, c, context, np.add.reduceat(c, first) if len(c) else c, np.diff(first, append=len(k))))
 
     def log10(self, gram: np.ndarray) -> np.ndarray:
         u, inverse = np.unique(gram, return_inverse=True)
         p = np.full(len(u), 1 / 257)
         for d, (key, c, context, total, kinds) in enumerate(self.levels):
-            i = np.arange(len(u)) if d == 0 else np.flatnonzero((u >> U64(8 * d) & _mask(1)) != NONE)
+            i = np.flatnonzero((u >> U64(8 * d) & U64(255)) != NONE)
             if not len(context) or not len(i):
                 continue
-            want = u[i] & _mask(d + 1)
+            want = u[i] & U64((1 << 8 * (d + 1)) - 1)
             at = np.minimum(np.searchsorted(context, want >> U64(8)), len(context) - 1)
             ok = context[at] == want >> U64(8)
             i, want, at = i[ok], want[ok], at[ok]
@@ -147,281 +279,93 @@ class Tree:
             p[i] = (seen + kinds[at] * p[i]) / (total[at] + kinds[at])
         return np.log10(p)[inverse]
 
-    def words(self, letters: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        gram, word = grams_of(letters, lengths)
-        return np.bincount(word, self.log10(gram), len(lengths))
-
-    def end(self) -> float:
-        return float(self.log10(np.array([int.from_bytes(bytes([NONE] * (DEPTH - 1) + [SPACE, END]), "big")], np.uint64))[0])
-
 
-def lengths_of_contexts() -> Iterator[int]:
-    """1, 2, 3, 4, 5, 6, 8, 12, 16, 24, 32 and so on, without an end."""
-    yield from range(1, 6)
-    n = 6
-    while True:
-        yield n
-        yield n // 3 * 4
-        n *= 2
-
-
-class Texts:
-    """The texts of a state that still have open occurrences, as one sequence of symbol hashes with a STOP after each.
-
-    Texts are documents of words, or words of letters; in training each counts as often as its weight says.
-    """
-
-    def __init__(self, row: dict):
-        self.weight, self.n_words, self.live = np.frombuffer(row["weight"], np.int64), np.frombuffer(row["n_words"], np.int64), np.frombuffer(row["live"], bool)
-        size = np.where(self.live, self.n_words + 1, 0)
-        first = np.cumsum(size) - size
-        n = int(size.sum())
-        self.word = NUMBERS.unpack(row["word"], n - int(self.live.sum()))["x"]
-        self.hash = np.frombuffer(row["hash"], np.uint64)
-        self.symbol = np.full(n, STOP)
-        self.symbol[_ragged(first[self.live], self.n_words[self.live])] = self.hash[self.word]
-        self.doc = np.repeat(np.arange(len(size)), size)
-        self.place = np.arange(n) - first[self.doc]
-        self.open = np.flatnonzero(np.unpackbits(np.frombuffer(row["open"], np.uint8), count=n))
-        self.chance = np.frombuffer(row["chance"], np.float32)
-
-    def ask(self, length: int) -> tuple[np.ndarray, ...]:
-        """Which open occurrences have a context of this length, or from the text's start on if that is nearer; the entry of each; and the entries, by context: context, next symbol, count in training, chance so far."""
-        before = length - 1 if length <= 6 else length // 3 * 2 if length & (length - 1) else length // 4 * 3
-        which = np.flatnonzero(self.place[self.open] >= before)  # others had all their text in the round before
-        at = self.open[which]
-        size = np.minimum(self.place[at], length)
-        up, down = _power(len(self.symbol) + 1)
-        total = np.zeros(len(self.symbol) + 1, np.uint64)
-        np.cumsum(self.symbol * up[: len(self.symbol)], out=total[1:])
-        context = mix((total[at] - total[at - size]) * down[at - size], np.where(size < length, START, U64(0)) + U64(length))
-        follow = self.symbol[at] & ~U64(0xFFFF)
-        o = np.argsort(context & ~U64(0xFFFFFF) | follow >> U64(40))
-        context, follow, count = context[o], follow[o], self.weight[self.doc[at[o]]]
-        new = np.ones(len(o), bool)
-        new[1:] = (context[1:] != context[:-1]) | (follow[1:] != follow[:-1])
-        entry = np.empty(len(o), np.int64)
-        entry[o] = np.cumsum(new) - 1
-        first = np.flatnonzero(new)
-        count = np.add.reduceat(count, first) if len(first) else np.empty(0, np.int64)
-        return which, entry, context[first], follow[first], count, self.chance[which[o[first]]]
-
-
-def asker(parts: int, length: int):
-    """What the open occurrences of each block ask, by hash range of their contexts."""
+def speller(tree, part: int, parts: int) -> Callable:
+    """Blocks to what the spelling of each document's unseen words adds to its score, of the letters whose contexts are in slice ``part``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
-                _, _, context, follow, count, chance = Texts(row).ask(length)
-                rows = [(row["block"], int(part_of(context[a : a + 1], parts)[0]), z - a, ASKED.pack(context=context[a:z], next=follow[a:z], count=count[a:z], chance=chance[a:z])) for a, z in (slices(part_of(context, parts)) if len(context) else ())]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["block", "part", "n", "sent"])
+        for b in blocks_of(batches):
+            total = np.empty(len(b.hash), np.int64)
+            total[np.argsort(b.hash)] = answer(b, 0, len(b.hash)) >> 1
+            new = np.flatnonzero(total[:-1] == 0)
+            if not len(new):
+                continue
+            start = np.cumsum(b.lengths) - b.lengths
+            gram, word = grams_of(b.letters[_ragged(start[new], b.lengths[new])], b.lengths[new])
+            here = ((gram >> U64(8) & U64(0xFFFFFF)) * U64(2654435761) >> U64(16)) % U64(parts) == part
+            spelled = np.zeros(len(b.hash))
+            spelled[new] = np.bincount(word[here], tree.value.log10(gram[here]), len(new))
+            yield pa.RecordBatch.from_arrays([pa.array([b.row["block"]]), pa.array([np.bincount(b.doc, spelled[b.word], len(b.did)).tobytes()], pa.binary())], names=["block", "spelled"])
 
     return run
 
 
-def judge(context: np.ndarray, follow: np.ndarray, count: np.ndarray, chance: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of entries of contexts of one length: whether the context is retained, whether longer ones may be, and the chance.
-
-    A context is retained if it occurs ``FEWEST`` times and its counts are likelier by GAIN nats a next word than under
-    the longest retained suffix, whose chances come along. No longer context can gain more than all that is left to gain,
-    so those with less than GAIN left are closed without loss.
-    """
-    keep, more, chance = np.zeros(len(context), bool), np.zeros(len(context), bool), chance.astype(np.float64)
-    o = np.argsort(context, kind="stable")
-    first = np.flatnonzero(np.diff(context[o], prepend=~context[o[:1]]))
-    often = np.repeat(np.add.reduceat(count[o], first) >= FEWEST, np.diff(first, append=len(o)))
-    o = o[often]
-    if not len(o):
-        return keep, more, chance
-    o = o[np.lexsort((follow[o], context[o]))]
-    k, f, p = context[o], follow[o], chance[o]
-    new = np.ones(len(o), bool)
-    new[1:] = k[1:] != k[:-1]
-    start = np.flatnonzero(new)  # of contexts
-    new[1:] |= f[1:] != f[:-1]
-    gram = np.flatnonzero(new)
-    c, p = np.add.reduceat(count[o], gram).astype(np.float64), p[gram]
-    inside = np.searchsorted(start, gram, "right") - 1
-    size = len(start)
-    n, t = np.bincount(inside, c, size), np.bincount(inside, c > 0, size)
-    gain = np.bincount(inside, c * (np.log(np.maximum(c, 1) / n[inside]) - np.log(p)), size)
-    kept = gain >= GAIN * t
-    p = np.where(kept[inside], (c + t[inside] * p) / (n + t)[inside], p)
-    left = np.bincount(inside, -c * np.log(p), size) >= GAIN
-    back = np.cumsum(new) - 1
-    keep[o], more[o], chance[o] = kept[inside][back], left[inside][back], p[back]
-    return keep, more, chance
-
-
-def answerer(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The verdicts of one hash range, sent back to each block in its order."""
-    found = [ASKED.unpack(x, n) for x, n in zip(pdf["sent"], pdf["n"])]
-    keep, more, chance = judge(*(np.concatenate([x[c] for x in found]) for c in ("context", "next", "count", "chance")))
-    cut = np.cumsum(pdf["n"].to_numpy())[:-1]
-    chance = chance.astype(np.float32)
-    rows = [(np.packbits(k).tobytes(), np.packbits(m).tobytes(), p[k].tobytes()) for k, m, p in zip(*(np.split(x, cut) for x in (keep, more, chance)))]
-    return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "n": pdf["n"]} | dict(zip(("keep", "more", "chance"), zip(*rows))))
-
-
-def stepper(length: int):
-    """States with their answers to the states that remain: chances of retained contexts taken over, closed occurrences scored."""
-
+def scorer(tokens: int, kinds: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
-                t = Texts(row)
-                which, entry, context, *_ = t.ask(length)
-                keep, more, chance = np.zeros(len(context), bool), np.zeros(len(context), bool), np.zeros(len(context), np.float32)
-                at = 0
-                for x in sorted(row["answers"] or [], key=lambda x: x["part"]):
-                    z = slice(at, at := at + x["n"])
-                    keep[z], more[z] = (np.unpackbits(np.frombuffer(x[c], np.uint8), count=x["n"]) for c in ("keep", "more"))
-                    chance[z][keep[z]] = np.frombuffer(x["chance"], np.float32)
-                p = t.chance.copy()
-                p[which] = np.where(keep[entry], chance[entry], p[which])
-                on = np.zeros(len(p), bool)
-                on[which] = more[entry]
-                score = np.frombuffer(row["score"], np.float64) + np.bincount(t.doc[t.open[~on]], np.log10(p[~on].astype(np.float64)), len(t.live))
-                live = np.zeros(len(t.live), bool)
-                live[t.doc[t.open[on]]] = True
-                flag = np.zeros(len(t.symbol), bool)
-                flag[t.open[on]] = True
-                word = t.word[np.repeat(live[t.live], t.n_words[t.live])]
-                some, word = np.unique(word, return_inverse=True)
-                row |= {"score": score.tobytes(), "live": live.tobytes(), "hash": t.hash[some].tobytes(), "word": NUMBERS.pack(x=word), "open": np.packbits(flag[live[t.doc]]).tobytes(), "chance": p[on].tobytes(), "n_open": int(on.sum())}
-                yield pa.RecordBatch.from_arrays([pa.array([row[c]], k) for c, k in zip(STATES, TYPES)], names=STATES)
-
-    return run
-
-
-def grown(state: DataFrame, parts: int) -> DataFrame:
-    """States after all contexts: a round for each length, until no longer context could be retained anywhere."""
-    for length in lengths_of_contexts():
-        if not state.agg(F.sum("n_open")).first()[0]:
-            return state
-        busy = state.where("n_open > 0")
-        answers = saved(busy.mapInArrow(asker(parts, length), "block long, part int, n long, sent binary").groupBy("part").applyInPandas(answerer, "block long, part int, n long, keep binary, more binary, chance binary"), "answers")
-        by_block = answers.groupBy("block").agg(F.collect_list(F.struct("part", "n", "keep", "more", "chance")).alias("answers"))
-        stepped = busy.join(by_block, "block", "left").mapInArrow(stepper(length), STATE)
-        before, state = state, saved(stepped.unionByName(state.where("n_open = 0")), "states")
-        dropped(before)
-        dropped(answers)
-
-
-def letter_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often training words hold each letter, and end (256)."""
-    for batch in batches:
-        count = np.zeros(257)
-        for letters, lengths, words_, flags in zip(*(batch.column(c).to_pylist() for c in ("letters", "lengths", "count", "held"))):
-            lengths, weight = _with_end(np.frombuffer(lengths, np.uint32), np.frombuffer(words_, np.uint32), flags)
-            count[:256] += np.bincount(np.append(np.frombuffer(letters, np.uint8), END), np.repeat(weight, lengths), 256)
-            count[256] += weight.sum()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(257, dtype=np.int32)), pa.array(count)], names=["letter", "count"])
-
-
-def _with_end(lengths: np.ndarray, count: np.ndarray, held: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Lengths and counts of a block's words, and of a last one that stands for the end of a text."""
-    return np.append(lengths, 1).astype(np.int64), np.append(count, (~np.frombuffer(held, bool)).sum()).astype(np.int64)
-
-
-def speller(chance: np.ndarray):
-    """Blocks to states whose texts are the distinct words, by letters."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = mix(np.arange(1, 257, dtype=np.uint64), np.full(256, STOP))
-        for batch in batches:
-            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
-                lengths, weight = _with_end(np.frombuffer(row["lengths"], np.uint32), np.frombuffer(row["count"], np.uint32), row["held"])
-                some, letter = np.unique(np.append(np.frombuffer(row["letters"], np.uint8), END), return_inverse=True)
-                p = np.full(int(lengths.sum()) + len(lengths), chance[256], np.float32)
-                p[_ragged(np.cumsum(lengths + 1) - (lengths + 1), lengths)] = chance[some][letter]
-                k = len(lengths)
-                values = (row["block"], b"", b"", lengths.tobytes(), weight.tobytes(), b"", b"", b"", np.zeros(k).tobytes(), np.ones(k, bool).tobytes(), code[some].tobytes(), NUMBERS.pack(x=letter), np.packbits(np.ones(len(p), bool)).tobytes(), p.tobytes(), len(p))
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, TYPES)], names=STATES)
+        for b in blocks_of(batches):
+            total, chance = walked(b, STEPS, tokens, kinds)
+            add = lambda x: np.bincount(b.doc, x, len(b.did))  # noqa: E731, B023
+            spelled = sum((np.frombuffer(x, np.float64) for x in b.row["spelled"] or []), np.zeros(len(b.did)))
+            base = add(np.log10((total + 1) / (tokens + kinds + 1))[b.word])
+            columns = [pa.array(b.did, mask=b.did == NO_ID), pa.array(b.held), pa.array(b.n_words + 1), pa.array(add((total > 0)[b.word]).astype(np.int64)), pa.array(np.full(len(b.did), tokens)), pa.array(base), pa.array(add(np.log10(chance)) + spelled), pa.array(spelled)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "spelled_score"])
 
     return run
 
 
-def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
-            did, held, n_words, known, tokens, base, score, spelled = (np.frombuffer(row[c], t) for c, t in (("doc_id", np.int64), ("held", bool), ("n_words", np.int64), ("known", np.int64), ("tokens", np.int64), ("base", np.float64), ("score", np.float64), ("spelled", np.float64)))
-            columns = [pa.array(did, mask=did == NO_ID), pa.array(held), pa.array(n_words + 1), pa.array(known), pa.array(np.repeat(tokens, len(held))), pa.array(base), pa.array(score), pa.array(spelled)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "spelled_score"])
-
-
 def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, spelled_score.
 
-    Tokens are lower-cased words and one end a text; documents of the held-out fold are scored only. The model is a
-    probabilistic suffix tree of words. The empty context gives a seen word (1 - e) * (c + u * tree) / (N + u), with its
-    count c, u the words seen once and ``tree`` its spelling under a tree of letters, grown in the same way from the
-    words' starts; as in the base, all unseen words are one token, with Good and Turing's e = (u + 1) / (N + 2). A context of previous words (or the text's start) is a
-    state if it occurs ``FEWEST`` times and its next words diverge from those under its longest retained suffix
-    (``judge``); a word is scored by the longest state that ends before it. With T different words after a state in C
-    cases, the chance is (count + T * chance under the suffix) / (C + T). Lengths go on without bound, past 6 in steps of
-    a third or a half (``lengths_of_contexts``), as long as any longer context could pass the test. Score is the log10
-    probability of the tokens; spelled_score is that of all their letters under the tree of letters alone.
-
-    Texts are read once, into blocks: distinct words and, for each document, word numbers. Words' counts go by hash range
-    to their totals and back to the blocks; a common word is one entry a block. Contexts, of letters first and then of
-    words, go by hash range too, one length a round, and their verdicts back to the blocks; no task or driver holds a
-    tree. Null texts are empty (one token, the end); repeated rows count and are scored each; without
-    training documents the base is 1 for each token; an empty table gives no rows.
+    Tokens are lower-cased words and one end a text; documents of the held-out fold are scored only. Score is the log10
+    probability of the text under a probabilistic suffix tree of words. Its states are contexts of up to ``ORDER``
+    previous words that come ``FEWEST`` times in training and pass the divergence test (``replier``), whatever the size of
+    the corpus. A word is scored by the longest state that ends before it: with T different next words in C cases,
+    (count + T * chance under the next shorter state) / (C + T); the empty context ends the chain in the same way with
+    the word's spelling. Words seen in training take their count's share there, all others V / (N + V) times their
+    spelling under a second suffix tree, of up to ``LETTERS`` letters, learnt from the distinct training words; so what the model has
+    not met is the less likely the stranger and longer it is. spelled_score is the part of score that spelling adds.
+
+    Texts are read once, into blocks. What a block needs to know of all training texts (counts of its words and of
+    what follows its contexts, verdicts on its contexts) it asks by hash range, one question a round (``walk``). Each block sends one sum
+    a key, so a very common word or context is one entry a block, and no task or driver holds the tree. Keys are 64-bit
+    hashes. The tree of letters, far smaller, is broadcast in slices of at most MOST_STATES entries. Null texts are empty
+    (one token, the end); repeated rows count and are scored each; without training documents the base is 1 for each
+    token and words are spelled with equal chances; an empty table gives no rows.
     """
     spark = docs.sparkSession
     d = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), (crc_mod("doc_id", folds) == held_fold).alias("held"), F.coalesce("text", F.lit("")).alias("text"))
     size = text_bytes(docs)
-    parts = parts_for(spark, size / 3, 8 << 20)
-    sent = saved(d.mapInArrow(blocker(parts), BLOCKS), "blocks")
-    blocks = sent.where("part is null")
-    replies = saved(sent.where("part is not null").select("block", "part", "n", "sent").groupBy("part").applyInPandas(count_words, "block long, part int, total binary, kinds long, ones long, tokens long"), "counts")
-    ends = docs.where(crc_mod("doc_id", folds) != held_fold).count()
-    kinds, ones, tokens = replies.agg(F.sum("kinds"), F.sum("ones"), F.sum("tokens")).first()
-    v, n, ones = (kinds or 0) + (ends > 0), (tokens or 0) + ends, (ones or 0) + (ends == 1)
-    letters = dict(blocks.select("letters", "lengths", "count", "held").mapInArrow(letter_counts, "letter int, count double").groupBy("letter").agg(F.sum("count")).collect())
-    seen = np.array([letters.get(k) or 0.0 for k in range(257)])
-    chances = (seen + (seen > 0).sum() / 257) / max(seen.sum() + (seen > 0).sum(), 1) if seen.any() else np.full(257, 1 / 257)
-    narrow = parts_for(spark, size, 8 << 20)
-    spelled = grown(saved(blocks.select("block", "letters", "lengths", "count", "held").mapInArrow(speller(chances), STATE), "states"), narrow)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new = (ones + 1) / (n + 2)
-        for batch in batches:
-            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
-                held, n_words = np.frombuffer(row["held"], bool), np.frombuffer(row["n_words"], np.int64)
-                lengths = np.frombuffer(row["lengths"], np.uint32).astype(np.int64)
-                total = np.frombuffer(b"".join(x["total"] for x in sorted(row["totals"] or [], key=lambda x: x["part"])), np.uint64)
-                c = np.empty(len(lengths))
-                c[np.frombuffer(row["place"], np.uint32)] = total
-                spelled = np.frombuffer(row["spelled"], np.float64)
-                end, spelled = spelled[-1], spelled[:-1]
-                word = Packed(("x", np.uint32, 0, 4)).unpack(row["word"], int(n_words.sum()))["x"]
-                doc = np.repeat(np.arange(len(held)), n_words)
-                add = lambda x: np.bincount(doc, x[word], len(held))  # noqa: E731, B023
-                base = add(np.log10(c + 1)) + np.log10(ends + 1) - (n_words + 1) * np.log10(n + v + 1)
-                known = add((c > 0).astype(float)).astype(np.int64) + (ends > 0)
-                chance = lambda c, spelled: np.log10(np.where(c > 0, (1 - new) * (c + ones * 10.0**spelled) / max(n + ones, 1), new))
-                some = len(lengths) > 0
-                p = np.full(int(n_words.sum()) + len(held), 10.0 ** chance(np.float64(ends), end), np.float32)
-                first = np.cumsum(n_words + 1) - (n_words + 1)
-                p[_ragged(first, n_words)] = (10.0 ** chance(c, spelled))[word] if some else 0
-                text = np.frombuffer(row["letters"], np.uint8)
-                spaced = np.full(len(text) + len(lengths), SPACE, np.uint8)
-                spaced[_ragged(np.cumsum(lengths + 1) - (lengths + 1), lengths)] = text
-                values = (row["block"], row["doc_id"], row["held"], row["n_words"], (~held).astype(np.int64).tobytes(), known.tobytes(), base.tobytes(), (add(spelled) + end).tobytes(), np.zeros(len(held)).tobytes(), np.ones(len(held), bool).tobytes(), words(spaced)[0].tobytes(), row["word"], np.packbits(np.ones(len(p), bool)).tobytes(), p.tobytes(), len(p))
-                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, TYPES)], names=STATES)
-
-    totals = replies.groupBy("block").agg(F.collect_list(F.struct("part", "total")).alias("totals"))
-    rows = blocks.select("block", "doc_id", "held", "n_words", "word", "place", "letters", "lengths").join(totals, "block", "left").join(spelled.select("block", F.col("score").alias("spelled")), "block")
-    state = saved(rows.mapInArrow(score, STATE), "states")
-    for done in (sent, replies, spelled):
-        dropped(done)
-    state = grown(state, parts_for(spark, 2 * size, 8 << 20))
-    tokens_seen = state.withColumn("tokens", F.lit(int(n).to_bytes(8, "little")))
-    return tokens_seen.mapInArrow(_results, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, spelled_score double")
+    parts = parts_for(spark, size, 16 << 20)
+    blocks = bucketed(d.mapInArrow(blocker, BLOCKS), "block", parts_for(spark, size, 32 << 20), "blocks")
+    replies: list[DataFrame] = []
+
+    def asked() -> DataFrame:
+        """Blocks with all answers so far."""
+        if not replies:
+            return blocks.withColumn("answers", F.lit(None).cast("array<struct<step:int,part:int,n:bigint,reply:binary>>"))
+        every = replies[0]
+        for x in replies[1:]:
+            every = every.unionByName(x)
+        return blocks.join(every.groupBy("block").agg(F.collect_list(F.struct("step", "part", "n", "reply")).alias("answers")), "block", "left")
+
+    tokens = kinds = 0
+    for step in range(STEPS):
+        sent = asked().mapInArrow(asker(step, parts, tokens, kinds), "block long, part int, n long, sent binary")
+        replies.append(saved(sent.groupBy("part").applyInPandas(replier(step), "step int, block long, part int, n long, reply binary, kinds long, tokens long"), "replies"))
+        if step == 0:
+            kinds, tokens = (int(x or 0) for x in replies[0].agg(F.sum("kinds"), F.sum("tokens")).first())
+            words_known = asked()
+    grams = words_known.mapInArrow(letter_grams, "gram long, count long").groupBy("gram").agg(F.sum("count").alias("count"))
+    states = saved(letter_states(grams), "states")
+    n_slices = max(1, -(-states.where("level >= 3").count() // MOST_STATES))
+    spelled = None
+    for k in range(n_slices):
+        rows = states.where((F.col("level") < 3) | (F.pmod("hash", F.lit(n_slices)) == k)).select("level", "key", "count").toPandas()  # of checked size
+        tree = spark.sparkContext.broadcast(Tree(rows["level"].to_numpy(), rows["key"].to_numpy(), rows["count"].to_numpy()))
+        some = words_known.mapInArrow(speller(tree, k, n_slices), "block long, spelled binary")
+        spelled = some if spelled is None else spelled.unionByName(some)
+    spelled = saved(spelled, "spelled").groupBy("block").agg(F.collect_list("spelled").alias("spelled"))
+    return asked().join(spelled, "block", "left").mapInArrow(scorer(tokens, kinds), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, spelled_score double")
 
 
 def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 import random
 import zlib
-from collections import Counter
-from math import isclose, log10
+from collections import Counter, defaultdict
+from functools import cache
+from math import isclose, log, log10
 
 import numpy as np
 
@@ -31,24 +32,110 @@ def test_empty(spark):
     assert suffixtree.lm_scores(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_chances_sum_to_one():
+def plain(data, order=suffixtree.ORDER, letters=suffixtree.LETTERS):
+    """The model by its definition: (doc_id, log10 probability) of each text."""
+    docs = [(d, [*WORD.findall((t or "").encode().lower()), None], zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2) for d, t, *_ in data]
+    train = [ws for _, ws, held in docs if not held]
+    follow = defaultdict(Counter)
+    for ws in train:
+        for i, w in enumerate(ws):
+            for k in range(min(i, order) + 1):
+                follow[tuple(ws[i - k : i])][w] += 1
+    root = follow[()]
+    n, v = sum(root.values()), len(root)
+    spell = defaultdict(Counter)
+    for w in root:
+        if w is not None:
+            s = [None, *w, 32]
+            for i in range(1, len(s)):
+                for k in range(min(i, letters) + 1):
+                    spell[tuple(s[i - k : i])][s[i]] += 1
+
+    def spelled(w):
+        s, out = [None, *w, 32], 0.0
+        for i in range(1, len(s)):
+            p = 1 / 257
+            for k in range(min(i, letters) + 1):
+                c = spell.get(tuple(s[i - k : i]))
+                if not c:
+                    break
+                total = sum(c.values())
+                if k:
+                    below = spell[tuple(s[i - k + 1 : i])]
+                    gain = sum(x * (log(x / total) - log(below[y] / sum(below.values()))) for y, x in c.items())
+                    if total < suffixtree.FEWEST or gain < suffixtree.GAIN * len(c):
+                        continue
+                p = (c[s[i]] + len(c) * p) / (total + len(c))
+            out += log10(p)
+        return out
+
+    @cache
+    def kept(context):
+        c = follow[context]
+        total, kinds = sum(c.values()), len(c)
+        if total < suffixtree.FEWEST:
+            return False
+        gain = -total * log(total - 1 + kinds) + sum(log(kinds) if x == 1 else x * (log(x - 1) - log(chance(context[1:], y))) for y, x in c.items())
+        return gain >= suffixtree.GAIN
+
+    @cache
+    def chance(context, w):
+        if not context:
+            return (root[w] or max(v, 1)) / max(n + v, 1)
+        p = chance(context[1:], w)
+        if context in follow and kept(context):
+            c = follow[context]
+            p = (c[w] + len(c) * p) / (sum(c.values()) + len(c))
+        return p
+
+    return [(d, sum(log10(chance(tuple(ws[max(0, i - order) : i]), w)) + (spelled(w) if w is not None and not root[w] else 0) for i, w in enumerate(ws))) for d, ws, _ in docs]
+
+
+def test_score(spark):
+    data = rows() + [(600 + k, "some phrase of the same words again and again. " * (k % 3 + 1), "en", "s", 1) for k in range(6)]
+    got = sorted(((r.doc_id, r.score) for r in suffixtree.lm_scores(frame(spark, data)).collect()), key=lambda r: (key(r[0]), r[1]))
+    want = sorted(plain(data), key=lambda r: (key(r[0]), r[1]))
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert all(isclose(g[1], w[1], rel_tol=1e-5) for g, w in zip(got, want))
+
+
+def test_spellings_sum_to_one():
     words = [b"that", b"this", b"the", b"on", "für".encode(), b"thousands"]
     lengths = np.array([len(w) for w in words])
-    gram, word = suffixtree.grams_of(np.frombuffer(b"".join(words), np.uint8), lengths)
-    counts = np.array([50, 20, 90, 40, 10, 30])[word]
-    rows_, below = [], None
-    g, c = suffixtree._unite(gram, counts)
-    start = (g >> np.uint64(16) & suffixtree._mask(1)) == suffixtree.NONE
-    rows_.append((1, *suffixtree._unite(g[start] & suffixtree._mask(2), c[start])))
-    for d in range(2, 8):
-        real = (g >> np.uint64(8 * d) & suffixtree._mask(1)) != suffixtree.NONE
-        rows_.append((d, *suffixtree._unite(g[real] & suffixtree._mask(d + 1), c[real])))
-    tree = suffixtree.Tree(rows_)
-    for context in (b"\t\t\t\t\t\t ", b"\t\t\t\t\t t", b"\t\t\t tho", b"zzzzzzz"):
-        grams = np.array([int.from_bytes(context + bytes([x]), "big") for x in range(256)], np.uint64)
+    gram = suffixtree.grams_of(np.frombuffer(b"".join(words), np.uint8), lengths)[0]
+    entries = Counter((d, int(g) & (1 << 8 * d + 8) - 1) for g in gram for d in range(suffixtree.LETTERS + 1) if int(g) >> 8 * d & 255 != suffixtree.NONE)
+    tree = suffixtree.Tree(*(np.array(x) for x in zip(*[(*k, c) for k, c in entries.items()])))
+    for context in (b"\t\t\t\t ", b"\t\t\t t", b"\t tho", b"zzzzz"):
+        grams = np.array([int.from_bytes(context + bytes([x]), "big") for x in range(256) if x != suffixtree.NONE], np.uint64)
         assert 0.99 < (10 ** tree.log10(grams)).sum() <= 1 + 1e-9
 
 
+def test_the_tree_of_letters_in_slices(spark, monkeypatch):
+    whole = {(r.doc_id, r.n_tokens): r.score for r in suffixtree.lm_scores(frame(spark)).collect()}
+    monkeypatch.setattr(suffixtree, "MOST_STATES", 50)
+    for r in suffixtree.lm_scores(frame(spark)).collect():
+        assert isclose(r.score, whole[r.doc_id, r.n_tokens], rel_tol=1e-9)
+
+
+def test_noise_and_shuffled_words_are_unlikely(spark):
+    """Random letters are the least likely of all texts; a text with phrases is likelier than the same words in another order."""
+    r = random.Random(3)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    fold = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    ids = [d for d in range(10**7, 10**7 + 100) if fold(d)]
+    prose = docs.where("lang = 'en' and length(text) > 3000").orderBy("doc_id").first().text if "lang" in docs.columns else docs.where("length(text) > 3000").orderBy("doc_id").first().text
+    words = prose.split()
+    r.shuffle(words)
+    noise = " ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(4, 9))) for _ in range(300))
+    extra = spark.createDataFrame([(ids[0], noise), (ids[1], prose), (ids[2], " ".join(words))], "doc_id long, text string")
+    got = suffixtree.lm_scores(docs.unionByName(extra)).toPandas()
+    got = got[got.n_tokens >= 50]
+    each = (got.score / got.n_tokens).set_axis(got.doc_id)
+    assert each[ids[0]] < each.drop(ids[0]).quantile(0.01)
+    assert each[ids[1]] > each[ids[2]]
+    assert each[got[~got.held_out].doc_id].median() > each[got[got.held_out & (got.doc_id < 10**7)].doc_id].median()
+
+
 def test_held_out_texts_are_likelier_than_by_frequency(spark):
     got = suffixtree.lm_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas()
     held = got[got.held_out]
@@ -77,12 +164,10 @@ def test_a_word_is_scored_by_its_longest_context(spark):
     assert got[a].score > got[b].score + 0.5
 
 
-def test_rare_contexts_of_letters_stay_in_a_large_corpus(spark):
-    """Two words with a stem of 12 letters end apart after their first one, a context of 13, seen 10 times in over a million symbols."""
+def test_rare_contexts_stay_in_a_large_corpus(spark):
+    """After "x c" comes y, after "z c" comes w, 10 times each among 200,000 other words."""
     fold = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
-    train, a = [d for d in range(400) if not fold(d)][:2], next(d for d in range(400) if fold(d))
-    b = next(d for d in range(400) if fold(d) and d != a)
-    words = " ".join(["xabcdefabcdefq", "yabcdefabcdefw"] * 10)
-    data = [(train[0], words, "en", "s", 1), (train[1], " ".join(random.Random(1).choices(VOCABULARY, k=200_000)), "en", "s", 1), (a, "xabcdefabcdefq", "en", "s", 1), (b, "xabcdefabcdefw", "en", "s", 1)]
+    train, (a, b) = [d for d in range(400) if not fold(d)][:2], [d for d in range(400) if fold(d)][:2]
+    data = [(train[0], "x c y z c w " * 10, "en", "s", 1), (train[1], " ".join(random.Random(1).choices(VOCABULARY, k=200_000)), "en", "s", 1), (a, "x c y", "en", "s", 1), (b, "x c w", "en", "s", 1)]
     got = {r.doc_id: r for r in suffixtree.lm_scores(spark.createDataFrame(data, SCHEMA)).collect()}
-    assert got[a].spelled_score > got[b].spelled_score + 0.5
+    assert got[a].score > got[b].score + 0.5
