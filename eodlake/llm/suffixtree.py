@@ -15,17 +15,19 @@ from eodlake.llm.repeats import Packed, part_of, slices
 
 #: Parameters of the model: the longest context in words and, for the spelling of unseen words, in letters.
 ORDER, LETTERS = 3, 5
+#: Letters of the word before that make the shortest context of a word, at the end of that word.
+ENDING = 3
 #: Training occurrences that a context needs at least; nats by which it must predict better than its suffix: a context of words over all its
 #: occurrences, each left out of its own prediction, and a context of letters for each different next letter.
-FEWEST, GAIN = 2, 3.0
+FEWEST, GAIN = 2, 1.0
 #: Symbols that no word holds: start and end of a word, none.
 SPACE, NONE = 0x20, 0x09
 #: Bytes of text in a block; entries of the tree of letters that are sent out at once.
 BLOCK, MOST_STATES = 4 << 20, 2_000_000
 END = U64(0xE7037ED1A0B428DB)
-NUMBERS, TOTALS, KEPT = Packed(("x", np.uint32, 0, 4)), Packed(("x", np.uint64, 0, 6)), Packed(("x", np.float32, 0, 4))
+NUMBERS, TOTALS, KEPT = Packed(("x", np.uint32, 0, 4)), Packed(("x", np.uint64, 0, 6)), Packed(("kinds", np.float32, 0, 4), ("n", np.uint64, 0, 6))
 COUNTED = Packed(("key", np.uint64, 0, 8), ("count", np.uint32, 0, 4))
-JUDGED = Packed(("key", np.uint64, 0, 8), ("n", np.uint64, 0, 5), ("gain", np.float32, 0, 4), ("kinds", np.float32, 0, 4), ("ones", np.uint32, 0, 4))
+JUDGED = Packed(("key", np.uint64, 0, 8), ("n", np.uint32, 0, 4), ("gain", np.float32, 0, 4), ("kinds", np.float32, 0, 4), ("ones", np.uint32, 0, 4))
 BLOCKS = "block long, doc_id binary, held binary, n_words binary, word binary, letters binary, lengths binary"
 TYPES = [pa.int64(), *[pa.binary()] * 6]
 Ask = tuple[Packed, dict[str, np.ndarray]]
@@ -37,6 +39,33 @@ def _ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(end[-1] if len(end) else 0) + np.repeat(start - (end - n), n)
 
 
+def grouped(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal numbers together, ascending, and which of them begin a group in it.
+
+    Sorts numbers whose low bits give way to their places, which is far faster than to sort places; if that ever leaves
+    different numbers mixed, places are sorted after all.
+    """
+    bits = U64(max(len(x), 1).bit_length())
+    least = x.min() if len(x) else U64(0)
+    spare = U64(64 - int((x.max() - least if len(x) else U64(0))).bit_length())
+    order = (np.sort((x - least) << spare & ~((U64(1) << bits) - U64(1)) | np.arange(len(x), dtype=np.uint64)) & (U64(1) << bits) - U64(1)).astype(np.int64)
+    sorted_ = x[order]
+    if (sorted_[1:] < sorted_[:-1]).any():
+        order = np.argsort(x, kind="stable")
+        sorted_ = x[order]
+    new = np.ones(len(x), bool)
+    np.not_equal(sorted_[1:], sorted_[:-1], out=new[1:])
+    return order, new
+
+
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, ascending, and which of them each is."""
+    order, new = grouped(x)
+    back = np.empty(len(x), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return x[order[new]], back
+
+
 def blocker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents to blocks: a block's distinct words with their letters, and its documents as word numbers."""
     from pyspark import TaskContext
@@ -76,65 +105,98 @@ class Block:
         self.place = np.arange(len(self.word)) - first[self.doc]
         self.train = ~self.held[self.doc]
 
+    @property
+    def endings(self) -> np.ndarray:
+        """A hash of the last ENDING letters of each word."""
+        end = np.cumsum(self.lengths)
+        code = np.zeros(len(self.hash), np.uint64)
+        for k in range(1, ENDING + 1):
+            code[:-1] = code[:-1] << U64(8) | np.where(self.lengths >= k, self.letters[np.maximum(end - k, 0)], 0).astype(np.uint64)
+        return mix(code, np.full(len(code), U64(ENDING)))
 
-def walk(b: Block, tokens: int, kinds: int) -> Generator[Ask, np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    """Asks what a block needs to know of all training texts, one question after the other, and returns its words' totals and all chances.
 
-    A question is a list of keys with this block's share of what is summed by key; the answer holds one number for each.
+def walk(b: Block, tokens: int, kinds: int) -> Generator[list[Ask], list, tuple[np.ndarray, np.ndarray]]:
+    """Asks what a block needs to know of all training texts, round by round, and returns its words' totals and all chances.
+
+    A question is a list of keys with this block's share of what is summed by key; an answer holds a number (of a
+    context two) for each. The first round asks for the counts of words, and of words behind their first contexts. Each
+    later one asks for verdicts on the contexts at hand and for counts behind those that are a word longer.
     """
+
+    def judged(at: np.ndarray, context: np.ndarray, above: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, Ask]:
+        train = b.train[at]
+        add = lambda x: np.bincount(context[train], x[train], len(above))
+        some = np.flatnonzero(np.bincount(context, minlength=len(above)))
+        some = some[np.argsort(above[some])]
+        gain = np.where(c > 1, np.log(np.maximum(c - 1, 1)) - np.log(chance[at]), 0.0)
+        sums = {"n": np.ones(len(at)), "gain": gain, "kinds": 1 / np.maximum(c, 1), "ones": c == 1}
+        return some, (JUDGED, {"key": above[some]} | {k: add(x.astype(float))[some] for k, x in sums.items()})
+
+    def asked(at: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, Ask]:
+        keys, inverse = distinct(mix(before, b.hash[b.word[at]]))
+        return keys, inverse, (COUNTED, {"key": keys, "count": np.bincount(inverse[b.train[at]], minlength=len(keys))})
+
     order = np.argsort(b.hash)
     count = np.bincount(b.word[b.train], minlength=len(b.hash))
+    # the first contexts: the last letters of the word before
+    endings, of_word = distinct(b.endings)
+    at = np.flatnonzero(b.place)
+    context = of_word[b.word[at - 1]]
+    _, inverse, ask = asked(at, endings[context])
+    answers = yield [(COUNTED, {"key": b.hash[order], "count": count[order]}), ask]
     total = np.empty(len(b.hash), np.int64)
-    total[order] = (yield COUNTED, {"key": b.hash[order], "count": count[order]}) >> 1
+    total[order] = answers[0]["x"].astype(np.int64) >> 1
     # the root: a seen word by its count, an unseen one by the weight of new words (its spelling comes on top)
     chance = (np.where(total > 0, total, max(kinds, 1)) / max(tokens + kinds, 1))[b.word]
+    here = (at, context, endings, answers[1]["x"][inverse].astype(np.int64) >> 1)
     gram, seen, entry, keys = b.hash[b.word], total[b.word], b.word, b.hash
-    for length in range(1, ORDER + 1):
-        at = np.flatnonzero((b.place[1:] >= length) & (seen[:-1] >= FEWEST)) + 1  # words that follow a context of this length
-        context, n = entry[at - 1], seen[at - 1].astype(np.float64)
-        longer = mix(gram[at - 1], b.hash[b.word[at]])
-        above, keys, inverse = keys, *np.unique(longer, return_inverse=True)
-        train = b.train[at]
-        c = (yield COUNTED, {"key": keys, "count": np.bincount(inverse[train], minlength=len(keys))})[inverse] >> 1
-        p = chance[at]
-        sums = [np.bincount(context[train], x, len(above)) for x in (np.where(c > 1, np.log(np.maximum(c - 1, 1)) - np.log(p), 0.0)[train], 1 / c[train], (c == 1)[train])]
-        some, of_some = np.unique(context, return_inverse=True)
-        many = np.empty(len(some))
-        many[of_some] = n
-        by_key = np.argsort(above[some])
-        kept = np.empty(len(some))
-        kept[by_key] = yield JUDGED, {"key": above[some][by_key], "n": many[by_key]} | {k: x[some][by_key] for k, x in zip(("gain", "kinds", "ones"), sums)}
-        kept = kept[of_some]
-        chance[at] = np.where(kept > 0, (c + kept * p) / (n + kept), p)
-        gram, seen, entry = np.zeros(len(gram), np.uint64), np.zeros(len(gram), np.int64), np.zeros(len(gram), np.int64)
-        gram[at], seen[at], entry[at] = longer, c, inverse
+    for length in range(1, ORDER + 2):
+        some, ask = judged(*here)
+        asks = [ask]
+        if length <= ORDER:
+            at = np.flatnonzero((b.place[1:] >= length) & (seen[:-1] >= FEWEST)) + 1  # words that follow a context of this length
+            above, longer = keys, mix(gram[at - 1], b.hash[b.word[at]])
+            keys, inverse, ask = asked(at, gram[at - 1])
+            asks.append(ask)
+        answers = yield asks
+        was, context, every, c = here
+        t, n = np.zeros(len(every)), np.zeros(len(every))
+        t[some], n[some] = answers[0]["kinds"], answers[0]["n"]
+        t, n, p = t[context], n[context], chance[was]
+        chance[was] = np.where(t > 0, (c + t * p) / np.maximum(n + t, 1), p)
+        if length <= ORDER:
+            c = answers[1]["x"][inverse].astype(np.int64) >> 1
+            here = (at, entry[at - 1], above, c)
+            gram, seen, entry = np.zeros(len(gram), np.uint64), np.zeros(len(gram), np.int64), np.zeros(len(gram), np.int64)
+            gram[at], seen[at], entry[at] = longer, c, inverse
     return total, chance
 
 
-#: Questions of ``walk``: of words, then for each length of what follows its contexts, and of the contexts.
-STEPS = 1 + 2 * ORDER
+#: Rounds of ``walk``. Question 2 r + i is number i of round r.
+ROUNDS = ORDER + 2
+
+
+def is_judged(question: int) -> bool:
+    return question >= 2 and question % 2 == 0
 
 
-def answer(b: Block, step: int, n: int) -> np.ndarray:
+def answer(b: Block, question: int, n: int) -> dict[str, np.ndarray]:
     """What all hash ranges answered to a block's question of ``n`` keys."""
-    form = KEPT if step and step % 2 == 0 else TOTALS
-    found = sorted((x["part"], x["n"], x["reply"]) for x in b.row["answers"] or [] if x["step"] == step)
-    out = np.concatenate([np.empty(0, np.float32 if form is KEPT else np.int64), *(form.unpack(reply, k)["x"] for _, k, reply in found)])
-    assert len(out) == n, (step, len(out), n)
-    return out.astype(np.float64 if form is KEPT else np.int64)
+    form = KEPT if is_judged(question) else TOTALS
+    found = [form.unpack(reply, k) for _, k, reply in sorted((x["part"], x["n"], x["reply"]) for x in b.row["answers"] or [] if x["question"] == question)]
+    return {k: np.concatenate([x[k] for x in found]) if found else np.empty(0, t) for k, t, *_ in form.fields}
 
 
 def walked(b: Block, upto: int, tokens: int, kinds: int):
-    """The question number ``upto`` of a block, or what its walk returns after the last."""
-    run, step = walk(b, tokens, kinds), 0
+    """The questions of a block in round ``upto``, or what its walk returns after the last."""
+    run = walk(b, tokens, kinds)
     try:
-        ask = next(run)
-        while step < upto:
-            ask = run.send(answer(b, step, len(ask[1]["key"])))
-            step += 1
+        asks = next(run)
+        for k in range(upto):
+            asks = run.send([answer(b, 2 * k + i, len(x["key"])) for i, (_, x) in enumerate(asks)])
     except StopIteration as end:
         return end.value
-    return ask
+    return asks
 
 
 def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
@@ -144,52 +206,55 @@ def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     give_back()
 
 
-def asker(step: int, parts: int, tokens: int, kinds: int) -> Callable:
-    """Blocks to one row for each hash range of the keys that they ask about."""
+def asker(number: int, parts: int, tokens: int, kinds: int) -> Callable:
+    """Blocks to the questions of a round, a row for each hash range of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks_of(batches):
-            form, x = walked(b, step, tokens, kinds)
-            at = part_of(x["key"], parts)
-            rows = [(b.row["block"], int(at[a]), z - a, form.pack(**{k: v[a:z] for k, v in x.items()})) for a, z in slices(at)] if len(at) else []
-            for i in range(0, len(rows), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 64]), (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["block", "part", "n", "sent"])
+            for i, (form, x) in enumerate(walked(b, number, tokens, kinds)):
+                at = part_of(x["key"], parts)
+                rows = [(b.row["block"], 2 * number + i, int(at[a]), z - a, form.pack(**{k: v[a:z] for k, v in x.items()})) for a, z in slices(at)] if len(at) else []
+                for k in range(0, len(rows), 64):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 64]), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))], names=["block", "question", "part", "n", "sent"])
 
     return run
 
 
-def replier(step: int) -> Callable:
-    """Sums of one hash range by key, sent back to each block in its order.
+ANSWERS = "question int, block long, part int, n long, reply binary, kinds long, tokens long"
 
-    Of words also how many there are, how many tokens, and, in the lowest bit, which block spells the word for the tree
-    of letters. Of contexts the number of different next words if the context is retained, else 0. A context is
-    retained if its next words, each left out of its own prediction, are likelier by GAIN nats in sum than under the
-    longest retained suffix: a repeated one then has a chance of at least (c - 1) / (n - 1 + kinds), one that came once kinds / (n - 1 + kinds) of
-    its chance under the suffix.
+
+def reply(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Sums of one question's hash range by key, sent back to each block in its order.
+
+    Of counts also how many keys and occurrences there are, and, in the lowest bit, which block spells the word for the
+    tree of letters. Of contexts the number of different next words and of all, or 0 if the context isn't retained. A
+    context is retained if its next words, each left out of its own prediction, are likelier by GAIN nats in sum than
+    under the longest retained suffix: a repeated one then has a chance of at least (c - 1) / (n - 1 + kinds), one that
+    came once kinds / (n - 1 + kinds) of its chance under the suffix.
     """
-    judged = step and step % 2 == 0
-
-    def reply(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = [(JUDGED if judged else COUNTED).unpack(x, n) for x, n in zip(pdf["sent"], pdf["n"])]
-        u, first, inverse = np.unique(np.concatenate([x["key"] for x in found]), return_index=True, return_inverse=True)
-        add = lambda k: np.bincount(inverse, np.concatenate([x[k] for x in found]).astype(np.float64), len(u))
-        kinds = tokens = 0
-        if judged:
-            n, t = np.concatenate([x["n"] for x in found])[first].astype(np.float64), np.round(add("kinds"))
-            gain = add("gain") + add("ones") * np.log(np.maximum(t, 1)) - n * np.log(np.maximum(n - 1 + t, 1))
-            out = np.where(gain >= GAIN, t, 0)[inverse]
-        else:
-            total = add("count").astype(np.int64)
-            kinds, tokens = int((total > 0).sum()), int(total.sum())
-            out = total[inverse] << 1
-            out[first] |= (total > 0).astype(np.int64)
-        ends = np.cumsum(pdf["n"].to_numpy())[:-1]
-        rest = [0] * (len(pdf) - 1)
-        sent = [(KEPT if judged else TOTALS).pack(x=x) for x in np.split(out, ends)]
-        give_back()
-        return pd.DataFrame({"step": step, "block": pdf["block"], "part": pdf["part"], "n": pdf["n"], "reply": sent, "kinds": [kinds, *rest], "tokens": [tokens, *rest]})
-
-    return reply
+    question = int(pdf["question"].iloc[0])
+    form, back = (JUDGED, KEPT) if is_judged(question) else (COUNTED, TOTALS)
+    found = [form.unpack(x, n) for x, n in zip(pdf["sent"], pdf["n"])]
+    order, new = grouped(np.concatenate([x["key"] for x in found]))
+    inverse, start = np.empty(len(order), np.int64), np.flatnonzero(new)
+    inverse[order], first = np.cumsum(new) - 1, order[start]
+    add = lambda k: np.add.reduceat(np.concatenate([x[k] for x in found])[order].astype(np.float64), start)
+    kinds = tokens = 0
+    if is_judged(question):
+        n, t = add("n"), np.round(add("kinds"))
+        gain = add("gain") + add("ones") * np.log(np.maximum(t, 1)) - n * np.log(np.maximum(n - 1 + t, 1))
+        kept = (gain >= GAIN) & (n >= FEWEST)
+        out = {"kinds": np.where(kept, t, 0)[inverse], "n": np.where(kept, n, 0)[inverse]}
+    else:
+        total = add("count").astype(np.int64)
+        kinds, tokens = int((total > 0).sum()), int(total.sum())
+        out = {"x": total[inverse] << 1}
+        out["x"][first] |= (total > 0).astype(np.int64)
+    edges = np.append(0, np.cumsum(pdf["n"].to_numpy()))
+    sent = [back.pack(**{k: x[a:z] for k, x in out.items()}) for a, z in zip(edges[:-1], edges[1:])]
+    rest = [0] * (len(pdf) - 1)
+    give_back()
+    return pd.DataFrame({"question": question, "block": pdf["block"], "part": pdf["part"], "n": pdf["n"], "reply": sent, "kinds": [kinds, *rest], "tokens": [tokens, *rest]})
 
 
 def grams_of(letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +281,7 @@ def letter_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     gram, count = np.empty(0, np.uint64), np.empty(0, np.int64)
     for b in blocks_of(batches):
         own = np.empty(len(b.hash), bool)
-        own[np.argsort(b.hash)] = answer(b, 0, len(b.hash)) & 1
+        own[np.argsort(b.hash)] = answer(b, 0, len(b.hash))["x"] & U64(1)
         own = np.flatnonzero(own[:-1])
         start = np.cumsum(b.lengths) - b.lengths
         u, n = np.unique(grams_of(b.letters[_ragged(start[own], b.lengths[own])], b.lengths[own])[0], return_counts=True)
@@ -286,7 +351,7 @@ def speller(tree, part: int, parts: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks_of(batches):
             total = np.empty(len(b.hash), np.int64)
-            total[np.argsort(b.hash)] = answer(b, 0, len(b.hash)) >> 1
+            total[np.argsort(b.hash)] = answer(b, 0, len(b.hash))["x"] >> U64(1)
             new = np.flatnonzero(total[:-1] == 0)
             if not len(new):
                 continue
@@ -303,7 +368,7 @@ def speller(tree, part: int, parts: int) -> Callable:
 def scorer(tokens: int, kinds: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks_of(batches):
-            total, chance = walked(b, STEPS, tokens, kinds)
+            total, chance = walked(b, ROUNDS, tokens, kinds)
             add = lambda x: np.bincount(b.doc, x, len(b.did))  # noqa: E731, B023
             spelled = sum((np.frombuffer(x, np.float64) for x in b.row["spelled"] or []), np.zeros(len(b.did)))
             base = add(np.log10((total + 1) / (tokens + kinds + 1))[b.word])
@@ -317,9 +382,9 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, spelled_score.
 
     Tokens are lower-cased words and one end a text; documents of the held-out fold are scored only. Score is the log10
-    probability of the text under a probabilistic suffix tree of words. Its states are contexts of up to ``ORDER``
-    previous words that come ``FEWEST`` times in training and pass the divergence test (``replier``), whatever the size of
-    the corpus. A word is scored by the longest state that ends before it: with T different next words in C cases,
+    probability of the text under a probabilistic suffix tree of words. Its states are contexts that end before
+    the word: the last ``ENDING`` letters of the word before, that word, and up to ``ORDER`` words. They are retained if
+    they come ``FEWEST`` times in training and pass the divergence test (``reply``), whatever the size of the corpus. A word is scored by the longest state that ends before it: with T different next words in C cases,
     (count + T * chance under the next shorter state) / (C + T); the empty context ends the chain in the same way with
     the word's spelling. Words seen in training take their count's share there, all others V / (N + V) times their
     spelling under a second suffix tree, of up to ``LETTERS`` letters, learnt from the distinct training words; so what the model has
@@ -336,24 +401,24 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
     d = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), (crc_mod("doc_id", folds) == held_fold).alias("held"), F.coalesce("text", F.lit("")).alias("text"))
     size = text_bytes(docs)
     parts = parts_for(spark, size, 16 << 20)
-    blocks = bucketed(d.mapInArrow(blocker, BLOCKS), "block", parts_for(spark, size, 32 << 20), "blocks")
+    blocks = bucketed(d.mapInArrow(blocker, BLOCKS), "block", max(parts_for(spark, size, 32 << 20), int(spark.conf.get("spark.sql.shuffle.partitions"))), "blocks")
     replies: list[DataFrame] = []
 
     def asked() -> DataFrame:
         """Blocks with all answers so far."""
         if not replies:
-            return blocks.withColumn("answers", F.lit(None).cast("array<struct<step:int,part:int,n:bigint,reply:binary>>"))
+            return blocks.withColumn("answers", F.lit(None).cast("array<struct<question:int,part:int,n:bigint,reply:binary>>"))
         every = replies[0]
         for x in replies[1:]:
             every = every.unionByName(x)
-        return blocks.join(every.groupBy("block").agg(F.collect_list(F.struct("step", "part", "n", "reply")).alias("answers")), "block", "left")
+        return blocks.join(every.groupBy("block").agg(F.collect_list(F.struct("question", "part", "n", "reply")).alias("answers")), "block", "left")
 
     tokens = kinds = 0
-    for step in range(STEPS):
-        sent = asked().mapInArrow(asker(step, parts, tokens, kinds), "block long, part int, n long, sent binary")
-        replies.append(saved(sent.groupBy("part").applyInPandas(replier(step), "step int, block long, part int, n long, reply binary, kinds long, tokens long"), "replies"))
-        if step == 0:
-            kinds, tokens = (int(x or 0) for x in replies[0].agg(F.sum("kinds"), F.sum("tokens")).first())
+    for k in range(ROUNDS):
+        sent = asked().mapInArrow(asker(k, parts, tokens, kinds), "block long, question int, part int, n long, sent binary")
+        replies.append(saved(sent.groupBy("question", "part").applyInPandas(reply, ANSWERS), "replies"))
+        if k == 0:
+            kinds, tokens = (int(x or 0) for x in replies[0].where("question = 0").agg(F.sum("kinds"), F.sum("tokens")).first())
             words_known = asked()
     grams = words_known.mapInArrow(letter_grams, "gram long, count long").groupBy("gram").agg(F.sum("count").alias("count"))
     states = saved(letter_states(grams), "states")

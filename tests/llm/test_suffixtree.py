@@ -34,13 +34,17 @@ def test_empty(spark):
 
 def plain(data, order=suffixtree.ORDER, letters=suffixtree.LETTERS):
     """The model by its definition: (doc_id, log10 probability) of each text."""
+
+    def states(ws, i):
+        return [(), *[w[-suffixtree.ENDING :] for w in ws[max(i - 1, 0) : i]], *[tuple(ws[i - k : i]) for k in range(1, min(i, order) + 1)]]
+
     docs = [(d, [*WORD.findall((t or "").encode().lower()), None], zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2) for d, t, *_ in data]
     train = [ws for _, ws, held in docs if not held]
     follow = defaultdict(Counter)
     for ws in train:
         for i, w in enumerate(ws):
-            for k in range(min(i, order) + 1):
-                follow[tuple(ws[i - k : i])][w] += 1
+            for context in states(ws, i):
+                follow[context][w] += 1
     root = follow[()]
     n, v = sum(root.values()), len(root)
     spell = defaultdict(Counter)
@@ -70,25 +74,25 @@ def plain(data, order=suffixtree.ORDER, letters=suffixtree.LETTERS):
         return out
 
     @cache
-    def kept(context):
-        c = follow[context]
+    def kept(contexts):
+        c = follow[contexts[-1]]
         total, kinds = sum(c.values()), len(c)
         if total < suffixtree.FEWEST:
             return False
-        gain = -total * log(total - 1 + kinds) + sum(log(kinds) if x == 1 else x * (log(x - 1) - log(chance(context[1:], y))) for y, x in c.items())
+        gain = -total * log(total - 1 + kinds) + sum(log(kinds) if x == 1 else x * (log(x - 1) - log(chance(contexts[:-1], y))) for y, x in c.items())
         return gain >= suffixtree.GAIN
 
     @cache
-    def chance(context, w):
-        if not context:
+    def chance(contexts, w):
+        if len(contexts) == 1:
             return (root[w] or max(v, 1)) / max(n + v, 1)
-        p = chance(context[1:], w)
-        if context in follow and kept(context):
-            c = follow[context]
+        p = chance(contexts[:-1], w)
+        if contexts[-1] in follow and kept(contexts):
+            c = follow[contexts[-1]]
             p = (c[w] + len(c) * p) / (sum(c.values()) + len(c))
         return p
 
-    return [(d, sum(log10(chance(tuple(ws[max(0, i - order) : i]), w)) + (spelled(w) if w is not None and not root[w] else 0) for i, w in enumerate(ws))) for d, ws, _ in docs]
+    return [(d, sum(log10(chance(tuple(states(ws, i)), w)) + (spelled(w) if w is not None and not root[w] else 0) for i, w in enumerate(ws))) for d, ws, _ in docs]
 
 
 def test_score(spark):
@@ -168,6 +172,6 @@ def test_rare_contexts_stay_in_a_large_corpus(spark):
     """After "x c" comes y, after "z c" comes w, 10 times each among 200,000 other words."""
     fold = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
     train, (a, b) = [d for d in range(400) if not fold(d)][:2], [d for d in range(400) if fold(d)][:2]
-    data = [(train[0], "x c y z c w " * 10, "en", "s", 1), (train[1], " ".join(random.Random(1).choices(VOCABULARY, k=200_000)), "en", "s", 1), (a, "x c y", "en", "s", 1), (b, "x c w", "en", "s", 1)]
+    data = [(train[0], "x c y common0 z c w common0 " * 10, "en", "s", 1), (train[1], " ".join(random.Random(1).choices(VOCABULARY, k=200_000)), "en", "s", 1), (a, "x c y common0", "en", "s", 1), (b, "x c w common0", "en", "s", 1)]
     got = {r.doc_id: r for r in suffixtree.lm_scores(spark.createDataFrame(data, SCHEMA)).collect()}
     assert got[a].score > got[b].score + 0.5
