@@ -6,6 +6,7 @@ import contextlib
 import gc
 import math
 import tempfile
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -49,9 +50,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def let_go(spark: SparkSession) -> None:
-    """Have Spark remove shuffle files to which nothing refers any longer."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Have Spark remove shuffle files to which nothing refers any longer; the second time finds what the first let go of."""
+    for pause in (0.2, 0):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(pause)
 
 
 def saved(df: DataFrame, tag: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import _LOWER, NO_ID, U64, bucketed, chunks, crc_mod, give_back, joined, mix, parts_for, saved, table, text_bytes, words
+from eodlake.llm.common import _LOWER, NO_ID, U64, bucketed, chunks, crc_mod, give_back, joined, let_go, mix, parts_for, saved, table, text_bytes, words
 from eodlake.llm.repeats import Packed, part_of, slices
 
 #: Parameters of the model: the longest context in words and, for the spelling of unseen words, in letters.
@@ -220,6 +220,7 @@ def asker(number: int, parts: int, tokens: int, kinds: int) -> Callable:
     return run
 
 
+ASKED = "block long, question int, part int, n long, sent binary"
 ANSWERS = "question int, block long, part int, n long, reply binary, kinds long, tokens long"
 
 
@@ -415,8 +416,8 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
 
     tokens = kinds = 0
     for k in range(ROUNDS):
-        sent = asked().mapInArrow(asker(k, parts, tokens, kinds), "block long, question int, part int, n long, sent binary")
-        replies.append(saved(sent.groupBy("question", "part").applyInPandas(reply, ANSWERS), "replies"))
+        let_go(spark)
+        replies.append(saved(asked().mapInArrow(asker(k, parts, tokens, kinds), ASKED).groupBy("question", "part").applyInPandas(reply, ANSWERS), "replies"))
         if k == 0:
             kinds, tokens = (int(x or 0) for x in replies[0].where("question = 0").agg(F.sum("kinds"), F.sum("tokens")).first())
             words_known = asked()
