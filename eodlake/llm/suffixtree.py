@@ -14,7 +14,7 @@ from eodlake.llm.common import _LOWER, NO_ID, U64, bucketed, chunks, crc_mod, gi
 from eodlake.llm.repeats import Packed, part_of, slices
 
 #: Parameters of the model: the longest context in words and, for the spelling of unseen words, in letters.
-ORDER, LETTERS = 3, 5
+ORDER, LETTERS = 2, 5
 #: Letters of the word before that make the shortest context of a word, at the end of that word.
 ENDING = 3
 #: Training occurrences that a context needs at least; nats by which it must predict better than its suffix: a context of words over all its
