@@ -7,6 +7,7 @@ from collections.abc import Callable, Generator, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ FEWEST, GAIN = 2, 1.0
 #: Symbols that no word holds: start and end of a word, none.
 SPACE, NONE = 0x20, 0x09
 #: Bytes of text in a block; entries of the tree of letters that are sent out at once.
-BLOCK, MOST_STATES = 4 << 20, 2_000_000
+BLOCK, MOST_STATES = 2 << 20, 2_000_000
 END = U64(0xE7037ED1A0B428DB)
 NUMBERS, TOTALS, KEPT = Packed(("x", np.uint32, 0, 4)), Packed(("x", np.uint64, 0, 6)), Packed(("kinds", np.float32, 0, 4), ("n", np.uint64, 0, 6))
 COUNTED = Packed(("key", np.uint64, 0, 8), ("count", np.uint32, 0, 4))
@@ -39,6 +40,14 @@ def _ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(end[-1] if len(end) else 0) + np.repeat(start - (end - n), n)
 
 
+def squeezed(form: Packed, arrays: dict[str, np.ndarray]) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(form.pack(**arrays))
+
+
+def restored(form: Packed, raw: bytes, n: int) -> dict[str, np.ndarray]:
+    return form.unpack(zstandard.decompress(raw), n)
+
+
 def grouped(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order that brings equal numbers together, ascending, and which of them begin a group in it.
 
@@ -183,7 +192,7 @@ def is_judged(question: int) -> bool:
 def answer(b: Block, question: int, n: int) -> dict[str, np.ndarray]:
     """What all hash ranges answered to a block's question of ``n`` keys."""
     form = KEPT if is_judged(question) else TOTALS
-    found = [form.unpack(reply, k) for _, k, reply in sorted((x["part"], x["n"], x["reply"]) for x in b.row["answers"] or [] if x["question"] == question)]
+    found = [restored(form, reply, k) for _, k, reply in sorted((x["part"], x["n"], x["reply"]) for x in b.row["answers"] or [] if x["question"] == question)]
     return {k: np.concatenate([x[k] for x in found]) if found else np.empty(0, t) for k, t, *_ in form.fields}
 
 
@@ -213,7 +222,7 @@ def asker(number: int, parts: int, tokens: int, kinds: int) -> Callable:
         for b in blocks_of(batches):
             for i, (form, x) in enumerate(walked(b, number, tokens, kinds)):
                 at = part_of(x["key"], parts)
-                rows = [(b.row["block"], 2 * number + i, int(at[a]), z - a, form.pack(**{k: v[a:z] for k, v in x.items()})) for a, z in slices(at)] if len(at) else []
+                rows = [(b.row["block"], 2 * number + i, int(at[a]), z - a, squeezed(form, {k: v[a:z] for k, v in x.items()})) for a, z in slices(at)] if len(at) else []
                 for k in range(0, len(rows), 64):
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 64]), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))], names=["block", "question", "part", "n", "sent"])
 
@@ -235,7 +244,7 @@ def reply(pdf: pd.DataFrame) -> pd.DataFrame:
     """
     question = int(pdf["question"].iloc[0])
     form, back = (JUDGED, KEPT) if is_judged(question) else (COUNTED, TOTALS)
-    found = [form.unpack(x, n) for x, n in zip(pdf["sent"], pdf["n"])]
+    found = [restored(form, x, n) for x, n in zip(pdf["sent"], pdf["n"])]
     order, new = grouped(np.concatenate([x["key"] for x in found]))
     inverse, start = np.empty(len(order), np.int64), np.flatnonzero(new)
     inverse[order], first = np.cumsum(new) - 1, order[start]
@@ -252,7 +261,7 @@ def reply(pdf: pd.DataFrame) -> pd.DataFrame:
         out = {"x": total[inverse] << 1}
         out["x"][first] |= (total > 0).astype(np.int64)
     edges = np.append(0, np.cumsum(pdf["n"].to_numpy()))
-    sent = [back.pack(**{k: x[a:z] for k, x in out.items()}) for a, z in zip(edges[:-1], edges[1:])]
+    sent = [squeezed(back, {k: x[a:z] for k, x in out.items()}) for a, z in zip(edges[:-1], edges[1:])]
     rest = [0] * (len(pdf) - 1)
     give_back()
     return pd.DataFrame({"question": question, "block": pdf["block"], "part": pdf["part"], "n": pdf["n"], "reply": sent, "kinds": [kinds, *rest], "tokens": [tokens, *rest]})
