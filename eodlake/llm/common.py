@@ -41,9 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; where it is unset, a temporary one on this machine if the executors are here too."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -230,6 +232,8 @@ def crc_mod(doc_id: str, k: int) -> Column:
 
 
 def keep_rows(docs: DataFrame, th: Column, stay: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose (id, ``th``) is in ``stay`` (_did, _th); one of equal rows."""
-    keyed = docs.withColumns({"_did": F.coalesce("doc_id", F.lit(NO_ID)), "_th": th})
-    return keyed.join(stay.distinct(), ["_did", "_th"], "left_semi").dropDuplicates(["_did", "_th"]).select(docs.columns)
+    """Rows of ``docs`` whose (id, ``th``) is in ``stay`` (_did, _th); one of equal rows. Columns of ``docs`` may have any names."""
+    key = f"_{uuid.uuid4().hex}"
+    keyed = docs.withColumn(key, F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), th.alias("th")))
+    stay = stay.select(F.struct(F.col("_did").alias("did"), F.col("_th").alias("th")).alias(key)).distinct()
+    return keyed.join(stay, key, "left_semi").dropDuplicates([key]).select(docs.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -79,11 +81,13 @@ def mixed(docs: DataFrame, seed: str = "mix", **shares) -> DataFrame:
     A document is in its source's sample if its random number is at most the largest one taken there, so the decision
     joins the few sources, and no text is shuffled.
     """
-    cuts = saved(mix(docs, seed, cut=False, **shares).groupBy(F.col("source").alias("_source")).agg(F.max("copies").alias("_copies"), F.max("in").alias("_in")), "cuts")
+    own = f"_{uuid.uuid4().hex}_"  # columns of docs may have any names
+    source, copies, inside, times = (F.col(own + x) for x in ("source", "copies", "in", "times"))
+    cuts = saved(mix(docs, seed, cut=False, **shares).groupBy(F.col("source").alias(own + "source")).agg(F.max("copies").alias(own + "copies"), F.max("in").alias(own + "in")), "cuts")
     few = cuts.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES
-    d = docs.join(F.broadcast(cuts) if few else cuts, F.col("source").eqNullSafe(F.col("_source")))
-    times = F.col("_copies") + F.when(chance(seed) <= F.col("_in"), 1).otherwise(0)
-    return d.withColumn("_times", times).where("_times > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy")).select(docs.columns)
+    d = docs.join(F.broadcast(cuts) if few else cuts, F.col("source").eqNullSafe(source))
+    d = d.withColumn(own + "times", copies + F.when(chance(seed) <= inside, 1).otherwise(0)).where(times > 0)
+    return d.select(*docs.columns, F.explode(F.sequence(F.lit(1), times.cast("int"))).alias(own + "copy")).select(docs.columns)
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,11 +24,11 @@ FEWEST, GAIN = 2, 1.0
 #: Symbols that no word holds: start and end of a word, none.
 SPACE, NONE = 0x20, 0x09
 #: Bytes of text in a block; entries of the tree of letters that are sent out at once.
-BLOCK, MOST_STATES = 2 << 20, 2_000_000
+BLOCK, MOST_STATES = 3 << 20, 2_000_000
 END = U64(0xE7037ED1A0B428DB)
 NUMBERS, TOTALS, KEPT = Packed(("x", np.uint32, 0, 4)), Packed(("x", np.uint64, 0, 6)), Packed(("kinds", np.float32, 0, 4), ("n", np.uint64, 0, 6))
 COUNTED = Packed(("key", np.uint64, 0, 8), ("count", np.uint32, 0, 4))
-JUDGED = Packed(("key", np.uint64, 0, 8), ("n", np.uint32, 0, 4), ("gain", np.float32, 0, 4), ("kinds", np.float32, 0, 4), ("ones", np.uint32, 0, 4))
+JUDGED = Packed(("key", np.uint64, 0, 8), ("n", np.uint32, 0, 4), ("gain", np.float32, 1, 4), ("kinds", np.float32, 0, 4), ("ones", np.uint32, 0, 4))
 BLOCKS = "block long, doc_id binary, held binary, n_words binary, word binary, letters binary, lengths binary"
 TYPES = [pa.int64(), *[pa.binary()] * 6]
 Ask = tuple[Packed, dict[str, np.ndarray]]

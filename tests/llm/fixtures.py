@@ -33,7 +33,7 @@ def frame(spark, data=None):
 
     df = spark.createDataFrame(rows() if data is None else data, SCHEMA)
     # extra columns, named as the operators name their own
-    return df.withColumns({c: F.lit(7) for c in ("did", "tag", "runs", "part", "kept", "size", "score", "text_sha256", "copies")}).repartition(3)
+    return df.withColumns({c: F.lit(7) for c in ("did", "tag", "runs", "part", "kept", "size", "score", "text_sha256", "copies", "_did", "_th", "_in", "_source", "_copies", "_times")}).repartition(3)
 
 
 def key(x):
