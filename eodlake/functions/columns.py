@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Date formats tried in this order; a one-letter day accepts one or two digits.
-DATE_FORMATS = ("d-MMM-yyyy", "yyyy-MM-dd", "d/M/yyyy", "d-M-yyyy", "d-MMM-yy", "yyyyMMdd")
+#: Date formats tried in this order (fixed values); a one-letter day accepts one or two digits.
+DATE_FORMATS = ("d-MMM-yy", "d-M-yyyy", "d/M/yyyy", "yyyy-MM-dd", "M/d/yyyy", "d-MMM-yyyy", "yyyyMMdd")
 
 
 def blank_to_null(c: Column) -> Column:

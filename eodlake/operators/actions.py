@@ -30,10 +30,16 @@ def latest_wins(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(order.desc()))).where("_n = 1").drop("_n")
 
 
-def resolved(rows: DataFrame, codes: DataFrame, key: Column) -> DataFrame:
-    """Rows with the isin of ``codes`` (code, isin); rows without one have null. The master of instruments is small and
-    broadcast only if Spark finds it so."""
-    return rows.join(codes.withColumnRenamed("code", "_code"), key == F.col("_code"), "left").drop("_code")
+def resolved(rows: DataFrame, codes: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows with the isin of ``codes`` (code, isin), and how many have none there, which are dropped (n_unmatched).
+
+    Both sides are compared trimmed and in upper case. The master of instruments is small and broadcast only if Spark finds it so.
+    """
+    plain = lambda c: F.upper(F.trim(c))
+    c = codes.where("isin is not null").select(plain(F.col("code")).alias("_code"), "isin").distinct()
+    keyed = rows.withColumn("_key", plain(key.cast("string")))
+    lost = keyed.join(c, F.col("_key") == F.col("_code"), "left_anti").agg(F.count("*").alias("n_unmatched"))
+    return keyed.join(c, F.col("_key") == F.col("_code")).drop("_code", "_key"), lost
 
 
 def reconciled(raw: DataFrame) -> DataFrame:

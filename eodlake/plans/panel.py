@@ -28,17 +28,17 @@ group by user_id, cast(ts as date)""",
     # what each exchange says about splits and bonuses, as text
     "actions": """
 select 'S' || cast(o_custkey % 100 as string) as isin, 'P' || cast(o_custkey as string) as symbol, x.exchange, cast(o_orderdate as date) as ex_date, o_orderkey as seq,
-  case o_orderpriority when '1-URGENT' then 'Bonus ' || cast(1 + o_orderkey % 3 + case when x.exchange = 'BSE' and o_orderkey % 7 = 0 then 1 else 0 end as string) || ':1'
-    when '2-HIGH' then 'Face Value Split From Rs 10/- Per Share To Rs 2/- Per Share' when '3-MEDIUM' then 'Dividend - Rs 5 Per Share'
-    when '4-NOT SPECIFIED' then 'Bonus issue' else 'Stock split From Rs 10/- To Re 1/-' end as subject
+  case when o_orderkey % 50 <> 0 then 'Dividend - Rs 2 Per Share' when o_orderpriority = '1-URGENT' then 'Bonus ' || cast(1 + o_orderkey % 3 + case when x.exchange = 'BSE' and o_orderkey % 7 = 0 then 1 else 0 end as string) || ':1'
+    when o_orderpriority = '2-HIGH' then 'Face Value Split From Rs 10/- Per Share To Rs 2/- Per Share' when o_orderpriority = '3-MEDIUM' then 'Dividend - Rs 5 Per Share'
+    when o_orderpriority = '4-NOT SPECIFIED' then 'Bonus issue' else 'Stock split From Rs 10/- To Re 1/-' end as subject
 from {orders} cross join (values ('NSE'), ('BSE')) as x(exchange)
-where o_orderkey % 50 = 0 and (o_orderstatus = 'P' or (o_orderstatus = 'F') = (x.exchange = 'NSE'))""",
+where o_orderstatus = 'P' or (o_orderstatus = 'F') = (x.exchange = 'NSE')""",
     # one row a day and exchange with the outcome of its load
     "metadata": """
 select cast(l_shipdate as date) as trade_date, case when l_linestatus = 'F' then 'NSE' else 'BSE' end as exchange,
   case when count(*) % 7 = 3 then 'FAILED' else 'SUCCESS' end as upload_status, count(*) as total_stocks, max(l_orderkey) as processing_time_ms,
   case when count(*) % 7 = 3 then 'short file' end as error_message
-from {lineitem} where l_suppkey % 5 = 1 group by cast(l_shipdate as date), case when l_linestatus = 'F' then 'NSE' else 'BSE' end""",
+from {lineitem} group by cast(l_shipdate as date), case when l_linestatus = 'F' then 'NSE' else 'BSE' end""",
     # the instrument master: two to four rows an isin, by exchange family
     "universe": """
 select 'S' || cast(s_suppkey as string) as isin_number, x.exchange,
@@ -70,13 +70,14 @@ select event_id as id, 'source' || cast(user_id % 5 as string) as data_source, c
     "stored": """
 select isin, exchange, trade_date, max(close) as avg_gain, min(close) as avg_loss, count(*) as n from (
   select 'S' || cast(l_suppkey as string) as isin, case when l_linestatus = 'F' then 'NSE' else 'BSE' end as exchange, cast(l_shipdate as date) as trade_date,
-    l_extendedprice as close from {lineitem} where l_orderkey % 3 = 0) as x group by isin, exchange, trade_date""",
+    l_extendedprice as close from {lineitem}) as x group by isin, exchange, trade_date""",
     # raw texts of a file: numbers and dates as strings, some of them junk
     "raw": f"""
 select o_orderkey as id, case o_orderkey % 6 when 0 then ' ' when 1 then null else ' ' || o_orderstatus end as primary_text, o_orderpriority as other_text,
   case o_orderkey % 7 when 0 then {_DAY} || '-' || {_MMM} || '-' || {_YEAR} when 1 then {_YEAR} || '-' || {_MONTH} || '-' || {_DAY}
     when 2 then {_DAY} || '/' || {_MONTH} || '/' || {_YEAR} when 3 then cast(cast({_DAY} as int) as string) || '-' || {_MMM} || '-' || {_YEAR}
-    when 4 then 'n/a' when 5 then {_DAY} || '-' || {_MONTH} || '-' || {_YEAR} else null end as date_text,
+    when 4 then 'n/a' when 5 then {_DAY} || '-' || {_MONTH} || '-' || {_YEAR}
+    else case when o_orderkey % 2 = 0 then {_MONTH} || '/' || {_DAY} || '/' || {_YEAR} when o_orderkey % 5 > 0 then {_DAY} || '-' || {_MMM} || '-' || substr({_YEAR}, 3, 2) end end as date_text,
   case o_orderkey % 5 when 0 then ' ' || cast(o_totalprice as string) when 1 then '-' when 2 then '' when 3 then cast(o_custkey as string) || '.125' else cast(o_custkey as string) || '.00' end as number_text,
   case when o_orderkey % 4 = 0 then cast(o_custkey as string) || '.00' when o_orderkey % 4 = 1 then cast(o_custkey as string) when o_orderkey % 4 = 2 then 'x' end as int_text,
   cast(o_orderdate as date) as day, o_orderkey % 100000 * 86400 as epoch_s, o_orderkey % 100000 * 86400000 as epoch_ms, o_totalprice as price, o_custkey as cust

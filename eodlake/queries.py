@@ -45,7 +45,7 @@ def over(name: str, view_name: str, query: Callable[[DataFrame], DataFrame], bod
 
 raw = "raw"
 over("scl1_first_nonblank", raw, lambda r: (lambda x: x.select("id", C.named(x, "missing", "primary", "OTHER_text").alias("text")))(r.withColumnsRenamed({"primary_text": "PRIMARY"})), "SELECT id, coalesce(nullif(trim(primary_text), ''), nullif(trim(other_text), '')) AS text FROM raw")
-over("scl2_parse_date", raw, lambda r: r.select("id", C.parse_date(F.col("date_text")).alias("day")), "SELECT id, CAST(try_strptime(date_text, ['%d-%b-%Y', '%Y-%m-%d', '%d/%m/%Y', '%d-%m-%Y']) AS DATE) AS day FROM raw")
+over("scl2_parse_date", raw, lambda r: r.select("id", C.parse_date(F.col("date_text")).alias("day")), "SELECT id, CAST(try_strptime(date_text, ['%d-%b-%y', '%d-%m-%Y', '%d/%m/%Y', '%Y-%m-%d', '%m/%d/%Y', '%d-%b-%Y']) AS DATE) AS day FROM raw")
 over("scl3_parse_decimal", raw, lambda r: r.select("id", C.parse_decimal(F.col("number_text")).alias("value")), "SELECT id, TRY_CAST(trim(number_text) AS DECIMAL(20, 2)) AS value FROM raw")
 over("scl4_parse_int", raw, lambda r: r.select("id", C.parse_int(F.col("int_text")).alias("value")), "SELECT id, CAST(trunc(TRY_CAST(int_text AS DOUBLE)) AS BIGINT) AS value FROM raw")
 over("scl5_percent_change", "prices", lambda p: p.select("row_a", "row_b", "close", F.round(C.percent_change(F.col("close"), F.nullif(F.col("prev_close"), F.lit(0.0))), 6).alias("change")), "SELECT row_a, row_b, close, round((close - prev_close) * 100 / nullif(prev_close, 0), 6) AS change FROM prices")
@@ -191,14 +191,14 @@ over("agg1_common_days", "metadata", R.common_days, f"WITH {_common} SELECT trad
 over("agg2_latest_success", "metadata", lambda m: m.where("upload_status = 'SUCCESS'").groupBy("exchange").agg(F.max("trade_date").alias("latest")), "SELECT exchange, max(trade_date) AS latest FROM metadata WHERE upload_status = 'SUCCESS' GROUP BY exchange")
 over("agg3_max_date", "stored", lambda m: m.agg(F.max("trade_date").alias("latest")), "SELECT max(trade_date) AS latest FROM stored")
 over("win6_session_numbers", "metadata", lambda m: R.sessions(R.common_days(m)), f"WITH {_common} SELECT trade_date, row_number() OVER (ORDER BY trade_date) - 1 AS session_no FROM days")
-_closed = lambda s, d: s.read.parquet(f"{d}/orders.parquet").where("o_orderkey % 41 = 0").select(F.to_date("o_orderdate").alias("day")).distinct()
-_kinds = "h AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderkey % 41 = 0), d AS (SELECT CAST(x AS DATE) AS day FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '1997-01-01', INTERVAL 1 DAY) t(x)), k AS (SELECT d.day, CASE WHEN isodow(d.day) >= 6 THEN 'WEEKEND' WHEN h.day IS NOT NULL THEN 'HOLIDAY' ELSE 'TRADING' END AS kind FROM d LEFT JOIN h ON h.day = d.day)"
+_closed = lambda s, d: s.read.parquet(f"{d}/orders.parquet").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.sum("o_orderkey").alias("n")).where("n % 11 = 0").select("day")
+_kinds = "h AS (SELECT CAST(o_orderdate AS DATE) AS day FROM orders GROUP BY ALL HAVING sum(o_orderkey) % 11 = 0), d AS (SELECT CAST(x AS DATE) AS day FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '1997-01-01', INTERVAL 1 DAY) t(x)), k AS (SELECT d.day, CASE WHEN isodow(d.day) >= 6 THEN 'WEEKEND' WHEN h.day IS NOT NULL THEN 'HOLIDAY' ELSE 'TRADING' END AS kind FROM d LEFT JOIN h ON h.day = d.day)"
 _range = lambda s, d: K.days(s, F.lit("1995-01-01").cast("date"), F.lit("1996-12-31").cast("date"), _closed(s, d))
 add("jon13_trading_days", lambda s, d: _range(s, d).where("kind = 'TRADING'").select("day"), f"WITH {_kinds} SELECT day FROM k WHERE kind = 'TRADING'")
 add("cal2_days_between", _range, f"WITH {_kinds} SELECT day, kind FROM k")
 add("agg16_day_counts", lambda s, d: K.counted(_range(s, d)), f"WITH {_kinds} SELECT count(*) FILTER (kind = 'TRADING') AS trading_days, count(*) FILTER (kind = 'WEEKEND') AS weekend_days, count(*) FILTER (kind = 'HOLIDAY') AS holidays FROM k")
 add("cal1_last_days", lambda s, d: K.last_days(s, F.lit("1996-12-31").cast("date"), 60, _closed(s, d)).where("kind = 'TRADING'").select("day", "back"), f"WITH {_kinds} SELECT day, back FROM (SELECT day, row_number() OVER (ORDER BY day DESC) AS back FROM k WHERE kind = 'TRADING') WHERE back <= 60")
-add("cal3_holiday_texts", lambda s, d: K.holidays(_closed(s, d).select(F.date_format("day", "MMMM d, yyyy").alias("date"))), "SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderkey % 41 = 0")
+add("cal3_holiday_texts", lambda s, d: K.holidays(_closed(s, d).select(F.date_format("day", "MMMM d, yyyy").alias("date"))), "SELECT CAST(o_orderdate AS DATE) AS day FROM orders GROUP BY ALL HAVING sum(o_orderkey) % 11 = 0")
 _events = lambda s, d: s.read.parquet(f"{d}/events.parquet")
 _ist = "ts + INTERVAL 330 MINUTE"
 add("cal4_ceiling_date", lambda s, d: _events(s, d).select("event_id", C.ceiling_date(F.col("ts")).alias("ceiling")), f"SELECT event_id, CAST({_ist} AS DATE) - CASE WHEN hour({_ist}) >= 19 THEN 0 ELSE 1 END AS ceiling FROM events")
@@ -280,12 +280,12 @@ add("agg4_product", lambda s, d: _matched(s, d).where("adjustment_factor > 0").g
 _codes = lambda s, d: view(s, d, "universe").where("symbol is not null").select(F.regexp_replace("symbol", "^[NB]", "").alias("code"), F.col("isin_number").alias("isin")).distinct()
 _asked = lambda s, d, x: view(s, d, "actions").where(f"exchange = '{x}'").select("seq", F.concat(F.lit(" "), F.regexp_replace("symbol", "P", "")).alias("code_text"))
 for _id, _x in (("jon3_resolved_codes", "BSE"), ("jon4_resolved_symbols", "NSE")):
-    add(_id, lambda s, d, x=_x: A.resolved(_asked(s, d, x), _codes(s, d), F.upper(F.trim("code_text"))).select("seq", "isin"), f"WITH c AS (SELECT DISTINCT substr(symbol, 2) AS code, isin_number AS isin FROM universe WHERE symbol IS NOT NULL) SELECT seq, c.isin FROM actions LEFT JOIN c ON c.code = substr(symbol, 2) WHERE exchange = '{_x}'")
+    add(_id, lambda s, d, x=_x: A.resolved(_asked(s, d, x), _codes(s, d), F.col("code_text"))[0].select("seq", "isin"), f"WITH c AS (SELECT DISTINCT substr(symbol, 2) AS code, isin_number AS isin FROM universe WHERE symbol IS NOT NULL) SELECT seq, c.isin FROM actions JOIN c ON c.code = substr(symbol, 2) WHERE exchange = '{_x}'")
 _before = lambda s, d: _matched(s, d).where("ex_date < date'1996-06-01'")
 _newly_sql = f"{_reconciled_sql}, newly AS (SELECT * FROM reconciled WHERE reconciliation_status = 'MATCHED' AND adjustment_factor IS NOT NULL AND ex_date >= DATE '1996-06-01')"
 add("jon6_newly_matched", lambda s, d: A.newly_matched(_matched(s, d), _before(s, d)), f"WITH {_newly_sql} SELECT * FROM newly")
-_touched = lambda s, d: _raw_actions(s, d).where("seq % 3 = 0").select(*A.KEY).distinct()
-add("jon7_touched_only", lambda s, d: A.reconciled(_raw_actions(s, d).join(_touched(s, d), A.KEY, "left_semi")), f"WITH {_reconciled_sql} SELECT r.* FROM reconciled r WHERE EXISTS (SELECT 1 FROM raws t WHERE t.seq % 3 = 0 AND t.isin = r.isin AND t.action_type = r.action_type AND t.ex_date = r.ex_date)")
+_touched = lambda s, d: _raw_actions(s, d).where("ex_date between date'1996-01-01' and date'1996-12-31'").select(*A.KEY).distinct()
+add("jon7_touched_only", lambda s, d: A.reconciled(_raw_actions(s, d).join(_touched(s, d), A.KEY, "left_semi")), f"WITH {_reconciled_sql} SELECT r.* FROM reconciled r WHERE EXISTS (SELECT 1 FROM raws t WHERE t.ex_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' AND t.isin = r.isin AND t.action_type = r.action_type AND t.ex_date = r.ex_date)")
 add("agg14_unparsed", lambda s, d: _raw_actions(s, d).agg(F.count_if(F.col("face_value_old").isNull()).alias("unparsed"), F.count("*").alias("rows"), F.count_distinct(*A.KEY).alias("keys")), f"WITH {_raw_sql} SELECT count(*) FILTER (face_value_old IS NULL) AS unparsed, count(*) AS rows, count(DISTINCT (isin, action_type, ex_date)) AS keys FROM raws")
 add("set4_touched_union", lambda s, d: (lambda r: r.where("exchange = 'NSE'").select(*A.KEY).union(r.where("exchange = 'BSE'").select(*A.KEY)).distinct())(_raw_actions(s, d)), f"WITH {_raw_sql} SELECT isin, action_type, ex_date FROM raws WHERE exchange = 'NSE' UNION SELECT isin, action_type, ex_date FROM raws WHERE exchange = 'BSE'")
 add("set7_new_isins", lambda s, d: A.newly_matched(_matched(s, d), _before(s, d)).select("isin").distinct().orderBy("isin"), f"WITH {_newly_sql} SELECT DISTINCT isin FROM newly ORDER BY isin")
@@ -519,4 +519,5 @@ def _stream_gate(s: SparkSession, d: str) -> DataFrame:
 
 
 add("str7_gated_enrichment", _stream_gate)
-ORACLES["str7_gated_enrichment"] = ORACLES["job5_enriched_master"]
+_gate = sql("SELECT bool_and(status = 'success') AND count(*) FILTER (data_source IN ('source0', 'source1', 'source2', 'source3', 'source4')) = 5 FROM (SELECT data_source, arg_max(status, id) AS status FROM uploads GROUP BY data_source)")
+ORACLES["str7_gated_enrichment"] = f"SELECT j.* FROM ({ORACLES['job5_enriched_master']}) AS j WHERE ({_gate})"

@@ -139,12 +139,20 @@ def action_window(landed: DataFrame, today: str, store: str, back: int = 7, ahea
 
 
 def gated(uploads: DataFrame, required: list[str], history: str, work: Callable[[], None], checkpoint: str) -> StreamingQuery:
-    """Runs ``work`` when the latest attempt of every required source in the log at ``history`` succeeded."""
+    """Runs ``work`` when the latest attempt of every required source in the log at ``history`` succeeded, once for each newest attempt.
+
+    The newest attempt that ``work`` has seen is appended to ``history``-runs, so more log rows of the same batch don't run it again.
+    """
     spark = uploads.sparkSession
+    runs = history.rstrip("/") + "-runs"
+    spark.createDataFrame([], "max_id long").write.mode("append").parquet(runs)
 
     def batch(df: DataFrame, _: int) -> None:
         df.write.mode("append").parquet(history)
-        if E.ready(spark.read.parquet(history), required).first().is_ready:
+        now = E.ready(spark.read.parquet(history), required)
+        gate, last = now.first(), spark.read.parquet(runs).agg(F.max("max_id")).first()[0]
+        if gate.is_ready and (last is None or gate.max_id > last):
             work()
+            now.select(F.col("max_id").cast("long")).write.mode("append").parquet(runs)
 
     return uploads.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
