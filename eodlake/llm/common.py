@@ -6,7 +6,6 @@ import contextlib
 import gc
 import math
 import tempfile
-import time
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -52,11 +51,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def let_go(spark: SparkSession) -> None:
-    """Have Spark remove shuffle files to which nothing refers any longer; the second time finds what the first let go of."""
-    for pause in (0.2, 0):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(pause)
+    """Have Spark remove shuffle files to which nothing refers any longer."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+@contextlib.contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a table that is written inside go as soon as it is written."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def saved(df: DataFrame, tag: str) -> DataFrame:
@@ -69,7 +81,8 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     path = f"{shared_dir(spark)}/eodlake-{tag}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     let_go(spark)
-    df.write.option("compression", "zstd").parquet(path)
+    with tidy(spark):
+        df.write.option("compression", "zstd").parquet(path)
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
@@ -81,7 +94,8 @@ def bucketed(df: DataFrame, key: str, n: int, tag: str) -> DataFrame:
     name = f"eodlake_{tag}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/{name}"
     let_go(spark)
-    df.repartition(n, key).write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, key).saveAsTable(name)
+    with tidy(spark):
+        df.repartition(n, key).write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, key).saveAsTable(name)
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.table(name)
