@@ -1,7 +1,8 @@
-"""License scan: sparse TF-IDF cosine of lines to license statements, and inheritance along directories."""
+"""License scan: sparse TF-IDF cosine of lines, headers and licence files to templates, and inheritance along directories."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,28 +12,47 @@ from pyspark.sql import functions as F
 
 from eodlake.llm.common import chunks, joined, saved, table, words
 
-# How licenses are usually stated in headers and licence files.
+# How licenses are usually stated in a line, in the header of a file (as one text, however it is wrapped),
+# and in full where they are short.
+_MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_BSD_FIRST = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_THIRD = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_LAST = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
     ("MIT", "Released under the MIT License"),
-    ("MIT", "SPDX-License-Identifier: MIT"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MIT", _MIT),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, version 3"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
+    ("GPL-3.0", _GNU.format(name="General Public License", version=3)),
+    ("GPL-2.0", _GNU.format(name="General Public License", version=2)),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0", _GNU.format(name="Lesser General Public License", version=3)),
+    ("LGPL-2.1", _GNU.format(name="Lesser General Public License", version="2.1")),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("AGPL-3.0", _GNU.format(name="Affero General Public License", version=3)),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("BSD-3-Clause", " ".join([_BSD_FIRST, _BSD_THIRD, _BSD_LAST])),
+    ("BSD-2-Clause", " ".join([_BSD_FIRST, _BSD_LAST])),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0"),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC0-1.0", "To the extent possible under law, all copyright and related rights are waived: CC0 1.0 Universal"),
+    ("LicenseRef-Proprietary", "All rights reserved"),
+    *[(x, f"SPDX-License-Identifier: {x}") for x in ("Apache-2.0", "MIT", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-3.0-only", "AGPL-3.0-only", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Unlicense", "MPL-2.0", "CC0-1.0")],
 ]
-#: Least cosine of a line to a template, and least share of a file's words in such lines for it to count as a licence file.
+#: Least cosine of a line or a run of words to a template, and least share of a file's words in such ones for it to count as a licence file.
 CLOSE, MOSTLY = 0.8, 0.5
+#: Templates of at least so many words are looked for in runs of words over lines, and names of files that speak for their directory.
+LONG, NAMED = 12, re.compile(r"(^|/)(un)?(licen[cs]e|copying|copyright|notice)[^/]*$", re.IGNORECASE)
+#: Runs of words that are compared at once, and directories whose licenses are broadcast at most.
+AT_ONCE, FEW_DIRECTORIES = 1000, 100_000
 _PLAIN = bytes(c if (chr(c).isalnum() and c < 128) or c >= 128 or c == 0x0A else 0x20 for c in range(256)).lower()
 _PLAIN = bytes(ord(chr(c).lower()) if c < 128 else c for c in _PLAIN)
 
@@ -61,53 +81,81 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 
 class Matcher:
-    """Cosines of lines to the templates. Words outside the templates weigh as much as the rarest inside."""
+    """Cosines of lines and of runs of words to the templates. Words outside the templates weigh as much as the rarest inside."""
 
     def __init__(self, df: np.ndarray, n: int, close: float = CLOSE):
         self.idf = np.log((n + 1) / (df + 1)) + 1
         self.rest = float(np.log(n + 1) + 1)
         self.close = close
-        rows = [np.bincount(np.searchsorted(VOCABULARY, terms([t.encode()])[0]), minlength=len(VOCABULARY)) for _, t in TEMPLATES]
-        m = np.array(rows) * self.idf
+        self.words = [np.searchsorted(VOCABULARY, terms([t.encode()])[0]) for _, t in TEMPLATES]
+        m = np.array([np.bincount(w, minlength=len(VOCABULARY)) for w in self.words]) * self.idf
         self.m = m / np.linalg.norm(m, axis=1, keepdims=True)
-        # a line without any of these terms has a cosine below the bound with every template, whatever else is in it
-        order, left = np.argsort(-self.idf, kind="stable"), self.m.copy()
+        # a unit without any anchor of a template has a cosine below the bound with it, whatever else is in it
+        order = np.argsort(-self.idf, kind="stable")
+        self.anchors = []
+        for row in self.m:
+            left = np.sqrt(np.cumsum(row[order][::-1] ** 2)[::-1])
+            self.anchors.append(order[: int((left >= close).sum())][row[order[: int((left >= close).sum())]] > 0])
         self.keys = np.zeros(len(VOCABULARY), bool)
-        for t in order:
-            if np.linalg.norm(left, axis=1).max() < close:
-                break
-            self.keys[t], left[:, t] = True, 0
+        self.keys[np.concatenate(self.anchors)] = True
+        spots = [(int(w), t, j) for t, ws in enumerate(self.words) if len(ws) >= LONG for j, w in enumerate(ws) if w in set(self.anchors[t].tolist())]
+        self.spots = np.array(sorted(spots), np.int64).reshape(-1, 3)
 
     def best(self, texts: list[bytes]) -> list[tuple]:
-        """For each text: license, cosine, and whether it is mostly license statements; (None, 0, False) without a close line."""
+        """For each text: license, cosine, and whether it is mostly license statements; (None, 0, False) without a close unit.
+
+        Units are lines, and runs of as many words as a long template has, laid so that one of its anchors falls on the
+        same word of the text. Of the close units the one counts whose template's words times the cosine above the bound are most.
+        """
         h, line, owner, ends = terms(texts)
         k = np.minimum(np.searchsorted(VOCABULARY, h), len(VOCABULARY) - 1)
         known = VOCABULARY[k] == h
-        lines = np.unique(line[known & self.keys[k]])
+        hit = np.flatnonzero(known & self.keys[k])
         out: list[tuple] = [(None, 0.0, False)] * len(texts)
-        if not len(lines):
+        if not len(hit):
             return out
-        row = np.searchsorted(lines, line)
-        inside = (row < len(lines)) & (lines[np.minimum(row, len(lines) - 1)] == line)
-        v = np.zeros((len(lines), len(VOCABULARY)))
-        i = inside & known
-        np.add.at(v, (row[i], k[i]), 1)
+        doc = owner[line]
+        lines = np.unique(line[hit])
+        units = [np.column_stack([np.searchsorted(line, lines), np.searchsorted(line, lines, "right"), np.full(len(lines), -1)])]
+        a, z = np.searchsorted(self.spots[:, 0], k[hit]), np.searchsorted(self.spots[:, 0], k[hit], "right")
+        at, spot = np.repeat(hit, z - a), ragged(a, z - a)
+        t, start = self.spots[spot, 1], at - self.spots[spot, 2]
+        size = np.array([len(w) for w in self.words])
+        first, last = np.searchsorted(doc, doc[at]), np.searchsorted(doc, doc[at], "right")
+        units.append(np.unique(np.column_stack([np.maximum(start, first), np.minimum(start + size[t], last), t]), axis=0))
+        found = []
+        for u in units:
+            for i in range(0, len(u), AT_ONCE):
+                found.append(self._close(u[i : i + AT_ONCE], h, k, known))
+        stated = np.zeros(len(h), bool)
+        rank: dict[int, tuple] = {}
+        for s, e, t, cosine in np.concatenate(found).tolist():
+            s, e, t = int(s), int(e), int(t)
+            stated[s:e] = True
+            d = int(doc[s])
+            rank[d] = max(rank.get(d, (-1.0, 0.0, 0)), (round(float(size[t]) * (cosine - self.close), 9), cosine, -t))
+        total, of_these = np.bincount(doc, minlength=len(texts)), np.bincount(doc, stated, len(texts))
+        for d, (_, cosine, t) in rank.items():
+            out[d] = (TEMPLATES[-t][0], cosine, bool(of_these[d] >= MOSTLY * total[d]))
+        return out
+
+    def _close(self, u: np.ndarray, h: np.ndarray, k: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """(start, end, template, cosine) of the units (start, end, template or -1 for any) that are close to a template."""
+        size = u[:, 1] - u[:, 0]
+        row, at = np.repeat(np.arange(len(u)), size), ragged(u[:, 0], size)
+        v = np.zeros((len(u), len(VOCABULARY)))
+        i = known[at]
+        np.add.at(v, (row[i], k[at[i]]), 1)
         v *= self.idf
-        other = self._others(h[inside & ~known], row[inside & ~known], len(lines))
-        cosine = (v @ self.m.T) / np.sqrt((v**2).sum(axis=1) + other)[:, None]
-        pick = cosine.argmax(axis=1)
-        score = cosine[np.arange(len(lines)), pick]
-        total = np.bincount(owner[line], minlength=len(texts))
-        stated = np.zeros(len(texts), np.int64)
-        for r in np.flatnonzero(score >= self.close).tolist():
-            doc = int(owner[lines[r]])
-            stated[doc] += int((row[inside] == r).sum())
-            if score[r] > out[doc][1]:
-                out[doc] = (TEMPLATES[pick[r]][0], float(score[r]), False)
-        return [(a, s, a is not None and stated[d] >= MOSTLY * total[d]) for d, (a, s, _) in enumerate(out)]
+        other = self._others(h[at[~i]], row[~i], len(u))
+        cosine = (v @ self.m.T) / np.sqrt(np.maximum((v**2).sum(axis=1) + other, 1e-30))[:, None]
+        pick = np.where(u[:, 2] < 0, cosine.argmax(axis=1), u[:, 2])
+        score = cosine[np.arange(len(u)), pick]
+        ok = score >= self.close
+        return np.column_stack([u[ok, :2], pick[ok], score[ok]])
 
     def _others(self, h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-        """Squared weights of a line's words outside the templates."""
+        """Squared weights of a unit's words outside the templates."""
         if not len(h):
             return np.zeros(n)
         o = np.lexsort((h, row))
@@ -116,12 +164,19 @@ class Matcher:
         return np.bincount(row[first], (np.diff(first, append=len(h)) * self.rest) ** 2, n)
 
 
+def ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[0].. start[0]+n[0], start[1].. and so on."""
+    end = np.cumsum(n)
+    return np.arange(end[-1] if len(end) else 0) + np.repeat(start - (end - n), n)
+
+
 def license_scan(files: DataFrame) -> DataFrame:
     """One row per file of (doc_id, path, text): doc_id, path, license, score, own (by its own text), from_dir.
 
-    A file's own license is that of its line closest to a template, if close enough; every line of the whole text is
-    looked at. Inverse document frequencies of the template terms are counted over all lines of all files. Files that are
-    mostly statements speak for their directory (the closest, then the smallest id), and files without an own license
+    A file's own license is that of the template that most of its words state: a line, or a run of words over lines (a
+    wrapped header, a whole licence text), is close to it, and the more words it has and the closer the better; the whole text is looked at. Inverse document frequencies of the template terms
+    are counted over all lines of all files. Files that are mostly statements, or have an own license and the name of a
+    licence file, speak for their directory (the closest, then the smallest id), and files without an own license
     take that of their nearest ancestor directory. Ancestors are joined for each distinct directory, not for each file. A null
     text has no license; a null path has no directory; an empty table gives no rows.
     """
@@ -139,6 +194,7 @@ def license_scan(files: DataFrame) -> DataFrame:
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, path, texts in chunks(batches, ["doc_id", "path", "text"], "text", 1 << 20):
             license_, score, speaks = zip(*matcher.best(texts))
+            speaks = [s or bool(x and p and NAMED.search(p)) for s, x, p in zip(speaks, license_, path)]
             yield pa.RecordBatch.from_arrays([pa.array(doc_id, pa.int64()), pa.array(path, pa.string()), pa.array(license_, pa.string()), pa.array(score, pa.float64()), pa.array(speaks, pa.bool_())], names=["doc_id", "path", "own_license", "score", "speaks"])
 
     own = saved(rows.mapInArrow(match, "doc_id long, path string, own_license string, score double, speaks boolean"), "licenses")
@@ -147,6 +203,9 @@ def license_scan(files: DataFrame) -> DataFrame:
     up = F.transform(F.sequence(F.lit(1), F.size(F.split("dir", "/"))), lambda i: F.array_join(F.slice(F.split("dir", "/"), 1, i), "/"))
     dirs = own.where("dir is not null").select("dir").distinct().select("dir", F.explode(F.array_union(F.array(F.lit("")), up)).alias("ancestor"))
     nearest = dirs.join(spoken, "ancestor").groupBy("dir").agg(F.max_by("dir_license", F.length("ancestor")).alias("dir_license"), F.max_by("ancestor", F.length("ancestor")).alias("from_dir"))
+    nearest = saved(nearest, "nearest")
+    if nearest.limit(FEW_DIRECTORIES + 1).count() <= FEW_DIRECTORIES:
+        nearest = F.broadcast(nearest)
     return own.join(nearest, "dir", "left").select(
         "doc_id", "path", F.coalesce("own_license", "dir_license").alias("license"), "score", F.col("own_license").isNotNull().alias("own"), F.when(F.col("own_license").isNull(), F.col("from_dir")).alias("from_dir")
     )

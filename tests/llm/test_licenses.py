@@ -23,20 +23,39 @@ def brute(files):
     def cosine(a, b):
         return sum(v * b.get(w, 0) for w, v in a.items()) / sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values())) if a else 0.0
 
-    templates = [(name, vector(tokens(t))) for name, t in licenses.TEMPLATES]
+    templates = [(name, tokens(t), vector(tokens(t))) for name, t in licenses.TEMPLATES]
+    places = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: licenses.terms([w.encode()])[0][0]))}
+
+    def anchors(ws, v):
+        """The rarest terms, until what is left has too little weight."""
+        ranked, size, left = sorted(v, key=lambda w: (-weight(w), places[w])), sum(x * x for x in v.values()), 1.0
+        for i, w in enumerate(ranked):
+            if sqrt(max(left, 0)) < licenses.CLOSE:
+                return set(ranked[:i])
+            left -= v[w] ** 2 / size
+        return set(ranked)
+
+    marks = [anchors(ws, v) for _, ws, v in templates]
     own, spoken = [], {}
     for d, path, t in files:
-        best, stated, total = (None, 0.0), 0, 0
+        ws, spans, at = [], [], 0
         for x in (t or "").split("\n"):
-            ws = tokens(x)
-            total += len(ws)
-            s, name = max(((cosine(vector(ws), v), k) for k, v in templates), key=lambda p: p[0])
+            ws += tokens(x)
+            spans += [(at, len(ws), k) for k in range(len(templates))]
+            at = len(ws)
+        runs = {(max(i - j, 0), min(i - j + len(tw), len(ws)), k) for k, (_, tw, _) in enumerate(templates) if len(tw) >= licenses.LONG for j, w in enumerate(tw) if w in marks[k] for i, x in enumerate(ws) if x == w}
+        best, stated = (-1, 0.0, 0), set()
+        lines = {}
+        for a, z, k in spans:  # a line counts for its closest template
+            lines[a, z] = max(lines.get((a, z), (0.0, 0)), (cosine(vector(ws[a:z]), templates[k][2]), -k))
+        for a, z, k in {(a, z, -k) for (a, z), (_, k) in lines.items()} | runs:
+            s = cosine(vector(ws[a:z]), templates[k][2])
             if s >= licenses.CLOSE - 1e-12:
-                stated += len(ws)
-                if s > best[1]:
-                    best = (name, s)
+                stated |= set(range(a, z))
+                best = max(best, (round(len(templates[k][1]) * (s - licenses.CLOSE), 9), s, -k))
+        best = (templates[-best[2]][0], best[1]) if best[1] else (None, 0.0)
         own.append((d, path, *best))
-        if best[0] and stated >= 0.5 * total and path is not None:
+        if best[0] and (len(stated) >= 0.5 * len(ws) or licenses.NAMED.search(path or "")) and path is not None:
             here = path.rsplit("/", 1)[0] if "/" in path else ""
             spoken[here] = max(spoken.get(here, (0, 0, "")), (best[1], -d, best[0]))
     out = []
@@ -77,6 +96,33 @@ def test_files(spark):
     assert sorted(map(str, got)) == sorted(map(str, brute(files)))
 
 
+def wrapped(text, mark="# ", width=60):
+    out, line = [], ""
+    for w in text.split():
+        if len(line) + len(w) > width:
+            out.append(mark + line.strip())
+            line = ""
+        line += " " + w
+    return "\n".join([*out, mark + line.strip()])
+
+
+def test_wrapped_headers_and_whole_licences(spark):
+    texts = {}
+    for name, text in licenses.TEMPLATES:
+        if len(tokens(text)) >= licenses.LONG:
+            texts.setdefault(name, text)
+            if len(text) > len(texts[name]):
+                texts[name] = text
+    assert {"GPL-3.0", "LGPL-2.1", "AGPL-3.0", "MIT", "BSD-3-Clause", "BSD-2-Clause", "ISC", "Unlicense", "Apache-2.0"} <= set(texts)
+    prose = "Some words of prose that state nothing at all\n" * 40
+    files = [(k, f"src{k}/x.py", f"# Copyright 2020 someone\n{wrapped(t)}\n{prose}") for k, t in enumerate(texts.values())]
+    files += [(100 + k, f"lib{k}/LICENSE", f"Copyright (c) 2020 someone. All rights reserved.\n\n{wrapped(t, '')}") for k, t in enumerate(texts.values())]
+    files += [(200 + k, f"lib{k}/deep/er/x.py", prose) for k in range(len(texts))]
+    got = {r.doc_id: (r.license, r.own) for r in licenses.license_scan(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()}
+    for k, name in enumerate(texts):
+        assert got[k] == (name, True) and got[100 + k] == (name, True) and got[200 + k] == (name, False), name
+
+
 def test_given_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     files = [(r.doc_id, f"{r.source}/{r.lang}/{r.doc_id}", r.text) for r in docs.collect()]
