@@ -434,8 +434,8 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
     n_slices = max(1, -(-states.where("level >= 3").count() // MOST_STATES))
     spelled = None
     for k in range(n_slices):
-        rows = states.where((F.col("level") < 3) | (F.pmod("hash", F.lit(n_slices)) == k)).select("level", "key", "count").toPandas()  # of checked size
-        tree = spark.sparkContext.broadcast(Tree(rows["level"].to_numpy(), rows["key"].to_numpy(), rows["count"].to_numpy()))
+        rows = states.where((F.col("level") < 3) | (F.pmod("hash", F.lit(n_slices)) == k)).select("level", "key", "count").toArrow()  # of checked size
+        tree = spark.sparkContext.broadcast(Tree(*(rows.column(c).to_numpy() for c in ("level", "key", "count"))))
         some = words_known.mapInArrow(speller(tree, k, n_slices), "block long, spelled binary")
         spelled = some if spelled is None else spelled.unionByName(some)
     spelled = saved(spelled, "spelled").groupBy("block").agg(F.collect_list("spelled").alias("spelled"))
