@@ -1,161 +1,129 @@
-"""I-Match fingerprints: terms within a band of inverse document frequency, hashed under several randomised lexicons."""
+"""I-Match fingerprints: terms within a band of inverse document frequency, hashed under fixed randomised lexicons."""
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import NO_ID, U64, chunks, mix, parts_for, table, text_bytes, words_of
+from eodlake.llm.common import NO_ID, U64, chunks, mix, parts_for, saved, table, text_bytes, words_of
 
-#: Document frequencies are kept for this many hash slots of terms: a fixed size, whatever the vocabulary.
-SLOTS, SLICE = 1 << 20, 1 << 12
 #: Band of inverse document frequencies (natural log of documents per document that has the term).
-LOW, HIGH = 1.6, 14.0
-#: Randomised lexicons, and two base-64 digits for what each makes of a document.
-LEXICONS = 64
+LOW, HIGH = 1.6, 8.0
+#: Randomised lexicons a density: lexicon i of density k holds a fixed share 4**-k of all terms.
+LEXICONS, DENSITIES = 48, 8
 _DIGITS = np.frombuffer(b"-0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ_.", np.uint8)
+_NONE = np.frombuffer(b"--", np.uint16)[0]
 _seeds = np.random.default_rng(31).integers(0, 2**32, (2, LEXICONS, 1), dtype=np.uint32)
 _XOR, _ODD = _seeds[0], _seeds[1] | np.uint32(1)
+#: Bytes of text in one range of ids.
+RANGE = 16 << 20
 
 
-def slots(h: np.ndarray) -> np.ndarray:
-    return (h >> U64(44)).astype(np.int64)
+def in_band(terms: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """The sorted distinct terms that are in the band (sorted); all of them if none is."""
+    terms = np.unique(terms)
+    if not len(band):
+        return terms
+    at = np.searchsorted(band, terms)
+    at[at == len(band)] = 0
+    kept = terms[band[at] == terms]
+    return kept if len(kept) else terms
 
 
-def fingerprint(terms: np.ndarray, idf: np.ndarray) -> str:
+def fingerprint(terms: np.ndarray, band: np.ndarray) -> str:
     """Fingerprint of a document's word hashes (empty without words).
 
-    Its lexicons hold each term with a chance that halves from level to level. The level follows from the number of the
-    document's terms within the band, so that a lexicon keeps a term or two of any document, and is given for two
-    levels, so that documents of about the same size have one in common. Each lexicon's digits hash the sorted
-    distinct terms that it keeps; ``--`` stands for none.
+    First the hash of all its sorted distinct terms within the band, then, from dense to sparse, two digits for each
+    lexicon: the hash of the terms that this lexicon holds, ``--`` where it holds none. Which terms a lexicon holds
+    follows from the lexicon and the term alone. Densities at which no lexicon holds a term are left out.
     """
-    terms = np.unique(terms)
     if not len(terms):
         return ""
-    weight = idf[slots(terms)]
-    kept = terms[(weight >= LOW) & (weight <= HIGH)]
-    if not len(kept):
-        kept = terms
+    kept = in_band(terms, band)
+    value = mix(kept, kept) | U64(1)
+    whole = int(mix(value.sum(keepdims=True), np.array([len(kept)], np.uint64))[0])
     x = (kept >> U64(32)).astype(np.uint32)
     chance = (x[None, :] ^ _XOR) * _ODD
     chance ^= chance >> np.uint32(15)
     chance *= np.uint32(0x2C1B3C6D)
-    value = mix(kept, kept) | U64(1)
-    level = len(kept).bit_length()
-    out = []
-    for k in (level, level + 1):
-        inside = chance < np.uint32(min(2 ** (32 - min(k, 31)), 2**32 - 1))
-        total = np.where(inside, value[None, :], U64(0)).sum(axis=1, dtype=np.uint64)
-        some = inside.any(axis=1)
+    chance ^= chance >> np.uint32(13)
+    at = np.flatnonzero(chance.ravel() < np.uint32(1 << 30))
+    chance = chance.ravel()[at]
+    out = [f"{whole:016x}"]
+    for k in range(1, DENSITIES + 1):
+        inside = chance < np.uint32(1 << (32 - 2 * k))
+        at, chance = at[inside], chance[inside]
+        if not len(at):
+            break
+        lexicon = at // len(kept)
+        begin = np.flatnonzero(np.r_[True, lexicon[1:] != lexicon[:-1]])
+        total = np.add.reduceat(value[at % len(kept)], begin)
         code = mix(total, total)
-        pair = np.where(some[:, None], np.column_stack([code >> U64(58), (code >> U64(52)) & U64(63)]) + U64(1), U64(0))
-        out.append(f"{k}:{_DIGITS[np.minimum(pair, 64).astype(np.int64)].tobytes().decode()}")
+        pair = np.zeros((LEXICONS, 2), np.int64)
+        pair[lexicon[begin]] = np.column_stack([code >> U64(58), (code >> U64(52)) & U64(63)]).astype(np.int64) + 1
+        out.append(_DIGITS[pair].tobytes().decode())
     return "|".join(out)
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of equal lexicons among those in which either document has a term, at the best level in common."""
+    """Share of equal lexicons among those that hold a term of either document.
+
+    Read at the sparsest density at which at least half of the lexicons hold such a term (short documents: at the
+    densest there is); 1 for equal fingerprints, 0 where only one document has terms.
+    """
     if a == b:
         return 1.0
-    one, two = (dict(p.split(":") for p in x.split("|")) if x else {} for x in (a, b))
-    best = 0.0
-    for level in one.keys() & two.keys():
-        x, y = (np.frombuffer(d[level].encode(), np.uint16) for d in (one, two))
-        none = np.frombuffer(b"--", np.uint16)[0]
-        either = (x != none) | (y != none)
-        if either.any():
-            best = max(best, float((x == y)[either].mean()))
-    return best
-
-
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    df = np.zeros(SLOTS, np.int32)
-    for (texts,) in chunks(batches, ["text"], "text", 1 << 20):
+    if not a or not b:
+        return 0.0
+    one, two = a.split("|")[1:], b.split("|")[1:]
+    empty = "--" * LEXICONS
+    for k in range(max(len(one), len(two)) - 1, -1, -1):
+        x, y = (np.frombuffer((d[k] if k < len(d) else empty).encode(), np.uint16) for d in (one, two))
+        either = (x != _NONE) | (y != _NONE)
+        if k == 0 or 2 * either.sum() >= LEXICONS:
+            return float((x == y)[either].mean())
+    return 0.0
+
+
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many documents of a block have each term."""
+    for (texts,) in chunks(batches, ["text"], "text", 8 << 20):
         h, at = words_of(texts, lower=True)
-        s = np.unique(np.repeat(np.arange(len(texts)), np.diff(at)) * SLOTS + slots(h))
-        np.add.at(df, s % SLOTS, 1)
-    part = df.reshape(-1, SLICE)
-    some = np.flatnonzero(part.any(axis=1))
-    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([part[i].tobytes() for i in some], pa.binary())], names=["slice", "df"])
-
-
-def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(x, np.int32).astype(np.int64) for x in pdf["df"])
-    return pd.DataFrame({"slice": pdf["slice"][:1], "df": [total.tobytes()]})
-
-
-def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequency of each slot over all documents: 4 MB, whatever the data."""
-    rows = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_frequencies, "slice long, df binary").groupBy("slice").applyInPandas(_summed, "slice long, df binary").collect()
-    df = np.zeros(SLOTS)
-    for r in rows:
-        df[r.slice * SLICE : (r.slice + 1) * SLICE] = np.frombuffer(r.df, np.int64)
-    return np.log(max(docs.count(), 1) / np.maximum(df, 1)).astype(np.float32)
-
-
-def with_next(docs: DataFrame, each: Callable, schema: str) -> DataFrame:
-    """Calls ``each(texts, next texts)`` over documents in ascending id, the first again following the last.
-
-    Splitters from quantiles of the ids cut the table into ranges; the first document of each range is sent to the
-    range before it as well, so each range has all it needs and texts are shuffled once. Equal ids go by text.
+        doc = np.repeat(np.arange(len(texts)), np.diff(at))
+        order = np.lexsort((doc, h))
+        h, doc = h[order], doc[order]
+        first = np.ones(len(h), bool)
+        first[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+        term, n = np.unique(h[first], return_counts=True)
+        for i in range(0, len(term), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(term[i : i + (1 << 16)].view(np.int64)), pa.array(n[i : i + (1 << 16)])], names=["term", "n"])
+
+
+def band_of(docs: DataFrame) -> np.ndarray:
+    """The sorted terms whose inverse document frequency over all documents is within the band.
+
+    Document frequencies are exact: blocks count their documents first, then counts are added by term. A document of d
+    distinct terms adds to d counts, and a term of the band has a share of e**-HIGH of all documents at least, so there are at
+    most e**HIGH times the mean of d of them (8 bytes each), however many documents and terms there are.
     """
-    spark = docs.sparkSession
-    d = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = parts_for(spark, text_bytes(docs), 8 << 20)
-    cuts = np.unique(d.select(F.col("did").cast("double").alias("did")).approxQuantile("did", [i / parts for i in range(1, parts)], 1 / (4 * parts)))
-    range_of = lambda did: np.searchsorted(cuts, np.asarray(did, np.float64), "right")
-
-    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = pd.DataFrame({"range": range_of(b.column("did")), "did": b.column("did").to_numpy()}).groupby("range")["did"].min()
-            yield pa.RecordBatch.from_arrays([pa.array(x.index, pa.int64()), pa.array(x.to_numpy(), pa.int64())], names=["range", "did"])
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    n = docs.count()
+    counts = texts.mapInArrow(_terms, "term long, n long").groupBy("term").agg(F.sum("n").alias("df"))
+    least, most = n * math.exp(-HIGH), n * math.exp(-LOW)
+    found = counts.where((F.col("df") >= least) & (F.col("df") <= most)).select("term").toArrow()
+    return np.sort(found.column("term").to_numpy().view(np.uint64))
 
-    rows = d.select("did").mapInArrow(ranges, "range long, did long").groupBy("range").agg(F.min("did").alias("did")).collect()  # one row a range
-    first = sorted((r.range, r.did) for r in rows)
-    before = {did: first[k - 1][0] for k, (_, did) in enumerate(first)}
-    heads = np.array(sorted(before), np.int64)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            did = b.column("did").to_numpy()
-            n = len(did)
-            yield pa.RecordBatch.from_arrays([pa.array(range_of(did), pa.int64()), pa.array(np.zeros(n, bool)), *b.columns], names=["range", "again", "did", "text"])
-            at = np.flatnonzero(np.isin(did, heads))
-            if len(at):
-                x = b.take(pa.array(at))
-                yield pa.RecordBatch.from_arrays([pa.array([before[v] for v in did[at].tolist()], pa.int64()), pa.array(np.ones(len(at), bool)), *x.columns], names=["range", "again", "did", "text"])
-
-    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # documents of the range at hand that still wait for the one after
-        ready: list[tuple] = []
-        size, done = 0, None
-        for b in batches:
-            for s in (b.slice(i, 256) for i in range(0, b.num_rows, 256)):
-                for rng, again, did, text in zip(*(c.to_pylist() for c in s.columns)):
-                    if rng == done:
-                        continue  # more documents with the id of the one after
-                    if held:
-                        ready.append((*held.pop(), text))
-                        size += len(text)
-                    if again:
-                        done = rng
-                    else:
-                        held = [(did, text)]
-                    if size >= 1 << 20:
-                        yield each(ready)
-                        ready, size = [], 0
-        if ready:
-            yield each(ready)
 
-    dealt = d.mapInArrow(deal, "range long, again boolean, did long, text string")
-    return dealt.repartition(parts, "range").sortWithinPartitions("range", "again", "did", "text").mapInArrow(stream, schema)
+#: One row a document (part 2), and the first (0) and the last (1) document of each range with its text.
+_ROW = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_SCHEMA = f"range long, part int, did long, text string, {_ROW}"
 
 
 def imatch(docs: DataFrame) -> DataFrame:
@@ -164,40 +132,85 @@ def imatch(docs: DataFrame) -> DataFrame:
     The edited text has the last quarter of the code points replaced by the first as many of the next document. Document
     frequencies come from a pass over all documents; fingerprints depend on the text alone, so equal texts have equal ones.
     A null text is empty; texts without words have the empty fingerprint; texts without a term in the band use all
-    their terms. A null id comes last. A single document is its own next; an empty table gives no rows.
+    their terms. A null id comes last, equal ids go by text. A single document is its own next; an empty table gives no
+    rows. Extra columns are ignored.
+
+    Sampled splitters range-partition the documents by id, so texts are shuffled once. Within a range a document meets the one
+    after it in the stream; the first and the last of each range are written beside the results and joined by range.
     """
-    idf = docs.sparkSession.sparkContext.broadcast(inverse_frequencies(docs))  # fixed size
+    spark = docs.sparkSession
+    band = spark.sparkContext.broadcast(band_of(docs))  # bounded, see there
+
+    def prints(texts: list[str]) -> list[str]:
+        h, at = words_of([t.encode() for t in texts], lower=True)
+        return [fingerprint(h[a:b], band.value) for a, b in zip(at[:-1], at[1:])]
 
-    def each(rows: list[tuple]) -> pa.RecordBatch:
+    def results(rows: list[tuple]) -> list[pa.Array]:
+        """Result columns of (id, text, next text) rows."""
         did, texts, following = zip(*rows)
         n = [len(t) for t in texts]
         edited = [t[: k - k // 4] + f[: k // 4] for t, f, k in zip(texts, following, n)]
-        prints = []
-        for group in (texts, edited, following[-1:]):
-            h, at = words_of([t.encode() for t in group], lower=True)
-            prints.append([fingerprint(h[a:b], idf.value) for a, b in zip(at[:-1], at[1:])])
-        own, changed = prints[0], prints[1]
-        after = []
-        for i, f in enumerate(following):
-            if i + 1 < len(rows) and texts[i + 1] == f:
-                after.append(own[i + 1])
-            elif i + 1 == len(rows):
-                after.append(prints[2][0])
-            else:
-                h, _ = words_of([f.encode()], lower=True)
-                after.append(fingerprint(h, idf.value))
-        columns = [
+        own, changed = prints(texts), prints(edited)
+        alone = [i for i, f in enumerate(following) if i + 1 == len(rows) or texts[i + 1] != f]  # whose next is not the next row
+        after = own[1:] + [""]
+        for i, p in zip(alone, prints([following[i] for i in alone])):
+            after[i] = p
+        return [
             pa.array([None if d == NO_ID else d for d in did], pa.int64()),
             pa.array(n, pa.int64()),
-            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]),
-            pa.array(own),
-            pa.array(changed),
+            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
+            pa.array(own, pa.string()),
+            pa.array(changed, pa.string()),
             pa.array([likeness(a, b) for a, b in zip(own, changed)], pa.float64()),
             pa.array([likeness(a, b) for a, b in zip(own, after)], pa.float64()),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    return with_next(docs, each, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    names = [c.split()[0] for c in _SCHEMA.split(", ")]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
+
+    def edge(rng: int, part: int, did: int, text: str) -> pa.RecordBatch:
+        values = [rng, part, did, text, *[None] * 7]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=names)
+
+    def done(rng: int, rows: list[tuple]) -> pa.RecordBatch:
+        n = len(rows)
+        before = [pa.array([rng] * n, pa.int64()), pa.array([2] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())]
+        return pa.RecordBatch.from_arrays([*before, *results(rows)], names=names)
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, ready, size, rng = None, [], 0, 0
+        for b in batches:
+            for s in (b.slice(i, 256) for i in range(0, b.num_rows, 256)):
+                for rng, did, text in zip(*(c.to_pylist() for c in s.columns)):
+                    if held is None:
+                        yield edge(rng, 0, did, text)
+                    else:
+                        ready.append((*held, text))
+                        size += len(text) + 64
+                    held = (did, text)
+                    if size >= 1 << 20:
+                        yield done(rng, ready)
+                        ready, size = [], 0
+        if ready:
+            yield done(rng, ready)
+        if held is not None:
+            yield edge(rng, 1, *held)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                yield pa.RecordBatch.from_arrays(results([row]), names=names[4:])
+
+    d = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), F.coalesce("text", F.lit("")).alias("text"))
+    parts = parts_for(spark, text_bytes(docs), RANGE)
+    dealt = d.repartitionByRange(parts, "did").sortWithinPartitions("did", "text").select(F.spark_partition_id().cast("long").alias("range"), "did", "text")
+    rows = saved(dealt.mapInArrow(stream, _SCHEMA), "imatch")
+    first = rows.where("part = 0").select("range", F.col("text").alias("following"))
+    ranges = rows.where("part = 0").select("range")  # a number a range
+    ranges = ranges.select("range", F.coalesce(F.lead("range").over(W.orderBy("range")), F.min("range").over(W.partitionBy())).alias("next"))
+    last = rows.where("part = 1").select("range", "did", "text").join(ranges, "range")
+    last = last.join(first.withColumnRenamed("range", "next"), "next").select("did", "text", "following")
+    return rows.where("part = 2").select(names[4:]).unionByName(last.mapInArrow(ends, _ROW))
 
 
 def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
