@@ -117,7 +117,7 @@ def band_of(docs: DataFrame) -> np.ndarray:
     n = docs.count()
     counts = texts.mapInArrow(_terms, "term long, n long").groupBy("term").agg(F.sum("n").alias("df"))
     least, most = n * math.exp(-HIGH), n * math.exp(-LOW)
-    found = counts.where((F.col("df") >= least) & (F.col("df") <= most)).select("term").toArrow()
+    found = saved(counts.where((F.col("df") >= least) & (F.col("df") <= most)).select("term"), "band").toArrow()
     return np.sort(found.column("term").to_numpy().view(np.uint64))
 
 
