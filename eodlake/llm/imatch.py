@@ -19,77 +19,89 @@ LOW, HIGH = 1.6, 8.0
 #: Randomised lexicons a density: lexicon i of density k holds a fixed share 4**-k of all terms.
 LEXICONS, DENSITIES = 48, 8
 _DIGITS = np.frombuffer(b"-0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ_.", np.uint8)
-_NONE = np.frombuffer(b"--", np.uint16)[0]
 _seeds = np.random.default_rng(31).integers(0, 2**32, (2, LEXICONS, 1), dtype=np.uint32)
 _XOR, _ODD = _seeds[0], _seeds[1] | np.uint32(1)
-#: Bytes of text in one range of ids.
-RANGE = 16 << 20
+#: Bytes of text in one range of ids; terms in one block.
+RANGE, BLOCK = 16 << 20, 1 << 14
+#: A document costs its lexicons besides its text.
+DOC_BYTES = 512
 
 
-def in_band(terms: np.ndarray, band: np.ndarray) -> np.ndarray:
-    """The sorted distinct terms that are in the band (sorted); all of them if none is."""
-    terms = np.unique(terms)
-    if not len(band):
-        return terms
-    at = np.searchsorted(band, terms)
-    at[at == len(band)] = 0
-    kept = terms[band[at] == terms]
-    return kept if len(kept) else terms
+def lexicon_codes(h: np.ndarray, at: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each document's terms (0 without terms), and the code of each of its lexicons (0 where it holds none).
 
+    ``h`` are the word hashes of all documents, ``at`` the offsets of each. A document's terms are its sorted distinct
+    words within the (sorted) band, or all of them if none is. Which of them a lexicon holds follows from the lexicon and the
+    term alone; lexicons of one number are nested from density to density. Terms go through in blocks of bounded size.
+    """
+    n = len(at) - 1
+    doc = np.repeat(np.arange(n), np.diff(at))
+    if len(band) and len(h):
+        found = np.searchsorted(band, h)
+        found[found == len(band)] = 0
+        kept = band[found] == h
+        kept |= (np.bincount(doc[kept], minlength=n) == 0)[doc]
+        h, doc = h[kept], doc[kept]
+    order = np.lexsort((h, doc))
+    h, doc = h[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    h, doc = h[new], doc[new]
+    whole = np.zeros(n, np.uint64)
+    total, some = np.zeros((DENSITIES, LEXICONS * n), np.uint64), np.zeros((DENSITIES, LEXICONS * n), bool)
+    for a in range(0, len(h), BLOCK):
+        terms, of = h[a : a + BLOCK], doc[a : a + BLOCK]
+        value = mix(terms, terms) | U64(1)
+        np.add.at(whole, of, value)
+        x = (terms >> U64(32)).astype(np.uint32)
+        chance = (x[None, :] ^ _XOR) * _ODD
+        chance ^= chance >> np.uint32(15)
+        chance *= np.uint32(0x2C1B3C6D)
+        chance ^= chance >> np.uint32(13)
+        chance = chance.ravel()
+        held = np.flatnonzero(chance < np.uint32(1 << 30))
+        chance = chance[held]
+        lexicon, term = np.divmod(held, len(terms))
+        key, value = lexicon * n + of[term], value[term]
+        for k in range(DENSITIES):
+            inside = chance < np.uint32(1 << (30 - 2 * k))
+            key, value, chance = key[inside], value[inside], chance[inside]
+            if not len(key):
+                break
+            begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            total[k, key[begin]] += np.add.reduceat(value, begin)
+            some[k, key[begin]] = True
+    codes = np.where(some, (mix(total.ravel(), total.ravel()).reshape(total.shape) >> U64(52)) + U64(1), U64(0)).astype(np.uint16)
+    sizes = np.bincount(doc, minlength=n).astype(np.uint64)
+    whole = np.where(sizes > 0, mix(whole, sizes) | U64(1), U64(0))
+    return whole, np.ascontiguousarray(codes.reshape(DENSITIES, LEXICONS, n).transpose(2, 0, 1))
+
+
+def written(whole: np.ndarray, codes: np.ndarray) -> list[str]:
+    """Fingerprints (empty without words): the hash of all terms, then, from dense to sparse, two digits for each lexicon.
+
+    ``--`` stands where a lexicon holds no term; densities at which no lexicon holds one are left out.
+    """
+    digits = np.stack([(codes - 1) >> 6, (codes - 1) & 63], axis=-1) + 1
+    digits = _DIGITS[np.where(codes[..., None] > 0, digits, 0)]
+    levels = (codes > 0).any(axis=2).sum(axis=1)  # lexicons are nested, so these are the dense ones
+    return ["|".join([f"{w:016x}", *(d[k].tobytes().decode() for k in range(m))]) if w else "" for w, d, m in zip(whole.tolist(), digits, levels.tolist())]
 
-def fingerprint(terms: np.ndarray, band: np.ndarray) -> str:
-    """Fingerprint of a document's word hashes (empty without words).
 
-    First the hash of all its sorted distinct terms within the band, then, from dense to sparse, two digits for each
-    lexicon: the hash of the terms that this lexicon holds, ``--`` where it holds none. Which terms a lexicon holds
-    follows from the lexicon and the term alone. Densities at which no lexicon holds a term are left out.
-    """
-    if not len(terms):
-        return ""
-    kept = in_band(terms, band)
-    value = mix(kept, kept) | U64(1)
-    whole = int(mix(value.sum(keepdims=True), np.array([len(kept)], np.uint64))[0])
-    x = (kept >> U64(32)).astype(np.uint32)
-    chance = (x[None, :] ^ _XOR) * _ODD
-    chance ^= chance >> np.uint32(15)
-    chance *= np.uint32(0x2C1B3C6D)
-    chance ^= chance >> np.uint32(13)
-    at = np.flatnonzero(chance.ravel() < np.uint32(1 << 30))
-    chance = chance.ravel()[at]
-    out = [f"{whole:016x}"]
-    for k in range(1, DENSITIES + 1):
-        inside = chance < np.uint32(1 << (32 - 2 * k))
-        at, chance = at[inside], chance[inside]
-        if not len(at):
-            break
-        lexicon = at // len(kept)
-        begin = np.flatnonzero(np.r_[True, lexicon[1:] != lexicon[:-1]])
-        total = np.add.reduceat(value[at % len(kept)], begin)
-        code = mix(total, total)
-        pair = np.zeros((LEXICONS, 2), np.int64)
-        pair[lexicon[begin]] = np.column_stack([code >> U64(58), (code >> U64(52)) & U64(63)]).astype(np.int64) + 1
-        out.append(_DIGITS[pair].tobytes().decode())
-    return "|".join(out)
-
-
-def likeness(a: str, b: str) -> float:
-    """Share of equal lexicons among those that hold a term of either document.
+def likeness(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Share of equal lexicons among those that hold a term of either document, row by row of two results of ``lexicon_codes``.
 
     Read at the sparsest density at which at least half of the lexicons hold such a term (short documents: at the
-    densest there is); 1 for equal fingerprints, 0 where only one document has terms.
+    densest); 1 for equal fingerprints, 0 where only one document has terms.
     """
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    one, two = a.split("|")[1:], b.split("|")[1:]
-    empty = "--" * LEXICONS
-    for k in range(max(len(one), len(two)) - 1, -1, -1):
-        x, y = (np.frombuffer((d[k] if k < len(d) else empty).encode(), np.uint16) for d in (one, two))
-        either = (x != _NONE) | (y != _NONE)
-        if k == 0 or 2 * either.sum() >= LEXICONS:
-            return float((x == y)[either].mean())
-    return 0.0
+    (w, x), (v, y) = one, two
+    either = (x > 0) | (y > 0)
+    enough = 2 * either.sum(axis=2) >= LEXICONS
+    k = np.where(enough.any(axis=1), DENSITIES - 1 - enough[:, ::-1].argmax(axis=1), 0)
+    row = np.arange(len(w))
+    either, same = either[row, k], (x[row, k] == y[row, k])
+    share = (same & either).sum(axis=1) / np.maximum(either.sum(axis=1), 1)
+    return np.where((w == v) & (x == y).all(axis=(1, 2)), 1.0, np.where((w == 0) | (v == 0), 0.0, share))
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,9 +153,8 @@ def imatch(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     band = spark.sparkContext.broadcast(band_of(docs))  # bounded, see there
 
-    def prints(texts: list[str]) -> list[str]:
-        h, at = words_of([t.encode() for t in texts], lower=True)
-        return [fingerprint(h[a:b], band.value) for a, b in zip(at[:-1], at[1:])]
+    def prints(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return lexicon_codes(*words_of([t.encode() for t in texts], lower=True), band.value)
 
     def results(rows: list[tuple]) -> list[pa.Array]:
         """Result columns of (id, text, next text) rows."""
@@ -152,17 +163,17 @@ def imatch(docs: DataFrame) -> DataFrame:
         edited = [t[: k - k // 4] + f[: k // 4] for t, f, k in zip(texts, following, n)]
         own, changed = prints(texts), prints(edited)
         alone = [i for i, f in enumerate(following) if i + 1 == len(rows) or texts[i + 1] != f]  # whose next is not the next row
-        after = own[1:] + [""]
-        for i, p in zip(alone, prints([following[i] for i in alone])):
-            after[i] = p
+        after = tuple(np.roll(x, -1, axis=0) for x in own)
+        for x, p in zip(after, prints([following[i] for i in alone])):
+            x[alone] = p
         return [
             pa.array([None if d == NO_ID else d for d in did], pa.int64()),
             pa.array(n, pa.int64()),
             pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
-            pa.array(own, pa.string()),
-            pa.array(changed, pa.string()),
-            pa.array([likeness(a, b) for a, b in zip(own, changed)], pa.float64()),
-            pa.array([likeness(a, b) for a, b in zip(own, after)], pa.float64()),
+            pa.array(written(*own), pa.string()),
+            pa.array(written(*changed), pa.string()),
+            pa.array(likeness(own, changed), pa.float64()),
+            pa.array(likeness(own, after), pa.float64()),
         ]
 
     names = [c.split()[0] for c in _SCHEMA.split(", ")]
@@ -186,7 +197,7 @@ def imatch(docs: DataFrame) -> DataFrame:
                         yield edge(rng, 0, did, text)
                     else:
                         ready.append((*held, text))
-                        size += len(text) + 64
+                        size += len(text) + DOC_BYTES
                     held = (did, text)
                     if size >= 1 << 20:
                         yield done(rng, ready)

@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from eodlake.llm import imatch
 from tests.llm.fixtures import SCHEMA, WORD, frame, key, rows
@@ -65,7 +66,7 @@ def hashed(word):
 
 
 def plain_print(text, n, df):
-    """The fingerprint of ``imatch.fingerprint``, lexicon by lexicon over the text's own words."""
+    """The fingerprint of ``imatch.written``, lexicon by lexicon over the text's own words."""
     terms = set(WORD.findall(lowered(text)))
     band = {w for w in terms if n * math.exp(-imatch.HIGH) <= df[w] <= n * math.exp(-imatch.LOW)} or terms
     if not terms:
@@ -73,7 +74,7 @@ def plain_print(text, n, df):
     mask, out = 2**64 - 1, []
     mixed = lambda a, b: int(imatch.mix(np.array([a & mask], np.uint64), np.array([b & mask], np.uint64))[0])
     value = {w: mixed(hashed(w), hashed(w)) | 1 for w in band}
-    out.append(f"{mixed(sum(value.values()), len(band)):016x}")
+    out.append(f"{mixed(sum(value.values()), len(band)) | 1:016x}")
     digits = imatch._DIGITS.tobytes().decode()
     for k in range(1, imatch.DENSITIES + 1):
         level = ""
@@ -122,11 +123,14 @@ def test_likeness():
         return 0.0
 
     r = np.random.default_rng(3)
-    terms = r.integers(0, 2**64, 4000, dtype=np.uint64)
-    prints = [imatch.fingerprint(terms[a:b], terms[:0]) for a, b in [(0, 0), (0, 1), (0, 3), (1, 4), (0, 90), (10, 100), (0, 4000), (200, 4000)]]
-    for a in prints:
-        for b in prints:
-            assert imatch.likeness(a, b) == plain(a, b) == imatch.likeness(b, a)
+    terms = r.integers(0, 2**64, 40000, dtype=np.uint64)
+    pieces = [terms[a:b] for a, b in [(0, 0), (0, 1), (0, 3), (1, 4), (0, 90), (10, 100), (0, 40000), (2000, 40000)]]
+    codes = imatch.lexicon_codes(np.concatenate(pieces), np.cumsum([0, *map(len, pieces)]), terms[:0])
+    prints = imatch.written(*codes)
+    for i, a in enumerate(prints):
+        for j, b in enumerate(prints):
+            one, two = (tuple(x[k : k + 1] for x in codes) for k in (i, j))
+            assert imatch.likeness(one, two)[0] == pytest.approx(plain(a, b))
 
 
 def test_ranges_only_divide_the_work(spark, monkeypatch):
