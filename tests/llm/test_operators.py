@@ -59,6 +59,16 @@ def test_mix(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_longer_documents_have_better_odds(spark):
+    data = [(i, "word " * (5 if i % 2 else 50), "en", "s", 1) for i in range(4000)]
+    got = mixing.mix(spark.createDataFrame(data, SCHEMA), most=2.0, budget=1.3).toPandas()
+    assert abs(got.taken.sum() - got.target.iloc[0]) <= 1 and (got.taken >= got["size"]).all()
+    short, long = ((got.taken > got["size"])[got["size"] == n].mean() for n in (5, 50))
+    # odds 0.25 and 50 / 27.5 times a common factor; the quota fixes the words
+    odds = lambda p: p / (1 - p)
+    assert odds(long) / odds(short) == pytest.approx((50 / 27.5) / 0.25, rel=0.25)
+
+
 def test_mixed_repeats_whole_documents(spark):
     docs = frame(spark)
     got = mixing.mixed(docs)
