@@ -49,9 +49,12 @@ def numbered(prices: DataFrame, calendar: DataFrame) -> DataFrame:
     return prices.join(F.broadcast(calendar), "trade_date", "left")  # a row a trading day
 
 
-def chunks(rows: DataFrame, gap: int = GAP) -> DataFrame:
-    """Chunk number: a new one where at least ``gap`` sessions lie between a row and the one before; unknown sessions are no gap."""
-    w = W.partitionBy(*KEYS).orderBy("trade_date")
+def chunks(rows: DataFrame, gap: int = GAP, *within: str) -> DataFrame:
+    """Chunk number: a new one where at least ``gap`` sessions lie between a row and the one before; unknown sessions are no gap.
+
+    Rows that differ in ``within`` do not see each other.
+    """
+    w = W.partitionBy(*KEYS, *within).orderBy("trade_date")
     missed = F.col("session_no") - F.lag("session_no").over(w) - 1
     return rows.withColumn("chunk", F.sum(F.when(missed >= gap, 1).otherwise(0)).over(w.rowsBetween(W.unboundedPreceding, 0)))
 
@@ -61,14 +64,14 @@ def _scaled(x: Column) -> Column:
     return x * F.pow(F.lit(PERIOD / (PERIOD - 1)), F.when(F.col("span") == 0, F.greatest(at, F.lit(PERIOD - 1))).otherwise(at))
 
 
-def averages(rows: DataFrame) -> DataFrame:
+def averages(rows: DataFrame, *within: str) -> DataFrame:
     """Wilder's averages and RSI of rows with gain, loss and chunk; null before the 14th row of a chunk.
 
     The seed is the mean of 14 rows and each later value (13 * previous + x) / 14, which is one running sum of x scaled
     by (14/13)^place. Each span of rows has its own scale; the span before counts with what is left of it, those
     before that are below the precision of a double.
     """
-    keys = [*KEYS, "chunk"]
+    keys = [*KEYS, *within, "chunk"]
     ordered = W.partitionBy(*keys).orderBy("trade_date")
     inside = W.partitionBy(*keys, "span")
     rows = rows.withColumn("j", F.row_number().over(ordered) - 1).withColumn("span", F.floor(F.col("j") / SPAN))
@@ -84,12 +87,12 @@ def averages(rows: DataFrame) -> DataFrame:
 def full(prices: DataFrame, calendar: DataFrame, gap: int = GAP) -> DataFrame:
     """RSI of one row a day: all instruments at once, in one shuffle by instrument.
 
-    Rows without a price keep their place in the output but not in the walk.
+    Rows without a price keep their place in the output but not in the walk: they are a window of their own.
     """
     p = numbered(prices, calendar).withColumns({"gain": gain(F.col("close"), F.col("prev_close")), "loss": loss(F.col("close"), F.col("prev_close"))})
-    valid = averages(chunks(p.where("gain is not null"), gap))
-    holes = p.where("gain is null").withColumns({c: F.lit(None).cast(t) for c, t in (("chunk", "long"), ("j", "int"), ("avg_gain", "double"), ("avg_loss", "double"), ("rsi14", "double"))})
-    return valid.unionByName(holes.select(valid.columns))
+    p = p.withColumn("priced", F.col("gain").isNotNull())
+    rows = averages(chunks(p, gap, "priced"), "priced")
+    return rows.withColumns({c: F.when(F.col("priced"), F.col(c)) for c in ("chunk", "j", "avg_gain", "avg_loss", "rsi14")}).drop("priced")
 
 
 def latest(workbook: DataFrame) -> DataFrame:

@@ -220,7 +220,8 @@ def _eligible(s: SparkSession, d: str) -> DataFrame:
 
 
 def _one(s: SparkSession, d: str) -> DataFrame:
-    return R.one_a_day(_eligible(s, d), *TIES)
+    # dealt by instrument, which serves the windows by day and by instrument alike
+    return R.one_a_day(_eligible(s, d).repartition(*R.KEYS), *TIES)
 
 
 def _calendar(s: SparkSession, d: str) -> DataFrame:

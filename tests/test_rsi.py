@@ -99,3 +99,10 @@ def test_missing_price(spark):
 
 def test_empty(spark):
     assert R.full(spark.createDataFrame([], SCHEMA), calendar(spark, 3)).collect() == []
+
+
+def test_one_shuffle_by_instrument(spark):
+    data = [(f"S{i % 3}", "NSE", datetime.date(2024, 1, 1) + datetime.timedelta(i), float(i), float(i + 1)) for i in range(9)]
+    df = spark.createDataFrame(data, "isin string, exchange string, trade_date date, close double, prev_close double")
+    plan = R.full(df, calendar(spark, 30))._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("+- == Initial Plan ==")[0].count("Exchange hashpartitioning(isin") == 1
