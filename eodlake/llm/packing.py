@@ -7,8 +7,9 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eodlake.llm.common import saved, table
@@ -16,8 +17,10 @@ from eodlake.llm.common import saved, table
 WINDOW, END_ID = 2048, 1
 #: A shard, the unit that is indexed at once: tokens and documents at most (one document may exceed it alone).
 SHARD_TOKENS, SHARD_DOCS = 4 << 20, 8192
-#: Terms of a seed document that are looked up, and neighbours ranked at a time.
-QUERY_TERMS, RANKED = 24, 48
+#: Neighbours ranked at a time; a term that one of SPARSE documents of a shard has is kept as a row of weights.
+RANKED, SPARSE = 48, 8
+#: Numbers of a document's projection, documents on which the cells are fitted (on average), cells a shard, cells at most.
+DIM, FITTED, CELLS, MOST_CELLS = 64, 4096, 16, 1024
 K1, B = 1.2, 0.75
 #: Documents encoded at a time.
 STEP = 768
@@ -133,9 +136,15 @@ def _spread(x: np.ndarray, seed: int) -> np.ndarray:
     return y ^ (y >> np.uint32(13))
 
 
+def projection(vocab: int) -> np.ndarray:
+    """A row of random signs for each token; later ids, which a vocabulary gives to rarer tokens, weigh more."""
+    signs = np.random.default_rng(64).integers(0, 2, (vocab, DIM)) * 2 - 1
+    return (signs * np.log1p(np.arange(vocab) / 100)[:, None]).astype(np.float32)
+
+
 def tokenised(path: str, ranks: str | None, end_id: int) -> Callable:
     """Arrow batches of (doc_id, text) to token rows, and one row of document frequencies a task."""
-    schema = pa.schema([("doc_id", pa.int64()), ("near", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("df", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("near", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("vec", pa.binary()), ("df", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(path, ranks)
@@ -144,23 +153,26 @@ def tokenised(path: str, ranks: str | None, end_id: int) -> Callable:
         df = np.zeros(vocab, np.int32)
         every, mark = np.arange(vocab), np.zeros(vocab, bool)
         a, b = (_spread(every, s) for s in (1, 77_777))
+        axes = projection(vocab)
         empty = True
         for batch in batches:
             docs, texts = batch.column("doc_id"), batch.column("text")
             for at in range(0, len(docs), STEP):
                 ids = [x + end for x in enc.encode_batch([t or "" for t in texts.slice(at, STEP).to_pylist()])]
-                near = []
+                near, vec = [], []
                 for x in ids:
                     mark[:] = False
                     mark[np.frombuffer(x, width)] = True
                     seen = np.flatnonzero(mark)
                     df[seen] += 1
                     near.append(int(a[seen].min()) << 31 | int(b[seen].min()) >> 1)
+                    v = axes[seen].sum(axis=0)
+                    vec.append(np.rint(v * (127 / max(float(np.abs(v).max()), 1e-9))).astype(np.int8).tobytes())
                 n = [len(x) // enc.width().itemsize for x in ids]
-                yield pa.RecordBatch.from_arrays([docs.slice(at, STEP).cast(pa.int64()), pa.array(near, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(n), pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([docs.slice(at, STEP).cast(pa.int64()), pa.array(near, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(vec, pa.binary()), pa.nulls(len(n), pa.binary())], schema=schema)
                 empty = False
         if not empty:
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([df.tobytes()])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([df.tobytes()])], schema=schema)
 
     return run
 
@@ -176,6 +188,52 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(total[t])], names=["token", "df"])
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+
+def vectors(raw: list[bytes]) -> np.ndarray:
+    return unit(np.frombuffer(b"".join(raw), np.int8).reshape(-1, DIM).astype(np.float32))
+
+
+class Cells:
+    """Cells of alike documents: the nearest of a few centroids (spherical k-means over a sample's projections).
+
+    Cells are numbered so that neighbouring numbers are alike: the centroids are halved along their main axis again and again.
+    """
+
+    def __init__(self, sample: list[bytes], cells: int, rounds: int = 12):
+        x = vectors(sorted(sample))
+        self.middle = x.mean(axis=0)
+        x = unit(x - self.middle)
+        c = x[np.random.default_rng(7).permutation(len(x))[:cells]]
+        for _ in range(rounds):
+            near = (x @ c.T).argmax(axis=1)
+            total = np.zeros_like(c)
+            np.add.at(total, near, x)
+            some = np.bincount(near, minlength=len(c)) > 0
+            c[some] = unit(total[some])
+        self.centroids = c[self._order(c, np.arange(len(c)))]
+
+    def _order(self, c: np.ndarray, some: np.ndarray) -> np.ndarray:
+        if len(some) <= 2:
+            return some
+        y = c[some] - c[some].mean(axis=0)
+        some = some[np.argsort(y @ np.linalg.svd(y, full_matrices=False)[2][0], kind="stable")]
+        half = len(some) // 2
+        return np.concatenate([self._order(c, some[:half]), self._order(c, some[half:])])
+
+    def of(self, raw: list[bytes]) -> np.ndarray:
+        return (unit(vectors(raw) - self.middle) @ self.centroids.T).argmax(axis=1)
+
+    def column(self, vec: str) -> Column:
+        @F.pandas_udf("int")
+        def cell(v: pd.Series) -> pd.Series:
+            return pd.Series(self.of(v.tolist()) if len(v) else [], dtype="int32")
+
+        return cell(vec)
+
+
 class Shard:
     """An inverted index with BM25 weights over the documents of one shard, which are handed out once each."""
 
@@ -189,20 +247,35 @@ class Shard:
         doc, term = (keys >> np.uint64(32)).astype(np.int32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int32)
         weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * n[doc] / mean))).astype(np.float32)
         self.at = np.searchsorted(doc, np.arange(len(ids) + 1))
-        self.term, self.own = term, weight
+        self.term = term
         o = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[o], weight[o]
         self.posting = np.searchsorted(term[o], np.arange(len(idf) + 1))
         self.n, self.used = len(ids), np.zeros(len(ids), bool)
+        # postings of common terms as rows, which add up faster; SPARSE times the postings at most
+        common = np.flatnonzero(np.diff(self.posting) * SPARSE >= self.n)
+        self.row = np.full(len(idf), -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), self.n), np.float32)
+        for row, t in zip(self.rows, common.tolist()):
+            some = slice(self.posting[t], self.posting[t + 1])
+            row[self.doc[some]] = self.weight[some]
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of all documents of the shard for all distinct terms of the seed."""
+        term = self.term[self.at[seed] : self.at[seed + 1]]
+        row = self.row[term]
+        score = np.zeros(self.n, np.float32)
+        for r in row[row >= 0].tolist():
+            score += self.rows[r]
+        lists = [slice(self.posting[t], self.posting[t + 1]) for t in term[row < 0].tolist()]
+        if lists:
+            score += np.bincount(np.concatenate([self.doc[s] for s in lists]), np.concatenate([self.weight[s] for s in lists]), self.n)
+        return score
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents that share a looked-up term, best first."""
-        a, b = self.at[seed], self.at[seed + 1]
-        term = self.term[a:b]
-        if len(term) > QUERY_TERMS:
-            term = term[np.argpartition(self.own[a:b], -QUERY_TERMS)[-QUERY_TERMS:]]
-        lists = [slice(self.posting[t], self.posting[t + 1]) for t in term.tolist()]
-        score = np.bincount(np.concatenate([self.doc[s] for s in lists]), np.concatenate([self.weight[s] for s in lists]), self.n)
+        """The RANKED best unused documents that share a term with the seed, best first."""
+        score = self.scores(seed)
         score[self.used] = 0
         if np.count_nonzero(score) > RANKED:
             best = np.argpartition(score, -RANKED)[-RANKED:]
@@ -315,13 +388,14 @@ def packer(idf: np.ndarray, mean: float, window: int, width: type, with_ids: boo
 def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, end_id: int = END_ID, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and its ids if asked for).
 
-    1. Whole texts are tokenised once and written, with two min-hashes of their distinct tokens and, one row a task, how many
-       documents have each token. These counts cover all documents and have one number for each id of the vocabulary,
-       so they fit in any task.
-    2. The min-hashes range-partition the documents, so that likely neighbours meet; ties spread by id. A task cuts its
-       range into shards of bounded size.
-    3. Each shard is a BM25 inverted index over token ids. Each seed document looks up its strongest terms and its unused
-       neighbours greedily fill the window; see ``pack_shard``.
+    1. Whole texts are tokenised once and written, with a random projection and two min-hashes of their distinct tokens and, one
+       row a task, how many documents have each token. These counts cover all documents and have one number for each id
+       of the vocabulary, so they fit in any task.
+    2. Every document goes to the nearest of a few cells, which are fitted on the projections of about FITTED documents (picked by
+       hash). Cells, then min-hashes, range-partition the documents, so that likely neighbours meet; ties spread by id. There are as
+       many ranges as the tokens need, whatever the cluster, and a task cuts its range into shards of bounded size.
+    3. Each shard is a BM25 inverted index over token ids, with document frequencies of the whole table. Each seed document looks up
+       all its terms and its unused neighbours greedily fill the window; see ``pack_shard``.
 
     A null text is empty and has the end id only; repeated rows are packed each; an empty table gives no rows.
     """
@@ -330,17 +404,23 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, end_id: int
 
     vocab = max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)
     width = np.uint16 if vocab <= 1 << 16 else np.uint32
-    tokens = saved(docs.select("doc_id", "text").mapInArrow(tokenised(tokenizer, ranks, end_id), "doc_id long, near long, n long, ids binary, df binary"), "tokens")
+    tokens = saved(docs.select("doc_id", "text").mapInArrow(tokenised(tokenizer, ranks, end_id), "doc_id long, near long, n long, ids binary, vec binary, df binary"), "tokens")
     total, count = tokens.where("n is not null").agg(F.sum("n"), F.count("n")).first()
     seen = tokens.where("df is not null").select("df").mapInArrow(_counts, "token long, df long").groupBy("token").agg(F.sum("df").alias("df")).collect()  # at most one row an id
     df = np.zeros(vocab)
     for r in seen:
         df[r.token] = r.df
     idf = np.log1p(((count or 0) - df + 0.5) / (df + 0.5)).astype(np.float32)
-    parts = max(spark.sparkContext.defaultParallelism, (total or 0) // (2 * SHARD_TOKENS))
-    rows = tokens.where("n is not null").select("doc_id", "near", "ids")
-    order = [F.col("near"), F.col("doc_id"), F.xxhash64("ids")]
-    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "ids")
+    rows = tokens.where("n is not null")
+    parts = max(1, -(-(total or 0) * 5 // (SHARD_TOKENS * 4)))  # ranges are of sampled sizes: a fifth of a shard is left free
+    cell = F.lit(0)
+    if parts > 1:
+        picked = F.pmod(F.xxhash64("doc_id", "near", "vec"), F.lit(count)) < FITTED
+        sample = [bytes(r.vec) for r in rows.where(picked).select("vec").distinct().collect()]  # FITTED vectors of DIM bytes on average
+        if sample:
+            cell = Cells(sample, min(MOST_CELLS, CELLS * parts)).column("vec")
+    order = [F.col("cell"), F.col("near"), F.col("doc_id"), F.xxhash64("ids")]
+    dealt = rows.select("doc_id", "near", "ids", cell.alias("cell")).repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "ids")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
     return dealt.mapInArrow(packer(idf, (total or 0) / max(count or 0, 1), window, width, with_ids), schema)
 
