@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -16,8 +17,8 @@ from eodlake.llm.common import saved, table
 
 WINDOW, END_ID = 2048, 1
 #: A shard, the unit that is indexed at once: tokens and documents at most (one document may exceed it alone).
-SHARD_TOKENS, SHARD_DOCS = 4 << 20, 8192
-#: Neighbours ranked at a time; a term that one of SPARSE documents of a shard has is kept as a row of weights.
+SHARD_TOKENS, SHARD_DOCS = 4 << 20, 4096
+#: Neighbours ranked at a time; terms that one of SPARSE documents of a shard has are scored for all pairs of a shard at once.
 RANKED, SPARSE = 48, 8
 #: Numbers of a document's projection, documents on which the cells are fitted (on average), cells a shard, cells at most.
 DIM, FITTED, CELLS, MOST_CELLS = 64, 4096, 16, 1024
@@ -129,6 +130,12 @@ class Encoder:
         return [raw[(s := next(spans))[0] + step : s[1]] if p else o for p, o in zip(plain, out)]
 
 
+@functools.lru_cache(1)
+def encoder(path: str, ranks: str | None) -> Encoder:
+    """The encoder of a worker, which keeps what it learned for its next tasks."""
+    return Encoder(path, ranks)
+
+
 def _spread(x: np.ndarray, seed: int) -> np.ndarray:
     y = (x.astype(np.uint32) + np.uint32(seed)) * np.uint32(0x9E3779B1)
     y ^= y >> np.uint32(15)
@@ -147,13 +154,13 @@ def tokenised(path: str, ranks: str | None, end_id: int) -> Callable:
     schema = pa.schema([("doc_id", pa.int64()), ("near", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("vec", pa.binary()), ("df", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(path, ranks)
+        enc = encoder(path, ranks)
         width, vocab = enc.width, max(enc.vocab, end_id + 1)
         end = np.array([end_id], width).tobytes()
         df = np.zeros(vocab, np.int32)
         every, mark = np.arange(vocab), np.zeros(vocab, bool)
         a, b = (_spread(every, s) for s in (1, 77_777))
-        axes = projection(vocab)
+        axes, ones = projection(vocab), np.ones(vocab, np.float32)
         empty = True
         for batch in batches:
             docs, texts = batch.column("doc_id"), batch.column("text")
@@ -166,7 +173,7 @@ def tokenised(path: str, ranks: str | None, end_id: int) -> Callable:
                     seen = np.flatnonzero(mark)
                     df[seen] += 1
                     near.append(int(a[seen].min()) << 31 | int(b[seen].min()) >> 1)
-                    v = axes[seen].sum(axis=0)
+                    v = ones[: len(seen)] @ axes.take(seen, axis=0)
                     vec.append(np.rint(v * (127 / max(float(np.abs(v).max()), 1e-9))).astype(np.int8).tobytes())
                 n = [len(x) // enc.width().itemsize for x in ids]
                 yield pa.RecordBatch.from_arrays([docs.slice(at, STEP).cast(pa.int64()), pa.array(near, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(vec, pa.binary()), pa.nulls(len(n), pa.binary())], schema=schema)
@@ -252,26 +259,23 @@ class Shard:
         self.doc, self.weight = doc[o], weight[o]
         self.posting = np.searchsorted(term[o], np.arange(len(idf) + 1))
         self.n, self.used = len(ids), np.zeros(len(ids), bool)
-        # postings of common terms as rows, which add up faster; SPARSE times the postings at most
+        # common terms: a row of weights each (SPARSE times the postings at most), and their part of the scores of all pairs
         common = np.flatnonzero(np.diff(self.posting) * SPARSE >= self.n)
-        self.row = np.full(len(idf), -1, np.int32)
-        self.row[common] = np.arange(len(common))
-        self.rows = np.zeros((len(common), self.n), np.float32)
-        for row, t in zip(self.rows, common.tolist()):
+        rows = np.zeros((len(common), self.n), np.float32)
+        for row, t in zip(rows, common.tolist()):
             some = slice(self.posting[t], self.posting[t + 1])
             row[self.doc[some]] = self.weight[some]
+        self.common = np.zeros(len(idf), bool)
+        self.common[common] = True
+        self.base = (rows.T > 0).astype(np.float32) @ rows
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of all documents of the shard for all distinct terms of the seed."""
         term = self.term[self.at[seed] : self.at[seed + 1]]
-        row = self.row[term]
-        score = np.zeros(self.n, np.float32)
-        for r in row[row >= 0].tolist():
-            score += self.rows[r]
-        lists = [slice(self.posting[t], self.posting[t + 1]) for t in term[row < 0].tolist()]
-        if lists:
-            score += np.bincount(np.concatenate([self.doc[s] for s in lists]), np.concatenate([self.weight[s] for s in lists]), self.n)
-        return score
+        lists = [slice(self.posting[t], self.posting[t + 1]) for t in term[~self.common[term]].tolist()]
+        if not lists:
+            return self.base[seed].copy()
+        return self.base[seed] + np.bincount(np.concatenate([self.doc[s] for s in lists]), np.concatenate([self.weight[s] for s in lists]), self.n)
 
     def neighbours(self, seed: int) -> np.ndarray:
         """The RANKED best unused documents that share a term with the seed, best first."""
