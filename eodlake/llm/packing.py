@@ -27,6 +27,10 @@ K1, B = 1.2, 0.75
 STEP = 768
 
 
+#: What a text of single spaces and newlines doesn't hold: two in a row, or another white space of the Latin blocks.
+BREAKS = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0")
+
+
 class Numbers(dict):
     """Numbers pieces as they are first asked for, and lists the new ones."""
 
@@ -74,8 +78,7 @@ class Encoder:
 
     def plain(self, text: str) -> bool:
         """Single spaces and newlines only (as many as there are gaps, none at either end, no two together)."""
-        ws = text.split()
-        if not ws or not text.count(" ") + text.count("\n") == len(ws) - 1 == len(text) - sum(map(len, ws)):
+        if not text or text[0] in " \n" or text[-1] in " \n" or any(x in text for x in BREAKS):
             return False
         if not text.isascii():
             try:
