@@ -19,6 +19,7 @@ from eodlake.plans.panel import sql, view
 from eodlake.plans.shared import fresh
 from eodlake.sources import documents as D
 from eodlake.sources import prices as P
+from eodlake.sources.lines import MOST_ROWS
 from eodlake.streaming import jobs as J
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -466,7 +467,7 @@ def _landed_prices(s: SparkSession, d: str) -> str:
         (_three(p, "BSE").where("se <> 'N'").drop("x").toDF("clspric", "PrvsClsgPric", "TckrSymb", "SctySrs", "isin", "TtlTradgVol", "TradDt")),
     )
     for k, rows in enumerate(layouts):
-        rows.coalesce(2).write.csv(f"{root}/{k}", header=True)
+        rows.write.option("maxRecordsPerFile", MOST_ROWS).csv(f"{root}/{k}", header=True)
     return f"{root}/*"
 
 
@@ -478,16 +479,17 @@ add("src2_layout_of_files", lambda s, d: P.headers(s, _landed_prices(s, d)).wher
 
 def _action_csv(s: SparkSession, d: str) -> DataFrame:
     path = fresh(s, "actions")
-    view(s, d, "actions").where("exchange = 'NSE'").select(F.lower("symbol").alias("symbol"), F.col("subject").alias("Purpose"), F.date_format("ex_date", "dd-MMM-yyyy").alias("EX-DATE")).coalesce(2).write.csv(path, header=True)
+    view(s, d, "actions").where("exchange = 'NSE'").select(F.lower("symbol").alias("symbol"), F.col("subject").alias("Purpose"), F.date_format("ex_date", "dd-MMM-yyyy").alias("EX-DATE")).write.option("maxRecordsPerFile", MOST_ROWS).csv(path, header=True)
     return D.action_csv(s, path, "NSE")[0]
 
 def _action_json(s: SparkSession, d: str) -> DataFrame:
-    """A file a month and exchange: the first exchange's a bare list, the second's under Table."""
+    """Files by month and exchange, of bounded size: the first exchange's a bare list, the second's under Table."""
     root, a = fresh(s, "actions"), view(s, d, "actions").withColumn("month", F.date_format("ex_date", "yyyyMM"))
+    a = a.withColumn("piece", F.monotonically_increasing_id() % (1 + a.count() // MOST_ROWS))  # about MOST_ROWS rows a piece, less in one of its months
     one = F.struct("isin", "symbol", "subject", F.date_format("ex_date", "dd-MMM-yyyy").alias("exDate"))
     for x, text in (("NSE", F.to_json("Table")), ("BSE", F.to_json(F.struct("Table")))):
-        a.where(f"exchange = '{x}'").groupBy("month").agg(F.collect_list(one).alias("Table")).select("month", text.alias("value")).write.partitionBy("month").text(f"{root}/{x}")
-    return D.action_json(s, f"{root}/*/*").select("isin", "symbol", "subject", "ex_date")
+        a.where(f"exchange = '{x}'").groupBy("month", "piece").agg(F.collect_list(one).alias("Table")).select("month", "piece", text.alias("value")).write.partitionBy("month", "piece").text(f"{root}/{x}")
+    return D.action_json(s, f"{root}/*/*/*").select("isin", "symbol", "subject", "ex_date")
 
 
 add("src5_action_json", _action_json, "SELECT isin, symbol, subject, ex_date FROM actions")

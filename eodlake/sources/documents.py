@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eodlake.functions.columns import first_nonblank, named, parse_date, zero_to_null
+from eodlake.sources.lines import first_lines
 
 # Column names in the exchanges' action files.
 ACTION_COLUMNS = {"NSE": ("SYMBOL", "PURPOSE", "EX-DATE"), "BSE": ("Security Code", "Purpose", "Ex Date")}
@@ -21,10 +22,10 @@ def action_rows(rows: DataFrame, exchange: str) -> DataFrame:
 
 def action_csv(spark: SparkSession, path: str, exchange: str) -> tuple[DataFrame, DataFrame]:
     """Rows of an exchange's action files, and the files that are empty, markup or JSON instead."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.ltrim(F.regexp_replace("value", "^\\ufeff", "")).alias("text"))
-    bad = (F.col("text") == "") | F.substring("text", 1, 1).isin("<", "{", "[")
-    good = [r.file for r in whole.where(~bad).select("file").collect()]  # a landing folder's file names
-    rejects = whole.where(bad).select("file")
+    first = first_lines(spark, path)
+    bad = F.col("shown").isNull() | F.substring(F.ltrim("shown"), 1, 1).isin("<", "{", "[")
+    good = [r.file for r in first.where(~bad).select("file").collect()]  # a landing folder's file names
+    rejects = first.where(bad).select("file")
     if not good:
         names = ", ".join(f"`{c}` string" for c in ACTION_COLUMNS[exchange])
         return action_rows(spark.createDataFrame([], names), exchange), rejects
@@ -37,11 +38,10 @@ ACTION_JSON = "isin string, symbol string, subject string, exDate string, scrip_
 
 
 def action_json(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of JSON files that hold a list, bare or under Table."""
-    text = spark.read.text(path, wholetext=True).select("value")
-    bare = F.from_json("value", f"array<struct<{ACTION_JSON.replace(' string', ': string')}>>")
-    wrapped = F.from_json("value", f"Table array<struct<{ACTION_JSON.replace(' string', ': string')}>>")["Table"]
-    rows = text.select(F.inline(F.coalesce(F.when(F.ltrim("value").startswith("["), bare), F.when(F.ltrim("value").startswith("{"), wrapped))))
+    """Rows of JSON files that hold a list, bare or under Table; what is no JSON, or has none of the fields, gives none."""
+    names = [f.split()[0] for f in ACTION_JSON.split(", ")]
+    found = spark.read.schema(f"{ACTION_JSON}, Table array<struct<{ACTION_JSON.replace(' string', ': string')}>>").json(path, multiLine=True)
+    rows = found.select(F.inline(F.coalesce("Table", F.array(F.struct(*names))))).where(F.coalesce(*names).isNotNull())
     return rows.select(
         F.when(F.col("scrip_code").isNotNull(), "BSE").otherwise("NSE").alias("exchange"),
         "isin",

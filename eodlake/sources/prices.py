@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eodlake.functions.columns import named, parse_date, parse_decimal, parse_int, percent_change
+from eodlake.sources.lines import first_lines
 
 # Column names of the three layouts (v1: first exchange before 2024, v3: second before 2024, v2: both since).
 V1 = {"symbol": "SYMBOL", "series": "SERIES", "isin": "ISIN", "open": "OPEN", "high": "HIGH", "low": "LOW", "close": "CLOSE", "last": "LAST", "prev_close": "PREVCLOSE", "tot_trd_val": "TOTTRDVAL", "tot_trd_qty": "TOTTRDQTY", "total_trades": "TOTALTRADES", "trade_date": "TIMESTAMP"}
@@ -60,32 +61,33 @@ def is_legacy(day: Column) -> Column:
 
 
 def headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, header, layout) of each file; empty files and pages of markup have layout null."""
-    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.element_at(F.split("value", "\r?\n"), 1).alias("header"))
-    return whole.withColumn("layout", layout_of(F.col("header")))
+    """(file, header, layout) of each file with a line; pages of markup have layout null."""
+    return first_lines(spark, paths).select("file", "header").withColumn("layout", layout_of(F.col("header")))
 
 
 def scan(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows of all price files with their file and line order, and the files that are none (file, header).
 
     Files are grouped by their header line, of which there are a handful, so each group is one scan whose positions are
-    its names. A file stays in one split as long as it is under spark.sql.files.maxPartitionBytes, which
-    keeps its lines in order; daily files are a few hundred kilobytes.
+    its names. The driver sees a path and a header for each file, as it does when Spark lists them. A file stays in one split as long
+    as it is under spark.sql.files.maxPartitionBytes, which keeps its lines in order; daily files are a few hundred kilobytes.
     """
     h = headers(spark, paths)
     rejects = h.where("layout is null").select("file", "header")
-    groups = h.where("layout is not null").groupBy("layout", "header").agg(F.collect_list("file").alias("files")).collect()  # a row for each distinct header
+    groups: dict[tuple[str, str], list[str]] = {}
+    for r in h.where("layout is not null").collect():
+        groups.setdefault((r.layout, r.header), []).append(r.file)
     out = None
-    for g in groups:
+    for (layout, header), files in sorted(groups.items()):
         seen: dict[str, int] = {}
         names = []
-        for i, n in enumerate(g.header.replace("﻿", "").replace('"', "").split(",")):
+        for i, n in enumerate(header.replace('"', "").split(",")):
             n = n.strip() or f"_{i}"
             seen[n] = seen.get(n, 0) + 1
             names.append(n if seen[n] == 1 else f"{n}_{i}")
-        rows = spark.read.csv(g.files, header=True, schema=", ".join(f"`{n}` string" for n in names), enforceSchema=True)
+        rows = spark.read.csv(files, header=True, schema=", ".join(f"`{n}` string" for n in names), enforceSchema=True)
         rows = rows.select("*", F.col("_metadata.file_path").alias("file")).withColumn("line", F.monotonically_increasing_id())
-        p = project(rows, g.layout)
+        p = project(rows, layout)
         out = p if out is None else out.unionByName(p)
     if out is None:
         empty = spark.createDataFrame([], "file string, line long, " + ", ".join(f"`{n}` string" for n in V2.values()))

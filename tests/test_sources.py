@@ -8,6 +8,7 @@ from eodlake.operators import actions as A
 from eodlake.operators import calendars as K
 from eodlake.sources import documents as D
 from eodlake.sources import prices as P
+from eodlake.sources.lines import first_lines
 
 V2 = "TradDt,BizDt,Src,ISIN,TckrSymb,SctySrs,OpnPric,HghPric,LwPric,ClsPric,LastPric,PrvsClsgPric,TtlTradgVol,TtlTrfVal,TtlNbOfTxsExctd\n"
 V1 = "SYMBOL,SERIES,OPEN,HIGH,LOW,CLOSE,LAST,PREVCLOSE,TOTTRDQTY,TOTTRDVAL,TIMESTAMP,TOTALTRADES,ISIN,\n"
@@ -77,6 +78,36 @@ def test_action_files(spark, tmp_path):
     assert got == [("BSE", "B", "2026-08-10"), ("NSE", "AAA", "2024-01-05")]
 
 
+def test_first_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\ufeffx,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("\n \n  {\n")
+    (tmp_path / "c.csv").write_text("\n\n")
+    got = {r.file.rsplit("/", 1)[1]: (r.header, r.shown) for r in first_lines(spark, str(tmp_path)).collect()}
+    assert got == {"a.csv": ("x,y", "x,y"), "b.csv": ("", "  {"), "c.csv": ("", None)}
+    rows, rejects = D.action_csv(spark, str(tmp_path), "NSE")
+    assert rows.count() == 1 and {r.file.rsplit("/", 1)[1] for r in rejects.collect()} == {"b.csv", "c.csv"}
+
+
+def test_files_of_many_splits(spark, tmp_path):
+    (tmp_path / "NSE-BC-14-DEC-2023.csv").write_text(V1 + "".join(f"S{i},EQ,1,2,1,12.5,1,12,{i},9,14-DEC-2023,3,INE{i},\n" for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        rows, rejects = P.scan(spark, str(tmp_path))
+        assert rejects.count() == 0 and sorted(r.tot_trd_qty for r in rows.collect()) == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_json_that_is_none(spark, tmp_path):
+    (tmp_path / "1.json").write_text("<html>no</html>")
+    (tmp_path / "2.json").write_text('{"message": "blocked"}')
+    (tmp_path / "3.json").write_text("")
+    (tmp_path / "4.json").write_text('{"Table": []}')
+    (tmp_path / "5.json").write_text('[{"isin": "I1", "symbol": "AAA", "subject": "x", "exDate": "05-Jan-2024"},\n {"isin": "I2"}]')
+    assert sorted(r.isin for r in D.action_json(spark, str(tmp_path)).collect()) == ["I1", "I2"]
+
+
 def test_fundamentals(spark):
     docs = spark.createDataFrame(
         [
