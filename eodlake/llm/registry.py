@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eodlake.llm import exact, imatch, licenses, minhash, mixing, packing, quality, substrings, suffixtree
+from eodlake.llm import exact, imatch, licenses, manifest, minhash, mixing, negatives, packing, quality, substrings, suffixtree, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": substrings.op1_suffix_dedup,
@@ -15,9 +15,14 @@ QUERIES = {
     "op8_lexical_packing": packing.op8_lexical_packing,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_source_mix": mixing.op10_source_mix,
+    "op11_toxicity": toxicity.op11_toxicity,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
+    "op13_merkle": manifest.op13_merkle,
 }
 ORACLES = {
     "op2_near_dedup": minhash.SQL,
     "op5_exact_dedup": exact.SQL,
     "op10_source_mix": mixing.SQL,
+    "op12_hard_negatives": negatives.SQL,
+    "op13_merkle": manifest.SQL,
 }
