@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from eodlake.llm.common import chunks, crc_mod, grams, joined, mix, saved, table, words
 
 #: Labelled documents that the model is fitted on at most (the first in hash order), and bytes of their texts; the fit runs on the driver.
-MOST_LABELLED, MOST_BYTES = 6_000, 24 << 20
+MOST_LABELLED, MOST_BYTES = 4_000, 12 << 20
 THRESHOLD = 0.5
 #: Lengths of the n-grams of a word between its boundary marks; the whole word counts as one more.
 LENGTHS = (3, 4, 5)
 #: Code points of spellings whose n-grams are held at once.
-SLICE = 1 << 20
+SLICE = 1 << 17
 _SEED = np.uint64(0x51ED270B)
 
 
@@ -89,17 +89,20 @@ class SubwordBags:
         text, word, spellings = word_bags(texts)
         if not len(word) or not 0 < y.sum() < len(y):
             return self
-        sub, begin = subwords(spellings, self.buckets)
-        n = np.diff(begin)
-        owner = np.repeat(np.arange(len(spellings)), n)
         texts_of = np.bincount(word, minlength=len(spellings))
-        known = np.bincount(sub, texts_of[owner], self.buckets) >= self.least  # a text counts once for each of its words
-        keep = known[sub]
-        names = np.flatnonzero(np.bincount(sub[keep], minlength=self.buckets))
-        sub, owner = np.searchsorted(names, sub[keep]), owner[keep]
+        known, n = np.zeros(self.buckets), np.empty(len(spellings), np.int64)
+        for part, sub, owner in self._sliced(spellings):
+            n[part] = np.bincount(owner, minlength=len(part))
+            known += np.bincount(sub, texts_of[part][owner], self.buckets)  # a text counts once for each of its words
+        names = np.flatnonzero(known >= self.least)
         if not len(names):
             return self
-        by_sub = np.argsort(sub, kind="stable")
+        place = np.full(self.buckets, -1, np.int32)
+        place[names] = np.arange(len(names))
+        kept = [(place[sub][hit], (owner[hit] + part[0]).astype(np.int32)) for part, sub, owner in self._sliced(spellings) if (hit := place[sub] >= 0) is not None]
+        sub, owner = (np.concatenate(x) for x in zip(*kept))
+        del kept
+        by_sub = np.argsort(sub, kind="stable").astype(np.int32)
         sub_at, owner_by_sub = np.searchsorted(sub[by_sub], np.arange(len(names))), owner[by_sub]
         word_at = np.flatnonzero(np.diff(owner, prepend=-1))
         has = owner[word_at]
@@ -133,16 +136,22 @@ class SubwordBags:
         self.bias, self.learnt = float(bias[1] - bias[0]), True
         return self
 
+    def _sliced(self, spellings: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Slices of the spellings, the buckets of their subwords and which of the slice each belongs to."""
+        size = np.cumsum([len(x) + 2 for x in spellings]) // SLICE
+        for part in np.split(np.arange(len(spellings)), np.flatnonzero(np.diff(size)) + 1):
+            sub, begin = subwords(spellings[part[0] : part[-1] + 1], self.buckets)
+            yield part, sub, np.repeat(np.arange(len(part)), np.diff(begin))
+
     def score(self, texts: list[bytes]) -> np.ndarray:
         """Probability of label 1 of whole texts; a text without words gets the share of label 1 in training."""
         text, word, spellings = word_bags(texts)
         out = np.full(len(texts), self.none)
         if len(word) and self.learnt:
             margin = np.empty(len(spellings))
-            size = np.cumsum([len(x) + 2 for x in spellings]) // SLICE
-            for part in np.split(np.arange(len(spellings)), np.flatnonzero(np.diff(size)) + 1):
-                sub, begin = subwords(spellings[part[0] : part[-1] + 1], self.buckets)
-                margin[part] = np.add.reduceat(self.table[sub], begin[:-1]) / np.diff(begin) + self.bias
+            for part, sub, owner in self._sliced(spellings):
+                n = np.bincount(owner, minlength=len(part))
+                margin[part] = np.bincount(owner, self.table[sub], len(part)) / n + self.bias
             text_at = np.flatnonzero(np.diff(text, prepend=-1))
             out[text[text_at]] = _odds(margin[word], text_at)
         return 1 / (1 + np.exp(-out))
