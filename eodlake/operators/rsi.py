@@ -100,54 +100,75 @@ def latest(workbook: DataFrame) -> DataFrame:
     return workbook.groupBy(*KEYS).agg(F.max_by(F.struct("trade_date", "avg_gain", "avg_loss"), "trade_date").alias("last")).select(*KEYS, F.col("last.trade_date").alias("last_date"), F.col("last.avg_gain").alias("last_gain"), F.col("last.avg_loss").alias("last_loss"))
 
 
-def step(today: DataFrame, workbook: DataFrame, calendar: DataFrame, gap: int = GAP, reseed: str = "chunk") -> DataFrame:
-    """One day for every instrument: new averages and an outcome.
+#: What is kept of an instrument: its last priced session, averages, and rows and sums of its chunk; the last rows' changes serve the seed after a gap.
+STATE_FIELDS = ["avg_gain", "avg_loss", "n", "sum_gain", "sum_loss", "session", "recent"]
+STATE = "isin string, exchange string, avg_gain double, avg_loss double, n long, sum_gain double, sum_loss double, session long, recent array<struct<gain: double, loss: double>>"
 
-    Outcomes: updated, seeded, still_pre_seed, reseeded_after_gap, skipped_no_workbook, skipped_missing_price,
-    skipped_invariant_violation, skipped_reseed_insufficient_history. ``workbook`` holds earlier rows (with gain and loss);
-    rows on or after the day are ignored. ``reseed='chunk'`` starts a new chunk after a gap as the full recompute does;
-    ``'lookback'`` seeds at once from the last 14 rows, those before the gap included.
-    """
-    day = today.groupBy().agg(F.max("trade_date").alias("today"))
-    past = workbook.crossJoin(F.broadcast(day)).where("trade_date < today").drop("today")  # one row
-    cal = F.broadcast(calendar)
+
+def state_of(workbook: DataFrame) -> DataFrame:
+    """One row an instrument (``STATE``) of rows as ``full`` gives them: the only pass over history, made once to set the states up."""
     w = W.partitionBy(*KEYS).orderBy(F.col("trade_date").desc())
-    ranked = chunks(numbered(past.where("gain is not null").drop("session_no"), calendar), gap)
-    ranked = ranked.withColumns({"back": F.row_number().over(w), "last_chunk": F.max("chunk").over(W.partitionBy(*KEYS))})
-    recent = F.col("back") <= PERIOD - 1
-    state = ranked.groupBy(*KEYS).agg(
-        F.max_by("avg_gain", "trade_date").alias("last_gain"),
-        F.max_by("avg_loss", "trade_date").alias("last_loss"),
-        F.max_by("session_no", "trade_date").alias("last_session"),
-        F.count_if(F.col("chunk") == F.col("last_chunk")).alias("n"),
-        F.sum(F.when(F.col("chunk") == F.col("last_chunk"), F.col("gain"))).alias("sum_gain"),
-        F.sum(F.when(F.col("chunk") == F.col("last_chunk"), F.col("loss"))).alias("sum_loss"),
-        F.count_if(recent).alias("n_recent"),
-        F.sum(F.when(recent, F.col("gain"))).alias("recent_gain"),
-        F.sum(F.when(recent, F.col("loss"))).alias("recent_loss"),
-    )
-    t = today.join(cal, "trade_date", "left").withColumns({"gain": gain(F.col("close"), F.col("prev_close")), "loss": loss(F.col("close"), F.col("prev_close"))})
-    t = t.join(state, KEYS, "left")
-    is_gap = F.coalesce(F.col("session_no") - F.col("last_session") - 1 >= gap, F.lit(False))
-    if reseed == "chunk":
-        t = t.withColumns({"n": F.when(is_gap, 0).otherwise(F.col("n")), "last_gain": F.when(~is_gap, F.col("last_gain")), "last_loss": F.when(~is_gap, F.col("last_loss")), "sum_gain": F.when(is_gap, 0.0).otherwise(F.col("sum_gain")), "sum_loss": F.when(is_gap, 0.0).otherwise(F.col("sum_loss"))})
-        is_gap = F.lit(False)
+    rows = workbook.where("gain is not null").withColumn("back", F.row_number().over(w))
+    rows = rows.withColumn("last_chunk", F.first("chunk").over(w)).where((F.col("chunk") == F.col("last_chunk")) | (F.col("back") < PERIOD))
+    own = F.col("chunk") == F.col("last_chunk")
+    last = lambda c: F.min_by(c, "back")
+    # sums are only asked for before the seed, so they stop at it
+    early = lambda c: F.coalesce(F.sum(F.when(own & (F.col("j") < PERIOD - 1), F.col(c))), F.lit(0.0))
+    recent = F.sort_array(F.collect_list(F.when(F.col("back") < PERIOD, F.struct((-F.col("back")).alias("place"), "gain", "loss"))))
+    g = rows.groupBy(*KEYS).agg(last("avg_gain").alias("avg_gain"), last("avg_loss").alias("avg_loss"), F.count_if(own).alias("n"), early("gain").alias("sum_gain"), early("loss").alias("sum_loss"), last("session_no").alias("session"), F.transform(recent, lambda r: F.struct(r["gain"], r["loss"])).alias("recent"))
+    return g.select(*KEYS, *STATE_FIELDS[:-1], F.col("recent").cast("array<struct<gain: double, loss: double>>").alias("recent"))
+
+
+def advance(today: DataFrame, state: DataFrame, calendar: DataFrame, gap: int = GAP, reseed: str = "chunk") -> DataFrame:
+    """One day for every instrument: its new averages, an outcome, and in ``next`` the state after it.
+
+    A day is one join of its rows with one state row a key; no history is read. Outcomes: updated, seeded, still_pre_seed,
+    reseeded_after_gap, skipped_no_workbook, skipped_missing_price, skipped_invariant_violation, skipped_late,
+    skipped_reseed_insufficient_history. ``reseed='chunk'`` starts a new chunk after a gap as the full recompute does; ``'lookback'`` seeds at once from
+    the last 14 rows, those before the gap included. A row at or before the state's session is late and changes nothing.
+    """
+    kept = state.select(*KEYS, F.struct(*STATE_FIELDS).alias("s"))
+    t = today.join(F.broadcast(calendar), "trade_date", "left")  # a row a trading day
+    t = t.withColumns({"gain": gain(F.col("close"), F.col("prev_close")), "loss": loss(F.col("close"), F.col("prev_close"))}).join(kept, KEYS, "left")
+    is_gap = F.coalesce(F.col("session_no") - F.col("s.session") - 1 >= gap, F.lit(False))
+    known, n = F.col("s").isNotNull(), F.coalesce(F.when(is_gap & (F.lit(reseed) == "chunk"), 0).otherwise(F.col("s.n")), F.lit(0))
+    fresh_chunk = is_gap if reseed == "chunk" else F.lit(False)
+    seeded = F.col("s.avg_gain").isNotNull() & ~fresh_chunk
+    few = F.size("s.recent") < PERIOD - 1
     outcome = (
         F.when(F.col("gain").isNull(), "skipped_missing_price")
-        .when(F.col("n").isNull(), "skipped_no_workbook")
-        .when(F.col("last_gain").isNotNull() & is_gap & (F.col("n_recent") < PERIOD - 1), "skipped_reseed_insufficient_history")
-        .when(F.col("last_gain").isNotNull() & is_gap, "reseeded_after_gap")
-        .when(F.col("last_gain").isNotNull(), "updated")
-        .when(F.col("n") > PERIOD - 1, "skipped_invariant_violation")
-        .when(F.col("n") == PERIOD - 1, "seeded")
+        .when(F.col("session_no") <= F.col("s.session"), "skipped_late")
+        .when(~known, "skipped_no_workbook")
+        .when(seeded & is_gap & few, "skipped_reseed_insufficient_history")
+        .when(seeded & is_gap, "reseeded_after_gap")
+        .when(seeded, "updated")
+        .when(n > PERIOD - 1, "skipped_invariant_violation")
+        .when(n == PERIOD - 1, "seeded")
         .otherwise("still_pre_seed")
     )
     t = t.withColumn("outcome", outcome)
     o = F.col("outcome")
     for x in ("gain", "loss"):
-        value = F.when(o == "updated", (F.col(f"last_{x}") * (PERIOD - 1) + F.col(x)) / PERIOD).when(o == "seeded", (F.col(f"sum_{x}") + F.col(x)) / PERIOD).when(o == "reseeded_after_gap", (F.col(f"recent_{x}") + F.col(x)) / PERIOD)
-        t = t.withColumn(f"avg_{x}", value)
-    return t.withColumn("rsi14", rsi_value(F.col("avg_gain"), F.col("avg_loss"))).select(*today.columns, "session_no", "gain", "loss", "avg_gain", "avg_loss", "rsi14", "outcome")
+        before = F.when(fresh_chunk, 0.0).otherwise(F.coalesce(f"s.sum_{x}", F.lit(0.0)))
+        lookback = F.aggregate(F.transform("s.recent", _field(x)), F.lit(0.0), lambda a, v: a + v)
+        value = F.when(o == "updated", (F.col(f"s.avg_{x}") * (PERIOD - 1) + F.col(x)) / PERIOD).when(o == "seeded", (before + F.col(x)) / PERIOD).when(o == "reseeded_after_gap", (lookback + F.col(x)) / PERIOD)
+        t = t.withColumns({f"avg_{x}": value, f"new_{x}": F.when(n < PERIOD - 1, before + F.col(x)).otherwise(before)})
+    moved = o.isin("updated", "seeded", "still_pre_seed", "reseeded_after_gap", "skipped_no_workbook")
+    longer = F.concat(F.coalesce(F.col("s.recent"), F.array().cast("array<struct<gain: double, loss: double>>")), F.array(F.struct("gain", "loss")))
+    recent = F.slice(longer, F.greatest(F.size(longer) - PERIOD + 2, F.lit(1)), F.lit(PERIOD - 1))
+    after = F.struct("avg_gain", "avg_loss", (F.when(o == "reseeded_after_gap", PERIOD).otherwise(n + 1)).cast("long").alias("n"), F.col("new_gain").alias("sum_gain"), F.col("new_loss").alias("sum_loss"), F.col("session_no").alias("session"), recent.alias("recent"))
+    t = t.withColumn("next", F.when(moved, after).otherwise(F.col("s")))
+    return t.withColumn("rsi14", rsi_value(F.col("avg_gain"), F.col("avg_loss"))).select(*today.columns, "session_no", "gain", "loss", "avg_gain", "avg_loss", "rsi14", "outcome", "next")
+
+
+def _field(name: str):
+    return lambda r: r[name]
+
+
+def state_after(state: DataFrame, day: DataFrame) -> DataFrame:
+    """The state table after a day that ``advance`` gave: its keys' new states, all others as they were."""
+    new = day.where("next is not null").select(*KEYS, "next.*")
+    return state.join(new.select(*KEYS), KEYS, "left_anti").unionByName(new.select(state.columns))
 
 
 def seed_points(workbook: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce as _reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -326,16 +327,34 @@ _daily_sql = "dp AS (SELECT *, coalesce(lag(close) OVER (PARTITION BY isin ORDER
 _book = lambda s, d: R.full(_daily(s, d), R.sessions(view(s, d, "daily").select("trade_date")))
 
 
+def _written_state(s: SparkSession, df: DataFrame) -> DataFrame:
+    path = fresh(s, "instruments")
+    df.write.parquet(path)
+    return s.read.schema(df.schema).parquet(path)
+
+
+def incremental_days(s: SparkSession, d: str, n: int = 2) -> DataFrame:
+    """The last ``n`` days, one after the other, on the state table that the workbook of the days before gave."""
+    cal = R.sessions(view(s, d, "daily").select("trade_date"))
+    last = _written_state(s, cal.orderBy(F.col("trade_date").desc()).limit(n))
+    p = _daily(s, d).withColumns({"isin": F.col("isin")})
+    first = last.agg(F.min("trade_date").alias("first"))
+    before = _book(s, d).join(F.broadcast(first), F.col("trade_date") < F.col("first"), "left_semi")  # one row
+    state, out = _written_state(s, R.state_of(before)), []
+    landed = _written_state(s, p.join(F.broadcast(last), "trade_date").drop("session_no"))  # n rows
+    for k in range(n):
+        today = landed.join(F.broadcast(last.withColumn("k", F.row_number().over(W.orderBy("trade_date")) - 1).where(F.col("k") == k).select("trade_date")), "trade_date", "left_semi")
+        out.append(_written_state(s, R.advance(today, state, last)))
+        state = _written_state(s, R.state_after(state, out[-1]))
+    return _reduce(DataFrame.unionByName, out)
+
+
 def _incremental(s: SparkSession, d: str) -> DataFrame:
-    p = _daily(s, d)
-    last = p.agg(F.max("trade_date").alias("last"))
-    today = p.crossJoin(F.broadcast(last)).where("trade_date = last").drop("last")  # one row
-    book = _book(s, d).select(*p.columns, "gain", "loss", "avg_gain", "avg_loss", "rsi14")
-    return R.step(today, book, R.sessions(p.select("trade_date")))
+    return incremental_days(s, d, 1)
 
 
 _step_sql = f"WITH RECURSIVE {_daily_sql}, {_chunks_sql.format('dp', 5)}, {_walk_sql}, today AS (SELECT max(trade_date) AS t FROM daily)"
-add("job3_incremental_day", lambda s, d: _incremental(s, d).select("isin", "exchange", "trade_date", F.round("avg_gain", 6).alias("avg_gain"), "rsi14"), f"{_step_sql} SELECT isin, exchange, trade_date, round(avg_gain, 6) AS avg_gain, round(rsi14, 2) AS rsi14 FROM rsi, today WHERE trade_date = t AND j > 0 UNION ALL SELECT isin, exchange, trade_date, NULL, NULL FROM rsi, today WHERE trade_date = t AND j = 0")
+add("job3_incremental_day", lambda s, d: incremental_days(s, d).select("isin", "exchange", "trade_date", F.round("avg_gain", 6).alias("avg_gain"), "rsi14"), f"{_step_sql} SELECT isin, exchange, trade_date, round(avg_gain, 6) AS avg_gain, round(rsi14, 2) AS rsi14 FROM rsi WHERE trade_date IN (SELECT DISTINCT trade_date FROM daily ORDER BY 1 DESC LIMIT 2)")
 add("win9_day_outcomes", lambda s, d: _incremental(s, d).select("isin", "outcome"), f"{_step_sql} SELECT isin, CASE WHEN j = 0 AND chunk = 0 THEN 'skipped_no_workbook' WHEN j < 13 THEN 'still_pre_seed' WHEN j = 13 THEN 'seeded' ELSE 'updated' END AS outcome FROM rsi, today WHERE trade_date = t")
 add("agg15_outcome_counts", lambda s, d: _incremental(s, d).groupBy("outcome").agg(F.count("*").alias("n")), f"{_step_sql} SELECT CASE WHEN j = 0 AND chunk = 0 THEN 'skipped_no_workbook' WHEN j < 13 THEN 'still_pre_seed' WHEN j = 13 THEN 'seeded' ELSE 'updated' END AS outcome, count(*) AS n FROM rsi, today WHERE trade_date = t GROUP BY ALL")
 over("win2_latest_rows", "stored", R.latest, "SELECT isin, exchange, max(trade_date) AS last_date, arg_max(avg_gain, trade_date) AS last_gain, arg_max(avg_loss, trade_date) AS last_loss FROM stored GROUP BY isin, exchange")
@@ -435,13 +454,22 @@ add("job1_backfill_report", _backfill, "WITH f AS (SELECT *, row_number() OVER (
 
 
 def _rsi_stream(s: SparkSession, d: str) -> DataFrame:
-    """The daily panel as a stream of files: per-instrument state gives what the full recompute gives."""
-    landed, out = fresh(s, "landed"), fresh(s, "rsi")
-    R.numbered(_daily(s, d), R.sessions(view(s, d, "daily").select("trade_date"))).write.parquet(landed)
-    stream = J.rsi_stream(s.readStream.schema(s.read.parquet(landed).schema).parquet(landed))
-    q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", fresh(s, "state")).outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return s.read.parquet(out).where("not late").select("isin", "exchange", "trade_date", F.round("avg_gain", 6).alias("avg_gain"), F.round("rsi14", 2).alias("rsi14"))
+    """A workbook of the first half of the days, the other days as a stream on its states, two files one after the other: all rows as the full recompute gives them.
+
+    The last day is left to a batch step on the states that the stream's checkpoint holds.
+    """
+    landed, out, checkpoint = fresh(s, "landed"), fresh(s, "rsi"), fresh(s, "state")
+    cal = _written_state(s, R.sessions(view(s, d, "daily").select("trade_date")))
+    panel = _written_state(s, R.numbered(_daily(s, d), cal))
+    n = cal.count()
+    book = _written_state(s, R.full(panel.where(F.col("session_no") < n // 2).drop("session_no"), cal))
+    for low, high in ((n // 2, 3 * n // 4), (3 * n // 4, n - 1)):
+        panel.where(F.col("session_no").between(low, high - 1)).write.mode("append").parquet(landed)
+        stream = J.rsi_stream(s.readStream.schema(panel.schema).parquet(landed), initial=R.state_of(book))
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    today = R.advance(panel.where(F.col("session_no") == n - 1).drop("session_no"), J.states(s, checkpoint), cal)
+    rows = [x.select("isin", "exchange", "trade_date", F.round("avg_gain", 6).alias("avg_gain"), F.round("rsi14", 2).alias("rsi14")) for x in (book, s.read.parquet(out).where("not late"), today)]
+    return _reduce(DataFrame.unionByName, rows)
 
 
 def _released(s: SparkSession, d: str) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from eodlake.operators import actions as A
 from eodlake.operators import enrichment as E
@@ -56,49 +58,107 @@ def release_days(loads: DataFrame, released: str, checkpoint: str) -> StreamingQ
     return days.writeStream.format("parquet").option("path", released).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
-STATE = "avg_gain double, avg_loss double, n long, sum_gain double, sum_loss double, session long"
 RSI_ROWS = "isin string, exchange string, trade_date date, session_no long, avg_gain double, avg_loss double, rsi14 double, late boolean"
+VALUES = R.STATE.split(", ", 2)[2]
 
 
-def walker(gap: int = R.GAP) -> Callable:
-    """One instrument's rows in order of session on top of what is kept of it: averages, counts and the last session.
+def smoothed(x: np.ndarray, start: float) -> np.ndarray:
+    """Wilder's averages of ``x`` from ``start``: (13 * previous + x) / 14, a scaled running sum of 2048 rows at a time."""
+    keep, out = (R.PERIOD - 1) / R.PERIOD, []
+    for i in range(0, len(x), 2048):
+        part = x[i : i + 2048]
+        scale = keep ** np.arange(1, len(part) + 1)
+        out.append(scale * (start + np.cumsum(part / scale) / R.PERIOD))
+        start = out[-1][-1]
+    return np.concatenate(out) if out else np.empty(0)
 
-    A row at or before the last session is late: it is passed on as such and changes nothing.
-    """
 
-    def walk(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        g, lo, n, sg, sl, last = state.get if state.exists else (None, None, 0, 0.0, 0.0, None)
-        rows = pd.concat(list(frames)).sort_values("session_no")
-        out = []
-        for day, session, close, prev in zip(rows["trade_date"], rows["session_no"], rows["close"], rows["prev_close"]):
-            if last is not None and session <= last:
-                out.append((*key, day, session, None, None, None, True))
-                continue
-            if pd.isna(close) or pd.isna(prev):
-                out.append((*key, day, session, None, None, None, False))
-                continue
-            if last is not None and session - last - 1 >= gap:
-                g, lo, n, sg, sl = None, None, 0, 0.0, 0.0
-            up, down = max(close - prev, 0.0), max(prev - close, 0.0)
-            n, last = n + 1, session
-            if n < R.PERIOD:
-                sg, sl = sg + up, sl + down
-            elif n == R.PERIOD:
-                g, lo = (sg + up) / R.PERIOD, (sl + down) / R.PERIOD
-            else:
-                g, lo = (g * (R.PERIOD - 1) + up) / R.PERIOD, (lo * (R.PERIOD - 1) + down) / R.PERIOD
-            rsi = None if g is None or (g == 0 and lo == 0) else 100.0 if lo == 0 else 100 - 100.0 / (1 + g / lo)
-            out.append((*key, day, session, g, lo, rsi, False))
-        state.update((g, lo, n, sg, sl, last))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in RSI_ROWS.split(", ")])
-
-    return walk
-
-
-def rsi_stream(prices: DataFrame, gap: int = R.GAP) -> DataFrame:
-    """RSI rows of a stream of prices that carry their session number; state per instrument, late rows marked."""
-    rows = prices.select("isin", "exchange", "trade_date", "session_no", "close", "prev_close")
-    return rows.groupBy("isin", "exchange").applyInPandasWithState(walker(gap), RSI_ROWS, STATE, "append", GroupStateTimeout.NoTimeout)
+def walked(state: tuple | None, session: np.ndarray, changes: np.ndarray, gap: int) -> tuple[np.ndarray, tuple]:
+    """Averages after each of an instrument's rows (gain and loss, in order of session, all after the state's) and the state after the last.
+
+    The rows are cut at gaps; each piece is the rest of a seed's rows and one smoothing.
+    """
+    avg, n, sums, last, recent = None, 0, np.zeros(2), None, []
+    if state is not None:
+        avg = None if state[0] is None else np.array(state[:2])
+        n, sums, last, recent = state[2], np.array(state[3:5]), state[5], [tuple(r) for r in state[6]]
+    out = np.full((len(session), 2), np.nan)
+    missed = np.diff(session, prepend=session[0] if last is None else last) - 1
+    cuts = np.flatnonzero(missed >= gap)
+    for part in np.split(np.arange(len(session)), cuts):
+        if len(part) and missed[part[0]] >= gap:
+            avg, n, sums = None, 0, np.zeros(2)
+        x = changes[part]
+        if avg is None and n + len(part) >= R.PERIOD:
+            k = R.PERIOD - n
+            avg = (sums + x[:k].sum(0)) / R.PERIOD
+            sums = sums + x[: k - 1].sum(0)
+            out[part[k - 1]] = avg
+            part, n, x = part[k:], R.PERIOD, x[k:]
+        elif avg is None:
+            n, sums = n + len(part), sums + x.sum(0)
+            continue
+        if len(part):
+            out[part] = np.column_stack([smoothed(x[:, c], avg[c]) for c in (0, 1)])
+            avg, n = out[part[-1]], n + len(part)
+    recent = [*recent, *map(tuple, changes.tolist())][1 - R.PERIOD :]
+    g, lo = (None, None) if avg is None else map(float, avg)
+    return out, (g, lo, int(n), float(sums[0]), float(sums[1]), int(session[-1]), recent)
+
+
+class Instruments(StatefulProcessor):
+    """One state value an instrument (``VALUES``), set up from a batch workbook and moved on by each batch's rows."""
+
+    def __init__(self, gap: int):
+        self.gap = gap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("instrument", VALUES)
+
+    def handleInitialState(self, key: tuple, initial: pd.DataFrame, timers: object) -> None:
+        r = initial.iloc[0]
+        none = lambda v: None if pd.isna(v) else float(v)
+        recent = [(x["gain"], x["loss"]) if isinstance(x, dict) else tuple(x) for x in r["recent"]]
+        self.state.update((none(r["avg_gain"]), none(r["avg_loss"]), int(r["n"]), float(r["sum_gain"]), float(r["sum_loss"]), int(r["session"]), recent))
+
+    def handleInputRows(self, key: tuple, frames: Iterator[pd.DataFrame], timers: object) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(frames)).sort_values("session_no", kind="stable").reset_index(drop=True)
+        kept = self.state.get()
+        rows["late"] = False if kept is None else rows["session_no"] <= kept[5]
+        change = rows["close"] - rows["prev_close"]
+        fine = (~rows["late"] & change.notna()).to_numpy(bool)
+        avg = np.full((len(rows), 2), np.nan)
+        if fine.any():
+            c = change[fine].to_numpy(float)
+            avg[fine], after = walked(kept, rows["session_no"][fine].to_numpy(), np.column_stack([np.maximum(c, 0), np.maximum(-c, 0)]), self.gap)
+            self.state.update(after)
+        g, lo = avg.T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rsi = np.where((g == 0) & (lo == 0), np.nan, np.where(lo == 0, 100.0, 100 - 100 / (1 + g / lo)))
+        yield pd.DataFrame({"isin": key[0], "exchange": key[1], "trade_date": rows["trade_date"], "session_no": rows["session_no"], "avg_gain": g, "avg_loss": lo, "rsi14": rsi, "late": rows["late"]})
+
+    def close(self) -> None:
+        pass
+
+
+def rsi_stream(prices: DataFrame, gap: int = R.GAP, initial: DataFrame | None = None) -> DataFrame:
+    """RSI rows of a stream of prices that carry their session number; one state value an instrument, late rows marked.
+
+    ``initial`` (``rsi.STATE``, as ``rsi.state_of`` makes it of a workbook) is where the stream starts. The state lives in RocksDB beside the checkpoint and batch jobs read it
+    by ``states``.
+    """
+    prices.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = prices.select("isin", "exchange", "trade_date", "session_no", "close", "prev_close").groupBy("isin", "exchange")
+    first = None if initial is None else initial.groupBy("isin", "exchange")
+    out = rows.transformWithStateInPandas(Instruments(gap), RSI_ROWS, "Append", "None", first)
+    value = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c) if c in ("avg_gain", "avg_loss", "rsi14") else F.col(c)
+    return out.select(*map(value, out.columns))
+
+
+def states(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The states (``rsi.STATE``) that an RSI stream has reached, from its checkpoint by the state data source."""
+    kept = spark.read.format("statestore").option("stateVarName", "instrument").load(checkpoint)
+    return kept.select("key.*", "value.*").select(*R.KEYS, *R.STATE_FIELDS)
 
 
 def run_indicator(days: DataFrame, indicator: str, work: Callable[[DataFrame], None], failures: str, checkpoint: str) -> StreamingQuery:

@@ -72,7 +72,7 @@ def test_a_day_on_top_equals_the_full_recompute(spark, cut, outcome):
     cal = calendar(spark, cut + 1)
     full = R.full(df, cal)
     today = df.where(df.trade_date == data[-1][2])
-    (got,) = R.step(today, full.where(full.trade_date < data[-1][2]), cal).collect()
+    (got,) = R.advance(today, R.state_of(full.where(full.trade_date < data[-1][2])), cal).collect()
     want = full.where(full.trade_date == data[-1][2]).first()
     assert got.outcome == outcome
     if outcome in ("updated", "seeded"):
@@ -84,8 +84,8 @@ def test_after_a_gap(spark):
     cal = calendar(spark, 41)
     book = R.full(df.where(df.trade_date < data[-1][2]), cal)
     today = df.where(df.trade_date == data[-1][2])
-    assert R.step(today, book, cal).first().outcome == "still_pre_seed"
-    look = R.step(today, book, cal, reseed="lookback").first()
+    assert R.advance(today, R.state_of(book), cal).first().outcome == "still_pre_seed"
+    look = R.advance(today, R.state_of(book), cal, reseed="lookback").first()
     assert look.outcome == "reseeded_after_gap" and look.avg_gain is not None
 
 
@@ -93,8 +93,45 @@ def test_missing_price(spark):
     data, df = panel(spark, range(20))
     cal = calendar(spark, 20)
     today = spark.createDataFrame([(*data[-1][:3], None, *data[-1][4:])], SCHEMA)
-    assert R.step(today, R.full(df.where(df.trade_date < data[-1][2]), cal), cal).first().outcome == "skipped_missing_price"
-
+    assert R.advance(today, R.state_of(R.full(df.where(df.trade_date < data[-1][2]), cal)), cal).first().outcome == "skipped_missing_price"
+
+
+
+def test_days_one_after_the_other_on_the_state_alone(spark, tmp_path):
+    data, df = panel(spark, [*range(20), *range(26, 50)], n=2)
+    cal = calendar(spark, 50)
+    want = {(r.isin, r.trade_date): r for r in R.full(df, cal).collect()}
+    state = None
+    for k, day in enumerate([*range(10, 20), *range(26, 50)]):
+        date = DAY + datetime.timedelta(day)
+        if state is None:
+            state = R.state_of(R.full(df.where(df.trade_date < date), cal))
+        got = R.advance(df.where(df.trade_date == date), state, cal)
+        R.state_after(state, got).write.parquet(str(tmp_path / f"{k}"))
+        state = spark.read.parquet(str(tmp_path / f"{k}"))
+        if k % 7 == 0 or day in (26, 39):
+            for r in got.collect():
+                w = want[r.isin, date]
+                assert (r.avg_gain is None) == (w.avg_gain is None) and r.rsi14 == w.rsi14
+                assert r.avg_gain is None or r.avg_gain == pytest.approx(w.avg_gain)
+
+
+def test_a_day_reads_no_history(spark, tmp_path):
+    data, df = panel(spark, range(30))
+    cal = calendar(spark, 30)
+    for name, x in (("state", R.state_of(R.full(df.where(df.trade_date < data[-1][2]), cal))), ("today", df.where(df.trade_date == data[-1][2])), ("cal", cal)):
+        x.write.parquet(str(tmp_path / name))
+    got = R.advance(*(spark.read.parquet(str(tmp_path / n)) for n in ("today", "state", "cal")))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3 and plan.count("Join") == 2 and "Window" not in plan and "Aggregate" not in plan
+
+
+def test_late_row_leaves_the_state(spark):
+    data, df = panel(spark, range(20))
+    cal = calendar(spark, 20)
+    state = R.state_of(R.full(df, cal))
+    (r,) = R.advance(df.where(df.trade_date == data[5][2]), state, cal).collect()
+    assert r.outcome == "skipped_late" and r.next.session == 19
 
 
 def test_empty(spark):

@@ -37,6 +37,27 @@ def test_late_rows_change_nothing(spark, tmp_path):
     assert last.avg_gain is not None and not last.late
 
 
+def test_stream_goes_on_from_a_workbook_and_its_states_are_readable(spark, tmp_path):
+    from eodlake.operators import rsi as R
+
+    schema = "isin string, exchange string, trade_date date, session_no long, close double, prev_close double"
+    row = lambda k: ("I", "NSE", DAY + datetime.timedelta(k), k, 10.0 + k % 3, 10.0 + (k * 7) % 5)
+    every = [row(k) for k in [*range(20), *range(26, 60)]]
+    df = spark.createDataFrame(every, schema)
+    cal = R.sessions(spark.createDataFrame([(DAY + datetime.timedelta(k),) for k in range(60)], "trade_date date"))
+    want = {r.session_no: r.avg_gain for r in R.full(df.drop("session_no"), cal).collect()}
+    state = R.state_of(R.full(df.where("session_no < 10").drop("session_no"), cal))
+    df.where("session_no >= 10").repartition(1).write.parquet(str(tmp_path / "in"))
+    stream = J.rsi_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), initial=state)
+    finish(stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())
+    got = {r.session_no: r.avg_gain for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got.keys() == {k for k in want if k >= 10}
+    assert all(got[k] == want[k] if want[k] is None else abs(got[k] - want[k]) < 1e-9 for k in got)
+    (kept,) = J.states(spark, str(tmp_path / "state")).collect()
+    (plain,) = R.state_of(R.full(df.drop("session_no"), cal)).collect()
+    assert (kept.n, kept.session, len(kept.recent)) == (plain.n, plain.session, 13) and abs(kept.avg_gain - plain.avg_gain) < 1e-9
+
+
 def test_a_failure_is_recorded_and_stops_the_query(spark, tmp_path):
     spark.createDataFrame([(DAY,)], "trade_date date").write.parquet(str(tmp_path / "in"))
     days = spark.readStream.schema("trade_date date").parquet(str(tmp_path / "in"))
