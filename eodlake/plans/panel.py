@@ -21,6 +21,10 @@ select 'S' || cast(l_suppkey as string) as isin, case when l_linestatus = 'F' th
     "security_series": """
 select * from (values ('NSE', 'R%', 'EQUITY', true), ('NSE', 'A%', 'EQUITY', true), ('NSE', 'A_', 'DEBT', true), ('BSE', 'N%', 'EQUITY', true),
   ('BSE', 'F', 'EQUITY', false)) as t(exchange, series_code_pattern, category, include_in_price_continuity)""",
+    # quotes of two exchanges over a few weeks, several a day and instrument: the carrier of daily files
+    "ticks": """
+select 'U' || cast(user_id as string) as isin, case when user_id % 2 = 0 then 'NSE' else 'BSE' end as exchange, 'N' as series, event_type as symbol,
+  cast(ts as date) as trade_date, value as close, value * 0.9 as prev_close, event_id % 1000 as tot_trd_qty, event_id as row_a from {events}""",
     # closing values of one family of instruments, a row a day
     "daily": """
 select 'U' || cast(user_id as string) as isin, 'NSE' as exchange, cast(ts as date) as trade_date, max_by(value, ts) as close from {events}

@@ -15,6 +15,7 @@ from eodlake.operators import calendars as K
 from eodlake.operators import enrichment as E
 from eodlake.operators import rsi as R
 from eodlake.operators import tables as T
+from eodlake.operators.commits import Committed
 from eodlake.plans import indicators
 from eodlake.plans.panel import sql, view
 from eodlake.plans.shared import fresh
@@ -552,3 +553,75 @@ def _stream_gate(s: SparkSession, d: str) -> DataFrame:
 add("str7_gated_enrichment", _stream_gate)
 _gate = sql("SELECT bool_and(status = 'success') AND count(*) FILTER (data_source IN ('source0', 'source1', 'source2', 'source3', 'source4')) = 5 FROM (SELECT data_source, arg_max(status, id) AS status FROM uploads GROUP BY data_source)")
 ORACLES["str7_gated_enrichment"] = f"SELECT j.* FROM ({ORACLES['job5_enriched_master']}) AS j WHERE ({_gate})"
+
+# ---- whole loads: rows and their load records become visible together ------------------------------------------------------
+
+
+def _daily_files(s: SparkSession, d: str) -> str:
+    """One file a day and exchange, named as the exchanges name theirs, in three layouts; some have a row of the next day."""
+    t = view(s, d, "ticks")
+    name = F.concat("exchange", F.lit("-BC-"), F.upper(F.date_format("trade_date", "dd-MMM-yyyy")), F.lit(".csv"))
+    told = F.when(F.col("row_a") % 401 == 0, F.date_add("trade_date", 1)).otherwise(F.col("trade_date"))
+    text = {"c": F.col("close").cast("string"), "pc": F.col("prev_close").cast("string"), "s": F.col("symbol"), "se": F.col("series"), "i": F.col("isin"), "q": F.concat(F.col("tot_trd_qty").cast("string"), F.lit(".00")), "d": F.date_format(told, "dd-MMM-yyyy"), "x": F.col("exchange")}
+    p = t.select(name.alias("name"), "row_a", "exchange", (F.dayofmonth("trade_date") % 2).alias("odd"), F.struct(*[v.alias(k) for k, v in text.items()]).alias("r"))
+    root = fresh(s, "days")
+    layouts = (
+        ("exchange = 'NSE'", {"c": "CLOSE", "pc": "PREVCLOSE", "s": "SYMBOL", "se": "SERIES", "i": "ISIN", "q": "TOTTRDQTY", "d": "TIMESTAMP"}),
+        ("exchange = 'BSE' and odd = 1", {"x": "Src", "d": "TradDt", "i": "ISIN", "s": "TckrSymb", "se": "SctySrs", "c": "ClsPric", "pc": "PrvsClsgPric", "q": "TtlTradgVol"}),
+        ("exchange = 'BSE' and odd = 0", {"i": "isin", "s": "tckrsymb", "se": "SCTYSRS", "c": "clspric", "pc": "PrvsClsgPric", "d": "TradDt", "q": "TtlTradgVol"}),
+    )
+    for k, (which, names) in enumerate(layouts):
+        rows = p.where(which).repartition("name").sortWithinPartitions("name", "row_a")
+        rows.select("name", *[F.col(f"r.{c}").alias(n) for c, n in names.items()]).write.partitionBy("name").csv(f"{root}/{k}", header=True)
+    return root
+
+
+_read_lines = lambda s, root: J.landed_lines(s.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(root))
+#: Days of the month that count as loaded before.
+_KNOWN = "extract(day from trade_date) % 5 = 2"
+_files_sql = f"f AS (SELECT *, row_number() OVER (PARTITION BY exchange, trade_date, isin, symbol, series ORDER BY row_a) AS k, bool_or(row_a % 401 = 0) OVER (PARTITION BY exchange, trade_date) AS bad, {_KNOWN} AS known FROM ticks p)"
+
+
+def _backfill_files(s: SparkSession, d: str) -> DataFrame:
+    """Landed files into a store in which some days are loaded: by exchange and outcome what the load records and the prices say, and the observed counts."""
+    store = Committed(s, fresh(s, "store"))
+    earlier = view(s, d, "ticks").where(_KNOWN).groupBy("trade_date", "exchange").agg(F.count("*").alias("total_stocks"))
+    store.commit("before", {"loads": earlier.select("trade_date", "exchange", F.lit("earlier").alias("file"), "total_stocks", F.lit("SUCCESS").alias("upload_status"), F.lit(None).cast("string").alias("error_message"))})
+    counts = J.ingested(_read_lines(s, _daily_files(s, d)), store, "backfill")
+    loads = store.read("loads").where("file <> 'earlier'").groupBy("exchange", "upload_status").agg(F.count("*").alias("days"), F.sum("total_stocks").alias("rows"))
+    prices = store.read("prices").groupBy("exchange").agg(F.count("*").alias("stored"), F.sum("close").alias("closes")).withColumn("upload_status", F.lit("SUCCESS"))
+    return loads.join(prices, ["exchange", "upload_status"], "left").select("*", *[F.lit(counts[c]).cast("long").alias(c) for c in ("read", "duplicate", "misdated", "skipped", "written")])
+
+
+add(
+    "job1_backfill_files",
+    _backfill_files,
+    f"""WITH {_files_sql}, t AS (SELECT count(*) AS read, count(*) FILTER (NOT known AND NOT bad AND k > 1) AS duplicate, count(*) FILTER (NOT known AND bad) AS misdated, count(*) FILTER (known) AS skipped, count(*) FILTER (NOT known AND NOT bad AND k = 1) AS written FROM f),
+    g AS (SELECT exchange, CASE WHEN bad THEN 'FAILED' ELSE 'SUCCESS' END AS upload_status, count(DISTINCT trade_date) AS days, CAST(count(*) FILTER (NOT bad AND k = 1) AS BIGINT) AS rows, nullif(count(*) FILTER (NOT bad AND k = 1), 0) AS stored, sum(CAST(close AS DECIMAL(20, 2))) FILTER (NOT bad AND k = 1) AS closes FROM f WHERE NOT known GROUP BY ALL)
+    SELECT g.*, t.* FROM g, t""",
+)
+
+
+def _stream_files(s: SparkSession, d: str) -> DataFrame:
+    """Landed files as a stream into the store; the first batch comes once more, as after a crash, and adds nothing."""
+    root, checkpoint, store = _daily_files(s, d), fresh(s, "state"), Committed(s, fresh(s, "store"))
+    J.load_files(s, root, store, checkpoint).awaitTermination()
+    J.ingested(_read_lines(s, root), store, f"{checkpoint.rsplit('/', 1)[1]}-0")
+    return store.read("prices").select(*_file_columns)
+
+
+add("str1_files_once", _stream_files, f"WITH {_files_sql} SELECT exchange, isin, symbol, series, trade_date, CAST(close AS DECIMAL(20, 2)) AS close, tot_trd_qty FROM f WHERE NOT bad AND k = 1")
+
+
+def _together(s: SparkSession, d: str) -> DataFrame:
+    """Each exchange's rows and load records in one commit, one of them offered twice, one staged by a writer that never publishes."""
+    store, one = Committed(s, fresh(s, "store")), R.one_a_day(view(s, d, "prices"), *TIES).select("isin", "exchange", "trade_date", "close")
+    for x in ("NSE", "BSE", "NSE"):
+        rows = one.where(F.col("exchange") == x)
+        store.commit(x, {"prices": rows, "loads": rows.groupBy("exchange", "trade_date").agg(F.count("*").alias("total_stocks"))})
+    store.staged("prices", one)
+    found = store.read("prices").groupBy("exchange", "trade_date").agg(F.count("*").alias("n"), F.round(F.sum("close"), 2).alias("total"))
+    return found.join(store.read("loads"), ["exchange", "trade_date"], "full")
+
+
+add("snk1_rows_and_record", _together, f"SELECT exchange, trade_date, count(*) AS n, round(sum(close), 2) AS total, count(*) AS total_stocks FROM (SELECT *, row_number() OVER (PARTITION BY isin, exchange, trade_date ORDER BY {TIE_SQL}) AS k FROM prices) WHERE k = 1 GROUP BY ALL")

@@ -95,6 +95,34 @@ def scan(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFr
     return out, rejects
 
 
+#: Columns of a landed line at most.
+WIDTH = 64
+
+
+def from_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of all layouts and the files that are none (file), from lines (file, at, value) in one read, also of a stream's batch.
+
+    A file's lines meet in one task, which its header needs and its order gives: a daily file has a few thousand. Each line is parsed by position and then
+    taken by the names of its own file's header, so layouts and column orders may be mixed freely, and no name goes through the driver.
+    """
+    w = W.partitionBy("file").orderBy("at")
+    head = F.first(F.regexp_replace("value", "^\\ufeff", "")).over(w)
+    placed = lines.withColumns({"header": head, "line": F.row_number().over(w) - 1}).withColumn("layout", layout_of(F.col("header")))
+    rejects = placed.where("layout is null and line = 0").select("file")
+    schema = ", ".join(f"_{i} string" for i in range(WIDTH))
+    cells = F.from_csv("value", F.lit(schema), {"mode": "PERMISSIVE"})
+    names = F.transform(F.split(F.regexp_replace("header", '"', ""), ","), lambda n: F.lower(F.trim(n)))
+    body = placed.where("layout is not null and line > 0 and trim(value) <> ''").withColumns({"names": names, "cells": cells})
+    body = body.withColumn("cells", F.array(*[F.col(f"cells._{i}") for i in range(WIDTH)]))
+    known = sorted({n for layout in LAYOUTS.values() for n in layout.values()} | {"Src"})
+    # the first column of a name counts, as a header may repeat one
+    at = lambda n: F.array_position("names", n.lower())
+    cell = lambda n: F.when(at(n) > 0, F.try_element_at("cells", at(n).cast("int"))).alias(n)
+    body = body.select("file", "line", "layout", *map(cell, known))
+    parts = [project(body.where(F.col("layout") == x).drop("layout"), x) for x in LAYOUTS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]), rejects
+
+
 def first_in_file(rows: DataFrame) -> DataFrame:
     """The first row of each isin, symbol and series within a file."""
     keys = [F.coalesce(c, F.lit("")) for c in ("isin", "symbol", "series")]

@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -16,31 +17,64 @@ from eodlake.operators import actions as A
 from eodlake.operators import enrichment as E
 from eodlake.operators import rsi as R
 from eodlake.operators import tables as T
+from eodlake.operators.commits import Committed
 from eodlake.plans.shared import fresh
 from eodlake.sources import prices as P
 
-PRICE_KEYS = ["exchange", "trade_date"]
+METADATA = "trade_date date, exchange string, file string, total_stocks long, upload_status string, error_message string"
 
 
-def load_files(spark: SparkSession, landing: str, prices: str, rejects: str, checkpoint: str) -> StreamingQuery:
-    """Each landed price file once: parsed, first rows kept, misdated files set aside, days replaced as a whole.
+def landed_lines(source: DataFrame) -> DataFrame:
+    """(file, start, value) of a text source, streamed or not."""
+    return source.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
 
-    The checkpoint remembers files, and a day that comes again replaces itself, so reruns change nothing.
+
+def ingested(lines: DataFrame, store: Committed, batch: str) -> dict[str, int]:
+    """Price files into the tables ``prices`` and ``loads`` of ``store``, rows and load records together; what was read, left out and written.
+
+    Files are read once: parsed rows are staged with what is wrong with each (a day that isn't the file's, a key seen before in the file, a day that has been loaded),
+    the counts are observed while that is written, and everything else reads the staged rows. A file with a wrong day fails as a whole; a day and exchange
+    that loaded before is skipped; a batch that has been committed before changes nothing.
     """
-    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.csv").load(landing).select("path")
+    spark = lines.sparkSession
+    counts = {"files": 0, "read": 0, "duplicate": 0, "misdated": 0, "skipped": 0, "written": 0}
+    if batch in store.manifest()["batches"]:
+        return counts
+    # the lines of a split are numbered as they are read, so (start of the split, number) grows along a file
+    rows, rejects = P.from_lines(lines.withColumn("at", F.struct("start", F.monotonically_increasing_id().alias("n"))).drop("start"))
+    exchange, day = P.file_facts(F.col("file"))
+    by_file = W.partitionBy("file")
+    wrong = ~(F.col("trade_date").eqNullSafe(day) & F.col("exchange").eqNullSafe(exchange))
+    rows = rows.withColumns({"misdated": F.max(wrong).over(by_file), "nth": F.row_number().over(W.partitionBy("file", *[F.coalesce(c, F.lit("")) for c in ("isin", "symbol", "series")]).orderBy("line"))})
+    loaded = store.read("loads", METADATA).where("upload_status = 'SUCCESS'").select(F.col("trade_date").alias("_day"), F.col("exchange").alias("_x"), F.lit(True).alias("loaded")).distinct()
+    rows = rows.join(loaded, (day == F.col("_day")) & (exchange == F.col("_x")), "left").withColumn("loaded", F.coalesce("loaded", F.lit(False)))
+    kind = F.when(F.col("loaded"), "skipped").when(F.col("misdated"), "misdated").when(F.col("nth") > 1, "duplicate").otherwise("written")
+    rows = rows.withColumn("fate", kind).drop("_day", "_x", "loaded", "misdated", "nth", "line")
+    seen = Observation()
+    watched = rows.observe(seen, F.count("*").alias("read"), *[F.count_if(F.col("fate") == x).alias(x) for x in ("duplicate", "misdated", "skipped", "written")])
+    staged = fresh(spark, "parsed")
+    watched.write.parquet(staged)
+    counts |= seen.get
+    parsed = spark.read.schema(rows.schema).parquet(staged)
+    files = parsed.groupBy("file").agg(F.count_if(F.col("fate") == "written").alias("n"), F.bool_or(F.col("fate") == "misdated").alias("bad"), F.bool_or(F.col("fate") == "skipped").alias("known"))
+    failed = F.when(F.col("bad"), "trade date of a row is not the file's")
+    loads = files.where("not known").select(day.alias("trade_date"), exchange.alias("exchange"), "file", F.col("n").alias("total_stocks"), F.when(F.col("bad"), "FAILED").otherwise("SUCCESS").alias("upload_status"), failed.alias("error_message"))
+    unread = rejects.select(day.alias("trade_date"), exchange.alias("exchange"), "file", F.lit(0).cast("long").alias("total_stocks"), F.lit("FAILED").alias("upload_status"), F.lit("no price file").alias("error_message"))
+    loads_seen = Observation()
+    loads = loads.unionByName(unread).observe(loads_seen, F.count("*").alias("files"))
+    store.commit(batch, {"prices": parsed.where("fate = 'written'").drop("fate"), "loads": loads})
+    return counts | {"files": loads_seen.get["files"]}
+
+
+def load_files(spark: SparkSession, landing: str, store: Committed, checkpoint: str, pattern: str = "*.csv") -> StreamingQuery:
+    """Each landed price file once, as ``ingested`` does. The batch's number names its commit, so a batch that comes again after a crash adds nothing."""
+    source = spark.readStream.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(landing)
+    name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
-    def batch(df: DataFrame, _: int) -> None:
-        paths = [r.path for r in df.collect()]  # the names of new files
-        if not paths:
-            return
-        rows, bad = P.scan(spark, paths)
-        rows = P.first_in_file(rows)
-        wrong = P.misdated(rows.select("file", "trade_date"), P.file_facts(F.col("file"))[1])
-        bad.select("file").unionByName(wrong).write.mode("append").parquet(rejects)
-        good = rows.join(wrong, "file", "left_anti").drop("file", "line")
-        T.replace_partitions(good.repartition(*PRICE_KEYS), prices, PRICE_KEYS)
-
-    return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def batch(df: DataFrame, number: int) -> None:
+        ingested(df, store, f"{name}-{number}")
+
+    return landed_lines(source).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def release_days(loads: DataFrame, released: str, checkpoint: str) -> StreamingQuery:

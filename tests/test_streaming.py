@@ -2,6 +2,7 @@ import datetime
 
 import pytest
 
+from eodlake.operators.commits import Committed
 from eodlake.streaming import jobs as J
 from tests.test_sources import files
 
@@ -12,16 +13,72 @@ def finish(query):
     query.awaitTermination()
 
 
+def store_of(spark, tmp_path):
+    return Committed(spark, f"file://{tmp_path}/store")
+
+
 def test_files_are_loaded_once(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
     files(landing)
-    args = (spark, str(landing), str(tmp_path / "prices"), str(tmp_path / "rejects"), str(tmp_path / "state"))
+    store = store_of(spark, tmp_path)
+    args = (spark, str(landing), store, str(tmp_path / "state"))
     finish(J.load_files(*args))
-    rows = spark.read.parquet(args[2])
-    assert rows.count() == 5 and {r.exchange for r in rows.collect()} == {"NSE", "BSE"}
+    rows = store.read("prices").collect()
+    assert len(rows) == 5 and {r.exchange for r in rows} == {"NSE", "BSE"}
+    assert next(r for r in rows if r.series == "EQ" and r.symbol == "AAA" and r.trade_date.year == 2024).tot_trd_qty == 3490
+    loads = {r.file.rsplit("/", 1)[1]: (r.upload_status, r.total_stocks) for r in store.read("loads").collect()}
+    assert loads["NSE-BC-05-JAN-2024.csv"] == ("SUCCESS", 3) and loads["BSE-BC-15-DEC-2023.csv"] == ("FAILED", 0) and loads["BSE-BC-17-DEC-2023.csv"][0] == "FAILED"
     finish(J.load_files(*args))
-    assert spark.read.parquet(args[2]).count() == 5
+    (landing / "again").mkdir()
+    (landing / "again" / "NSE-BC-05-JAN-2024.csv").write_text((landing / "NSE-BC-05-JAN-2024.csv").read_text())
+    finish(J.load_files(*args))  # a day that has been loaded
+    assert store.read("prices").count() == 5 and store.manifest()["version"] == 2
+
+
+def test_counts_of_a_load_and_a_replayed_batch(spark, tmp_path):
+    files(tmp_path)
+    store = store_of(spark, tmp_path)
+    lines = J.landed_lines(spark.read.text(str(tmp_path / "*.csv")))
+    counts = J.ingested(lines, store, "b1")
+    assert counts == {"files": 5, "read": 7, "duplicate": 1, "misdated": 1, "skipped": 0, "written": 5}
+    assert set(J.ingested(lines, store, "b1").values()) == {0} and store.read("prices").count() == 5
+    again = J.ingested(lines, store, "b2")
+    assert again["written"] == 0 and again["skipped"] == 6 and store.read("prices").count() == 5
+
+
+def test_a_writer_that_dies_leaves_nothing_to_see(spark, tmp_path, monkeypatch):
+    store = store_of(spark, tmp_path)
+    rows, loads = spark.range(3).toDF("x"), spark.range(1).toDF("y")
+    assert store.commit("one", {"rows": rows, "loads": loads})
+
+    def dies(manifest):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_published", dies)
+        with pytest.raises(KeyboardInterrupt):
+            store.commit("two", {"rows": rows, "loads": loads})
+    assert store.read("rows").count() == 3 and store.read("loads").count() == 1
+    assert store.swept() == 2
+    assert store.commit("two", {"rows": rows, "loads": loads}) and not store.commit("two", {"rows": rows, "loads": loads})
+    assert store.read("rows").count() == 6 and store.read("loads").count() == 2 and store.swept() == 0
+    assert store.read("none", "z long").count() == 0
+
+
+def test_two_writers_take_turns(spark, tmp_path, monkeypatch):
+    store, other = store_of(spark, tmp_path), store_of(spark, tmp_path)
+    rows = spark.range(2).toDF("x")
+    first = store._published
+
+    def later(manifest):
+        monkeypatch.setattr(store, "_published", first)
+        assert other.commit("theirs", {"rows": rows})
+        return first(manifest)
+
+    monkeypatch.setattr(store, "_published", later)
+    assert store.commit("ours", {"rows": rows})
+    assert store.read("rows").count() == 4 and store.manifest()["batches"] == ["theirs", "ours"]
 
 
 def test_late_rows_change_nothing(spark, tmp_path):
