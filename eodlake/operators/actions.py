@@ -31,15 +31,15 @@ def latest_wins(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
 
 
 def resolved(rows: DataFrame, codes: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
-    """Rows with the isin of ``codes`` (code, isin), and how many have none there, which are dropped (n_unmatched).
+    """Rows with the isin of ``codes`` (code, isin), and (n_unmatched, n_clashing): rows whose code has no isin, which are dropped, and codes with several, of which the smallest counts.
 
     Both sides are compared trimmed and in upper case. The master of instruments is small and broadcast only if Spark finds it so.
     """
     plain = lambda c: F.upper(F.trim(c))
-    c = codes.where("isin is not null").select(plain(F.col("code")).alias("_code"), "isin").distinct()
-    keyed = rows.withColumn("_key", plain(key.cast("string")))
-    lost = keyed.join(c, F.col("_key") == F.col("_code"), "left_anti").agg(F.count("*").alias("n_unmatched"))
-    return keyed.join(c, F.col("_key") == F.col("_code")).drop("_code", "_key"), lost
+    c = codes.where("isin is not null").groupBy(plain(F.col("code")).alias("_code")).agg(F.min("isin").alias("isin"), (F.count_distinct("isin") > 1).alias("_clash"))
+    keyed = rows.withColumn("_key", plain(key.cast("string"))).join(c, F.col("_key") == F.col("_code"), "left")
+    lost = keyed.agg(F.count_if(F.col("_code").isNull()).alias("n_unmatched"), F.count_distinct(F.when(F.col("_clash"), F.col("_code"))).alias("n_clashing"))
+    return keyed.where("_code is not null").drop("_code", "_key", "_clash"), lost
 
 
 def reconciled(raw: DataFrame) -> DataFrame:

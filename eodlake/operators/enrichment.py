@@ -75,6 +75,11 @@ def ready(uploads: DataFrame, required: list[str]) -> DataFrame:
     return latest.agg((F.every(F.col("status") == "success") & (F.size(F.array_except(F.array(*map(F.lit, required)), F.collect_set("data_source"))) == 0)).alias("is_ready"), F.max("id").alias("max_id"))
 
 
+def cursor(runs: DataFrame) -> DataFrame:
+    """The largest id that the newest SUCCESS or PARTIAL run has seen, 0 without one: not the largest of all, as ids may fall again."""
+    return runs.where("status in ('SUCCESS', 'PARTIAL')").agg(F.coalesce(F.max_by("max_id", "id"), F.lit(0)).cast("long").alias("cursor"))
+
+
 def outcome(audit: DataFrame) -> DataFrame:
     """Counts by outcome, status and success rate (of attempted) of an enrichment run."""
     n = lambda x: F.count_if(F.col("outcome") == x)

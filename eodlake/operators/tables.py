@@ -45,3 +45,17 @@ def failed(registry: DataFrame, failures: DataFrame, lost: DataFrame) -> tuple[D
     ids = lost.select(F.col("indicator_id").alias("_id")).distinct()
     off = registry.join(ids, F.col("indicator_id") == F.col("_id"), "left").withColumn("status", F.when(F.col("_id").isNotNull(), "DEACTIVE").otherwise(F.col("status"))).drop("_id")
     return off, upserted(failures, lost, ["indicator_id", "trade_date"], F.col("failed_at"))
+
+
+def different(stored: DataFrame, fresh: DataFrame, group: list[str], keys: list[str], fields: list[str]) -> DataFrame:
+    """Rows that ``stored`` and ``fresh`` do not share: (keys, each field as was_ and is_), null where a side has no such row.
+
+    Each group's rows are first summed up as hashes on either side, before any row is shuffled and whatever their order; only groups
+    whose sums differ are compared row by row.
+    """
+    of = lambda df: df.groupBy(*group).agg(F.count("*").alias("n"), F.sum(F.xxhash64(*keys, *fields).cast("decimal(20,0)")).alias("h"))
+    a, b = (of(x).select(*group, F.struct("n", "h").alias(name)) for x, name in ((stored, "was"), (fresh, "is")))
+    odd = a.join(b, group, "full").where(~F.col("was").eqNullSafe(F.col("is"))).select(*group)
+    side = lambda df, x: df.join(odd, group, "left_semi").select(*keys, F.struct(*fields).alias(f"_{x}"))
+    rows = side(stored, "was").join(side(fresh, "is"), keys, "full").where(~F.col("_was").eqNullSafe(F.col("_is")))
+    return rows.select(*keys, *[F.col(f"_{x}")[f].alias(f"{x}_{f}") for x in ("was", "is") for f in fields])

@@ -52,6 +52,19 @@ select 'S' || cast(s_suppkey as string) as isin_number, x.exchange,
   case when s_suppkey % 3 = 0 then n_name end as sector, cast(null as string) as industry, s_acctbal as market_cap, cast(null as double) as pe
 from {supplier} join {nation} on s_nationkey = n_nationkey cross join (values ('NSE', 0), ('BSE', 0), ('NSE SME', 2), ('BSE SME', 3)) as x(exchange, least)
 where s_suppkey % 4 >= x.least""",
+    # what three sources answer about an instrument: documents of which some lack fields, are of another shape or are no JSON
+    "answers": """
+select 'S' || cast(s_suppkey as string) as isin, x.source, case
+  when s_suppkey % 23 = 5 then 'no answer' when s_suppkey % 23 = 7 then '[1, 2]'
+  when x.source = 'NSE' then '{{"isDelisted": ' || case when s_suppkey % 19 = 0 then '"True"' when s_suppkey % 19 = 1 then 'true' else 'false' end || ', "equityResponse": ' || case when s_suppkey % 11 = 3 then '"n/a"' else
+    '[{{"secInfo": {{"sector": "' || n_name || '", "industryInfo": "' || case when s_suppkey % 4 = 0 then ' ' else 'I' || cast(s_nationkey as string) end || '", "basicIndustry": "basic", "pdSymbolPe": ' ||
+    case when s_suppkey % 5 = 0 then '"0.0"' when s_suppkey % 5 = 1 then '"-"' when s_suppkey % 5 = 2 then '12.5' else '"' || cast(s_suppkey % 90 + 1 as string) || '"' end ||
+    ', "listingDate": "29-Nov-1995 00:00:00", "indexList": ["A", "' || n_name || '"]}}, "tradeInfo": {{"totalMarketCap": ' || cast(s_suppkey * 4 as string) || '}}}}]' end || '}}'
+  when x.source = 'BSE' then '{{"IShow": "' || case when s_suppkey % 6 = 0 then ' 0' else '1' end || '", "IndustryNew": "' || n_name || '", "IGroup": "' || case when s_suppkey % 4 = 1 then '' else 'G' end || '", "ConPE": "' ||
+    case when s_suppkey % 7 = 0 then '0.00' else cast(s_suppkey % 50 + 1 as string) || '.25' end || '", "PB": {{"odd": 1}}, "Index": "' || case when s_suppkey % 3 = 0 then '-' else ' top ' end || '"}}'
+  else '{{' || case when s_suppkey % 5 = 0 then '' when s_suppkey % 5 = 1 then '"currentPrice": 3.5, ' else '"regularMarketPrice": 2, ' end || '"sector": "' || n_name || '", "trailingPE": ' || case when s_suppkey % 8 = 0 then '"high"' else '7.25' end ||
+    ', "returnOnEquity": 0.125, "firstTradeDateMilliseconds": 820454400000, "earningsTimestamp": 820454400}}' end as doc
+from {supplier} join {nation} on s_nationkey = n_nationkey cross join (values ('NSE'), ('BSE'), ('THIRD')) as x(source)""",
     # fundamentals by source tier, with gaps, placeholder zeros, infinities and values that no column holds
     "tier1": """
 select 'S' || cast(s_suppkey as string) as isin, case when s_suppkey % 2 = 0 then 'NSE' else 'BSE' end as exchange, case when s_suppkey % 4 <> 0 then n_name end as sector,

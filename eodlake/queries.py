@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce as _reduce
 
@@ -15,10 +16,12 @@ from eodlake.operators import calendars as K
 from eodlake.operators import enrichment as E
 from eodlake.operators import rsi as R
 from eodlake.operators import tables as T
+from eodlake.operators.action_store import Actions
 from eodlake.operators.commits import Committed
 from eodlake.plans import indicators
 from eodlake.plans.panel import sql, view
 from eodlake.plans.shared import fresh
+from eodlake.sources import archives
 from eodlake.sources import documents as D
 from eodlake.sources import prices as P
 from eodlake.sources.lines import MOST_ROWS
@@ -181,8 +184,22 @@ add("flt2_later_actions", lambda s, d: A.reconciled(_raw_actions(s, d)).where("r
 over("flt3_no_funds", "universe", lambda u: E.companies(u).select("isin_number", "exchange", "name_of_company"), "SELECT isin_number, exchange, name_of_company FROM universe WHERE name_of_company NOT ILIKE '%MUTUAL FUND%' AND name_of_company NOT ILIKE '%ETF%' AND name_of_company NOT ILIKE '%SEGREGATED PORTFOLIO%'")
 over("flt4_misdated_files", "prices", lambda p: P.misdated(p.select(F.concat("exchange", F.lit("/"), F.col("trade_date").cast("string")).alias("file"), F.when(F.col("row_a") % 97 == 0, F.date_add("trade_date", 1)).otherwise(F.col("trade_date")).alias("trade_date")), F.split("file", "/")[1].cast("date")), "SELECT DISTINCT exchange || '/' || CAST(trade_date AS VARCHAR) AS file FROM prices WHERE row_a % 97 = 0")
 over("flt5_required_fields", "actions", lambda a: A.rejected(a.withColumn("symbol", F.when(F.col("seq") % 4 == 0, None).otherwise(F.col("symbol")))).select("seq", "exchange"), "SELECT seq, exchange FROM actions WHERE isin IS NULL OR ex_date IS NULL OR seq % 4 = 0 OR symbol IS NULL")
-over("flt6_excluded", "tier1", lambda t: t.where(~F.coalesce(F.lower("delisted") == "true", F.lit(False))).select("isin", "delisted"), "SELECT isin, delisted FROM tier1 WHERE coalesce(lower(delisted), '') <> 'true'")
-over("flt7_has_price", "tier2", lambda t: t.where(F.coalesce("market_cap", "pe").isNotNull()).select("isin", "exchange"), "SELECT isin, exchange FROM tier2 WHERE coalesce(market_cap, pe) IS NOT NULL")
+_told = lambda s, d, x: D.fundamentals(view(s, d, "answers").where(f"source = '{x}'"), x)
+_readable = "s_suppkey % 23 NOT IN (5, 7)"
+add("flt6_excluded", lambda s, d: _told(s, d, "NSE").select("isin", "source").unionByName(_told(s, d, "BSE").select("isin", "source")), f"SELECT 'S' || s_suppkey AS isin, x AS source FROM supplier, (VALUES ('NSE'), ('BSE')) t(x) WHERE NOT ({_readable} AND (x = 'NSE' AND s_suppkey % 19 IN (0, 1) OR x = 'BSE' AND s_suppkey % 6 = 0))")
+add("flt7_has_price", lambda s, d: _told(s, d, "THIRD").select("isin", "source"), f"SELECT 'S' || s_suppkey AS isin, 'THIRD' AS source FROM supplier WHERE {_readable} AND s_suppkey % 5 <> 0")
+add(
+    "src9_fundamentals",
+    lambda s, d: _reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [_told(s, d, x).withColumn("index_list", F.array_join("index_list", ",")) if x != "THIRD" else _told(s, d, x) for x in ("NSE", "BSE", "THIRD")]),
+    f"""WITH s AS (SELECT *, 'S' || s_suppkey AS isin, {_readable} AS ok, {_readable} AND s_suppkey % 11 <> 3 AS shaped FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+    SELECT isin, 'NSE' AS source, CASE WHEN shaped THEN n_name END AS sector, CASE WHEN shaped THEN CASE WHEN s_suppkey % 4 = 0 THEN 'basic' ELSE 'I' || s_nationkey END END AS industry,
+      CASE WHEN shaped THEN CASE s_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 12.5 :: DOUBLE ELSE s_suppkey % 90 + 1.0 :: DOUBLE END END AS price_to_earnings_ratio, CASE WHEN shaped THEN CAST(s_suppkey * 4 AS DOUBLE) END AS market_capitalization,
+      CASE WHEN shaped THEN DATE '1995-11-29' END AS date_of_listing, CASE WHEN shaped THEN 'A,' || n_name END AS index_list, CASE WHEN shaped THEN 1 ELSE 0 END AS n, NULL :: DOUBLE AS price_to_book_ratio, NULL :: DOUBLE AS eps, NULL :: DOUBLE AS return_on_equity, NULL :: DATE AS earnings_date
+    FROM s WHERE NOT (ok AND s_suppkey % 19 IN (0, 1))
+    UNION ALL SELECT isin, 'BSE', CASE WHEN ok THEN n_name END, CASE WHEN ok AND s_suppkey % 4 <> 1 THEN 'G' END, CASE WHEN ok AND s_suppkey % 7 <> 0 THEN s_suppkey % 50 + 1.25 :: DOUBLE END, NULL, NULL, CASE WHEN ok AND s_suppkey % 3 <> 0 THEN 'top' END, NULL, NULL, NULL, NULL, NULL
+    FROM s WHERE NOT (ok AND s_suppkey % 6 = 0)
+    UNION ALL SELECT isin, 'THIRD', n_name, NULL, CASE WHEN s_suppkey % 8 <> 0 THEN 7.25 :: DOUBLE END, NULL, DATE '1996-01-01', NULL, NULL, NULL, NULL, 12.5, DATE '1996-01-01' FROM s WHERE ok AND s_suppkey % 5 <> 0""",
+)
 add("flt8_after_cursor", lambda s, d: R.common_days(view(s, d, "metadata")).crossJoin(F.broadcast(view(s, d, "metadata").agg(F.expr("date_sub(max(trade_date), 365)").alias("cursor")))).where("cursor is null or trade_date > cursor").select("trade_date"), "WITH c AS (SELECT max(trade_date) - 365 AS cursor FROM metadata) SELECT trade_date FROM metadata, c WHERE upload_status = 'SUCCESS' AND trade_date > cursor GROUP BY trade_date HAVING count(DISTINCT exchange) = 2")
 over("flt9_active", "metadata", lambda m: m.select(F.col("exchange").alias("indicator_id"), F.when(F.col("exchange") == "NSE", "ACTIVE").otherwise("DEACTIVE").alias("status")).distinct().where("status = 'ACTIVE'"), "SELECT DISTINCT exchange AS indicator_id, 'ACTIVE' AS status FROM metadata WHERE exchange = 'NSE'")
 add("flt10_repair_candidates", lambda s, d: _raw_actions(s, d).where("action_type = 'BONUS' and (face_value_old is null or face_value_new is null)").select("isin", "exchange", "ex_date", "subject"), f"WITH {_raw_sql} SELECT isin, exchange, ex_date, subject FROM raws WHERE action_type = 'BONUS' AND (face_value_old IS NULL OR face_value_new IS NULL)")
@@ -296,14 +313,37 @@ add("set7_new_isins", lambda s, d: A.newly_matched(_matched(s, d), _before(s, d)
 add("jon14_rebuild_rows", lambda s, d: _one(s, d).join(A.newly_matched(_matched(s, d), _before(s, d)).select("isin").distinct(), "isin", "left_semi").select("isin", "exchange", "trade_date", "close"), f"WITH {_newly_sql}, {_one_sql} SELECT isin, exchange, trade_date, close FROM one WHERE isin IN (SELECT isin FROM newly)")
 
 
-def _rebuilt(s: SparkSession, d: str) -> DataFrame:
-    """Actions reconciled, and RSI rebuilt for the instruments that newly match."""
-    m = _matched(s, d)
-    isins = A.newly_matched(m, _before(s, d)).select("isin").distinct()
-    return R.full(A.adjusted(_one(s, d).join(isins, "isin", "left_semi"), m), _calendar(s, d), PANEL_GAP).select("isin", "exchange", "trade_date", "rsi14")
+def _action_store(s: SparkSession, d: str) -> Actions:
+    """A store of actions whose instruments' RSI is rebuilt from the panel, dealt and written once."""
+    one, cal = _written_state(s, _one(s, d)), _written_state(s, _calendar(s, d))
+
+    def rebuild(isins: DataFrame, actions: DataFrame) -> DataFrame:
+        return R.full(A.adjusted(one.join(isins, "isin", "left_semi"), actions), cal, PANEL_GAP).select("isin", "exchange", "trade_date", "rsi14")
+
+    return Actions(Committed(s, fresh(s, "actions")), rebuild)
+
+
+def _in_two_batches(s: SparkSession, d: str) -> Actions:
+    """Actions of both exchanges by the codes in their files: those before a day, then the others, then the second batch once more."""
+    store, a = _action_store(s, d), view(s, d, "actions")
+    codes = a.select(F.concat(F.lit(" "), F.lower("symbol")).alias("code"), "isin").where("isin not like '%7'").distinct()
+    for batch, which in (("1", "ex_date < date'1996-06-01'"), ("2", "ex_date >= date'1996-06-01'"), ("2", "true")):
+        rows, lost = A.resolved(a.where(which).drop("isin"), codes, F.col("symbol"))
+        store.apply(rows, batch, lost.first().n_unmatched)
+    return store
 
 
-add("job4_actions_rebuild", _rebuilt, f"WITH RECURSIVE {_adjusted_sql}, newly AS (SELECT DISTINCT isin FROM reconciled WHERE reconciliation_status = 'MATCHED' AND adjustment_factor IS NOT NULL AND ex_date >= DATE '1996-06-01'), sub AS (SELECT * FROM adj WHERE isin IN (SELECT isin FROM newly)), {_rsi_sql('sub')} SELECT isin, exchange, trade_date, round(rsi14, 2) AS rsi14 FROM rsi")
+_known_actions = "WITH RECURSIVE {}, newly AS (SELECT DISTINCT isin FROM reconciled WHERE reconciliation_status = 'MATCHED' AND adjustment_factor IS NOT NULL), sub AS (SELECT * FROM adj WHERE isin IN (SELECT isin FROM newly) AND isin NOT LIKE '%7'), "
+add("job4_actions_rebuild", lambda s, d: _in_two_batches(s, d).rebuilt(), _known_actions.format(_adjusted_sql) + f"{_rsi_sql('sub')} SELECT isin, exchange, trade_date, round(rsi14, 2) AS rsi14 FROM rsi")
+add("job4_reconciled", lambda s, d: _in_two_batches(s, d).reconciled(), f"WITH {_reconciled_sql} SELECT * FROM reconciled WHERE isin NOT LIKE '%7'")
+add(
+    "job4_runs",
+    lambda s, d: _in_two_batches(s, d).store.read("runs").drop("rebuilt", "version"),
+    f"""WITH {_reconciled_sql}, k AS (SELECT *, ex_date >= DATE '1996-06-01' AS b FROM raws WHERE isin NOT LIKE '%7'),
+    u AS (SELECT ex_date >= DATE '1996-06-01' AS b, count(*) AS unmatched FROM actions WHERE isin LIKE '%7' GROUP BY ALL),
+    m AS (SELECT ex_date >= DATE '1996-06-01' AS b, count(DISTINCT isin) AS matched FROM reconciled WHERE reconciliation_status = 'MATCHED' AND adjustment_factor IS NOT NULL AND isin NOT LIKE '%7' GROUP BY ALL)
+    SELECT count(*) AS rows, coalesce(any_value(unmatched), 0) AS unmatched, count(*) FILTER (face_value_old IS NULL) AS unparsed, count(DISTINCT (isin, action_type, ex_date)) AS touched, coalesce(any_value(matched), 0) AS matched FROM k LEFT JOIN u USING (b) LEFT JOIN m USING (b) GROUP BY b""",
+)
 
 
 def _repaired(s: SparkSession, d: str) -> DataFrame:
@@ -366,13 +406,21 @@ add("jon10_history_of_keys", lambda s, d: view(s, d, "stored").join(_one(s, d).w
 
 
 def _audited(s: SparkSession, d: str) -> DataFrame:
-    """Stored averages held against a recompute: how many rows differ."""
-    fresh_rows = R.full(_one(s, d), _calendar(s, d), PANEL_GAP).select("isin", "exchange", "trade_date", "rsi14")
-    stored_rows = fresh_rows.withColumn("was", F.when(F.dayofmonth("trade_date") == 7, F.col("rsi14") + 1).otherwise(F.col("rsi14")))
-    return stored_rows.where(~F.col("was").eqNullSafe(F.col("rsi14"))).groupBy("isin", "exchange").agg(F.count("*").alias("different"))
+    """A stored table of RSI rows, some of them damaged, lost or made up, against a recompute: the rows that differ."""
+    keys, path = ["isin", "exchange", "trade_date"], fresh(s, "workbook")
+    book = R.full(_one(s, d), _calendar(s, d), PANEL_GAP).select(*keys, "rsi14")
+    odd = F.substring("isin", -1, 1) == "3"
+    made_up = book.where(odd & (F.dayofmonth("trade_date") == 21)).withColumn("trade_date", F.add_months("trade_date", 1200))
+    damaged = F.when(odd & (F.dayofmonth("trade_date") == 7), F.col("rsi14") + 1).otherwise(F.col("rsi14"))
+    book.where(~(odd & (F.dayofmonth("trade_date") == 9))).withColumn("rsi14", damaged).unionByName(made_up).write.parquet(path)
+    return T.different(s.read.parquet(path), book, ["isin", "exchange"], keys, ["rsi14"])
 
 
-add("job7_stored_vs_recomputed", _audited, f"WITH RECURSIVE {_one_sql}, {_rsi_sql('one')} SELECT isin, exchange, count(*) AS different FROM rsi WHERE rsi14 IS NOT NULL AND day(trade_date) = 7 GROUP BY ALL")
+add(
+    "job7_stored_vs_recomputed",
+    _audited,
+    f"WITH RECURSIVE {_one_sql}, {_rsi_sql('one')}, o AS (SELECT isin, exchange, trade_date, round(rsi14, 2) AS rsi14, day(trade_date) AS k FROM rsi WHERE isin LIKE '%3') SELECT isin, exchange, CAST(CASE WHEN k = 21 THEN trade_date + INTERVAL 100 YEAR ELSE trade_date END AS DATE) AS trade_date, CASE k WHEN 7 THEN rsi14 + 1 WHEN 21 THEN rsi14 END AS was_rsi14, CASE WHEN k <> 21 THEN rsi14 END AS is_rsi14 FROM o WHERE k IN (9, 21) OR k = 7 AND rsi14 IS NOT NULL",
+)
 
 # ---- instrument master --------------------------------------------------------------------------------------------------
 
@@ -400,7 +448,8 @@ add("jon12_shared_fields", lambda s, d: E.shared(view(s, d, "tier2").where("not
 SOURCES = [f"source{i}" for i in range(5)]
 over("agg13_batch_ready", "uploads", lambda u: E.ready(u, SOURCES), "WITH l AS (SELECT data_source, arg_max(status, id) AS status, max(id) AS id FROM uploads GROUP BY data_source) SELECT bool_and(status = 'success') AND count(*) FILTER (data_source IN ('source0', 'source1', 'source2', 'source3', 'source4')) = 5 AS is_ready, max(id) AS max_id FROM l")
 over("win3_latest_attempt", "uploads", lambda u: u.groupBy("data_source").agg(F.max_by("status", "id").alias("status"), F.max("id").alias("id")), "SELECT data_source, arg_max(status, id) AS status, max(id) AS id FROM uploads GROUP BY data_source")
-over("win11_cursor_of_latest_run", "uploads", lambda u: u.where("status = 'success'").agg(F.coalesce(F.max_by("last_id", "id"), F.lit(0)).alias("cursor")), "SELECT coalesce(arg_max(last_id, id), 0) AS cursor FROM uploads WHERE status = 'success'")
+_runs = lambda u: u.select("id", F.col("last_id").alias("max_id"), F.when(F.col("status") == "failed", "FAILED").when(F.col("id") % 3 == 0, "PARTIAL").otherwise("SUCCESS").alias("status"))
+add("win11_cursor_of_latest_run", lambda s, d: _reduce(DataFrame.unionByName, [E.cursor(_runs(view(s, d, "uploads")).where(F.col("id") % 4 == k)).withColumn("k", F.lit(k)) for k in range(4)]), "SELECT CAST(id % 4 AS INTEGER) AS k, arg_max(last_id, id) AS cursor FROM uploads WHERE status <> 'failed' GROUP BY ALL")
 
 
 def _audit(s: SparkSession, d: str) -> DataFrame:
@@ -525,34 +574,102 @@ add("src5_action_json", _action_json, "SELECT isin, symbol, subject, ex_date FRO
 add("src4_action_csv", _action_csv, "SELECT exchange, symbol AS code, subject, ex_date FROM actions WHERE exchange = 'NSE'")
 
 def _stream_actions(s: SparkSession, d: str) -> DataFrame:
-    landed, store = fresh(s, "landed"), fresh(s, "raw")
-    a = view(s, d, "actions")
-    a.write.parquet(landed)
-    J.action_window(s.readStream.schema(a.schema).parquet(landed), "1996-06-15", store, back=180, ahead=180, checkpoint=fresh(s, "state")).awaitTermination()
-    return s.read.parquet(store).select(*RAW_KEY, "subject")
+    """Landed actions within a window as a stream of two batches: what is reconciled, and how many RSI rows each instrument got rebuilt."""
+    a, actions = view(s, d, "actions"), _action_store(s, d)
+    landed = _in_parts(s, a.withColumn("part", F.col("seq") % 2), "part", 2)
+    J.action_window(_one_file(s, a.schema, landed), "1996-06-15", actions, back=180, ahead=180, checkpoint=fresh(s, "state")).awaitTermination()
+    return actions.reconciled().join(actions.rebuilt().groupBy("isin").agg(F.count("*").alias("n_rebuilt")), "isin", "left")
+
+
+add("str6_action_window", _stream_actions, f"WITH {_reconciled_sql}, {_one_sql}, w AS (SELECT * FROM reconciled WHERE ex_date BETWEEN DATE '1996-06-15' - 180 AND DATE '1996-06-15' + 180), n AS (SELECT isin, nullif(count(*), 0) AS n_rebuilt FROM one WHERE isin IN (SELECT isin FROM w WHERE reconciliation_status = 'MATCHED' AND adjustment_factor IS NOT NULL) GROUP BY ALL) SELECT w.*, n_rebuilt FROM w LEFT JOIN n USING (isin)")
 
 
-add("str6_action_window", _stream_actions, f"WITH {_raw_sql} SELECT isin, exchange, action_type, ex_date, subject FROM raws WHERE ex_date BETWEEN DATE '1996-06-15' - 180 AND DATE '1996-06-15' + 180")
+def _in_parts(s: SparkSession, rows: DataFrame, part: str, n: int) -> str:
+    """``rows`` as ``n`` files that land one after the other."""
+    landed, kept = fresh(s, "landed"), _written_state(s, rows)
+    for k in range(n):
+        kept.where(F.col(part) == k).drop(part).coalesce(1).write.mode("append").parquet(landed)
+    return landed
+
+
+_one_file = lambda s, schema, path: s.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _stream_gate(s: SparkSession, d: str) -> DataFrame:
-    """The enriched master if the gate over all upload attempts, failed ones too, lets it be made; else no rows."""
-    landed, out, made = fresh(s, "landed"), fresh(s, "master"), _enriched(s, d)
-    u = view(s, d, "uploads").select("id", "data_source", "status")
-    u.write.parquet(landed)
-    runs: list[int] = []
+    """The upload log in eight batches: what the gate found at each, and the companies enriched where it let a run start."""
+    store, made = Committed(s, fresh(s, "gate")), _enriched(s, d)
+    u = view(s, d, "uploads")
+    last = u.agg(F.max("id").alias("last"))
+    landed = _in_parts(s, u.crossJoin(F.broadcast(last)).select("id", "data_source", "status", F.floor(F.col("id") * 8 / (F.col("last") + 1)).alias("part")), "part", 8)  # one row
 
-    def work() -> None:
-        made.write.mode("overwrite").parquet(out)
-        runs.append(1)
+    def work() -> str:
+        store.commit(uuid.uuid4().hex, {"master": made}, replace=("master",))
+        return "PARTIAL"
 
-    J.gated(s.readStream.schema(u.schema).parquet(landed), SOURCES, fresh(s, "log"), work, fresh(s, "state")).awaitTermination()
-    return s.read.parquet(out) if runs else s.createDataFrame([], made.schema)
+    J.gated(_one_file(s, J.UPLOADS, landed), SOURCES, store, work, fresh(s, "state")).awaitTermination()
+    n = store.read("master", made.schema).count()
+    return store.read("gates").select("batch", "is_ready", "max_id", "ran", F.when(F.col("ran"), n).alias("enriched"))
+
+
+add(
+    "str7_gated_enrichment",
+    _stream_gate,
+    f"""WITH cuts AS (SELECT CAST(x AS BIGINT) AS batch, (SELECT max(id) FROM uploads u WHERE floor(id * 8 / (SELECT max(id) + 1 FROM uploads)) <= x) AS cut FROM range(8) t(x)),
+    latest AS (SELECT batch, data_source, arg_max(status, id) AS status, max(id) AS id FROM cuts JOIN uploads ON id <= cut GROUP BY ALL),
+    gates AS (SELECT batch, bool_and(status = 'success') AND count(*) FILTER (data_source IN ('source0', 'source1', 'source2', 'source3', 'source4')) = 5 AS is_ready, max(id) AS max_id FROM latest GROUP BY ALL)
+    SELECT batch, is_ready, max_id, is_ready AS ran, CASE WHEN is_ready THEN (SELECT count(*) FROM universe WHERE name_of_company NOT ILIKE '%MUTUAL FUND%' AND name_of_company NOT ILIKE '%ETF%' AND name_of_company NOT ILIKE '%SEGREGATED PORTFOLIO%') END AS enriched FROM gates""",
+)
 
 
-add("str7_gated_enrichment", _stream_gate)
-_gate = sql("SELECT bool_and(status = 'success') AND count(*) FILTER (data_source IN ('source0', 'source1', 'source2', 'source3', 'source4')) = 5 FROM (SELECT data_source, arg_max(status, id) AS status FROM uploads GROUP BY data_source)")
-ORACLES["str7_gated_enrichment"] = f"SELECT j.* FROM ({ORACLES['job5_enriched_master']}) AS j WHERE ({_gate})"
+def _stream_late(s: SparkSession, d: str) -> DataFrame:
+    """Load records of the quotes' days week by week; the second exchange's of one early day comes last, and one record comes twice."""
+    t = view(s, d, "ticks").select("trade_date", "exchange").distinct()
+    first = t.agg(F.min("trade_date").alias("first"))
+    t = t.crossJoin(F.broadcast(first)).withColumn("back", F.datediff("trade_date", "first"))  # one row
+    behind = (F.col("back") == 5) & (F.col("exchange") == "BSE")
+    t = t.withColumn("part", F.when(behind, 4).otherwise(F.least(F.floor(F.col("back") / 8), F.lit(3))))
+    t = t.unionByName(t.where("back = 29 and exchange = 'NSE'").withColumn("part", F.lit(4).cast("bigint")))
+    rows = t.select("trade_date", "exchange", F.lit("SUCCESS").alias("upload_status"), "part")
+    landed, store = _in_parts(s, rows, "part", 5), Committed(s, fresh(s, "store"))
+    J.in_time(_one_file(s, "trade_date date, exchange string, upload_status string", landed), store, fresh(s, "state")).awaitTermination()
+    return J.released(store).select("trade_date", F.lit("both").alias("exchange"), F.lit("released").alias("kind")).unionByName(J.late(s.read.parquet(landed), store).withColumn("kind", F.lit("late")))
+
+
+add("str4_late_days", _stream_late, "WITH l AS (SELECT trade_date, exchange FROM ticks GROUP BY ALL), b AS (SELECT min(trade_date) + 5 AS day FROM ticks) SELECT trade_date, 'both' AS exchange, 'released' AS kind FROM l, b WHERE trade_date <> day GROUP BY ALL HAVING count(*) = 2 UNION ALL SELECT trade_date, exchange, 'late' FROM l, b WHERE trade_date = day AND exchange = 'BSE'")
+
+
+def _stream_failures(s: SparkSession, d: str) -> DataFrame:
+    """Two indicators over the quotes' days in four batches. Both fail in the third; one is switched on again and goes on from its cursor, the other stays off."""
+    t = view(s, d, "ticks").select("trade_date").distinct()
+    first = _written_state(s, t.agg(F.min("trade_date").alias("first"), F.max("trade_date").alias("last")))
+    t = t.crossJoin(F.broadcast(first)).select("trade_date", F.floor(F.datediff("trade_date", "first") * 4 / (F.datediff("last", "first") + 1)).alias("part"))  # one row
+    landed, ids = _in_parts(s, t, "part", 4), ["MA9", "RSI14"]
+    jobs = J.Indicators(Committed(s, fresh(s, "store")), ids)
+    third = s.read.parquet(landed).crossJoin(F.broadcast(first)).where("floor(datediff(trade_date, first) * 4 / (datediff(last, first) + 1)) = 2").agg(F.min("trade_date")).first()[0]
+    broken = set(ids)
+
+    def work(indicator: str) -> Callable[[DataFrame], None]:
+        def run(df: DataFrame) -> None:
+            if indicator in broken and not df.where(F.col("trade_date") == F.lit(third)).isEmpty():
+                raise ValueError("no prices")
+
+        return run
+
+    states = {i: fresh(s, "state") for i in ids}
+    try:
+        for i in ids:
+            jobs.run(_one_file(s, "trade_date date", landed), i, work(i), states[i])
+        broken.discard("MA9")
+        jobs.activate("MA9")
+        for i in ids:
+            jobs.run(_one_file(s, "trade_date date", landed), i, work(i), states[i])
+    finally:
+        jobs.close()
+    registry, cursor, failures = (jobs.store.read(x) for x in ("registry", "cursor", "failures"))
+    return registry.join(cursor.select("indicator_id", "latest_trade_date"), "indicator_id", "left").join(failures.select("indicator_id", F.col("trade_date").alias("failed_day")), "indicator_id", "left")
+
+
+add("str5_failure_and_restart", _stream_failures, "WITH r AS (SELECT min(trade_date) AS a, max(trade_date) AS b FROM ticks), p AS (SELECT DISTINCT trade_date, floor(date_diff('day', a, trade_date) * 4 / (date_diff('day', a, b) + 1)) AS part FROM ticks, r) SELECT 'MA9' AS indicator_id, 'ACTIVE' AS status, max(trade_date) AS latest_trade_date, CAST(NULL AS DATE) AS failed_day FROM p UNION ALL SELECT 'RSI14', 'DEACTIVE', max(trade_date) FILTER (part < 2), min(trade_date) FILTER (part = 2) FROM p")
 
 # ---- whole loads: rows and their load records become visible together ------------------------------------------------------
 
@@ -625,3 +742,16 @@ def _together(s: SparkSession, d: str) -> DataFrame:
 
 
 add("snk1_rows_and_record", _together, f"SELECT exchange, trade_date, count(*) AS n, round(sum(close), 2) AS total, count(*) AS total_stocks FROM (SELECT *, row_number() OVER (PARTITION BY isin, exchange, trade_date ORDER BY {TIE_SQL}) AS k FROM prices) WHERE k = 1 GROUP BY ALL")
+
+
+def _archived(s: SparkSession, d: str) -> DataFrame:
+    """The quotes' daily files in one archive an exchange and ten days, read entry by entry."""
+    root = fresh(s, "archives")
+    t = view(s, d, "ticks")
+    t = t.select(F.concat("exchange", F.lit("-BC-"), F.upper(F.date_format("trade_date", "dd-MMM-yyyy")), F.lit(".csv")).alias("name"), "exchange", F.floor(F.dayofmonth("trade_date") / 10).cast("int").alias("part"), "row_a", F.concat_ws(",", "symbol", "series", "isin", F.col("close").cast("string"), F.col("tot_trd_qty").cast("string"), F.date_format("trade_date", "dd-MMM-yyyy")).alias("value"))
+    t.groupBy("exchange", "part").applyInPandas(archives.writer(root, "SYMBOL,SERIES,ISIN,CLOSE,TOTTRDQTY,TIMESTAMP"), "archive string").count()
+    rows = P.from_lines(archives.lines(s, root))[0]
+    return rows.select(P.file_facts(F.col("file"))[0].alias("exchange"), "isin", "symbol", "series", "trade_date", "close", "tot_trd_qty")
+
+
+add("src6_archives", _archived, "SELECT exchange, isin, symbol, series, trade_date, CAST(close AS DECIMAL(20, 2)) AS close, tot_trd_qty FROM ticks")

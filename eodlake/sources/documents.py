@@ -52,28 +52,43 @@ def action_json(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-FUNDAMENTALS = {
-    "NSE": "equityResponse array<struct<secInfo: struct<sector: string, industryInfo: string, basicIndustry: string, pdSymbolPe: string, listingDate: string, indexList: array<string>>, tradeInfo: struct<totalMarketCap: double>>>, isDelisted string",
-    "BSE": "IShow string, IndustryNew string, IGroup string, ConPE string, PB string, ConEPS string, ROE string, Index string",
-    "THIRD": "regularMarketPrice double, currentPrice double, sector string, industry string, marketCap double, trailingPE double, returnOnEquity double, firstTradeDateMilliseconds bigint, earningsTimestamp bigint",
-}
-
-
 def fundamentals(docs: DataFrame, source: str, doc: str = "doc") -> DataFrame:
-    """The fields of one source's JSON documents, with excluded instruments left out; other columns are kept."""
+    """The fields of one source's JSON documents, with excluded instruments left out; other columns are kept.
+
+    Each field is looked up on its own in a variant, so a document of an unforeseen shape costs fields and not the row, and so does a value of another
+    type: numbers may come as texts. What is no JSON has no field.
+    """
     keep = [c for c in docs.columns if c != doc]
-    j = docs.select(*keep, F.from_json(doc, FUNDAMENTALS[source]).alias("j"))
+    j = docs.select(*keep, F.try_parse_json(doc).alias("_json"))
+    at = lambda path, kind="string": F.try_variant_get("_json", path, kind)
     if source == "NSE":
-        s, t = "j.equityResponse", F.element_at("j.equityResponse", 1)
-        info = t["secInfo"]
-        j = j.where(~F.coalesce(F.lower("j.isDelisted") == "true", F.lit(False)))
-        return j.select(*keep, info["sector"].alias("sector"), first_nonblank(info["industryInfo"], info["basicIndustry"]).alias("industry"), zero_to_null(info["pdSymbolPe"]).alias("price_to_earnings_ratio"), t["tradeInfo"]["totalMarketCap"].alias("market_capitalization"), listing_date(info["listingDate"]).alias("date_of_listing"), info["indexList"].alias("index_list"), F.size(s).alias("n"))
+        info, whole = "$.equityResponse[0].secInfo.", at("$.equityResponse", "array<variant>")
+        j = j.where(~F.coalesce(F.lower(at("$.isDelisted")) == "true", F.lit(False)))
+        return j.select(
+            *keep,
+            first_nonblank(at(info + "sector")).alias("sector"),
+            first_nonblank(at(info + "industryInfo"), at(info + "basicIndustry")).alias("industry"),
+            zero_to_null(at(info + "pdSymbolPe")).alias("price_to_earnings_ratio"),
+            at("$.equityResponse[0].tradeInfo.totalMarketCap", "double").alias("market_capitalization"),
+            listing_date(at(info + "listingDate")).alias("date_of_listing"),
+            at(info + "indexList", "array<string>").alias("index_list"),
+            F.coalesce(F.size(whole), F.lit(0)).alias("n"),
+        )
     if source == "BSE":
-        j = j.where(~F.coalesce(F.trim("j.IShow") == "0", F.lit(False)))
-        z = lambda c, a: zero_to_null(F.col(f"j.{c}")).alias(a)
-        return j.select(*keep, first_nonblank(F.col("j.IndustryNew")).alias("sector"), first_nonblank(F.col("j.IGroup")).alias("industry"), z("ConPE", "price_to_earnings_ratio"), z("PB", "price_to_book_ratio"), z("ConEPS", "eps"), z("ROE", "return_on_equity"), one_index(F.col("j.Index")).alias("index_list"))
-    j = j.where(F.coalesce("j.regularMarketPrice", "j.currentPrice").isNotNull())
-    return j.select(*keep, "j.sector", "j.industry", F.col("j.marketCap").alias("market_capitalization"), F.col("j.trailingPE").alias("price_to_earnings_ratio"), (F.col("j.returnOnEquity") * 100).alias("return_on_equity"), F.to_date(F.timestamp_millis("j.firstTradeDateMilliseconds")).alias("date_of_listing"), F.to_date(F.timestamp_seconds("j.earningsTimestamp")).alias("earnings_date"))
+        j = j.where(~F.coalesce(F.trim(at("$.IShow")) == "0", F.lit(False)))
+        z = lambda c, a: zero_to_null(at(f"$.{c}")).alias(a)
+        return j.select(*keep, first_nonblank(at("$.IndustryNew")).alias("sector"), first_nonblank(at("$.IGroup")).alias("industry"), z("ConPE", "price_to_earnings_ratio"), z("PB", "price_to_book_ratio"), z("ConEPS", "eps"), z("ROE", "return_on_equity"), one_index(at("$.Index")).alias("index_list"))
+    j = j.where(F.coalesce(at("$.regularMarketPrice", "double"), at("$.currentPrice", "double")).isNotNull())
+    return j.select(
+        *keep,
+        at("$.sector").alias("sector"),
+        at("$.industry").alias("industry"),
+        at("$.marketCap", "double").alias("market_capitalization"),
+        at("$.trailingPE", "double").alias("price_to_earnings_ratio"),
+        (at("$.returnOnEquity", "double") * 100).alias("return_on_equity"),
+        F.to_date(F.timestamp_millis(at("$.firstTradeDateMilliseconds", "bigint"))).alias("date_of_listing"),
+        F.to_date(F.timestamp_seconds(at("$.earningsTimestamp", "bigint"))).alias("earnings_date"),
+    )
 
 
 def listing_date(c: Column) -> Column:

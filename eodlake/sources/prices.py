@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -133,23 +128,3 @@ def first_in_file(rows: DataFrame) -> DataFrame:
 def misdated(rows: DataFrame, expected: Column) -> DataFrame:
     """Files with a row whose day isn't the expected one."""
     return rows.groupBy("file").agg(F.bool_or(~F.col("trade_date").eqNullSafe(expected)).alias("bad")).where("bad").select("file")
-
-
-def unzipped(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, text) of the first CSV in each archive; empty files and pages of markup instead of archives are left out."""
-    files = spark.read.format("binaryFile").load(paths).where(F.col("length") > 0)
-    head = F.lower(F.ltrim(F.decode(F.substring("content", 1, 64), "ISO-8859-1")))
-    files = files.where(~(head.startswith("<html") | head.startswith("<!doctype"))).select("path", "content")
-
-    def open_each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for path, content in zip(b["path"], b["content"]):
-                if zipfile.is_zipfile(io.BytesIO(content)):
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        names = [n for n in z.namelist() if n.lower().endswith(".csv")]
-                        if names:
-                            rows.append((path, z.read(names[0]).decode("utf-8-sig", "replace")))
-            yield pd.DataFrame(rows, columns=["file", "text"])
-
-    return files.mapInPandas(open_each, "file string, text string")

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
+from threading import Event
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.errors import StreamingQueryException
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from eodlake.operators import actions as A
 from eodlake.operators import enrichment as E
 from eodlake.operators import rsi as R
 from eodlake.operators import tables as T
+from eodlake.operators.action_store import Actions
 from eodlake.operators.commits import Committed
 from eodlake.plans.shared import fresh
 from eodlake.sources import prices as P
@@ -92,6 +95,33 @@ def release_days(loads: DataFrame, released: str, checkpoint: str) -> StreamingQ
     return days.writeStream.format("parquet").option("path", released).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
+def in_time(loads: DataFrame, store: Committed, checkpoint: str, lateness: str = "3 days") -> StreamingQuery:
+    """Load records (trade_date, exchange, upload_status) that come within ``lateness`` of the newest day seen, once a day and exchange, into ``accepted``.
+
+    The watermark is the cursor: a record behind it is dropped by Spark, so its day is not released however complete it is in the end; ``late`` lists such
+    records and a full recompute is the remedy. State is kept for the days within ``lateness`` only.
+    """
+    timed = loads.where("upload_status = 'SUCCESS'").withColumn("at", F.col("trade_date").cast("timestamp")).withWatermark("at", lateness)
+    once = timed.dropDuplicatesWithinWatermark(["trade_date", "exchange"]).select("trade_date", "exchange")
+    name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
+
+    def batch(df: DataFrame, number: int) -> None:
+        store.commit(f"{name}-{number}", {"accepted": df})
+
+    return once.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def released(store: Committed) -> DataFrame:
+    """Days whose both exchanges were in time."""
+    return store.read("accepted", "trade_date date, exchange string").groupBy("trade_date").agg(F.count_distinct("exchange").alias("n")).where("n = 2").select("trade_date")
+
+
+def late(loads: DataFrame, store: Committed) -> DataFrame:
+    """Load records that came behind the watermark: those of no day and exchange that was accepted."""
+    done = store.read("accepted", "trade_date date, exchange string")
+    return loads.where("upload_status = 'SUCCESS'").select("trade_date", "exchange").distinct().join(done, ["trade_date", "exchange"], "left_anti")
+
+
 RSI_ROWS = "isin string, exchange string, trade_date date, session_no long, avg_gain double, avg_loss double, rsi14 double, late boolean"
 VALUES = R.STATE.split(", ", 2)[2]
 
@@ -195,58 +225,126 @@ def states(spark: SparkSession, checkpoint: str) -> DataFrame:
     return kept.select("key.*", "value.*").select(*R.KEYS, *R.STATE_FIELDS)
 
 
-def run_indicator(days: DataFrame, indicator: str, work: Callable[[DataFrame], None], failures: str, checkpoint: str) -> StreamingQuery:
-    """``work`` for each batch of days. A failure is written and stops the query; its batch stays uncommitted until a restart."""
+REGISTRY = "indicator_id string, status string"
+CURSOR = "indicator_id string, latest_trade_date date, status string, date_of_run timestamp"
+FAILURES = "indicator_id string, trade_date date, error_message string, failed_at timestamp"
 
-    def batch(df: DataFrame, _: int) -> None:
-        try:
-            work(df)
-        except Exception as e:
-            lost = df.agg(F.min("trade_date").alias("trade_date")).select(F.lit(indicator).alias("indicator_id"), "trade_date", F.lit(str(e)[:500]).alias("error_message"), F.current_timestamp().alias("failed_at"))
-            lost.write.mode("append").parquet(failures)
-            raise
 
-    return days.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+class Indicators(StreamingQueryListener):
+    """Registry, cursor and failures of the indicators in one store; the only place that switches an indicator off.
+
+    A query is named after its indicator. When one ends with an error the listener writes the failed day and DEACTIVE in one commit, and
+    the indicator is not started again until ``activate``. The failed batch stays uncommitted in the checkpoint, so a restart begins at the
+    day after the cursor.
+    """
+
+    def __init__(self, store: Committed, ids: list[str]):
+        self.store, self.working, self.ended = store, {}, {}
+        spark = store.spark
+        store.commit("registry", {"registry": spark.createDataFrame([(i, "ACTIVE") for i in ids], REGISTRY), "cursor": spark.createDataFrame([], CURSOR), "failures": spark.createDataFrame([], FAILURES)})
+        spark.streams.addListener(self)
+
+    def close(self) -> None:
+        self.store.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event: object) -> None:
+        pass
+
+    def onQueryProgress(self, event: object) -> None:
+        pass
+
+    def onQueryIdle(self, event: object) -> None:
+        pass
 
+    def onQueryTerminated(self, event: object) -> None:
+        run = str(event.runId)
+        if event.exception and run in self.working:
+            lost = self.store.spark.createDataFrame([self.working[run]], "indicator_id string, trade_date date, error_message string").withColumn("failed_at", F.current_timestamp())
+            registry, failures = T.failed(self.store.read("registry"), self.store.read("failures"), lost)
+            self.store.commit(f"failed-{run}", {"registry": registry, "failures": failures}, replace=("registry", "failures"))
+        self.ended.setdefault(run, Event()).set()
+
+    def activate(self, indicator: str) -> None:
+        """What an operator does after a failure."""
+        status = F.when(F.col("indicator_id") == indicator, "ACTIVE").otherwise(F.col("status")).alias("status")
+        self.store.commit(f"activate-{indicator}-{uuid.uuid4().hex}", {"registry": self.store.read("registry").select("indicator_id", status)}, replace=("registry",))
+
+    def run(self, days: DataFrame, indicator: str, work: Callable[[DataFrame], None], checkpoint: str) -> bool:
+        """``work`` for each batch of the streamed ``days``, the cursor moved and the day's failure removed in one commit after it; whether all went well. An indicator that is off isn't started."""
+        active = self.store.read("registry").where((F.col("indicator_id") == indicator) & (F.col("status") == "ACTIVE"))
+        if active.isEmpty():
+            return False
+        started: dict[str, str] = {}
+
+        def batch(df: DataFrame, number: int) -> None:
+            span = df.agg(F.min("trade_date").alias("low"), F.max("trade_date").alias("high")).first()
+            if span.high is None:
+                return
+            self.working[started["run"]] = (indicator, span.low, "the query ended before its work did")
+            try:
+                work(df)
+            except Exception as e:
+                self.working[started["run"]] = (indicator, span.low, str(e)[:500])
+                raise
+            done = df.select(F.lit(indicator).alias("indicator_id"), "trade_date", F.current_timestamp().alias("at")).distinct()
+            cursor, failures = T.succeeded(self.store.read("cursor"), self.store.read("failures"), done)
+            self.store.commit(f"{checkpoint}-{number}", {"cursor": cursor, "failures": failures}, replace=("cursor", "failures"))
+
+        go = Event()
+
+        def gated_batch(df: DataFrame, number: int) -> None:
+            go.wait()
+            batch(df, number)
+
+        query = days.writeStream.foreachBatch(gated_batch).queryName(indicator).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        run = started["run"] = str(query.runId)
+        ended = self.ended.setdefault(run, Event())
+        go.set()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            pass
+        ended.wait(60)  # events come after the query's end
+        return query.exception() is None
 
-def action_window(landed: DataFrame, today: str, store: str, back: int = 7, ahead: int = 30, checkpoint: str = "") -> StreamingQuery:
-    """Landed action rows within the window around ``today``, upserted into the raw table at ``store``."""
-    spark = landed.sparkSession
+
+def action_window(landed: DataFrame, today: str, actions: Actions, back: int = 7, ahead: int = 30, checkpoint: str = "") -> StreamingQuery:
+    """Landed action rows within the window around ``today``, applied batch by batch: only new matches rebuild anything, and a batch that comes again changes nothing."""
     day = F.lit(today).cast("date")
+    name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def batch(df: DataFrame, number: int) -> None:
-        new = A.parsed(df.where(F.col("ex_date").between(F.date_sub(day, back), F.date_add(day, ahead))))
-        keys = ["isin", "exchange", "action_type", "ex_date"]
-        new = A.latest_wins(new, keys, F.col("seq")).withColumn("month", F.date_trunc("month", "ex_date").cast("date"))
-        months = new.select("month").distinct()
-        try:
-            old = spark.read.parquet(store).join(months, "month", "left_semi").select(new.columns)
-            staged = fresh(spark, "actions")  # Spark can't overwrite what it reads
-            T.upserted(old, new, keys, F.col("seq")).write.parquet(staged)
-            new = spark.read.parquet(staged)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        T.replace_partitions(new, store, ["month"])
+        actions.apply(df.where(F.col("ex_date").between(F.date_sub(day, back), F.date_add(day, ahead))), f"{name}-{number}")
 
     return landed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def gated(uploads: DataFrame, required: list[str], history: str, work: Callable[[], None], checkpoint: str) -> StreamingQuery:
-    """Runs ``work`` when the latest attempt of every required source in the log at ``history`` succeeded, once for each newest attempt.
+UPLOADS = "id long, data_source string, status string"
+RUNS = "id long, batch long, max_id long, status string"
+
 
-    The newest attempt that ``work`` has seen is appended to ``history``-runs, so more log rows of the same batch don't run it again.
+def gated(uploads: DataFrame, required: list[str], store: Committed, work: Callable[[], str], checkpoint: str) -> StreamingQuery:
+    """Runs ``work`` when the latest attempt of every required source succeeded and there is one newer than the cursor.
+
+    ``work`` returns the run's status; the cursor is that of the newest SUCCESS or PARTIAL run. ``log`` has all attempts, ``gates`` what each batch found, ``runs`` the runs. Each
+    is committed under the batch's number, so a batch that comes again after a crash appends nothing and does not run a second time. The log is
+    summed up by source and batch, and a batch reads the sums.
     """
-    spark = uploads.sparkSession
-    runs = history.rstrip("/") + "-runs"
-    spark.createDataFrame([], "max_id long").write.mode("append").parquet(runs)
-
-    def batch(df: DataFrame, _: int) -> None:
-        df.write.mode("append").parquet(history)
-        now = E.ready(spark.read.parquet(history), required)
-        gate, last = now.first(), spark.read.parquet(runs).agg(F.max("max_id")).first()[0]
-        if gate.is_ready and (last is None or gate.max_id > last):
-            work()
-            now.select(F.col("max_id").cast("long")).write.mode("append").parquet(runs)
+    name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
+
+    def batch(df: DataFrame, number: int) -> None:
+        newest = df.groupBy("data_source").agg(F.max_by("status", "id").alias("status"), F.max("id").alias("id")).select("id", "data_source", "status")
+        store.commit(f"{name}-log-{number}", {"log": df, "newest": newest})
+        done = store.manifest()["batches"]
+        if f"{name}-gate-{number}" in done:
+            return
+        gate = E.ready(store.read("newest", UPLOADS), required).first()
+        runs = store.read("runs", RUNS)
+        goes = bool(gate.is_ready) and gate.max_id > E.cursor(runs).first().cursor
+        spark = df.sparkSession
+        found = {"gates": spark.createDataFrame([(number, bool(gate.is_ready), gate.max_id, goes)], "batch long, is_ready boolean, max_id long, ran boolean")}
+        if goes:
+            found["runs"] = spark.createDataFrame([(runs.count() + 1, number, gate.max_id, work())], RUNS)
+        store.commit(f"{name}-gate-{number}", found)
 
     return uploads.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

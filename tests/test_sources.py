@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from eodlake.functions import columns as C
 from eodlake.operators import actions as A
 from eodlake.operators import calendars as K
+from eodlake.sources import archives
 from eodlake.sources import documents as D
 from eodlake.sources import prices as P
 from eodlake.sources.lines import first_lines
@@ -55,7 +56,21 @@ def test_archives(spark, tmp_path):
     (tmp_path / "b.zip").write_text("<HTML>no</HTML>")
     (tmp_path / "c.zip").write_text("")
     (tmp_path / "d.zip").write_text("neither")
-    assert [r.text for r in P.unzipped(spark, str(tmp_path)).collect()] == ["a,b\n1,2\n"]
+    got = sorted((r.file.rsplit("/", 2)[1:], r.at, r.value) for r in archives.lines(spark, str(tmp_path)).collect())
+    assert got == [(["a.zip", "x.CSV"], 0, "a,b"), (["a.zip", "x.CSV"], 1, "1,2")]
+    (tmp_path / "none").mkdir()
+    assert archives.lines(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_rows_that_differ_by_group_sums(spark):
+    from eodlake.operators import tables as T
+
+    schema = "g string, k int, v double"
+    a = spark.createDataFrame([("a", 1, 1.0), ("a", 2, None), ("b", 1, 1.0), ("b", 2, 2.0), ("c", 1, 1.0)], schema)
+    b = spark.createDataFrame([("a", 2, None), ("a", 1, 1.0), ("b", 1, 1.5), ("b", 3, 2.0), ("d", 1, None)], schema)
+    got = sorted(map(tuple, T.different(a, b, ["g"], ["g", "k"], ["v"]).collect()))
+    assert got == [("b", 1, 1.0, 1.5), ("b", 2, 2.0, None), ("b", 3, None, 2.0), ("c", 1, 1.0, None), ("d", 1, None, None)]
+    assert T.different(a, a, ["g"], ["g", "k"], ["v"]).count() == 0
 
 
 def test_action_files(spark, tmp_path):

@@ -1,7 +1,9 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from eodlake.operators.action_store import Actions
 from eodlake.operators.commits import Committed
 from eodlake.streaming import jobs as J
 from tests.test_sources import files
@@ -115,50 +117,68 @@ def test_stream_goes_on_from_a_workbook_and_its_states_are_readable(spark, tmp_p
     assert (kept.n, kept.session, len(kept.recent)) == (plain.n, plain.session, 13) and abs(kept.avg_gain - plain.avg_gain) < 1e-9
 
 
-def test_a_failure_is_recorded_and_stops_the_query(spark, tmp_path):
+def test_a_failure_switches_off_until_activated(spark, tmp_path):
     spark.createDataFrame([(DAY,)], "trade_date date").write.parquet(str(tmp_path / "in"))
     days = spark.readStream.schema("trade_date date").parquet(str(tmp_path / "in"))
+    jobs, seen, state = J.Indicators(store_of(spark, tmp_path), ["RSI14"]), [], str(tmp_path / "state")
 
     def work(df):
         raise ValueError("no prices")
 
-    q = J.run_indicator(days, "RSI14", work, str(tmp_path / "failures"), str(tmp_path / "state"))
-    with pytest.raises(Exception, match="no prices"):
-        q.awaitTermination()
-    (f,) = spark.read.parquet(str(tmp_path / "failures")).collect()
-    assert (f.indicator_id, f.trade_date, f.error_message) == ("RSI14", DAY, "no prices")
-    done = []
-    finish(J.run_indicator(days, "RSI14", lambda df: done.append(df.count()), str(tmp_path / "failures"), str(tmp_path / "state")))
-    assert done == [1]  # the failed batch comes again
-
-
-def test_window_of_actions(spark, tmp_path):
+    try:
+        assert not jobs.run(days, "RSI14", work, state)
+        (f,) = jobs.store.read("failures").collect()
+        assert (f.indicator_id, f.trade_date) == ("RSI14", DAY) and "no prices" in f.error_message
+        assert jobs.store.read("registry").first().status == "DEACTIVE"
+        assert not jobs.run(days, "RSI14", seen.append, state) and not seen  # off
+        jobs.activate("RSI14")
+        assert jobs.run(days, "RSI14", lambda df: seen.append(df.count()), state)
+        assert seen == [1] and jobs.store.read("failures").isEmpty()  # the failed batch came again
+        assert jobs.store.read("cursor").first().latest_trade_date == DAY
+    finally:
+        jobs.close()
+
+
+def test_window_of_actions_rebuilds_new_matches_only(spark, tmp_path):
     schema = "isin string, exchange string, symbol string, ex_date date, subject string, seq long"
-    spark.createDataFrame([("I", "NSE", "A", DAY, "Bonus 1:1", 1), ("I", "NSE", "A", DAY, "Bonus 2:1", 2), ("I", "NSE", "A", DAY - datetime.timedelta(90), "Bonus 1:1", 3)], schema).write.parquet(str(tmp_path / "in"))
-    for _ in range(2):
-        finish(J.action_window(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "2024-01-03", str(tmp_path / "raw"), checkpoint=str(tmp_path / "state")))
-        (r,) = spark.read.parquet(str(tmp_path / "raw")).collect()
-        assert r.face_value_old == 3
-        spark.createDataFrame([("I", "NSE", "A", DAY, "Bonus 2:1", 4)], schema).write.mode("append").parquet(str(tmp_path / "in"))
-
-
-def test_gate(spark, tmp_path):
-    runs = []
-    schema = "id long, data_source string, status string"
-    for part in ([(1, "a", "success")], [(2, "b", "failed")], [(3, "b", "success")]):
+    asked = []
+
+    def rebuild(isins, actions):
+        asked.append(sorted(r.isin for r in isins.collect()))
+        return actions.select("isin", F.col("adjustment_factor").alias("f"))
+
+    actions = Actions(store_of(spark, tmp_path), rebuild)
+    parts = (
+        [("I", "NSE", "A", DAY, "Bonus 1:1", 1), ("I", "NSE", "A", DAY, "Bonus 2:1", 2), ("I", "NSE", "A", DAY - datetime.timedelta(90), "Bonus 1:1", 3), ("K", "NSE", "B", DAY, "Bonus 1:1", 4)],
+        [("I", "BSE", "A", DAY, "Bonus 2:1", 5)],
+        [("I", "NSE", "A", DAY, "Bonus 2:1", 6), ("K", "NSE", "B", DAY, "dividend", 7)],
+    )
+    for part in parts:
         spark.createDataFrame(part, schema).write.mode("append").parquet(str(tmp_path / "in"))
-        finish(J.gated(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), ["a", "b"], str(tmp_path / "log"), lambda: runs.append(1), str(tmp_path / "state")))
-    assert runs == [1]
-
-
-def test_gated_query_reads_failed_attempts(spark, tmp_path):
-    from eodlake import queries
-
-    for t in ("supplier", "nation"):
-        (tmp_path / f"{t}.parquet").symlink_to(f"/root/testdata/sf0.001/{t}.parquet")
-    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    for last, is_open in ((989, True), (990, False)):  # attempt 990 failed
-        events.where(f"event_id <= {last}").write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
-        got = queries.QUERIES["str7_gated_enrichment"](spark, str(tmp_path))
-        assert (got.count() > 0) == is_open
-        assert got.columns == queries.QUERIES["job5_enriched_master"](spark, str(tmp_path)).columns
+        finish(J.action_window(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "2024-01-03", actions, checkpoint=str(tmp_path / "state")))
+    assert asked == [[], ["I"], []]
+    raw = {(r.isin, r.exchange): (r.seq, float(r.face_value_old)) for r in actions.raw().collect()}
+    assert raw == {("I", "NSE"): (6, 3.0), ("I", "BSE"): (5, 3.0), ("K", "NSE"): (4, 2.0)}
+    assert {r.isin: r.reconciliation_status for r in actions.reconciled().collect()} == {"I": "MATCHED", "K": "NSE_ONLY"}
+    assert [(r.isin, round(float(r.f), 6)) for r in actions.rebuilt().collect()] == [("I", 0.333333)]
+    assert [(r.rows, r.touched, r.matched) for r in actions.store.read("runs").orderBy("version").collect()] == [(2, 2, 0), (1, 1, 1), (1, 1, 0)]
+    assert not actions.apply(spark.createDataFrame(parts[1], schema), "state-1")
+
+
+def test_gate_runs_once_for_each_newest_attempt(spark, tmp_path):
+    runs, store = [], store_of(spark, tmp_path)
+    parts = ([(1, "a", "success")], [(2, "b", "failed")], [(3, "b", "success")], [(3, "b", "success")], [(4, "a", "success")])
+
+    def work():
+        runs.append(1)
+        return "FAILED" if len(runs) == 2 else "PARTIAL"
+
+    for part in parts:
+        spark.createDataFrame(part, J.UPLOADS).write.mode("append").parquet(str(tmp_path / "in"))
+        finish(J.gated(spark.readStream.schema(J.UPLOADS).parquet(str(tmp_path / "in")), ["a", "b"], store, work, str(tmp_path / "state")))
+    assert [(r.is_ready, r.ran) for r in store.read("gates").orderBy("batch").collect()] == [(False, False), (False, False), (True, True), (True, False), (True, True)]
+    assert [(r.max_id, r.status) for r in store.read("runs").orderBy("id").collect()] == [(3, "PARTIAL"), (4, "FAILED")]
+    assert store.read("log").count() == 5
+    # a batch that comes again: from an empty checkpoint all come as batch 0, which is done
+    finish(J.gated(spark.readStream.schema(J.UPLOADS).parquet(str(tmp_path / "in")), ["a", "b"], store, work, str(tmp_path / "again" / "state")))
+    assert len(runs) == 2 and store.read("log").count() == 5
