@@ -50,13 +50,23 @@ class Actions:
         Classified rows go to the raw log, where the last of a key counts. The keys they touch are reconciled from what is stored of them, the result is held
         against the stored reconciliation, and instruments with a newly matched action are rebuilt with all their matched actions.
         """
+        new = A.parsed(rows.where("isin is not null and symbol is not null and ex_date is not null"))
+        return self._applied(new, batch, unmatched, False)
+
+    def repair(self, batch: str) -> bool:
+        """Stored splits without ratios, extracted again from their stored texts; whatever factor that changes is rebuilt."""
+        lost = self.raw().where("action_type = 'SPLIT' and (face_value_old is null or face_value_new is null)")
+        again = A.parsed(lost.drop("version", "action_type", "face_value_old", "face_value_new"))
+        return self._applied(again.where("face_value_old is not null and face_value_new is not null"), batch, 0, True)
+
+    def _applied(self, rows: DataFrame, batch: str, unmatched: int, on_factor_change: bool) -> bool:
         store = self.store
         manifest = store.manifest()
         if batch in manifest["batches"]:
             return False
         version = F.lit(manifest["version"] + 1).cast("long").alias("version")
         names = [c.split()[0] for c in RAW.replace("(20,6)", "").split(", ")][:-1]
-        new = A.latest_wins(A.parsed(rows.where("isin is not null and symbol is not null and ex_date is not null")), RAW_KEY, F.struct("seq", "subject")).select(*names, version)
+        new = A.latest_wins(rows, RAW_KEY, F.struct("seq", "subject")).select(*names, version)
         raw = store.staged("raw", new)
         new = store.spark.read.schema(new.schema).parquet(raw)
         touched = new.select(*A.KEY).distinct()
@@ -65,7 +75,7 @@ class Actions:
         after = store.staged("reconciled", now)
         now = store.spark.read.schema(now.schema).parquet(after)
         before = newest(store.read("reconciled", RECONCILED).join(touched, A.KEY, "left_semi"), A.KEY)
-        isins = A.newly_matched(now, before).select("isin").distinct()
+        isins = A.newly_matched(now, before, on_factor_change).select("isin").distinct()
         theirs = newest(store.read("reconciled", RECONCILED).unionByName(now).join(isins, "isin", "left_semi"), A.KEY).drop("version")
         rebuilt = self.rebuild(isins, theirs).select("*", version)
         derived = store.staged("rebuilt", rebuilt)

@@ -31,10 +31,10 @@ select 'U' || cast(user_id as string) as isin, 'NSE' as exchange, cast(ts as dat
 group by user_id, cast(ts as date)""",
     # what each exchange says about splits and bonuses, as text
     "actions": """
-select 'S' || cast(o_custkey % 100 as string) as isin, 'P' || cast(o_custkey as string) as symbol, x.exchange, cast(o_orderdate as date) as ex_date, o_orderkey as seq,
-  case when o_orderkey % 50 <> 0 then 'Dividend - Rs 2 Per Share' when o_orderpriority = '1-URGENT' then 'Bonus ' || cast(1 + o_orderkey % 3 + case when x.exchange = 'BSE' and o_orderkey % 7 = 0 then 1 else 0 end as string) || ':1'
+select 'S' || cast(o_custkey as string) as isin, 'P' || cast(o_custkey as string) as symbol, x.exchange, cast(o_orderdate as date) as ex_date, o_orderkey as seq,
+  case when o_orderpriority = '1-URGENT' then 'Bonus ' || cast(1 + o_orderkey % 3 + case when x.exchange = 'BSE' and o_orderkey % 7 = 0 then 1 else 0 end as string) || ':1'
     when o_orderpriority = '2-HIGH' then 'Face Value Split From Rs 10/- Per Share To Rs 2/- Per Share' when o_orderpriority = '3-MEDIUM' then 'Dividend - Rs 5 Per Share'
-    when o_orderpriority = '4-NOT SPECIFIED' then 'Bonus issue' else 'Stock split From Rs 10/- To Re 1/-' end as subject
+    when o_orderpriority = '4-NOT SPECIFIED' then case when o_orderkey % 2 = 0 then 'Bonus issue' else 'Stock split' end else 'Stock split From Rs 10/- To Re 1/-' end as subject
 from {orders} cross join (values ('NSE'), ('BSE')) as x(exchange)
 where o_orderstatus = 'P' or (o_orderstatus = 'F') = (x.exchange = 'NSE')""",
     # one row a day and exchange with the outcome of its load

@@ -96,7 +96,9 @@ over(
     lambda t: E.dropped(t, ["isin"], TIER_LIMITS).select("isin", "field", "reason"),
     "SELECT isin, 'market_cap' AS field, 'out of range' AS reason FROM tier1 WHERE abs(market_cap) >= 1e18 UNION ALL SELECT isin, 'pe', CASE WHEN isnan(pe) OR isinf(pe) THEN 'not finite' ELSE 'out of range' END FROM tier1 WHERE isnan(pe) OR abs(pe) >= 1e4",
 )
-add("scl18_renamed", lambda s, d: view(s, d, "tier2").selectExpr("isin", "exchange", "market_cap as market_cap_basic", "pe as price_earnings_ttm").withColumnsRenamed(E.SCREENER_FIELDS), "SELECT isin, exchange, market_cap AS market_capitalization, pe AS price_to_earnings_ratio FROM tier2")
+_screener = {"market_cap_basic": "market_cap", "price_earnings_ttm": "pe", "earnings_per_share_diluted_ttm": "market_cap / 7", "debt_to_equity": "pe / 3", "dividend_yield_recent": "pe + 1", "return_on_equity_fq": "pe + 2", "price_book_fq": "pe + 3"}
+_renamed = {"market_cap_basic": "market_capitalization", "price_earnings_ttm": "price_to_earnings_ratio", "earnings_per_share_diluted_ttm": "eps", "debt_to_equity": "debt_to_equity_ratio", "dividend_yield_recent": "dividend_yield", "return_on_equity_fq": "return_on_equity", "price_book_fq": "price_to_book_ratio"}
+add("scl18_renamed", lambda s, d: view(s, d, "tier2").selectExpr("isin", "exchange", *[f"{x} as {n}" for n, x in _screener.items()]).withColumnsRenamed(E.SCREENER_FIELDS), "SELECT isin, exchange, " + ", ".join(f"{x} AS {_renamed[n]}" for n, x in _screener.items()) + " FROM tier2")
 over("scl19_date_list", "metadata", lambda m: m.where("upload_status = 'FAILED'").groupBy("exchange").agg(F.array_join(F.transform(F.sort_array(F.collect_list("trade_date")), lambda x: F.date_format(x, "dd-MMM-yyyy")), ", ").alias("days")), "SELECT exchange, string_agg(strftime(trade_date, '%d-%b-%Y'), ', ' ORDER BY trade_date) AS days FROM metadata WHERE upload_status = 'FAILED' GROUP BY exchange")
 over(
     "scl20_action_columns",
@@ -174,7 +176,8 @@ def _appended(s: SparkSession, d: str) -> DataFrame:
 add("snk8_audit_append", _appended, "SELECT exchange, trade_date, upload_status FROM metadata")
 _done = lambda m: m.where("upload_status = 'SUCCESS'").select(F.col("exchange").alias("indicator_id"), "trade_date", F.col("processing_time_ms").alias("at"))
 _lost = lambda m: m.where("upload_status = 'FAILED'").select(F.col("exchange").alias("indicator_id"), "trade_date", "error_message", F.col("processing_time_ms").alias("failed_at"))
-over("snk9_success_state", "metadata", lambda m: T.succeeded(_done(m).limit(0).selectExpr("indicator_id", "trade_date as latest_trade_date", "'' as status", "at as date_of_run"), _lost(m), _done(m).unionByName(_done(m).limit(0)))[1].select("indicator_id", "trade_date"), "SELECT exchange AS indicator_id, trade_date FROM metadata WHERE upload_status = 'FAILED'")
+_state_of_jobs = lambda m: T.succeeded(_done(m).where("trade_date < date'1996-01-01'").groupBy("indicator_id").agg(F.max("trade_date").alias("latest_trade_date"), F.lit("SUCCESS").alias("status"), F.max("at").alias("date_of_run")), _lost(m), _done(m).unionByName(_lost(m).where("month(trade_date) = 3").selectExpr("indicator_id", "trade_date", "failed_at as at")))
+over("snk9_success_state", "metadata", lambda m: _state_of_jobs(m)[1].select("indicator_id", "trade_date", F.lit("failed").alias("kind")).unionByName(_state_of_jobs(m)[0].select("indicator_id", F.col("latest_trade_date").alias("trade_date"), F.lit("cursor").alias("kind"))), "SELECT exchange AS indicator_id, trade_date, 'failed' AS kind FROM metadata WHERE upload_status = 'FAILED' AND month(trade_date) <> 3 UNION ALL SELECT exchange, max(trade_date), 'cursor' FROM metadata WHERE upload_status = 'SUCCESS' OR month(trade_date) = 3 GROUP BY exchange")
 over("snk10_failure_state", "metadata", lambda m: T.failed(m.select(F.col("exchange").alias("indicator_id"), F.lit("ACTIVE").alias("status")).distinct(), _lost(m).limit(0), _lost(m).where("exchange = 'NSE'"))[0], "SELECT DISTINCT exchange AS indicator_id, CASE WHEN exchange = 'NSE' THEN 'DEACTIVE' ELSE 'ACTIVE' END AS status FROM metadata")
 
 # ---- filters ----------------------------------------------------------------------------------------------------------
@@ -201,8 +204,9 @@ add(
     UNION ALL SELECT isin, 'THIRD', n_name, NULL, CASE WHEN s_suppkey % 8 <> 0 THEN 7.25 :: DOUBLE END, NULL, DATE '1996-01-01', NULL, NULL, NULL, NULL, 12.5, DATE '1996-01-01' FROM s WHERE ok AND s_suppkey % 5 <> 0""",
 )
 add("flt8_after_cursor", lambda s, d: R.common_days(view(s, d, "metadata")).crossJoin(F.broadcast(view(s, d, "metadata").agg(F.expr("date_sub(max(trade_date), 365)").alias("cursor")))).where("cursor is null or trade_date > cursor").select("trade_date"), "WITH c AS (SELECT max(trade_date) - 365 AS cursor FROM metadata) SELECT trade_date FROM metadata, c WHERE upload_status = 'SUCCESS' AND trade_date > cursor GROUP BY trade_date HAVING count(DISTINCT exchange) = 2")
-over("flt9_active", "metadata", lambda m: m.select(F.col("exchange").alias("indicator_id"), F.when(F.col("exchange") == "NSE", "ACTIVE").otherwise("DEACTIVE").alias("status")).distinct().where("status = 'ACTIVE'"), "SELECT DISTINCT exchange AS indicator_id, 'ACTIVE' AS status FROM metadata WHERE exchange = 'NSE'")
-add("flt10_repair_candidates", lambda s, d: _raw_actions(s, d).where("action_type = 'BONUS' and (face_value_old is null or face_value_new is null)").select("isin", "exchange", "ex_date", "subject"), f"WITH {_raw_sql} SELECT isin, exchange, ex_date, subject FROM raws WHERE action_type = 'BONUS' AND (face_value_old IS NULL OR face_value_new IS NULL)")
+_newest_failed = lambda u: u.groupBy("data_source").agg(F.max_by("status", "id").alias("status"), F.max("id").alias("failed_at")).where("status = 'failed'").select(F.col("data_source").alias("indicator_id"), F.lit(None).cast("date").alias("trade_date"), F.lit("x").alias("error_message"), "failed_at")
+over("flt9_active", "uploads", lambda u: T.failed(u.select(F.col("data_source").alias("indicator_id"), F.lit("ACTIVE").alias("status")).distinct(), _newest_failed(u).limit(0), _newest_failed(u))[0].where("status = 'ACTIVE'"), "SELECT data_source AS indicator_id, 'ACTIVE' AS status FROM uploads GROUP BY data_source HAVING arg_max(status, id) <> 'failed'")
+add("flt10_repair_candidates", lambda s, d: _raw_actions(s, d).where("action_type = 'SPLIT' and (face_value_old is null or face_value_new is null)").select("isin", "exchange", "ex_date", "subject"), f"WITH {_raw_sql} SELECT isin, exchange, ex_date, subject FROM raws WHERE action_type = 'SPLIT' AND (face_value_old IS NULL OR face_value_new IS NULL)")
 
 # ---- calendar ---------------------------------------------------------------------------------------------------------
 
@@ -353,6 +357,18 @@ def _repaired(s: SparkSession, d: str) -> DataFrame:
     return A.reconciled(T.upserted(stored, again, RAW_KEY, F.col("seq")))
 
 
+def _rebuilt_after_repair(s: SparkSession, d: str) -> DataFrame:
+    """A store whose splits lost their ratios, repaired from their texts: RSI of the instruments whose factors that changes."""
+    actions, a = _action_store(s, d), view(s, d, "actions")
+    raw = _raw_actions(s, d).withColumns({c: F.when(F.col("action_type") != "SPLIT", F.col(c)) for c in ("face_value_old", "face_value_new")})
+    one = F.lit(1).cast("long").alias("version")
+    empty = s.createDataFrame([], "isin string, exchange string, trade_date date, rsi14 double, version long")
+    actions.store.commit("stored", {"raw": raw.select(*a.columns, "action_type", "face_value_old", "face_value_new", one), "reconciled": A.reconciled(raw).select("*", one), "rebuilt": empty})
+    actions.repair("repair")
+    return actions.rebuilt()
+
+
+add("job6_rebuilt_after_repair", _rebuilt_after_repair, f"WITH RECURSIVE {_adjusted_sql}, sub AS (SELECT * FROM adj WHERE isin IN (SELECT isin FROM reconciled WHERE action_type = 'SPLIT' AND reconciliation_status = 'MATCHED' AND adjustment_factor IS NOT NULL)), {_rsi_sql('sub')} SELECT isin, exchange, trade_date, round(rsi14, 2) AS rsi14 FROM rsi")
 add("job6_repaired_splits", _repaired, f"WITH {_reconciled_sql} SELECT * FROM reconciled")
 
 # ---- incremental --------------------------------------------------------------------------------------------------------
@@ -479,7 +495,7 @@ over("set3_first_instruments", "universe", lambda u: u.select("isin_number", "ex
 over("set5_groups_together", "prices", lambda p: p.where("exchange = 'NSE'").select("isin", "close").unionByName(p.where("exchange = 'BSE'").select("isin", "close")), "SELECT isin, close FROM prices")
 over("set6_missing_fields", "tier2", lambda t: t.select("isin", "exchange", F.array_except(F.array(*map(F.lit, ("industry", "market_cap", "pe"))), F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in ("industry", "market_cap", "pe")]))).alias("missing")), "SELECT isin, exchange, list_filter([CASE WHEN industry IS NULL THEN 'industry' END, CASE WHEN market_cap IS NULL THEN 'market_cap' END, CASE WHEN pe IS NULL THEN 'pe' END], lambda x: x IS NOT NULL) AS missing FROM tier2")
 over("set8_index_json", "universe", lambda u: u.select("isin_number", "exchange", F.to_json(F.when(F.col("sector").isNotNull(), F.array("sector"))).alias("indexes")), "SELECT isin_number, exchange, CASE WHEN sector IS NOT NULL THEN '[\"' || sector || '\"]' END AS indexes FROM universe")
-over("set9_header_map", raw, lambda r: r.select("id", F.map_from_arrays(F.array(F.lower(F.lit("TradDt")), F.lower("other_text")), F.array(F.lit("TradDt"), F.col("other_text")))[F.lower("other_text")].alias("name")), "SELECT id, other_text AS name FROM raw")
+over("set9_header_map", raw, lambda r: r.select("id", *[c.alias(n) for n, c in (("day", C.named(r, "none", "OTHER_Text")), ("isin", C.named(r, " Number_TEXT".strip(), "TckrSymb")))]), "SELECT id, nullif(trim(other_text), '') AS day, nullif(trim(number_text), '') AS isin FROM raw")
 
 
 def _first_rows(s: SparkSession, d: str) -> DataFrame:
@@ -556,9 +572,13 @@ add("src2_layout_of_files", lambda s, d: P.headers(s, _landed_prices(s, d)).wher
 
 
 def _action_csv(s: SparkSession, d: str) -> DataFrame:
-    path = fresh(s, "actions")
-    view(s, d, "actions").where("exchange = 'NSE'").select(F.lower("symbol").alias("symbol"), F.col("subject").alias("Purpose"), F.date_format("ex_date", "dd-MMM-yyyy").alias("EX-DATE")).write.option("maxRecordsPerFile", MOST_ROWS).csv(path, header=True)
-    return D.action_csv(s, path, "NSE")[0]
+    """Files of both exchanges, each with its own columns."""
+    path, a = fresh(s, "actions"), view(s, d, "actions")
+    layouts = {"NSE": {"symbol": F.lower("symbol"), "Purpose": F.col("subject"), "EX-DATE": F.date_format("ex_date", "dd-MMM-yyyy")}, "BSE": {"Security Code": F.col("symbol"), "Security Name": F.lit("x"), "purpose": F.col("subject"), "Ex Date": F.date_format("ex_date", "dd MMM yyyy")}}
+    for x, columns in layouts.items():
+        a.where(F.col("exchange") == x).select(*[c.alias(n) for n, c in columns.items()]).write.option("maxRecordsPerFile", MOST_ROWS).csv(f"{path}/{x}", header=True)
+    return _reduce(DataFrame.unionByName, [D.action_csv(s, f"{path}/{x}", x)[0] for x in layouts])
+
 
 def _action_json(s: SparkSession, d: str) -> DataFrame:
     """Files by month and exchange, of bounded size: the first exchange's a bare list, the second's under Table."""
@@ -571,7 +591,7 @@ def _action_json(s: SparkSession, d: str) -> DataFrame:
 
 
 add("src5_action_json", _action_json, "SELECT isin, symbol, subject, ex_date FROM actions")
-add("src4_action_csv", _action_csv, "SELECT exchange, symbol AS code, subject, ex_date FROM actions WHERE exchange = 'NSE'")
+add("src4_action_csv", _action_csv, "SELECT exchange, symbol AS code, subject, ex_date FROM actions")
 
 def _stream_actions(s: SparkSession, d: str) -> DataFrame:
     """Landed actions within a window as a stream of two batches: what is reconciled, and how many RSI rows each instrument got rebuilt."""

@@ -60,36 +60,6 @@ def headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return first_lines(spark, paths).select("file", "header").withColumn("layout", layout_of(F.col("header")))
 
 
-def scan(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows of all price files with their file and line order, and the files that are none (file, header).
-
-    Files are grouped by their header line, of which there are a handful, so each group is one scan whose positions are
-    its names. The driver sees a path and a header for each file, as it does when Spark lists them. A file stays in one split as long
-    as it is under spark.sql.files.maxPartitionBytes, which keeps its lines in order; daily files are a few hundred kilobytes.
-    """
-    h = headers(spark, paths)
-    rejects = h.where("layout is null").select("file", "header")
-    groups: dict[tuple[str, str], list[str]] = {}
-    for r in h.where("layout is not null").collect():
-        groups.setdefault((r.layout, r.header), []).append(r.file)
-    out = None
-    for (layout, header), files in sorted(groups.items()):
-        seen: dict[str, int] = {}
-        names = []
-        for i, n in enumerate(header.replace('"', "").split(",")):
-            n = n.strip() or f"_{i}"
-            seen[n] = seen.get(n, 0) + 1
-            names.append(n if seen[n] == 1 else f"{n}_{i}")
-        rows = spark.read.csv(files, header=True, schema=", ".join(f"`{n}` string" for n in names), enforceSchema=True)
-        rows = rows.select("*", F.col("_metadata.file_path").alias("file")).withColumn("line", F.monotonically_increasing_id())
-        p = project(rows, layout)
-        out = p if out is None else out.unionByName(p)
-    if out is None:
-        empty = spark.createDataFrame([], "file string, line long, " + ", ".join(f"`{n}` string" for n in V2.values()))
-        out = project(empty, "v3")
-    return out, rejects
-
-
 #: Columns of a landed line at most.
 WIDTH = 64
 
@@ -118,6 +88,12 @@ def from_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]), rejects
 
 
+def scan(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of all price files with their file and line, and the files that are none (file). Lines of a split are numbered as they are read, so (start of the split, number) grows along a file."""
+    at = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    return from_lines(spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), at.alias("at"), "value"))
+
+
 def first_in_file(rows: DataFrame) -> DataFrame:
     """The first row of each isin, symbol and series within a file."""
     keys = [F.coalesce(c, F.lit("")) for c in ("isin", "symbol", "series")]
