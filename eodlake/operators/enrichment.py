@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from eodlake.functions.columns import sanitised
 
-# Names that mark funds, precision and scale of the numeric columns, and other sources' field names.
+# Names that mark funds, precision and scale of the numeric columns, fields that the second exchange's row takes from the first's, and other sources' field names.
 EXCLUDED_NAMES = ("%MUTUAL FUND%", "%ETF%", "%SEGREGATED PORTFOLIO%")
 LIMITS = {"market_capitalization": (20, 2), "price_to_earnings_ratio": (10, 2), "price_to_book_ratio": (10, 2), "eps": (10, 2), "return_on_equity": (6, 2), "debt_to_equity_ratio": (10, 2), "dividend_yield": (6, 2)}
+SHARED_FIELDS = ("market_capitalization", "debt_to_equity_ratio", "dividend_yield", "earnings_date")
 SCREENER_FIELDS = {
     "market_cap_basic": "market_capitalization",
     "price_earnings_ttm": "price_to_earnings_ratio",
@@ -69,6 +70,25 @@ def shared(rows: DataFrame, fields: list[str]) -> DataFrame:
     return out.select(*[fill(c) if c in fields else F.col(c) for c in rows.columns])
 
 
+def sides(work: DataFrame) -> DataFrame:
+    """(isin, exchange, symbol): the sides of a worklist that have a symbol."""
+    a = work.select("isin", F.col("nse_exchange").alias("exchange"), F.col("nse_symbol").alias("symbol"))
+    return a.unionByName(work.select("isin", F.col("bse_exchange").alias("exchange"), F.col("bse_symbol").alias("symbol"))).where("exchange is not null")
+
+
+def enriched(work: DataFrame, tiers: list[DataFrame], fields: list[str], excluded: DataFrame) -> DataFrame:
+    """A row a side of the worklist: its fields by tier, cleaned and then shared, which tier each came from, and the outcome.
+
+    A side in ``excluded`` (isin, exchange) is excluded, one that no tier knows anything of has failed; neither has fields, so neither is written.
+    """
+    keys = ["isin", "exchange"]
+    out = tiered(sides(work), [clean(t, LIMITS) for t in tiers], keys, fields).join(excluded.select(*keys, F.lit(True).alias("_out")).distinct(), keys, "left")
+    nothing = F.coalesce(*[F.col(f"{f}_tier") for f in fields]).isNull()
+    out = out.withColumn("outcome", F.when(F.col("_out"), "excluded").when(nothing, "failed").otherwise("enriched")).drop("_out")
+    out = shared(out, [f for f in SHARED_FIELDS if f in fields])
+    return out.withColumns({f: F.when(F.col("outcome") == "enriched", F.col(f)) for f in fields})
+
+
 def ready(uploads: DataFrame, required: list[str]) -> DataFrame:
     """Whether the latest attempt of every source succeeded and all required ones have one; the largest id."""
     latest = uploads.groupBy("data_source").agg(F.max_by("status", "id").alias("status"), F.max("id").alias("id"))

@@ -481,13 +481,55 @@ def _enriched(s: SparkSession, d: str) -> DataFrame:
     """Companies of the master, their sides' fields by tier, cleaned, shared and written over what is stored."""
     stored = E.companies(view(s, d, "universe")).selectExpr("isin_number as isin", "exchange", "sector", "industry", "market_cap", "pe")
     new = _tiered(s, d).select("isin", "exchange", *FIELDS)
-    return T.updated(stored, E.shared(new, ["sector", "industry"]), ["isin", "exchange"])
+    return T.updated(stored, E.shared(new, ["market_cap"]), ["isin", "exchange"])
 
 
-add("job5_enriched_master", _enriched, f"""WITH {_tiers_sql}, sh AS (SELECT b.isin, b.exchange, CASE WHEN b.exchange = 'BSE' THEN coalesce(b.sector, a.sector) ELSE b.sector END AS sector, CASE WHEN b.exchange = 'BSE' THEN coalesce(b.industry, a.industry) ELSE b.industry END AS industry, b.market_cap, b.pe FROM tiered b LEFT JOIN tiered a ON a.isin = b.isin AND a.exchange = 'NSE')
+add("job5_enriched_master", _enriched, f"""WITH {_tiers_sql}, sh AS (SELECT b.isin, b.exchange, b.sector, b.industry, CASE WHEN b.exchange = 'BSE' THEN coalesce(b.market_cap, a.market_cap) ELSE b.market_cap END AS market_cap, b.pe FROM tiered b LEFT JOIN tiered a ON a.isin = b.isin AND a.exchange = 'NSE')
 SELECT u.isin_number AS isin, u.exchange, coalesce(sh.sector, u.sector) AS sector, coalesce(sh.industry, u.industry) AS industry, coalesce(sh.market_cap, u.market_cap) AS market_cap, coalesce(sh.pe, u.pe) AS pe FROM universe u LEFT JOIN sh ON sh.isin = u.isin_number AND sh.exchange = u.exchange
 WHERE name_of_company NOT ILIKE '%MUTUAL FUND%' AND name_of_company NOT ILIKE '%ETF%' AND name_of_company NOT ILIKE '%SEGREGATED PORTFOLIO%'""")
 
+_ALL_FIELDS = ["sector", "industry", "market_capitalization", "price_to_earnings_ratio", "debt_to_equity_ratio", "dividend_yield", "earnings_date"]
+_TIER_FIELDS = {
+    "tier1": ["sector", "industry", "market_cap", "pe", "cast(null as double)", "cast(null as double)", "cast(null as date)"],
+    "tier2": ["sector", "industry", "market_cap", "pe", "market_cap / 1000", "cast(null as double)", "case when exchange = 'NSE' then date '2024-01-01' end"],
+    "tier3": ["sector", "industry", "case when exchange = 'NSE' then market_cap end", "pe", "cast(null as double)", "case when exchange = 'NSE' then pe * 40 end", "cast(null as date)"],
+}
+
+
+def _enrichment_run(s: SparkSession, d: str) -> DataFrame:
+    """A whole run into one store: the master's companies, their worklist, fields by tier, audit rows, the master updated and the run's row, all in one commit."""
+    universe, store = view(s, d, "universe"), Committed(s, fresh(s, "master"))
+    store.commit("stored", {"master": universe.selectExpr("isin_number as isin", "exchange", "sector", "industry", "market_cap as market_capitalization", "pe as price_to_earnings_ratio", "cast(null as double) as debt_to_equity_ratio", "cast(null as double) as dividend_yield", "cast(null as date) as earnings_date")})
+    tiers = [view(s, d, t).selectExpr("isin", "exchange", *[f"{x} as {f}" for x, f in zip(v, _ALL_FIELDS)]) for t, v in _TIER_FIELDS.items()]
+    audit = store.staged("audit", E.enriched(E.worklist(E.companies(universe)), tiers, _ALL_FIELDS, view(s, d, "tier1").where("lower(delisted) = 'true'")))
+    audit = s.read.parquet(audit)
+    made = audit.where("outcome = 'enriched'").select("isin", "exchange", *_ALL_FIELDS)
+    store.commit("run", {"audit": audit, "runs": E.outcome(audit), "master": T.updated(store.read("master"), made, ["isin", "exchange"])}, replace=("master",))
+    found = store.read("master").join(store.read("audit").select("isin", "exchange", "outcome", *[f"{f}_tier" for f in _ALL_FIELDS]), ["isin", "exchange"], "left")
+    return found.crossJoin(F.broadcast(store.read("runs")))  # one row
+
+
+def _tier_sql(name: str) -> str:
+    limits = {f: 10.0 ** (p - q) for f, (p, q) in E.LIMITS.items()}
+    columns = [f"CASE WHEN NOT isnan(CAST({x} AS DOUBLE)) AND abs({x}) < {limits[f]:.0e} THEN {x} END AS {f}" if f in limits else f"{x} AS {f}" for x, f in zip(_TIER_FIELDS[name], _ALL_FIELDS)]
+    return f"x{name} AS (SELECT isin, exchange, {', '.join(columns)} FROM {name} )"
+
+
+add(
+    "job5_enrichment_run",
+    _enrichment_run,
+    f"""WITH {", ".join(map(_tier_sql, _TIER_FIELDS))}, w AS (SELECT isin_number AS isin, exchange FROM universe WHERE exchange IN ('NSE', 'BSE') AND symbol IS NOT NULL AND name_of_company NOT ILIKE '%MUTUAL FUND%' AND name_of_company NOT ILIKE '%ETF%' AND name_of_company NOT ILIKE '%SEGREGATED PORTFOLIO%'),
+    f AS (SELECT w.*, {", ".join(f"coalesce(xtier1.{f}, xtier2.{f}, xtier3.{f}) AS {f}, CASE WHEN xtier1.{f} IS NOT NULL THEN 1 WHEN xtier2.{f} IS NOT NULL THEN 2 WHEN xtier3.{f} IS NOT NULL THEN 3 END AS {f}_tier" for f in _ALL_FIELDS)},
+      EXISTS (SELECT 1 FROM tier1 t WHERE t.isin = w.isin AND t.exchange = w.exchange AND lower(delisted) = 'true') AS gone
+      FROM w {" ".join(f"LEFT JOIN x{t} ON x{t}.isin = w.isin AND x{t}.exchange = w.exchange" for t in _TIER_FIELDS)}),
+    o AS (SELECT *, CASE WHEN gone THEN 'excluded' WHEN coalesce({", ".join(f"{f}_tier" for f in _ALL_FIELDS)}) IS NULL THEN 'failed' ELSE 'enriched' END AS outcome FROM f),
+    n AS (SELECT o.isin, o.exchange, {", ".join(f"CASE WHEN o.outcome = 'enriched' THEN {f'CASE WHEN o.exchange = {chr(39)}BSE{chr(39)} THEN coalesce(o.{f}, a.{f}) ELSE o.{f} END' if f in E.SHARED_FIELDS else f'o.{f}'} END AS {f}" for f in _ALL_FIELDS)} FROM o LEFT JOIN o a ON a.isin = o.isin AND a.exchange = 'NSE'),
+    c AS (SELECT count(*) FILTER (outcome = 'enriched') AS enriched, count(*) FILTER (outcome = 'failed') AS failed, count(*) FILTER (outcome = 'excluded') AS excluded FROM o)
+    SELECT u.isin_number AS isin, u.exchange, coalesce(n.sector, u.sector) AS sector, coalesce(n.industry, u.industry) AS industry, coalesce(n.market_capitalization, u.market_cap) AS market_capitalization, coalesce(n.price_to_earnings_ratio, u.pe) AS price_to_earnings_ratio,
+      n.debt_to_equity_ratio, n.dividend_yield, n.earnings_date, o.outcome, {", ".join(f"{f}_tier" for f in _ALL_FIELDS)}, c.*, CASE WHEN failed = 0 THEN 'SUCCESS' WHEN enriched > 0 THEN 'PARTIAL' ELSE 'FAILED' END AS status, round(enriched * 100 / (enriched + failed), 1) AS success_rate
+    FROM universe u LEFT JOIN n ON n.isin = u.isin_number AND n.exchange = u.exchange LEFT JOIN o ON o.isin = u.isin_number AND o.exchange = u.exchange, c""",
+)
+
 # ---- sort, limit, sets, arrays --------------------------------------------------------------------------------------------
 
 over("set2_latest_rows", "uploads", lambda u: u.orderBy(F.col("id").desc()).limit(25), "SELECT * FROM uploads ORDER BY id DESC LIMIT 25")
