@@ -20,8 +20,10 @@ QUERIES = {
     "op13_merkle": manifest.op13_merkle,
 }
 ORACLES = {
+    "op1_suffix_dedup": substrings.BYTES_SQL,
     "op2_near_dedup": minhash.SQL,
     "op5_exact_dedup": exact.SQL,
+    "op7_seed_extend": substrings.WORDS_SQL,
     "op10_source_mix": mixing.SQL,
     "op12_hard_negatives": negatives.SQL,
     "op13_merkle": manifest.SQL,

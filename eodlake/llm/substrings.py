@@ -96,3 +96,31 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seed_extend_dedup(table(spark, sf_dir, "documents"))
+
+
+# bytes as pairs of hex digits; pages only keep DuckDB from scanning a whole text for each of its windows
+BYTES_SQL = r"""
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS b FROM documents),
+pages AS (SELECT doc_id, p, array_slice(b, 2 * p + 1, 2 * p + 1122) AS b FROM (SELECT doc_id, b, unnest(range(0, length(b) // 2, 512)) AS p FROM b)),
+windows AS (SELECT doc_id, p + i AS i, md5(array_slice(b, 2 * i - 1, 2 * i + 98)) AS h FROM (SELECT doc_id, p, b, unnest(range(1, least(512, length(b) // 2 - 49) + 1)) AS i FROM pages)),
+starts AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS least FROM windows) WHERE least < doc_id),
+placed AS (SELECT doc_id, unnest(regexp_extract_all(b, '..')) AS byte, unnest(range(1, length(b) // 2 + 1)) AS i FROM b),
+marked AS (SELECT p.doc_id, p.i, byte, count(s.i) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) > 0 AS gone
+           FROM placed p LEFT JOIN starts s ON p.doc_id = s.doc_id AND p.i = s.i),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM marked),
+kept AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans, string_agg(byte, '' ORDER BY i) FILTER (WHERE NOT gone) AS b FROM runs GROUP BY doc_id)
+SELECT b.doc_id, length(b.b) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.b, ''))) AS kept_sha256
+FROM b LEFT JOIN kept ON b.doc_id = kept.doc_id
+"""
+
+WORDS_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w)),
+starts AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS least FROM windows) WHERE least < doc_id),
+placed AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+marked AS (SELECT p.doc_id, p.i, word, count(s.i) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) > 0 AS gone
+           FROM placed p LEFT JOIN starts s ON p.doc_id = s.doc_id AND p.i = s.i),
+kept AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS text FROM marked GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
