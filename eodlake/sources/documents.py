@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eodlake.functions.columns import first_nonblank, named, parse_date, zero_to_null
-from eodlake.sources.lines import first_lines
+from eodlake.sources.lines import cells, landed
 
 # Column names in the exchanges' action files.
 ACTION_COLUMNS = {"NSE": ("SYMBOL", "PURPOSE", "EX-DATE"), "BSE": ("Security Code", "Purpose", "Ex Date")}
@@ -21,17 +22,16 @@ def action_rows(rows: DataFrame, exchange: str) -> DataFrame:
 
 
 def action_csv(spark: SparkSession, path: str, exchange: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of an exchange's action files, and the files that are empty, markup or JSON instead."""
-    first = first_lines(spark, path)
-    bad = F.col("shown").isNull() | F.substring(F.ltrim("shown"), 1, 1).isin("<", "{", "[")
-    good = [r.file for r in first.where(~bad).select("file").collect()]  # a landing folder's file names
-    rejects = first.where(bad).select("file")
-    if not good:
-        names = ", ".join(f"`{c}` string" for c in ACTION_COLUMNS[exchange])
-        return action_rows(spark.createDataFrame([], names), exchange), rejects
-    rows = spark.read.csv(good, header=True)  # fixed layout: an exchange's files have the same header
-    rows = rows.toDF(*[c.replace("﻿", "").strip() for c in rows.columns])
-    return action_rows(rows, exchange), rejects
+    """Rows of an exchange's action files, and the files that are empty, markup or JSON instead (file).
+
+    A file's lines meet in one task; its header is its first line that isn't blank, and files may differ in the order and number of columns.
+    """
+    w = W.partitionBy("file")
+    told = F.trim(F.regexp_replace("value", "^\\ufeff", "")) != ""
+    lines = landed(spark, path).withColumns({"first": F.min("at").over(w), "head": F.min(F.when(told, F.struct("at", F.regexp_replace("value", "^\\ufeff", "").alias("value")))).over(w)})
+    bad = F.col("head").isNull() | F.substring(F.ltrim("head.value"), 1, 1).isin("<", "{", "[")
+    body = lines.where(~bad & (F.col("at") > F.col("head.at")) & told).select("value", F.col("head.value").alias("header"))
+    return action_rows(cells(body, list(ACTION_COLUMNS[exchange])), exchange), lines.where(bad & (F.col("at") == F.col("first"))).select("file")
 
 
 ACTION_JSON = "isin string, symbol string, subject string, exDate string, scrip_code string, short_name string, Purpose string, Ex_date string"

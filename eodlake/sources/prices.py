@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eodlake.functions.columns import named, parse_date, parse_decimal, parse_int, percent_change
-from eodlake.sources.lines import first_lines
+from eodlake.sources.lines import cells, first_lines, landed
 
 # Column names of the three layouts (v1: first exchange before 2024, v3: second before 2024, v2: both since).
 V1 = {"symbol": "SYMBOL", "series": "SERIES", "isin": "ISIN", "open": "OPEN", "high": "HIGH", "low": "LOW", "close": "CLOSE", "last": "LAST", "prev_close": "PREVCLOSE", "tot_trd_val": "TOTTRDVAL", "tot_trd_qty": "TOTTRDQTY", "total_trades": "TOTALTRADES", "trade_date": "TIMESTAMP"}
@@ -60,10 +60,6 @@ def headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return first_lines(spark, paths).select("file", "header").withColumn("layout", layout_of(F.col("header")))
 
 
-#: Columns of a landed line at most.
-WIDTH = 64
-
-
 def from_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of all layouts and the files that are none (file), from lines (file, at, value) in one read, also of a stream's batch.
 
@@ -74,24 +70,15 @@ def from_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     head = F.first(F.regexp_replace("value", "^\\ufeff", "")).over(w)
     placed = lines.withColumns({"header": head, "line": F.row_number().over(w) - 1}).withColumn("layout", layout_of(F.col("header")))
     rejects = placed.where("layout is null and line = 0").select("file")
-    schema = ", ".join(f"_{i} string" for i in range(WIDTH))
-    cells = F.from_csv("value", F.lit(schema), {"mode": "PERMISSIVE"})
-    names = F.transform(F.split(F.regexp_replace("header", '"', ""), ","), lambda n: F.lower(F.trim(n)))
-    body = placed.where("layout is not null and line > 0 and trim(value) <> ''").withColumns({"names": names, "cells": cells})
-    body = body.withColumn("cells", F.array(*[F.col(f"cells._{i}") for i in range(WIDTH)]))
     known = sorted({n for layout in LAYOUTS.values() for n in layout.values()} | {"Src"})
-    # the first column of a name counts, as a header may repeat one
-    at = lambda n: F.array_position("names", n.lower())
-    cell = lambda n: F.when(at(n) > 0, F.try_element_at("cells", at(n).cast("int"))).alias(n)
-    body = body.select("file", "line", "layout", *map(cell, known))
+    body = cells(placed.where("layout is not null and line > 0 and trim(value) <> ''"), known, "file", "line", "layout")
     parts = [project(body.where(F.col("layout") == x).drop("layout"), x) for x in LAYOUTS]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]), rejects
 
 
 def scan(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows of all price files with their file and line, and the files that are none (file). Lines of a split are numbered as they are read, so (start of the split, number) grows along a file."""
-    at = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
-    return from_lines(spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), at.alias("at"), "value"))
+    """Rows of all price files with their file and line, and the files that are none (file)."""
+    return from_lines(landed(spark, paths))
 
 
 def first_in_file(rows: DataFrame) -> DataFrame:

@@ -103,6 +103,14 @@ def test_first_lines(spark, tmp_path):
     assert rows.count() == 1 and {r.file.rsplit("/", 1)[1] for r in rejects.collect()} == {"b.csv", "c.csv"}
 
 
+def test_action_files_of_other_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\n"Ex Date","Purpose","Security Code"\n05 Jan 2024,"Bonus, 1:1",500\n\n')
+    (tmp_path / "b.csv").write_text("\ufeffSecurity Code ,x,EX DATE\n501,y,06 Jan 2024\n502\n")
+    rows, rejects = D.action_csv(spark, str(tmp_path), "BSE")
+    got = sorted((r.code, r.subject, str(r.ex_date)) for r in rows.collect())
+    assert got == [("500", "Bonus, 1:1", "2024-01-05"), ("501", None, "2024-01-06"), ("502", None, "None")] and rejects.count() == 0
+
+
 def test_files_of_many_splits(spark, tmp_path):
     (tmp_path / "NSE-BC-14-DEC-2023.csv").write_text(V1 + "".join(f"S{i},EQ,1,2,1,12.5,1,12,{i},9,14-DEC-2023,3,INE{i},\n" for i in range(3000)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
