@@ -182,3 +182,33 @@ def test_gate_runs_once_for_each_newest_attempt(spark, tmp_path):
     # a batch that comes again: from an empty checkpoint all come as batch 0, which is done
     finish(J.gated(spark.readStream.schema(J.UPLOADS).parquet(str(tmp_path / "in")), ["a", "b"], store, work, str(tmp_path / "again" / "state")))
     assert len(runs) == 2 and store.read("log").count() == 5
+
+
+def test_compaction_keeps_rows_and_what_comes_meanwhile(spark, tmp_path, monkeypatch):
+    store, other = store_of(spark, tmp_path), store_of(spark, tmp_path)
+    rows = spark.range(2).toDF("x")
+    for k in range(5):
+        store.commit(f"b{k}", {"rows": rows.withColumn("x", rows.x + 10 * k), "loads": rows})
+    assert not store.compacted("rows", 5) and not store.compacted("none")
+    first = store._published
+
+    def later(manifest):
+        monkeypatch.setattr(store, "_published", first)
+        assert other.commit("theirs", {"rows": rows.withColumn("x", rows.x + 100)})
+        return first(manifest)
+
+    monkeypatch.setattr(store, "_published", later)
+    assert store.compacted("rows", 2)
+    want = sorted([10 * k + i for k in range(5) for i in range(2)] + [100, 101])
+    assert sorted(r.x for r in store.read("rows").collect()) == want and store.read("loads").count() == 10
+    assert len(store.manifest()["tables"]["rows"]["folders"]) == 2 and not store.commit("b0", {"rows": rows})
+    assert store.swept() == 5 and len(store._versions()) == 2
+    assert sorted(r.x for r in store.read("rows").collect()) == want
+
+    def replaced(manifest):
+        monkeypatch.setattr(store, "_published", first)
+        assert other.commit("anew", {"rows": rows}, replace=("rows",))
+        return first(manifest)
+
+    monkeypatch.setattr(store, "_published", replaced)
+    assert not store.compacted("rows", 1) and sorted(r.x for r in store.read("rows").collect()) == [0, 1]
