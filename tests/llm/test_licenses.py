@@ -1,7 +1,10 @@
+import os
 import re
 from collections import Counter
 from math import isclose, log, sqrt
 
+import pytest
+
 from eodlake.llm import licenses
 from tests.llm.fixtures import SCHEMA
 
@@ -46,11 +49,14 @@ def brute(files):
         runs = {(max(i - j, 0), min(i - j + len(tw), len(ws)), k) for k, (_, tw, _) in enumerate(templates) if len(tw) >= licenses.LONG for j, w in enumerate(tw) if w in marks[k] for i, x in enumerate(ws) if x == w}
         best, stated = (-1, 0.0, 0), set()
         lines = {}
-        for a, z, k in spans:  # a line counts for its closest template
-            lines[a, z] = max(lines.get((a, z), (0.0, 0)), (cosine(vector(ws[a:z]), templates[k][2]), -k))
+        says = lambda a, z, k: licenses.holds(k, " ".join(ws[a:z]), " ".join(ws[max(a - 3, 0) : a]))
+        for a, z, k in spans:  # a line counts for its closest template of those whose license it names
+            s = cosine(vector(ws[a:z]), templates[k][2])
+            if s >= licenses.CLOSE - 1e-12 and says(a, z, k):
+                lines[a, z] = max(lines.get((a, z), (0.0, 0)), (s, -k))
         for a, z, k in {(a, z, -k) for (a, z), (_, k) in lines.items()} | runs:
             s = cosine(vector(ws[a:z]), templates[k][2])
-            if s >= licenses.CLOSE - 1e-12:
+            if s >= licenses.CLOSE - 1e-12 and says(a, z, k):
                 stated |= set(range(a, z))
                 best = max(best, (round(len(templates[k][1]) * (s - licenses.CLOSE), 9), s, -k))
         best = (templates[-best[2]][0], best[1]) if best[1] else (None, 0.0)
@@ -123,6 +129,44 @@ def test_wrapped_headers_and_whole_licences(spark):
         assert got[k] == (name, True) and got[100 + k] == (name, True) and got[200 + k] == (name, False), name
 
 
+TEXTS = "/usr/share/common-licenses"
+NAMES = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
+
+
+@pytest.mark.skipif(not os.path.isdir(TEXTS), reason="needs the license texts of a Debian system")
+def test_full_texts_by_name_and_their_directories(spark):
+    files, want = [], {}
+    for k, (file, name) in enumerate((f, n) for f, n in NAMES.items() if os.path.exists(f"{TEXTS}/{f}")):
+        text = open(f"{TEXTS}/{file}", encoding="utf-8").read()
+        files += [(2 * k, f"{file}/LICENSE", text), (2 * k + 1, f"{file}/src/x.py", "Some words of prose that state nothing")]
+        want |= {2 * k: (name, True), 2 * k + 1: (name, False)}
+    got = {r.doc_id: (r.license, r.own) for r in licenses.license_scan(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()}
+    assert got == want
+
+
+def test_versions_and_denials(spark):
+    gnu = licenses._GNU
+    cases = [
+        (gnu.format(name="General Public License", version=1), "GPL-1.0"),
+        (gnu.format(name="General Public License", version=2), "GPL-2.0"),
+        (gnu.format(name="General Public License", version=4), None),
+        (gnu.format(name="Lesser General Public License", version="2.1"), "LGPL-2.1"),
+        (gnu.format(name="Library General Public License", version=2), "LGPL-2.0"),
+        ("Licensed under the Apache License, Version 2.0", "Apache-2.0"),
+        ("Licensed under the Apache License, Version 1.1", None),
+        ("Not licensed under the Apache License, Version 2.0", None),
+        ("This file is not\nlicensed under the Apache License, Version 2.0", None),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("Licensed under CC BY-NC-SA 4.0", None),
+        ("SPDX-License-Identifier: MPL-1.1", "MPL-1.1"),
+        ("SPDX-License-Identifier: BSD-4-Clause", None),
+        ("SPDX-License-Identifier: LGPL-2.1-only", "LGPL-2.1-only"),
+    ]
+    df = spark.createDataFrame([(k, f"d{k}/x.py", f"# {t}\n{'some words of prose that say nothing' * 3}") for k, (t, _) in enumerate(cases)], "doc_id long, path string, text string")
+    got = {r.doc_id: r.license for r in licenses.license_scan(df).collect()}
+    assert [(t, got[k]) for k, (t, _) in enumerate(cases)] == cases
+
+
 def test_given_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     files = [(r.doc_id, f"{r.source}/{r.lang}/{r.doc_id}", r.text) for r in docs.collect()]
