@@ -274,7 +274,7 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             back("component_id").alias("component_id"),
             (F.col("did") == F.col("component_id")).alias("kept"),
             "th",
-            F.coalesce((F.col("did") == F.col("first.did")) & F.col("th").eqNullSafe(F.col("first.th")), F.lit(True)).alias("stays"),
+            (F.col("first").isNull() | ((F.col("did") == F.col("first.did")) & F.col("th").eqNullSafe(F.col("first.th")))).alias("stays"),
         )
     )
 
