@@ -4,7 +4,7 @@ import re
 
 import corpus_pipeline
 from eodlake.llm import mixing, quality
-from tests.llm.fixtures import WORD
+from tests.llm.fixtures import SCHEMA, WORD, frame, key, rows
 from tests.llm.test_minhash import brute
 
 FOLDER = "/root/testdata/sf0.001"
@@ -50,3 +50,30 @@ def test_stages(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
+
+
+def test_stages_on_awkward_rows(spark):
+    """Nulls, empty and very long texts, repeated rows, clashing names: what each stage keeps are rows of its input, whole."""
+    docs = frame(spark)
+    whole = [(r.doc_id, r.text) for r in docs.collect()]
+    out = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, FOLDER)
+        assert kept.columns == docs.columns
+        out[name] = [(r.doc_id, r.text) for r in kept.collect()]
+        assert set(out[name]) <= set(whole), name
+    # equal texts stay or go together
+    assert not {t or "" for _, t in out["quality"]} & {t or "" for _, t in set(whole) - set(out["quality"])}
+    first = {}
+    for d, t in sorted(whole, key=lambda x: key(x[0])):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), d)
+    assert sorted((key(d), re.sub(r"[\x20\x09-\x0D]+", " ", t or "")) for d, t in out["exact"]) == sorted((key(d), t) for t, d in first.items())
+    assert {d for d, t in whole if not (t or "").strip(" \t\n")} <= {d for d, _ in out["near"]}
+    packed = corpus_pipeline.packing(spark, docs, FOLDER).toPandas()
+    assert sum(packed.doc_tokens[packed.start == 0]) == packed.length.sum() and (packed.start == 0).sum() == len(rows())
+
+
+def test_stages_on_an_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, FOLDER).count() == 0, name
