@@ -22,7 +22,9 @@ def normalised(t):
     return re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
 
 
-def test_exact(spark):
+@pytest.mark.parametrize("each", [exact.PART_BYTES, 500])
+def test_exact(spark, monkeypatch, each):
+    monkeypatch.setattr(exact, "PART_BYTES", each)  # few bytes: groups lie across the edges of many ranges
     groups = defaultdict(list)
     for d, t, *_ in rows():
         groups[normalised(t)].append(d)
@@ -37,12 +39,21 @@ def test_exact(spark):
     assert exact.exact_dedup(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_one_group_over_many_partitions(spark):
+@pytest.mark.parametrize("each", [exact.PART_BYTES, 100])
+def test_one_group_over_many_partitions(spark, monkeypatch, each):
+    monkeypatch.setattr(exact, "PART_BYTES", each)
     data = [(i, "the same text", "en", "s", 1) for i in range(500)] + [(1000 + i, f"other {i}", "en", "s", 1) for i in range(20)]
     got = exact.exact_dedup(frame(spark, data)).collect()
     assert {(r.keep_id, r.group_size) for r in got if r.doc_id < 500} == {(0, 500)} and [r.doc_id for r in got if r.kept and r.doc_id < 500] == [0]
 
 
+def test_exact_with_one_beginning(spark, monkeypatch):
+    monkeypatch.setattr(exact, "PART_BYTES", 2000)
+    data = [(i, "the same beginning of them all, and then " + "x" * (i % 40), "en", "s", 1) for i in range(200)]
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact.exact_dedup(frame(spark, data)).collect()}
+    assert got == {i: (i % 40, 5, i < 40) for i in range(200)}
+
+
 def test_mix(spark):
     got = mixing.mix(frame(spark), rows_per_range=7).toPandas()
     assert len(got) == len(rows()) and (got.taken <= 2 * got["size"]).all()
