@@ -89,7 +89,10 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
 
 
 def bucketed(df: DataFrame, key: str, n: int, tag: str) -> DataFrame:
-    """``saved``, dealt by ``key`` into ``n`` buckets, so that joins on the key need not shuffle it again."""
+    """``saved``, dealt by ``key`` into ``n`` buckets, so that joins on the key need not shuffle it again.
+
+    Spark writes buckets to named tables only; the name leaves the catalog at once, the files when the driver's JVM ends.
+    """
     spark = small_batches(df.sparkSession)
     name = f"eodlake_{tag}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/{name}"
@@ -98,7 +101,9 @@ def bucketed(df: DataFrame, key: str, n: int, tag: str) -> DataFrame:
         df.repartition(n, key).write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, key).saveAsTable(name)
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.table(name)
+    found = spark.table(name)  # holds the files and their buckets
+    spark.sql(f"DROP TABLE {name}")  # an external table: the files stay
+    return found
 
 
 def dropped(df: DataFrame) -> None:

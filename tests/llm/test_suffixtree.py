@@ -6,7 +6,7 @@ from math import isclose, log, log10
 
 import numpy as np
 
-from eodlake.llm import suffixtree
+from eodlake.llm import common, suffixtree
 from tests.llm.fixtures import SCHEMA, WORD, frame, key, rows
 
 
@@ -175,3 +175,12 @@ def test_rare_contexts_stay_in_a_large_corpus(spark):
     data = [(train[0], "x c y z c w " * 10, "en", "s", 1), (train[1], " ".join(random.Random(1).choices(VOCABULARY, k=200_000)), "en", "s", 1), (a, "x c y common1", "en", "s", 1), (b, "x c w common1", "en", "s", 1)]
     got = {r.doc_id: r for r in suffixtree.lm_scores(spark.createDataFrame(data, SCHEMA)).collect()}
     assert got[a].score > got[b].score + 0.5
+
+
+def test_buckets_leave_no_name_in_the_catalog(spark):
+    before = spark.catalog.listTables()
+    dealt = common.bucketed(spark.range(200).selectExpr("id % 20 AS k", "id"), "k", 4, "test")
+    assert spark.catalog.listTables() == before
+    assert {(r.k, r["count"]) for r in dealt.groupBy("k").count().collect()} == {(k, 10) for k in range(20)}
+    plan = dealt.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
