@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,12 +28,20 @@ def named(df: DataFrame, *candidates: str) -> Column:
     return first_nonblank(*found) if found else F.lit(None).cast("string")
 
 
+def _shape(fmt: str) -> str:
+    """A pattern of all texts that a date format can fit: the others need no attempt, and a failed one costs an exception."""
+    part = {"MMM": "[^0-9]+", "yy": "[0-9]{2}", "yyyy": "[+-]?[0-9]{4,}"}
+    if "yyyyMMdd" in fmt:
+        return "^[+-]?[0-9]+$"
+    return "^" + re.sub("[A-Za-z]+", lambda m: part.get(m[0], "[+-]?[0-9]+"), fmt) + "$"
+
+
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """The first format that fits wins. Two-digit years above 68 belong to the last century."""
     c = blank_to_null(c)
     tries = []
     for f in formats:
-        d = F.try_to_date(c, f)
+        d = F.when(c.rlike(_shape(f)), F.try_to_date(c, f))
         tries.append(F.when(F.year(d) > 2068, F.add_months(d, -1200)).otherwise(d) if f.endswith("-yy") else d)
     return F.coalesce(*tries)
 

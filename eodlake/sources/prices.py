@@ -25,11 +25,11 @@ def layout_of(header: Column) -> Column:
     return F.when(has("TradDt") & has("Src"), "v2").when(has("TradDt"), "v3").when(has("SYMBOL") & has("TIMESTAMP"), "v1")
 
 
-def project(rows: DataFrame, layout: str) -> DataFrame:
-    """Rows of one layout, all columns strings, in the common schema."""
-    names = LAYOUTS[layout]
-    exchange = named(rows, "Src") if layout == "v2" else F.lit({"v1": "NSE", "v3": "BSE"}[layout])
-    pick = lambda c: named(rows, names[c])
+def project(rows: DataFrame, layout: Column) -> DataFrame:
+    """Rows of all layouts, all columns strings, in the common schema; ``layout`` is each row's."""
+    first = layout == "v1"
+    exchange = F.when(first, "NSE").when(layout == "v3", "BSE").otherwise(named(rows, "Src"))
+    pick = lambda c: F.when(first, named(rows, V1[c])).otherwise(named(rows, V2[c]))
     close, prev = parse_decimal(pick("close")), parse_decimal(pick("prev_close"))
     extra = [c for c in ("file", "line") if c in rows.columns]
     return rows.select(
@@ -61,19 +61,17 @@ def headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def from_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of all layouts and the files that are none (file), from lines (file, at, value) in one read, also of a stream's batch.
+    """Rows of all layouts and the files that are none (file), from lines (file, at, value), also of a stream's batch.
 
-    A file's lines meet in one task, which its header needs and its order gives: a daily file has a few thousand. Each line is parsed by position and then
-    taken by the names of its own file's header, so layouts and column orders may be mixed freely, and no name goes through the driver.
+    The first line of each file is found by one aggregation and joined to the others, so a file's lines stay dealt as they were read, however many they are.
+    Each line is parsed by position and then taken by the names of its own file's header, so layouts and column orders may be mixed freely, and no name goes
+    through the driver. ``line`` grows along a file.
     """
-    w = W.partitionBy("file").orderBy("at")
-    head = F.first(F.regexp_replace("value", "^\\ufeff", "")).over(w)
-    placed = lines.withColumns({"header": head, "line": F.row_number().over(w) - 1}).withColumn("layout", layout_of(F.col("header")))
-    rejects = placed.where("layout is null and line = 0").select("file")
+    heads = lines.groupBy(F.col("file").alias("_file")).agg(F.min(F.struct("at", F.regexp_replace("value", "^\\ufeff", "").alias("header"))).alias("head"))
+    heads = heads.select("_file", F.col("head.at").alias("_at"), F.col("head.header").alias("header"), layout_of(F.col("head.header")).alias("layout"))
     known = sorted({n for layout in LAYOUTS.values() for n in layout.values()} | {"Src"})
-    body = cells(placed.where("layout is not null and line > 0 and trim(value) <> ''"), known, "file", "line", "layout")
-    parts = [project(body.where(F.col("layout") == x).drop("layout"), x) for x in LAYOUTS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]), rejects
+    placed = lines.join(heads.where("layout is not null"), (F.col("file") == F.col("_file")) & (F.col("at") > F.col("_at")) & (F.trim("value") != "")).withColumn("line", F.col("at"))
+    return project(cells(placed, known, "file", "line", "layout"), F.col("layout")), heads.where("layout is null").select(F.col("_file").alias("file"))
 
 
 def scan(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:

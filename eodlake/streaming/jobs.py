@@ -35,8 +35,8 @@ def landed_lines(source: DataFrame) -> DataFrame:
 def ingested(lines: DataFrame, store: Committed, batch: str) -> dict[str, int]:
     """Price files into the tables ``prices`` and ``loads`` of ``store``, rows and load records together; what was read, left out and written.
 
-    Files are read once: parsed rows are staged with what is wrong with each (a day that isn't the file's, a key seen before in the file, a day that has been loaded),
-    the counts are observed while that is written, and everything else reads the staged rows. A file with a wrong day fails as a whole; a day and exchange
+    Files are parsed once: rows are staged with what is wrong with each (a day that isn't the file's, a key seen before in the file), summed up to a row a file, and
+    everything else reads these two; no file's rows have to meet in one task. A file with a wrong day fails as a whole; a day and exchange
     that loaded before is skipped; a batch that has been committed before changes nothing.
     """
     spark = lines.sparkSession
@@ -46,26 +46,26 @@ def ingested(lines: DataFrame, store: Committed, batch: str) -> dict[str, int]:
     # the lines of a split are numbered as they are read, so (start of the split, number) grows along a file
     rows, rejects = P.from_lines(lines.withColumn("at", F.struct("start", F.monotonically_increasing_id().alias("n"))).drop("start"))
     exchange, day = P.file_facts(F.col("file"))
-    by_file = W.partitionBy("file")
     wrong = ~(F.col("trade_date").eqNullSafe(day) & F.col("exchange").eqNullSafe(exchange))
-    rows = rows.withColumns({"misdated": F.max(wrong).over(by_file), "nth": F.row_number().over(W.partitionBy("file", *[F.coalesce(c, F.lit("")) for c in ("isin", "symbol", "series")]).orderBy("line"))})
-    loaded = store.read("loads", METADATA).where("upload_status = 'SUCCESS'").select(F.col("trade_date").alias("_day"), F.col("exchange").alias("_x"), F.lit(True).alias("loaded")).distinct()
-    rows = rows.join(loaded, (day == F.col("_day")) & (exchange == F.col("_x")), "left").withColumn("loaded", F.coalesce("loaded", F.lit(False)))
-    kind = F.when(F.col("loaded"), "skipped").when(F.col("misdated"), "misdated").when(F.col("nth") > 1, "duplicate").otherwise("written")
-    rows = rows.withColumn("fate", kind).drop("_day", "_x", "loaded", "misdated", "nth", "line")
-    seen = Observation()
-    watched = rows.observe(seen, F.count("*").alias("read"), *[F.count_if(F.col("fate") == x).alias(x) for x in ("duplicate", "misdated", "skipped", "written")])
+    keys = [F.coalesce(c, F.lit("")) for c in ("isin", "symbol", "series")]
+    rows = rows.withColumns({"wrong": wrong, "nth": F.row_number().over(W.partitionBy("file", *keys).orderBy("line"))}).drop("line")
     staged = fresh(spark, "parsed")
-    watched.write.parquet(staged)
-    counts |= seen.get
+    rows.write.parquet(staged)
     parsed = spark.read.schema(rows.schema).parquet(staged)
-    files = parsed.groupBy("file").agg(F.count_if(F.col("fate") == "written").alias("n"), F.bool_or(F.col("fate") == "misdated").alias("bad"), F.bool_or(F.col("fate") == "skipped").alias("known"))
+    loaded = store.read("loads", METADATA).where("upload_status = 'SUCCESS'").select(F.col("trade_date").alias("_day"), F.col("exchange").alias("_x"), F.lit(True).alias("known")).distinct()
+    files = parsed.groupBy("file").agg(F.count("*").alias("read"), F.count_if(F.col("nth") == 1).alias("n"), F.bool_or("wrong").alias("bad"))
+    files = files.join(loaded, (day == F.col("_day")) & (exchange == F.col("_x")), "left").select("file", "read", "n", "bad", F.coalesce("known", F.lit(False)).alias("known"))
+    summed = store.spark.read.schema(files.schema).parquet(store.staged("files", files))  # a row a file
+    total = lambda c, which: F.coalesce(F.sum(F.when(F.expr(which), F.expr(c))), F.lit(0))
+    fine = "not known and not bad"
+    counts |= summed.agg(total("read", "true").alias("read"), total("read - n", fine).alias("duplicate"), total("read", "not known and bad").alias("misdated"), total("read", "known").alias("skipped"), total("n", fine).alias("written")).first().asDict()
+    written = parsed.where("nth = 1").join(summed.where(fine), "file", "left_semi").drop("wrong", "nth")
     failed = F.when(F.col("bad"), "trade date of a row is not the file's")
-    loads = files.where("not known").select(day.alias("trade_date"), exchange.alias("exchange"), "file", F.col("n").alias("total_stocks"), F.when(F.col("bad"), "FAILED").otherwise("SUCCESS").alias("upload_status"), failed.alias("error_message"))
+    loads = summed.where("not known").select(day.alias("trade_date"), exchange.alias("exchange"), "file", F.when(F.col("bad"), 0).otherwise(F.col("n")).cast("long").alias("total_stocks"), F.when(F.col("bad"), "FAILED").otherwise("SUCCESS").alias("upload_status"), failed.alias("error_message"))
     unread = rejects.select(day.alias("trade_date"), exchange.alias("exchange"), "file", F.lit(0).cast("long").alias("total_stocks"), F.lit("FAILED").alias("upload_status"), F.lit("no price file").alias("error_message"))
     loads_seen = Observation()
     loads = loads.unionByName(unread).observe(loads_seen, F.count("*").alias("files"))
-    store.commit(batch, {"prices": parsed.where("fate = 'written'").drop("fate"), "loads": loads})
+    store.commit(batch, {"prices": written.select([c for c in rows.columns if c not in ("wrong", "nth")]), "loads": loads})
     return counts | {"files": loads_seen.get["files"]}
 
 

@@ -41,3 +41,13 @@ def test_products_of_factors_are_not_off_at_a_rounding_edge(spark):
     """0.5 x 0.333333 = 0.1666665: by logarithms it falls below the edge."""
     folder = "/root/testdata/sf0.01"
     same(queries.QUERIES["agg4_product"](spark, folder), connect(folder), queries.ORACLES["agg4_product"])
+
+
+def test_a_price_file_is_not_gathered_in_one_task(spark, tmp_path):
+    """No window over a whole file in the plan: rows stay dealt as they were read."""
+    from eodlake.sources import prices as P
+
+    (tmp_path / "a.csv").write_text("SYMBOL,ISIN,CLOSE,TIMESTAMP\n" + "".join(f"P{i},S{i},{i}.5,05-Jan-2024\n" for i in range(500)))
+    rows, _ = P.scan(spark, str(tmp_path))
+    assert "Window" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.count() == 500 and rows.where("close = 499.5 and trade_date = date'2024-01-05' and exchange = 'NSE'").count() == 1
