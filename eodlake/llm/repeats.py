@@ -37,6 +37,8 @@ FLUSH_RUNS, FLUSH_DOCS, BLOCK = 250_000, 60_000, 1 << 18
 HEAVY, MOST_HEAVY, LOCALLY = 20_000, 100_000, 32
 #: Places in a block, at least 2 * BLOCK: they fill the low bits of an anchor.
 SPOT = 1 << 20
+#: An odd factor that spreads anchors: they are minima, so most are small, and ranges of them as they are hold up to 17 times the mean.
+SPREAD = U64(0x9E3779B97F4A7C15)
 #: Kinds of open runs: another document has the half before the anchor, or the one after it (or both).
 BEFORE, AFTER = 1, 2
 FOUND = "did long, tag int, kind int, runs binary"
@@ -268,6 +270,7 @@ def mapper(symbols: Symbols, win: int, parts: int, heavy: np.ndarray) -> Callabl
         again = did[doc[o]] > least
         dup, o = o[again], o[~again]
         rows = own_repeats(did[doc[dup]], tag[doc[dup]], lo[dup], n[dup], parts)
+        anchor *= SPREAD
         o = o[np.argsort(anchor[o], kind="stable")]
         for a, b in slices(part_of(anchor[o], parts)):
             i = o[a:b]
@@ -310,15 +313,17 @@ def unpack(pdf: pd.DataFrame, packed: Packed) -> dict[str, np.ndarray]:
     found = []
     for n, n_docs, docs, runs in zip(pdf["n"].abs(), pdf["n_docs"], pdf["docs"], pdf["runs"]):
         x, d = packed.unpack(runs, n), DOCS.unpack(docs, n_docs)
-        found.append(x | {"did": d["did"][x["doc"]], "tag": d["tag"][x["doc"]]})
-    return {k: np.concatenate([x[k] for x in found]) for k in found[0]}
+        doc = x.pop("doc")
+        found.append(x | {"did": d["did"][doc], "tag": d["tag"][doc]})
+    return {k: np.concatenate([x.pop(k) for x in found]) for k in list(found[0])}
 
 
 def reduce_runs(pdf: pd.DataFrame) -> list[tuple]:
     """Of one anchor range: starts that are repeats (kind 0) and runs that stay open on some side of their anchor."""
     x = unpack(pdf, RUNS)
     o = np.lexsort((x["did"], x["cls"], x["anchor"]))
-    x = {k: v[o] for k, v in x.items()}
+    for k in x:
+        x[k] = x[k][o]
     new_anchor = np.ones(len(o), bool)
     new_anchor[1:] = x["anchor"][1:] != x["anchor"][:-1]
     new_class = new_anchor.copy()

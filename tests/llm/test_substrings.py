@@ -1,5 +1,7 @@
 import hashlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from eodlake.llm import repeats, substrings
@@ -61,3 +63,14 @@ def test_given_table(spark):
     assert order(got) == order(brute(data, lambda b: [b[i : i + 1] for i in range(len(b))], b"".join, 50))
     got = [tuple(r) for r in substrings.seed_extend_dedup(docs).collect()]
     assert order(got) == order([(d, n, k, h) for d, n, k, _, h in brute(data, WORD.findall, b" ".join, 50)])
+
+
+def test_hash_ranges_hold_about_the_same(spark):
+    """Anchors are minima of hashes; dealt as they are, the first range held 17 times the mean."""
+    r = np.random.default_rng(1)
+    texts = [bytes(r.integers(97, 123, 20_000, dtype=np.uint8)).decode() for _ in range(20)]
+    sent = pa.RecordBatch.from_pydict({"did": list(range(20)), "tag": pa.array([0] * 20, pa.int32()), "text": texts})
+    held = np.zeros(64, int)
+    for batch in repeats.mapper(substrings.bytes_of, 50, 64, np.empty(0, np.uint64))([sent]):
+        np.add.at(held, batch.column("part").to_numpy(), batch.column("n").to_numpy())
+    assert held.sum() > 15_000 and held.max() < 2 * held.mean()
