@@ -143,6 +143,16 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def keep_freed(most: int = 256 << 20) -> None:
+    """Have this process use freed memory again, up to ``most`` bytes, until ``give_back``: arrays of megabytes otherwise come as new pages each time."""
+    import ctypes
+
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, most)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, most)  # M_TRIM_THRESHOLD
+
+
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """A 64-bit hash of pairs of 64-bit numbers."""
     x = a * _C1

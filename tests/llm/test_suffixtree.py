@@ -5,6 +5,7 @@ from functools import cache
 from math import isclose, log, log10
 
 import numpy as np
+import pandas as pd
 
 from eodlake.llm import common, suffixtree
 from tests.llm.fixtures import SCHEMA, WORD, frame, key, rows
@@ -184,3 +185,23 @@ def test_buckets_leave_no_name_in_the_catalog(spark):
     assert {(r.k, r["count"]) for r in dealt.groupBy("k").count().collect()} == {(k, 10) for k in range(20)}
     plan = dealt.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_a_walk_sums_up_only_what_it_sends():
+    """A round goes over the answered ones again; what those sent was summed up once more each time."""
+    words = [b"one", b"two", b"three"]
+    n = np.array([4, 3], np.int64)
+    row = {"block": 0, "doc_id": np.array([1, 2], np.int64).tobytes(), "held": np.zeros(2, bool).tobytes(), "n_words": n.tobytes(), "word": suffixtree.NUMBERS.pack(x=np.array([0, 1, 0, 1, 0, 1, 2], np.uint32)), "letters": b"".join(words), "lengths": np.array([len(w) for w in words], np.uint32).tobytes(), "answers": []}
+    kinds = tokens = 0
+    for k in range(suffixtree.ROUNDS):
+        for i, (form, key, sums) in enumerate(suffixtree.walked(suffixtree.Block(row), k, tokens, kinds)):
+            assert callable(sums)
+            found = sums()
+            assert {len(x) for x in found.values()} == {len(key)}
+            sent = pd.DataFrame([(0, 2 * k + i, 0, len(key), suffixtree.squeezed(form, {"key": key} | found))], columns=["block", "question", "part", "n", "sent"])
+            back = suffixtree.reply(sent).iloc[0]
+            if 2 * k + i == 0:
+                kinds, tokens = int(back.kinds), int(back.tokens)
+            row["answers"] = [*row["answers"], {"question": 2 * k + i, "part": 0, "n": len(key), "reply": back.reply}]
+    total, chance = suffixtree.walked(suffixtree.Block(row), suffixtree.ROUNDS, tokens, kinds)
+    assert (tokens, kinds, len(chance)) == (9, 4, 9) and total.tolist() == [3, 3, 1, 2] and (0 < chance).all() and (chance < 1).all()
