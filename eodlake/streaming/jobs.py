@@ -123,7 +123,9 @@ def late(loads: DataFrame, store: Committed) -> DataFrame:
 
 
 RSI_ROWS = "isin string, exchange string, trade_date date, session_no long, avg_gain double, avg_loss double, rsi14 double, late boolean"
-VALUES = R.STATE.split(", ", 2)[2]
+INSTRUMENT, VALUES = ", ".join(R.STATE.split(", ", 2)[:2]), R.STATE.split(", ", 2)[2]
+#: Groups that a stream's instruments are dealt over, if its caller does not know their number.
+GROUPS = 256
 
 
 def smoothed(x: np.ndarray, start: float) -> np.ndarray:
@@ -171,49 +173,65 @@ def walked(state: tuple | None, session: np.ndarray, changes: np.ndarray, gap: i
 
 
 class Instruments(StatefulProcessor):
-    """One state value an instrument (``VALUES``), set up from a batch workbook and moved on by each batch's rows."""
+    """States (``VALUES``) of a group of instruments, a map entry each, set up from a batch workbook and moved on by each batch's rows.
+
+    A group is handed to Python as a whole, so what a call costs is shared by its instruments; a batch reads and writes the entries of its own instruments only.
+    """
 
     def __init__(self, gap: int):
         self.gap = gap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("instrument", VALUES)
+        self.state = handle.getMapState("instrument", INSTRUMENT, VALUES)
 
     def handleInitialState(self, key: tuple, initial: pd.DataFrame, timers: object) -> None:
-        r = initial.iloc[0]
         none = lambda v: None if pd.isna(v) else float(v)
-        recent = [(x["gain"], x["loss"]) if isinstance(x, dict) else tuple(x) for x in r["recent"]]
-        self.state.update((none(r["avg_gain"]), none(r["avg_loss"]), int(r["n"]), float(r["sum_gain"]), float(r["sum_loss"]), int(r["session"]), recent))
+        for r in initial.itertuples(index=False):
+            recent = [(x["gain"], x["loss"]) if isinstance(x, dict) else tuple(x) for x in r.recent]
+            self.state.updateValue(_instrument(r.isin, r.exchange), (none(r.avg_gain), none(r.avg_loss), int(r.n), float(r.sum_gain), float(r.sum_loss), int(r.session), recent))
 
     def handleInputRows(self, key: tuple, frames: Iterator[pd.DataFrame], timers: object) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values("session_no", kind="stable").reset_index(drop=True)
-        kept = self.state.get()
-        rows["late"] = False if kept is None else rows["session_no"] <= kept[5]
-        change = rows["close"] - rows["prev_close"]
-        fine = (~rows["late"] & change.notna()).to_numpy(bool)
-        avg = np.full((len(rows), 2), np.nan)
-        if fine.any():
-            c = change[fine].to_numpy(float)
-            avg[fine], after = walked(kept, rows["session_no"][fine].to_numpy(), np.column_stack([np.maximum(c, 0), np.maximum(-c, 0)]), self.gap)
-            self.state.update(after)
+        rows = pd.concat(list(frames), ignore_index=True)
+        own = rows.groupby(R.KEYS, sort=False, dropna=False).ngroup().to_numpy()
+        order = np.lexsort((rows["session_no"].to_numpy(), own))  # stable
+        rows, own = rows.iloc[order].reset_index(drop=True), own[order]
+        isin, exchange, session = (rows[c].to_numpy() for c in (*R.KEYS, "session_no"))
+        change = (rows["close"] - rows["prev_close"]).to_numpy(float)
+        changes = np.column_stack([np.maximum(change, 0), np.maximum(-change, 0)])
+        late, avg = np.zeros(len(rows), bool), np.full((len(rows), 2), np.nan)
+        starts = np.flatnonzero(np.diff(own, prepend=-1))
+        for low, high in zip(starts, [*starts[1:], len(rows)]):
+            name = _instrument(isin[low], exchange[low])
+            kept = self.state.getValue(name)
+            if kept is not None:
+                late[low:high] = session[low:high] <= kept[5]
+            fine = low + np.flatnonzero(~late[low:high] & ~np.isnan(change[low:high]))
+            if len(fine):
+                avg[fine], after = walked(kept, session[fine], changes[fine], self.gap)
+                self.state.updateValue(name, after)
         g, lo = avg.T
         with np.errstate(divide="ignore", invalid="ignore"):
             rsi = np.where((g == 0) & (lo == 0), np.nan, np.where(lo == 0, 100.0, 100 - 100 / (1 + g / lo)))
-        yield pd.DataFrame({"isin": key[0], "exchange": key[1], "trade_date": rows["trade_date"], "session_no": rows["session_no"], "avg_gain": g, "avg_loss": lo, "rsi14": rsi, "late": rows["late"]})
+        yield pd.DataFrame({"isin": rows["isin"], "exchange": rows["exchange"], "trade_date": rows["trade_date"], "session_no": session, "avg_gain": g, "avg_loss": lo, "rsi14": rsi, "late": late})
 
     def close(self) -> None:
         pass
 
 
-def rsi_stream(prices: DataFrame, gap: int = R.GAP, initial: DataFrame | None = None) -> DataFrame:
-    """RSI rows of a stream of prices that carry their session number; one state value an instrument, late rows marked.
+def _instrument(*key: object) -> tuple:
+    return tuple(None if pd.isna(k) else k for k in key)
+
+
+def rsi_stream(prices: DataFrame, gap: int = R.GAP, initial: DataFrame | None = None, groups: int = GROUPS) -> DataFrame:
+    """RSI rows of a stream of prices that carry their session number; a state an instrument, late rows marked.
 
-    ``initial`` (``rsi.STATE``, as ``rsi.state_of`` makes it of a workbook) is where the stream starts. The state lives in RocksDB beside the checkpoint and batch jobs read it
-    by ``states``.
+    ``initial`` (``rsi.STATE``, as ``rsi.state_of`` makes it of a workbook) is where the stream starts. Instruments are dealt over ``groups``, some hundreds of them to each;
+    the number stays what it was when a checkpoint began. The state lives in RocksDB beside the checkpoint and batch jobs read it by ``states``.
     """
     prices.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    rows = prices.select("isin", "exchange", "trade_date", "session_no", "close", "prev_close").groupBy("isin", "exchange")
-    first = None if initial is None else initial.groupBy("isin", "exchange")
+    group = F.pmod(F.hash(*R.KEYS), F.lit(groups)).alias("group")
+    rows = prices.select(group, "isin", "exchange", "trade_date", "session_no", "close", "prev_close").groupBy("group")
+    first = None if initial is None else initial.select(group, "*").groupBy("group")
     out = rows.transformWithStateInPandas(Instruments(gap), RSI_ROWS, "Append", "None", first)
     value = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c) if c in ("avg_gain", "avg_loss", "rsi14") else F.col(c)
     return out.select(*map(value, out.columns))
@@ -222,7 +240,7 @@ def rsi_stream(prices: DataFrame, gap: int = R.GAP, initial: DataFrame | None =
 def states(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The states (``rsi.STATE``) that an RSI stream has reached, from its checkpoint by the state data source."""
     kept = spark.read.format("statestore").option("stateVarName", "instrument").load(checkpoint)
-    return kept.select("key.*", "value.*").select(*R.KEYS, *R.STATE_FIELDS)
+    return kept.select("user_map_key.*", "user_map_value.*").select(*R.KEYS, *R.STATE_FIELDS)
 
 
 REGISTRY = "indicator_id string, status string"

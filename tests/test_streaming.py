@@ -96,6 +96,31 @@ def test_late_rows_change_nothing(spark, tmp_path):
     assert last.avg_gain is not None and not last.late
 
 
+def test_instruments_of_a_stream_share_groups_and_not_states(spark, tmp_path):
+    """Spark hands over groups, not single instruments; each keeps averages and state of its own, those of a null exchange too."""
+    from eodlake.operators import rsi as R
+
+    schema = "isin string, exchange string, trade_date date, session_no long, close double, prev_close double"
+    row = lambda i, k: (f"I{i}", "NSE" if i % 5 else None, DAY + datetime.timedelta(k), k, 10.0 + (k * i) % 7, None if (i, k) == (3, 30) else 10.0 + k % 3)
+    df = spark.createDataFrame([row(i, k) for i in range(40) for k in range(45) if k % (13 + i) or k < 3], schema)
+    cal = R.sessions(spark.createDataFrame([(DAY + datetime.timedelta(k),) for k in range(45)], "trade_date date"))
+    book = R.state_of(R.full(df.where("session_no < 10 and isin <> 'I7'").drop("session_no"), cal))
+    for low, high in ((10, 25), (25, 45)):
+        df.where(f"session_no >= {low} and session_no < {high} and (isin <> 'I8' or session_no > 25)").write.mode("append").parquet(str(tmp_path / "in"))
+        stream = J.rsi_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), initial=book, groups=3)
+        finish(stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())
+    kept = df.where("(isin <> 'I7' or session_no >= 10) and (isin <> 'I8' or session_no < 10 or session_no > 25)").drop("session_no")
+    full = R.full(kept, cal)
+    plain = lambda x: None if x is None else round(x, 9)
+    of = lambda rows: sorted((r.isin, str(r.exchange), r.session_no, plain(r.avg_gain), plain(r.avg_loss), None if r.rsi14 is None else round(float(r.rsi14), 2)) for r in rows)
+    got, want = (of(x.collect()) for x in (spark.read.parquet(str(tmp_path / "out")), full.where("session_no >= 10")))
+    assert [str(g) for g in got] == [str(w) for w in want]
+    rounded = lambda r: (r.isin, str(r.exchange), plain(r.avg_gain), r.n, plain(r.sum_gain), r.session, [plain(x.gain) for x in r.recent])
+    assert sorted(map(str, map(rounded, J.states(spark, str(tmp_path / "state")).collect()))) == sorted(map(str, map(rounded, R.state_of(full).collect())))
+    keys = spark.read.format("statestore").option("stateVarName", "instrument").load(str(tmp_path / "state"))
+    assert keys.count() == 40 and keys.select("key").distinct().count() <= 3
+
+
 def test_stream_goes_on_from_a_workbook_and_its_states_are_readable(spark, tmp_path):
     from eodlake.operators import rsi as R
 
