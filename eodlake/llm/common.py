@@ -7,7 +7,7 @@ import gc
 import math
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -143,6 +143,18 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def frugal(run: Callable) -> Callable:
+    """A task's function over batches that gives freed memory back when its rows are done, so that a worker that waits for its next task is small."""
+
+    def rows(batches: Iterable) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return rows
+
+
 def keep_freed(most: int = 256 << 20) -> None:
     """Have this process use freed memory again, up to ``most`` bytes, until ``give_back``: arrays of megabytes otherwise come as new pages each time."""
     import ctypes
@@ -249,6 +261,19 @@ def chunks(batches: Iterable, columns: list[str], text: str, most: int) -> Itera
         yield tuple(out)
 
 
+def steps(batch, rows: int, most: int = 1 << 20) -> Iterator:
+    """Slices of an Arrow batch, of ``rows`` rows at most and, but for a longer text, about ``most`` bytes of text."""
+    import pyarrow.compute as pc
+
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        full = int(np.searchsorted(size, (size[at - 1] if at else 0) + most)) + 1
+        end = min(full, at + rows, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _utf8(column) -> list[bytes]:
     import pyarrow as pa
 

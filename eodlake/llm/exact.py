@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import NO_ID, keep_rows, parts_for, saved, table, text_bytes
+from eodlake.llm.common import NO_ID, frugal, keep_rows, parts_for, saved, table, text_bytes
 
 SPACES = r"[\x20\x09-\x0D]+"
 #: Characters of a text that the sampled splitters see, and bytes of text in a range.
@@ -71,7 +71,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     last = F.col("doc_id").asc_nulls_last()
     parts = parts_for(docs.sparkSession, text_bytes(docs), PART_BYTES)
     ordered = d.repartitionByRange(parts, "head", "text_sha256", last).sortWithinPartitions("head", "text_sha256", "norm", last).select("doc_id", "text_sha256", "norm")
-    rows = saved(ordered.mapInArrow(_runs, "doc_id long, text_sha256 string, part int, run long, first boolean, run_keep long, run_size long, edge_text string"), "exact")
+    rows = saved(ordered.mapInArrow(frugal(_runs), "doc_id long, text_sha256 string, part int, run long, first boolean, run_keep long, run_size long, edge_text string"), "exact")
     merged = (
         rows.where("edge_text is not null")
         .groupBy("edge_text")

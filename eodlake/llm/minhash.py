@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import NO_ID, U64, chunks, grams, identified, keep_rows, mix, saved, table, words_of
+from eodlake.llm.common import NO_ID, U64, chunks, frugal, grams, identified, keep_rows, mix, saved, table, words_of
 from eodlake.llm.components import components
 
 #: Bands and hashes a band: a pair at similarity 0.8 shares no band with probability (1 - 0.8^4)^28 = 4e-7.
@@ -134,14 +134,14 @@ def verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, per
     side = lambda x: classes.select(F.col("node").alias(x), F.col("did").alias(f"did_{x}"), F.col("th").alias(f"th_{x}"), F.col("sig").alias(f"sig_{x}"))
     signed = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "did_a", "th_a", "did_b", "th_b", "sig_a", "sig_b")
     schema = "a long, b long, did_a long, th_a long, did_b long, th_b long"
-    left = saved(signed.mapInArrow(pruner(percent / 100), schema), "candidates")
+    left = saved(signed.mapInArrow(frugal(pruner(percent / 100)), schema), "candidates")
     salts = left.groupBy("a").agg(F.ceil(F.count("*") / PER_LEADER).alias("salts"))
     left = left.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), "salts"))
     need = left.select(F.col("did_b").alias("did"), F.col("th_b").alias("th"), "a", "b", "salt").unionByName(
         left.select(F.col("did_a").alias("did"), F.col("th_a").alias("th"), "a", F.lit(None).cast("long").alias("b"), "salt").distinct()
     )
     streams = texts.join(need, ["did", "th"]).select("a", "b", "salt", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return streams.select("a", "b", "text").mapInArrow(checker(k, percent), "a long, b long")
+    return streams.select("a", "b", "text").mapInArrow(frugal(checker(k, percent)), "a long, b long")
 
 
 def cell_checker(k: int, percent: int) -> Callable:
@@ -218,7 +218,7 @@ def stray_links(texts: DataFrame, classes: DataFrame, strays: DataFrame, members
     known = members.select("g", "node", F.col("g").alias("component"))
     cells = cells.join(known, ["g", "node"], "left").withColumn("component", F.coalesce("component", "node"))
     rows = texts.join(cells, ["did", "th"]).select("g", "i", "j", "role", "node", "component", "sig", "text")
-    return rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "role", "node").mapInArrow(cell_checker(k, percent), "a long, b long")
+    return rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "role", "node").mapInArrow(frugal(cell_checker(k, percent)), "a long, b long")
 
 
 def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -237,7 +237,7 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     any other and shows as null. An empty table gives no rows.
     """
     texts = identified(docs)
-    signs = saved(texts.mapInArrow(signer(k), "did long, th long, n long, node long, sig binary, bands array<long>"), "signatures")
+    signs = saved(texts.mapInArrow(frugal(signer(k)), "did long, th long, n long, node long, sig binary, bands array<long>"), "signatures")
     classes = saved(
         signs.where("node is not null").groupBy("node").agg(F.min(F.struct("did", "th")).alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")).select("node", "rep.*", "n", "sig", "bands"),
         "classes",

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import saved, table
+from eodlake.llm.common import frugal, saved, steps, table
 
 WINDOW, END_ID = 2048, 1
 #: A shard, the unit that is indexed at once: tokens and documents at most (one document may exceed it alone).
@@ -23,8 +23,10 @@ RANKED, SPARSE = 48, 8
 #: Numbers of a document's projection, documents on which the cells are fitted (on average), cells a shard, cells at most.
 DIM, FITTED, CELLS, MOST_CELLS = 64, 4096, 16, 1024
 K1, B = 1.2, 0.75
-#: Documents encoded at a time.
-STEP = 768
+#: Documents encoded at a time, and bytes of their texts.
+STEP, STEP_BYTES = 768, 1 << 19
+#: Pieces whose ids an encoder keeps: a worker waits for its next task with these in memory.
+MOST_PIECES = 100_000
 
 
 #: What a text of single spaces and newlines doesn't hold: two in a row, or another white space of the Latin blocks.
@@ -51,7 +53,7 @@ class Encoder:
     token are encoded as a whole.
     """
 
-    def __init__(self, path: str, ranks: str | None = None, most: int = 600_000):
+    def __init__(self, path: str, ranks: str | None = None, most: int = MOST_PIECES):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -119,8 +121,6 @@ class Encoder:
         total = sum(map(len, pieces))
         if not total:
             return out
-        if len(self.pieces) > self.most:
-            self._forget()
         w = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(pieces)), np.int64, total)
         if self.pieces.new:
             self._learn()
@@ -130,6 +130,8 @@ class Encoder:
         step = np.dtype(self.width).itemsize
         ends = (end[np.cumsum([len(p) for p in pieces]) - 1] * step).tolist()
         spans = iter(zip([0, *ends[:-1]], ends))
+        if len(self.pieces) > self.most:
+            self._forget()
         return [raw[(s := next(spans))[0] + step : s[1]] if p else o for p, o in zip(plain, out)]
 
 
@@ -148,8 +150,10 @@ def _spread(x: np.ndarray, seed: int) -> np.ndarray:
 
 def projection(vocab: int) -> np.ndarray:
     """A row of random signs for each token; later ids, which a vocabulary gives to rarer tokens, weigh more."""
-    signs = np.random.default_rng(64).integers(0, 2, (vocab, DIM)) * 2 - 1
-    return (signs * np.log1p(np.arange(vocab) / 100)[:, None]).astype(np.float32)
+    rng, weight, out = np.random.default_rng(64), np.log1p(np.arange(vocab) / 100)[:, None], np.empty((vocab, DIM), np.float32)
+    for at in range(0, vocab, 4096):
+        out[at : at + 4096] = (rng.integers(0, 2, out[at : at + 4096].shape) * 2 - 1) * weight[at : at + 4096]
+    return out
 
 
 def tokenised(path: str, ranks: str | None, end_id: int) -> Callable:
@@ -166,9 +170,9 @@ def tokenised(path: str, ranks: str | None, end_id: int) -> Callable:
         axes, ones = projection(vocab), np.ones(vocab, np.float32)
         empty = True
         for batch in batches:
-            docs, texts = batch.column("doc_id"), batch.column("text")
-            for at in range(0, len(docs), STEP):
-                ids = [x + end for x in enc.encode_batch([t or "" for t in texts.slice(at, STEP).to_pylist()])]
+            for some in steps(batch, STEP, STEP_BYTES):
+                docs = some.column("doc_id")
+                ids = [x + end for x in enc.encode_batch([t or "" for t in some.column("text").to_pylist()])]
                 near, vec = [], []
                 for x in ids:
                     mark[:] = False
@@ -179,7 +183,7 @@ def tokenised(path: str, ranks: str | None, end_id: int) -> Callable:
                     v = ones[: len(seen)] @ axes.take(seen, axis=0)
                     vec.append(np.rint(v * (127 / max(float(np.abs(v).max()), 1e-9))).astype(np.int8).tobytes())
                 n = [len(x) // enc.width().itemsize for x in ids]
-                yield pa.RecordBatch.from_arrays([docs.slice(at, STEP).cast(pa.int64()), pa.array(near, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(vec, pa.binary()), pa.nulls(len(n), pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([docs.cast(pa.int64()), pa.array(near, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(vec, pa.binary()), pa.nulls(len(n), pa.binary())], schema=schema)
                 empty = False
         if not empty:
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([df.tobytes()])], schema=schema)
@@ -249,18 +253,22 @@ class Shard:
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float):
         n = np.array([len(x) for x in ids])
-        keys = np.repeat(np.arange(len(ids), dtype=np.uint64) << np.uint64(32), n) | np.concatenate(ids).astype(np.uint64)
+        keys = np.repeat(np.arange(len(ids), dtype=np.uint64) << np.uint64(32), n)
+        keys |= np.concatenate(ids)
         keys.sort()
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         tf = np.diff(first, append=len(keys)).astype(np.float32)
         keys = keys[first]
+        del first
         doc, term = (keys >> np.uint64(32)).astype(np.int32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int32)
         weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * n[doc] / mean))).astype(np.float32)
+        del keys, tf
         self.at = np.searchsorted(doc, np.arange(len(ids) + 1))
         self.term = term
         o = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[o], weight[o]
         self.posting = np.searchsorted(term[o], np.arange(len(idf) + 1))
+        del doc, o
         self.n, self.used = len(ids), np.zeros(len(ids), bool)
         # common terms: a row of weights each (SPARSE times the postings at most), and their part of the scores of all pairs
         common = np.flatnonzero(np.diff(self.posting) * SPARSE >= self.n)
@@ -411,9 +419,9 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, end_id: int
 
     vocab = max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)
     width = np.uint16 if vocab <= 1 << 16 else np.uint32
-    tokens = saved(docs.select("doc_id", "text").mapInArrow(tokenised(tokenizer, ranks, end_id), "doc_id long, near long, n long, ids binary, vec binary, df binary"), "tokens")
+    tokens = saved(docs.select("doc_id", "text").mapInArrow(frugal(tokenised(tokenizer, ranks, end_id)), "doc_id long, near long, n long, ids binary, vec binary, df binary"), "tokens")
     total, count = tokens.where("n is not null").agg(F.sum("n"), F.count("n")).first()
-    seen = tokens.where("df is not null").select("df").mapInArrow(_counts, "token long, df long").groupBy("token").agg(F.sum("df").alias("df")).collect()  # at most one row an id
+    seen = tokens.where("df is not null").select("df").mapInArrow(frugal(_counts), "token long, df long").groupBy("token").agg(F.sum("df").alias("df")).collect()  # at most one row an id
     df = np.zeros(vocab)
     for r in seen:
         df[r.token] = r.df
@@ -429,7 +437,7 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, end_id: int
     order = [F.col("cell"), F.col("near"), F.col("doc_id"), F.xxhash64("ids")]
     dealt = rows.select("doc_id", "near", "ids", cell.alias("cell")).repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "ids")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    return dealt.mapInArrow(packer(idf, (total or 0) / max(count or 0, 1), window, width, with_ids), schema)
+    return dealt.mapInArrow(frugal(packer(idf, (total or 0) / max(count or 0, 1), window, width, with_ids)), schema)
 
 
 def public_tokenizer() -> dict[str, str]:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodlake.llm.common import chunks, crc_mod, joined, saved, table, words
+from eodlake.llm.common import chunks, crc_mod, frugal, joined, saved, steps, table, words
 
 #: Labelled rows that the model is fitted on at most (the first in hash order); the fit runs on the driver.
 MOST_LABELLED = 20_000
@@ -194,7 +194,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text").mapInArrow(_measure, "doc_id long, x array<double>")
+    return docs.select("doc_id", "text").mapInArrow(frugal(_measure), "doc_id long, x array<double>")
 
 
 def fitted(feature_rows: DataFrame, labels: DataFrame, folds: int = 5, most: int = MOST_LABELLED) -> Additive:
@@ -236,11 +236,11 @@ def quality_filter(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 def accepting(model: Additive, threshold: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
+            for b in steps(whole, 256):
                 texts = [(t or "").encode() for t in b.column("text").to_pylist()]
                 yield b.filter(pa.array(model.score(features(texts)) >= threshold))
 
-    return run
+    return frugal(run)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

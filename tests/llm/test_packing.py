@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eodlake.llm import packing
@@ -10,6 +11,9 @@ from tests.llm.fixtures import SCHEMA
 from tests.llm.test_operators import check_packed
 
 
+KW = packing.public_tokenizer()
+
+
 def some_documents(n=300, seed=3):
     r = random.Random(seed)
     return [[r.choice(range(200)) if r.random() < 0.6 else int(r.paretovariate(0.7)) % 5000 for _ in range(r.randint(1, 300))] + [1] for _ in range(n)]
@@ -110,3 +114,27 @@ def test_cells_of_one_and_of_equal_vectors():
     assert one.of([b"\x01" * packing.DIM, b"\x00" * packing.DIM]).tolist() == [0, 0]
     same = packing.Cells([b"\x05" * packing.DIM] * 40, 16)
     assert len(set(same.of([b"\x05" * packing.DIM] * 3).tolist())) == 1
+
+
+def test_encoder_keeps_few_pieces_between_batches():
+    """A worker waits for its next task with what its encoder has learned, so that is bounded after each batch."""
+    enc = packing.Encoder(KW["tokenizer"], KW["ranks"], most=50)
+    texts = [" ".join(f"w{i}x{k}" for k in range(300)) for i in range(4)]
+    for _ in range(2):
+        assert enc.encode_batch(texts) == [enc.ids(t) for t in texts]
+        assert len(enc.pieces) <= 50 and len(enc.start) <= 50
+
+
+def test_tokenising_takes_few_bytes_at_a_time(monkeypatch):
+    """Long texts are encoded a few at a time, and rows keep their order, nulls and empty texts with them."""
+    taken, enc = [], packing.encoder(KW["tokenizer"], KW["ranks"])
+    whole = enc.encode_batch
+    monkeypatch.setattr(enc, "encode_batch", lambda texts: taken.append(sum(len(t.encode()) for t in texts)) or whole(texts))
+    texts = [None, "", *["word é " * 40_000] * 5, "", None, "end"] + ["short text"] * 1000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts) + 1)), pa.array(["left out", *texts])], names=["doc_id", "text"]).slice(1)
+    out = list(packing.tokenised(KW["tokenizer"], KW["ranks"], 1)([batch]))
+    ids = [(d, x) for b in out for d, x in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()) if x is not None]
+    assert [d for d, _ in ids] == list(range(1, len(texts) + 1))
+    assert ids[0][1] == ids[1][1] == ids[7][1] == ids[8][1] == np.array([1], enc.width).tobytes() and ids[2][1] == ids[6][1]
+    longest = len(texts[2].encode())
+    assert max(taken) < packing.STEP_BYTES + longest < 5 * longest and sum(taken) == sum(len((t or "").encode()) for t in texts)

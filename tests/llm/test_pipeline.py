@@ -77,3 +77,25 @@ def test_stages_on_an_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, FOLDER).count() == 0, name
+
+
+def test_workers_give_memory_back(spark, monkeypatch):
+    """Whatever a stage's tasks do in Python, they give freed memory back at their end: a worker waits with it beside an executor's heap otherwise."""
+    from eodlake.llm import common
+
+    done = []
+    monkeypatch.setattr(common, "give_back", lambda: done.append(1))
+    assert list(common.frugal(lambda rows: (r + 1 for r in rows))([1, 2])) == [2, 3] and done == [1]
+    taken = common.frugal(lambda rows: iter(rows))([1, 2])
+    next(taken)
+    taken.close()  # a limit, say, takes no more rows
+    assert done == [1, 1]
+    monkeypatch.undo()
+
+    run = []
+    plain = type(spark.range(0)).mapInArrow
+    monkeypatch.setattr(type(spark.range(0)), "mapInArrow", lambda self, f, *a, **b: run.append(f.__qualname__) or plain(self, f, *a, **b))
+    docs = frame(spark)
+    for _, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, FOLDER).count()
+    assert len(run) > 8 and set(run) == {"frugal.<locals>.rows"}
