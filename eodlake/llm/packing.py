@@ -26,7 +26,7 @@ K1, B = 1.2, 0.75
 #: Documents encoded at a time, and bytes of their texts.
 STEP, STEP_BYTES = 768, 1 << 19
 #: Pieces whose ids an encoder keeps: a worker waits for its next task with these in memory.
-MOST_PIECES = 100_000
+MOST_PIECES = 200_000
 
 
 #: What a text of single spaces and newlines doesn't hold: two in a row, or another white space of the Latin blocks.
