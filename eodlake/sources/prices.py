@@ -25,8 +25,9 @@ def layout_of(header: Column) -> Column:
     return F.when(has("TradDt") & has("Src"), "v2").when(has("TradDt"), "v3").when(has("SYMBOL") & has("TIMESTAMP"), "v1")
 
 
-def project(rows: DataFrame, layout: Column) -> DataFrame:
-    """Rows of all layouts, all columns strings, in the common schema; ``layout`` is each row's."""
+def project(rows: DataFrame, layout: Column | str) -> DataFrame:
+    """Rows of all layouts, all columns strings, in the common schema; ``layout`` is each row's, or the name of the one that all rows have."""
+    layout = F.lit(layout)
     first = layout == "v1"
     exchange = F.when(first, "NSE").when(layout == "v3", "BSE").otherwise(named(rows, "Src"))
     pick = lambda c: F.when(first, named(rows, V1[c])).otherwise(named(rows, V2[c]))

@@ -28,6 +28,11 @@ def test_numbers_of_later_tiers_are_kept_as_they_are(spark, tmp_path, name):
     same(queries.QUERIES[name](spark, folder), connect(folder), queries.ORACLES[name])
 
 
+def test_rows_without_a_series_are_projected(spark, tmp_path):
+    folder = shifted(tmp_path, lineitem="nullif(l_returnflag, 'R') AS l_returnflag, CASE WHEN l_orderkey % 2 = 0 THEN l_linestatus ELSE 'O' END AS l_linestatus")
+    same(queries.QUERIES["src3_layout_projection"](spark, folder), connect(folder), queries.ORACLES["src3_layout_projection"])
+
+
 def test_each_gated_run_gives_the_whole_enriched_master(spark):
     master = queries.QUERIES["job5_enriched_master"](spark, FOLDER)
     rows = queries.QUERIES["str7_gated_enrichment"](spark, FOLDER).collect()

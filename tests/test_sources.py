@@ -43,6 +43,16 @@ def test_three_layouts(spark, tmp_path):
     assert wrong == ["BSE-BC-15-DEC-2023.csv"]
 
 
+def test_rows_of_one_layout(spark):
+    """The layout of all rows by its name gives what a column of it gives."""
+    v1 = spark.createDataFrame([("AAA", "12.5", "14-DEC-2023", "3490.00")], "symbol string, CLOSE string, TIMESTAMP string, TOTTRDQTY string")
+    other = spark.createDataFrame([("CCC", "5", "2023-12-14", "10", "MSE")], "TckrSymb string, ClsPric string, TradDt string, TtlTradgVol string, Src string")
+    for rows, layout, want in ((v1, "v1", ("NSE", "AAA", "12.50", 3490)), (other, "v2", ("MSE", "CCC", "5.00", 10)), (other, "v3", ("BSE", "CCC", "5.00", 10))):
+        got = P.project(rows, layout).collect()
+        assert [(r.exchange, r.symbol, str(r.close), r.tot_trd_qty, str(r.trade_date), r.total_trades) for r in got] == [(*want, "2023-12-14", None)]
+        assert got == P.project(rows.withColumn("layout", F.lit(layout)), F.col("layout")).collect()
+
+
 def test_no_files_of_any_layout(spark, tmp_path):
     (tmp_path / "a.csv").write_text("one,two\n1,2\n")
     rows, rejects = P.scan(spark, str(tmp_path))
