@@ -30,10 +30,11 @@ def named(df: DataFrame, *candidates: str) -> Column:
 
 def _shape(fmt: str) -> str:
     """A pattern of all texts that a date format can fit: the others need no attempt, and a failed one costs an exception."""
-    part = {"MMM": "[^0-9]+", "yy": "[0-9]{2}", "yyyy": "[+-]?[0-9]{4,}"}
+    number = "[+-]?[0-9]+"
+    part = {"d": number, "dd": number, "M": number, "MM": number, "MMM": "[^0-9]+", "MMMM": "[^0-9]+", "yy": "[0-9]{2}", "yyyy": "[+-]?[0-9]{4,}"}
     if "yyyyMMdd" in fmt:
         return "^[+-]?[0-9]+$"
-    return "^" + re.sub("[A-Za-z]+", lambda m: part.get(m[0], "[+-]?[0-9]+"), fmt) + "$"
+    return "^" + re.sub("[A-Za-z]+", lambda m: part.get(m[0], ".+"), fmt) + "$"
 
 
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:

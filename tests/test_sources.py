@@ -168,6 +168,15 @@ def test_parsing(spark):
     assert [r[1] for r in got] == [3490, None, None] and [str(r[2]) for r in got] == ["2.35", "None", "None"]
 
 
+def test_months_by_their_names(spark):
+    """Full names, and formats with letters other than those of days; what doesn't fit gives no day, and a day comes once."""
+    texts = ["January 26, 2026", "May 5, 2024", "may 05, 2024", " August 15, 1995 ", "2024-05-05", "Smarch 1, 2024", "February 30, 2024", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "date string")
+    assert sorted(str(r.day) for r in K.holidays(rows).collect()) == ["1995-08-15", "2024-05-05", "2026-01-26"]
+    other = rows.limit(1).select(C.parse_date(F.lit("26. January 2026"), ("d. MMMM yyyy",)), C.parse_date(F.lit("5 PM 05/01/2024"), ("h a dd/MM/yyyy",)))
+    assert list(map(str, other.first())) == ["2026-01-26", "2024-01-05"]
+
+
 def test_reconciliation(spark):
     raw = spark.createDataFrame(
         [("I1", "BONUS", "NSE", "A", "2", "1"), ("I1", "BONUS", "BSE", "A", "2", "1"), ("I2", "BONUS", "NSE", "B", "2", "1"), ("I2", "BONUS", "BSE", "B", "3", "1"), ("I3", "SPLIT", "NSE", "C", None, None), ("I3", "SPLIT", "BSE", None, "10", "2"), ("I4", "SPLIT", "BSE", "D", "10", "0")],
