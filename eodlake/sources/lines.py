@@ -20,15 +20,16 @@ def landed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def cells(rows: DataFrame, names: list[str], *keep: str) -> DataFrame:
     """``keep`` and a column for each of ``names`` from lines (value, header): parsed by position, then taken by the line's own header in any case.
 
-    The first column of a name counts, as a header may repeat one; a name that the header lacks is null. The columns come out of a generator, which no condition on
-    them goes through: one that did would have a parser of its own for each of its uses of a column.
+    The first column of a name counts, as a header may repeat one; a name that the header lacks is null. The cells come out of a generator, which no condition on
+    the columns goes through: one that did would have a parser of its own for each of its uses of a column.
     """
     schema = ", ".join(f"_{i} string" for i in range(WIDTH))
     heads = F.transform(F.split(F.regexp_replace("header", '"', ""), ","), lambda n: F.lower(F.trim(n)))
     rows = rows.withColumns({"heads": heads, "cells": F.from_csv("value", F.lit(schema), {"mode": "PERMISSIVE"})})
     rows = rows.withColumn("cells", F.array(*[F.col(f"cells._{i}") for i in range(WIDTH)]))
     at = lambda n: F.array_position("heads", n.lower())
-    return rows.select(*keep, F.inline(F.array(F.struct(*[F.when(at(n) > 0, F.try_element_at("cells", at(n).cast("int"))).alias(n) for n in names]))))
+    rows = rows.select(*keep, F.inline(F.array(F.struct("heads", "cells"))))
+    return rows.select(*keep, *[F.when(at(n) > 0, F.try_element_at("cells", at(n).cast("int"))).alias(n) for n in names])
 
 
 def first_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
